@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import quality, sharding, urlrules, warc
+from thylakoid.llm import jaccard, quality, sharding, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_archive(warc.with_records(table(spark, sf_dir, "pages")), folder)
@@ -47,6 +51,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op3_url_filters": op3_url_filters,
+    "op4_jaccard_join": op4_jaccard_join,
     "op7_warc": op7_warc,
     "op10_quality_rules": op10_quality_rules,
 }
@@ -62,6 +67,21 @@ LEFT JOIN LATERAL (
   ORDER BY length(h || q) DESC LIMIT 1) r ON true
 """
 
+_JACCARD = r"""
+WITH RECURSIVE d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+s AS (SELECT DISTINCT doc_id, g FROM (
+  SELECT doc_id, array_to_string(w, ' ') AS g FROM w WHERE len(w) BETWEEN 1 AND 3 UNION ALL
+  SELECT doc_id, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3] FROM (SELECT doc_id, w, unnest(range(1, len(w) - 2)) AS i FROM w))),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.doc_id WHERE r.root < e.b)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.root) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN r USING (doc_id) GROUP BY ALL
+"""
+
 _WARC = """
 SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN payload_bytes >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
@@ -93,4 +113,4 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f JOIN verdict ON f.source IS NOT DISTINCT FROM verdict.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filters": _URL, "op7_warc": _WARC, "op10_quality_rules": _QUALITY}
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": _URL, "op4_jaccard_join": _JACCARD, "op7_warc": _WARC, "op10_quality_rules": _QUALITY}
