@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import jaccard, quality, sharding, urlrules, warc
+from thylakoid.llm import decontaminate, jaccard, quality, sharding, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_manifest(table(spark, sf_dir, "documents"), 8)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -50,6 +54,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
+    "op2_decontamination": op2_decontamination,
     "op3_url_filters": op3_url_filters,
     "op4_jaccard_join": op4_jaccard_join,
     "op7_warc": op7_warc,

@@ -135,3 +135,16 @@ def ngrams(words: Words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.nda
 def as_long(values: np.ndarray) -> pa.Array:
     """Unsigned hashes as Spark's longs."""
     return pa.array(np.ascontiguousarray(values, dtype=U64).view(np.int64))
+
+
+#: Bytes that letters and digits of any language are made of, and the separators.
+NOT_PUNCTUATION = np.ones(256, dtype=bool)
+NOT_PUNCTUATION[[b for b in range(0x21, 0x7F) if not chr(b).isalnum()]] = False
+
+
+def compact(data: np.ndarray, offsets: np.ndarray, keep: np.ndarray, becomes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The buffer without the bytes that ``keep`` (by byte) leaves out, the others mapped by ``becomes``."""
+    kept = keep[data]
+    total = np.zeros(len(data) + 1, dtype=np.int64)
+    np.cumsum(kept, out=total[1:])
+    return becomes[data[kept]], total[offsets]
