@@ -60,10 +60,10 @@ def cumulative(df: DataFrame, group: list[str], order: list[str], value: Column,
     rows = df.withColumn("_bin", F.pmod(F.xxhash64(F.lit(7), *order), F.lit(bins)).cast("int")).withColumn("_value", value)
     totals = rows.groupBy(*group, "_bin").agg(F.sum("_value").alias("_sum"))
     before = Window.partitionBy(*group).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_bin").alias("_g_bin"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    totals = totals.select(*[F.col(c).alias(f"_g_{c}") for c in group], F.col("_bin").alias("_g_bin"), F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_g_before"))
     inside = Window.partitionBy(*group, "_bin").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn(name, F.coalesce(F.sum("_value").over(inside), F.lit(0)))
     same = (F.col("_bin") == F.col("_g_bin"))
     for c in group:
         same &= F.col(c).eqNullSafe(F.col(f"_g_{c}"))
-    return rows.join(totals, same).withColumn(name, F.col(name) + F.col("_before")).drop("_bin", "_value", "_g_bin", "_before", *[f"_g_{c}" for c in group])
+    return rows.join(totals, same).withColumn(name, F.col(name) + F.col("_g_before")).drop("_bin", "_value", "_g_bin", "_g_before", *[f"_g_{c}" for c in group])

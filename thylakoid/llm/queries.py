@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import decontaminate, jaccard, quality, sharding, urlrules, warc
+from thylakoid.llm import decontaminate, jaccard, mixing, quality, sharding, tokencounts, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.section_tokens(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive_folder(spark)
     warc.write_archive(warc.with_records(table(spark, sf_dir, "pages")), folder)
@@ -48,6 +52,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_plan(table(spark, sf_dir, "documents")).drop("_ident")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"))
 
@@ -57,7 +65,9 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_url_filters": op3_url_filters,
     "op4_jaccard_join": op4_jaccard_join,
+    "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
+    "op8_mixing": op8_mixing,
     "op10_quality_rules": op10_quality_rules,
 }
 
