@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import decontaminate, jaccard, mixing, quality, sharding, tokencounts, urlrules, warc
+from thylakoid.llm import decontaminate, jaccard, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,15 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_plan(table(spark, sf_dir, "documents")).drop("_ident")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def fold(key: str) -> Column:
+        return F.coalesce(F.crc32(F.col(key).cast("string")) % 3, F.lit(0))
+
+    labels = table(spark, sf_dir, "labels").filter(fold("doc_id") != 1).select("doc_id", "toxic")
+    docs = table(spark, sf_dir, "documents").select("doc_id", (fold("doc_id") == 1).alias("held_out"), "text")
+    return toxicity.score_toxicity(docs, labels).drop("text").withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"))
 
@@ -68,6 +77,7 @@ QUERIES: dict[str, Query] = {
     "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
+    "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
 }
 
