@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from thylakoid.llm.boosting import fit, probabilities
 from thylakoid.llm.common import bounded_batches, durable
-from thylakoid.llm.textkit import IS_SPACE, LOWER, NOT_PUNCTUATION, U64, as_long, blocks, compact, find_words, hash_spans
+from thylakoid.llm.textkit import IS_SPACE, LOWER, NOT_PUNCTUATION, U64, as_long, blocks, combine, compact, find_words, hash_spans, ngrams
 
 #: Labelled rows that the model is fitted on at most: those whose key's hash is smallest.
 FIT_ROWS = 20_000
@@ -120,6 +120,20 @@ def features(column: pa.Array, lexicon: np.ndarray, weight: np.ndarray) -> np.nd
     return np.concatenate(out) if out else np.zeros((0, len(FEATURES)))
 
 
+def sketches(text: pa.Array) -> pa.Array:
+    """The smallest hash of a text's five-word runs, which near copies mostly share; of fewer words, of all."""
+    out = []
+    for block in blocks(text):
+        words, plain, _ = _views(block)
+        runs, at = ngrams(words, plain, 5)
+        cut = np.searchsorted(at, words.first)
+        for i in range(block.hi - block.lo):
+            own = runs[cut[i] : cut[i + 1]]
+            whole = plain[words.first[i] : words.first[i + 1]]
+            out.append(own.min() if len(own) else combine(whole, len(whole))[0] if len(whole) else U64(0))
+    return as_long(np.array(out, dtype=U64))
+
+
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         label = batch.column(1).to_numpy(zero_copy_only=False)
@@ -137,11 +151,17 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fitting_rows(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, limit: int) -> DataFrame:
-    """``text``, ``label`` and ``apart`` of at most ``limit`` labelled texts; a label of a key with several is their largest."""
+    """``text``, ``label`` and ``apart`` of at most ``limit`` labelled texts; a label of a key with several is their largest.
+
+    Copies and near copies count once: otherwise every word of a toxic text that occurs many times
+    would seem to tell toxic texts.
+    """
     few = labels.filter(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("label"))
     few = durable(few.orderBy(F.xxhash64("_key"), "_key").limit(limit))
+    sketch = F.arrow_udf(sketches, "long")
     rows = docs.select(F.col(key).alias("_id"), F.col(text).alias("text")).join(F.broadcast(few), F.col("_id") == F.col("_key"))
-    rows = rows.select("_key", F.coalesce("text", F.lit("")).alias("text"), "label").dropDuplicates(["_key"])
+    rows = rows.select("_key", F.coalesce("text", F.lit("")).alias("text"), "label", sketch(F.coalesce("text", F.lit(""))).alias("sketch"))
+    rows = rows.groupBy("sketch").agg(F.min(F.struct("_key", "text", "label")).alias("r")).select("r.*")
     return rows.select("text", "label", (F.pmod(F.xxhash64(F.lit(5), "_key"), F.lit(4)) == 0).alias("apart"))
 
 
