@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import decontaminate, jaccard, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
+from thylakoid.llm import decontaminate, jaccard, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,7 +37,12 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 10, F.lit(0)) == 0
+    return lm.score_texts(table(spark, sf_dir, "documents"), ~held_out).withColumn("train", ~F.col("train")).withColumnRenamed("train", "held_out")
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +79,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_url_filters": op3_url_filters,
     "op4_jaccard_join": op4_jaccard_join,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,
     "op8_mixing": op8_mixing,
