@@ -4,8 +4,8 @@
    then on, with its copies as members.
 2. Similar sets are put into groups.  The hash range is cut into more parts than a linked pair can
    differ in, so by the pigeonhole principle linked sets agree on a whole part; sets that agree on
-   a part form a group, named by its smallest set.  Unrelated texts that share a passage don't
-   agree on a part, which is a random sixth of a dozen tokens or so, so groups stay small.
+   a part form a group, named by its smallest set.  A part is a few tokens from random places of
+   the text, so unrelated texts that share a passage hardly ever agree on one.
 3. A group is opened in pieces of ``PIECE`` sets.  A piece is a token-group matrix: it is
    partitioned again into blocks of like sets, each with the union of its tokens; a set's overlap
    with a union bounds its overlap with every set of the block, and only blocks whose bound
@@ -57,32 +57,38 @@ def set_id(shingles: np.ndarray) -> int:
 
 
 def part_hashes(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
-    """Hashes of the parts of a set, such that two sets of Jaccard num/den or more share one.
+    """Hashes of parts of a set, such that two sets of Jaccard num/den or more share one.
 
     Sizes from 2^c to 2^(c+1)-1 are class c.  A pair is met in the class of its larger set, so a
-    set also takes part in the next class if it could link with a set there.  In a class whose
-    largest set has y tokens a linked pair differs in d = 2y(den-num)/(den+num) tokens at most, so
-    of d+1 parts one is equal.  Empty parts would meet everything: there are a few parts more, and
-    a set with at most d parts that aren't empty, for its own d, gives its empty parts as well.
+    set also takes part in the next class if it could link with a set there.  In a class the hash
+    range is cut into more parts than a linked pair can differ in tokens.  A set that differs from
+    any set linked with it in d tokens at most gives only its fuller parts: those of so many tokens
+    that there are more than d of them, for then one is untouched.  Of a linked pair, the set that
+    asks for more tokens has an untouched part of that many, and the other gives it as well.
+    Fuller parts are shared by chance less often.  Empty parts are given only by a set that has no
+    more than d others.
     """
     size = len(shingles)
     if not size:
         return shingles
     most = size * den // num
-    own = size.bit_length() - 1
     mixed = mix(shingles)
     found = []
-    for level in range(own, most.bit_length()):
+    for level in range(size.bit_length() - 1, most.bit_length()):
         top = (2 << level) - 1
         apart = (den - num) * 2 * top // (den + num)
-        parts = apart + 2 + apart // 12
+        parts = apart + 1 + max(apart // 4, 2 * (apart > 0))
         part = ((shingles >> U64(32)) * U64(parts)) >> U64(32)
         first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         salt = U64((level + 1) * 0x9E3779B97F4A7C15 % (1 << 64))
-        found.append(mix(np.add.reduceat(mixed, first) + mix(part[first] + salt)))
-        if len(first) <= (den - num) * (size + min(most, top)) // (den + num):
+        own = (den - num) * (size + min(most, top)) // (den + num)
+        hashes = mix(np.add.reduceat(mixed, first) + mix(part[first] + salt))
+        if len(first) > own:
+            held = np.diff(np.append(first, size))
+            found.append(hashes[held >= np.partition(held, len(held) - own - 1)[len(held) - own - 1]])
+        else:
             empty = np.setdiff1d(np.arange(parts, dtype=U64), part[first])
-            found.append(mix(mix(empty + salt) ^ U64(0x5851F42D4C957F2D)))
+            found += [hashes, mix(mix(empty + salt) ^ U64(0x5851F42D4C957F2D))]
     return np.concatenate(found)
 
 
@@ -276,7 +282,7 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
     return named, roots
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 4, num: int = 85, den: int = 100) -> DataFrame:
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``key``, ``n_shingles`` and ``component_id`` (the smallest key reachable by links) of each row.
 
     Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z lower-cased.  Two rows are linked if
