@@ -99,18 +99,23 @@ def clean_overlaps(df: DataFrame, keys: list[str], name: str = "orf_id", length:
     """Candidates of one reference that don't strictly overlap a longer one of it; copies elsewhere stay.
 
     ``length`` is by default end minus start.  ``compat`` goes through them in order of their names.
-    A group is the candidates of one reference in one genome, a handful; islands, which can't
-    affect each other, are separate tasks.
+    Islands can't affect each other; those of a single candidate stay in the JVM, and the others of
+    a genome (the first of ``keys``), a few for each reference, go to one call.
     """
-    schema = df.schema
     rows = islands(df.withColumn("_length", length if length is not None else F.abs(F.col("end") - F.col("start"))), keys)
-    choose = _in_name_order if compat else _longest_first
+    rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "island")))
+    choose, columns = _in_name_order if compat else _longest_first, df.columns
 
     def pick(part: pd.DataFrame) -> pd.DataFrame:
-        kept = choose(list(zip(part["start"], part["end"], part[name], part["_length"], strict=True)))
-        return part.iloc[sorted(kept)].drop(columns=["_length", "island"])
-
-    return rows.groupBy(*keys, "island").applyInPandas(pick, schema)
+        groups: dict[tuple, list[int]] = {}
+        for i, k in enumerate(zip(*[part[c] for c in [*keys, "island"]], strict=True)):
+            groups.setdefault(k, []).append(i)
+        spans = list(zip(part["start"], part["end"], part[name], part["_length"], strict=True))
+        kept = sorted(at[i] for at in groups.values() for i in choose([spans[i] for i in at]))
+        return part.iloc[kept][columns]
+
+    alone = rows.filter("_n = 1").select(df.columns)
+    return alone.unionByName(rows.filter("_n > 1").groupBy(keys[0]).applyInPandas(pick, df.schema))
 
 
 def binned_overlap_join(a: DataFrame, b: DataFrame, keys: list[str], width: int, how: str = "inner") -> DataFrame:
