@@ -99,23 +99,23 @@ def clean_overlaps(df: DataFrame, keys: list[str], name: str = "orf_id", length:
     """Candidates of one reference that don't strictly overlap a longer one of it; copies elsewhere stay.
 
     ``length`` is by default end minus start.  ``compat`` goes through them in order of their names.
-    Islands can't affect each other; those of a single candidate stay in the JVM, and the others of
-    a genome (the first of ``keys``), a few for each reference, go to one call.
+    Islands can't affect each other; those of a single candidate stay in the JVM, and the others, a
+    handful of candidates each, go to Python many at a time.
     """
     rows = islands(df.withColumn("_length", length if length is not None else F.abs(F.col("end") - F.col("start"))), keys)
     rows = rows.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*keys, "island")))
     choose, columns = _in_name_order if compat else _longest_first, df.columns
 
-    def pick(part: pd.DataFrame) -> pd.DataFrame:
-        groups: dict[tuple, list[int]] = {}
-        for i, k in enumerate(zip(*[part[c] for c in [*keys, "island"]], strict=True)):
-            groups.setdefault(k, []).append(i)
-        spans = list(zip(part["start"], part["end"], part[name], part["_length"], strict=True))
-        kept = sorted(at[i] for at in groups.values() for i in choose([spans[i] for i in at]))
-        return part.iloc[kept][columns]
+    @F.pandas_udf("array<int>")
+    def pick(groups: pd.Series) -> pd.Series:
+        return pd.Series([sorted(choose([(r["start"], r["end"], r["name"], r["length"]) for r in g])) for g in groups])
 
-    alone = rows.filter("_n = 1").select(df.columns)
-    return alone.unionByName(rows.filter("_n > 1").groupBy(keys[0]).applyInPandas(pick, df.schema))
+    alone = rows.filter("_n = 1").select(columns)
+    span = F.struct("start", "end", F.col(name).alias("name"), F.col("_length").alias("length"))
+    groups = rows.filter("_n > 1").groupBy(*keys, "island").agg(F.collect_list(F.struct(span.alias("span"), F.struct(*columns).alias("row"))).alias("g"))
+    groups = groups.withColumn("kept", pick(F.transform("g", lambda r: r["span"])))
+    kept = groups.select(F.explode(F.transform("kept", lambda i: F.get("g", i)["row"])).alias("r")).select("r.*")
+    return alone.unionByName(kept)
 
 
 def binned_overlap_join(a: DataFrame, b: DataFrame, keys: list[str], width: int, how: str = "inner") -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Window
 
 from thylakoid.functions.sequence import exon_gene, exon_number, strip_guide
 from thylakoid.operators import align, features, hits, intervals, orf, refine, repeats
+from thylakoid.plans.cuts import cut
 
 
 def best_orfs(orfs: DataFrame, refs: DataFrame, pairs: DataFrame, least: float = hits.PROTEIN_LEAST, compat: bool = False) -> DataFrame:
@@ -47,13 +48,13 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     """
     seqs = genomes.select(F.col("genome_id").cast("string").alias("qseqid"), "seq")
     orfs = orf.orf_sequences(orf.find_orfs(genomes, compat=compat), genomes)
-    orfs = orfs.withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id"))
-    refs = features.short_exons(refs)
+    orfs = cut(orfs.withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id")))
+    refs = cut(features.short_exons(refs))
     genes, rnas = refs.filter("class = 'gene' and not short"), refs.filter("class <> 'gene'")
 
     if rna_hits is None:
         rna_hits = align.search(seqs, rnas).withColumn("line_no", F.row_number().over(Window.partitionBy("qseqid").orderBy("sseqid", "qstart", "qend", "sstart")))
-    rna_hits = hits.filter_hits(rna_hits, reverse_only=None)
+    rna_hits = cut(hits.filter_hits(rna_hits, reverse_only=None))
     best_rna = hits.best_rna_hits(rna_hits, seqs, rnas, compat)
     rna = hits.rna_candidates(rna_hits, best_rna, rnas).join(genomes.select("genome_id", F.col("genome_id").cast("string").alias("qseqid")), "qseqid")
     rna = rna.select("genome_id", "ref_id", "orf_id", "start", "end")
@@ -62,7 +63,8 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
         pairs = align.genome_search_pairs(orfs, genes)
     pairs = pairs.filter(~(F.contains(F.col("sseqid"), F.lit("rpl16")) & ~F.contains(F.col("qseqid"), F.lit("-r"))))
     proteins = best_orfs(orfs, genes, pairs, compat=compat).select("genome_id", "ref_id", "orf_id", "start", "end")
-    cleaned = intervals.clean_overlaps(proteins.withColumn("rna", F.lit(False)).unionByName(rna.withColumn("rna", F.lit(True))), ["genome_id", "ref_id"], length=F.when(F.col("rna"), 0).otherwise(F.col("end") - F.col("start")) if compat else None, compat=compat)
+    cleaned = intervals.clean_overlaps(cut(proteins.withColumn("rna", F.lit(False)).unionByName(rna.withColumn("rna", F.lit(True)))), ["genome_id", "ref_id"], length=F.when(F.col("rna"), 0).otherwise(F.col("end") - F.col("start")) if compat else None, compat=compat)
+    cleaned = cut(cleaned)
 
     anchors = cleaned.select("genome_id", "ref_id", "orf_id", F.col("start").alias("start0"), F.col("end").alias("end0"))
     found_short = hits.locate_short_exons(refs.filter("short"), anchors, genomes, compat)
@@ -74,7 +76,7 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     verbatim = verbatim.select("genome_id", F.least("start", "end").alias("start"), F.greatest("start", "end").alias("end"), strand.alias("strand"), F.col("ref_id").alias("name"))
     refined = refine_candidates(cleaned.filter("not rna"), orfs, refs, catalogue, compat)
     every = verbatim.unionByName(refined).withColumn("name", strip_guide(F.col("name"))).filter("start <= end")
-    every = intervals.last_written(every, ["genome_id", "start", "end", "strand"], ["name"])
+    every = cut(intervals.last_written(every, ["genome_id", "start", "end", "strand"], ["name"]))
     every = intervals.drop_contained(every, ["genome_id"]).select("genome_id", "start", "end", "strand", "name")
     lengths = genomes.select("genome_id", F.length("seq").alias("len"))
     gaps = features.fill_gaps_compat(every, lengths) if compat else features.fill_gaps(every, lengths)
