@@ -4,7 +4,7 @@
    then on, with its copies as members.
 2. Similar sets are put into groups.  The hash range is cut into more parts than a linked pair can
    differ in, so by the pigeonhole principle linked sets agree on a whole part; sets that agree on
-   a part form a group, named by its smallest set.  A part is a few tokens from random places of
+   a part form a group, named by the one that meets most others.  A part is a few tokens from random places of
    the text, so unrelated texts that share a passage hardly ever agree on one.
 3. A group is opened in pieces of ``PIECE`` sets.  A piece is a token-group matrix: it is
    partitioned again into blocks of like sets, each with the union of its tokens; a set's overlap
@@ -232,8 +232,12 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
 
     named = durable(docs.select(*others, F.col(text)).mapInArrow(name_sets, ", ".join([*([schema] if schema else []), "set_id long", "n_shingles long"])))
     parts = docs.select(text).mapInArrow(cut_sets, "part long, set_id long")
-    parts = parts.withColumn("grp", F.min("set_id").over(Window.partitionBy("part")))
-    pairs = durable(parts.filter("grp <> set_id").select("grp", "set_id").distinct())
+    by_part, by_set = Window.partitionBy("part"), Window.partitionBy("set_id")
+    shared = parts.withColumn("lo", F.min("set_id").over(by_part)).withColumn("hi", F.max("set_id").over(by_part)).withColumn("n", F.count(F.lit(1)).over(by_part))
+    shared = durable(shared.filter("lo < hi").select("part", "set_id", "n").distinct())
+    # a part's group is named by its set that meets most others, so that a family has few groups
+    shared = shared.withColumn("met", F.sum("n").over(by_set)).withColumn("grp", F.max(F.struct("met", "set_id")).over(by_part)["set_id"])
+    pairs = durable(shared.filter("grp <> set_id").select("grp", "set_id").distinct())
     members = pairs.union(pairs.select("grp", F.col("grp").alias("set_id")).distinct())
 
     wanted = durable(members.select("set_id").distinct())
