@@ -18,6 +18,7 @@ the tokens to one task.
 
 from __future__ import annotations
 
+import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bounded_batches, durable
+from thylakoid.llm.common import bounded_batches, durable, release
 from thylakoid.llm.textkit import LOWER, U64, as_long, blocks, find_words, hash_spans, mix
 
 FREQUENT = 65_534
@@ -78,16 +79,21 @@ def _grid(p: np.ndarray) -> np.ndarray:
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    return np.array([len(a) for a in arrays], dtype=np.int64).tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+    """Arrays as bytes: their number and lengths, then their bytes by significance, which compress well."""
+    planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
+    return np.array([len(arrays), *map(len, arrays)], dtype=np.int64).tobytes() + zlib.compress(b"".join(planes), 1)
 
 
 def unpack(raw: bytes, kinds: str) -> list[np.ndarray]:
     """Arrays of types Q, I, H, d or B (bytes of 8, 4, 2, 8, 1)."""
-    sizes = np.frombuffer(raw, dtype=np.int64, count=len(kinds))
-    at, out = 8 * len(kinds), []
+    head = len(kinds) + 1
+    sizes = np.frombuffer(raw, dtype=np.int64, count=head)[1:].tolist()
+    body = np.frombuffer(zlib.decompress(memoryview(raw)[8 * head :]), dtype=np.uint8)
+    at, out = 0, []
     for n, kind in zip(sizes, kinds, strict=True):
-        out.append(np.frombuffer(raw, dtype=kind, count=int(n), offset=at))
-        at += out[-1].nbytes
+        width = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(body[at : at + n * width].reshape(width, n).T).reshape(-1).view(kind))
+        at += n * width
     return out
 
 
@@ -405,7 +411,6 @@ def _score_first(shared, parts: int):
             v, np.concatenate([tables.every[w2][pair2], c_w[len(w1) :][pair3]]).astype(np.uint32), np.concatenate([c2[at2][pair2], c3[at3][pair3]]).astype(np.uint32), np.concatenate([text2, text3]).astype(np.uint32),
         ]
         arrays = [x[order] for x in arrays]
-        # equal contexts side by side, and of one context equal pairs: long runs, which the shuffle's compression takes out
         cut = np.searchsorted(_part(arrays[0], parts), np.arange(parts + 1))
         head = [np.array(names, dtype=np.int64).view(U64), np.diff(texts.first).astype(np.uint32), np.concatenate([r[1] for r in rows])]
         onward = [pack(*head, *[x[cut[p] : cut[p + 1]] for x in arrays]) for p in range(parts)]
@@ -454,7 +459,7 @@ def _total(table: pa.Table) -> pa.Table:
     """Sums of all results of a batch, for each of its texts."""
     sums, listed = None, None
     for raw in table.column("payload").to_pylist():
-        if len(raw) == 40 + 32 * int(np.frombuffer(raw, dtype=np.int64, count=1)[0]):  # five columns: what the map knew
+        if np.frombuffer(raw, dtype=np.int64, count=1)[0] == 5:  # what the map knew
             *found, ident, tokens = unpack(raw, "ddIQI")
             listed = ident, tokens
         else:
@@ -488,7 +493,7 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     rest, held = (np.array([r[c] for r in top], dtype=np.int64)[order] for c in ("rest", "held"))
     rest, held = np.append(rest, [ends["rest"]] * 2), np.append(held, [ends["held"]] * 2)
     tables = Tables(name[order], rest, rest + held, n_rest, n_rest + n_held, n_words, np.zeros(0, np.int64), np.zeros(0, np.int64), None)
-    del top
+    del top, words
     shared = spark.sparkContext.broadcast(tables)
 
     first = taken.mapInArrow(_count_map(shared, parts), SCHEMA).groupBy("part").applyInArrow(_count_first(shared, parts), SCHEMA)
@@ -501,6 +506,8 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
                 hot[k] = n
             else:
                 cells[k] += n
+    del first, second
+    release(spark)  # the counts have served: their files needn't lie beside those of scoring
     cell = np.array(list(cells), dtype=np.int64)
     grid = np.stack([cell // (GRID + 1) ** 2, cell // (GRID + 1) % (GRID + 1), cell % (GRID + 1)], axis=1) if len(cell) else np.zeros((0, 3), dtype=np.int64)
     weights = learn_weights(grid, np.array(list(cells.values()), dtype=np.float64), 1 / (n_words + 1))
