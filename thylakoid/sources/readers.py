@@ -32,7 +32,8 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 def read_genome(spark: SparkSession, path: str) -> DataFrame:
     """``file`` and ``seq``: all sequence lines of each file as one string."""
     files = spark.read.option("wholetext", True).text(path)
-    return files.select(F.col("_metadata.file_path").alias("file"), F.regexp_replace(F.regexp_replace("value", "(?m)^>.*$", ""), "\n", "").alias("seq"))
+    lines = F.filter(F.split("value", "\n"), lambda x: ~x.startswith(">"))
+    return files.select(F.col("_metadata.file_path").alias("file"), F.array_join(lines, "").alias("seq"))
 
 
 def _fields(spark: SparkSession, path: str) -> DataFrame:
