@@ -31,7 +31,7 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
 
 def read_genome(spark: SparkSession, path: str) -> DataFrame:
     """``file`` and ``seq``: all sequence lines of each file as one string."""
-    files = spark.read.option("wholetext", True).text(path)
+    files = spark.read.text(path, wholetext=True)
     lines = F.filter(F.split("value", "\n"), lambda x: ~x.startswith(">"))
     return files.select(F.col("_metadata.file_path").alias("file"), F.array_join(lines, "").alias("seq"))
 
@@ -148,7 +148,7 @@ def read_gff3(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_genbank(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    return parse_genbank(spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("genome_id"), "value"), compat)
+    return parse_genbank(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("genome_id"), "value"), compat)
 
 
 def last_by_name(features: DataFrame) -> DataFrame:
