@@ -203,6 +203,21 @@ def test_copies_are_found_and_others_left(spark):
     assert decontaminate.contaminated(table, bench.limit(0)).count() == 0
 
 
+def test_frequent_edited_copies_are_found_beside_a_whole_one(spark):
+    item = [f"q{i}" for i in range(40)]
+    edited = [w if i % 7 else "changed" for i, w in enumerate(item)]
+    table = docs(spark, [" ".join(item)] + [" ".join(edited)] * 2000 + ["q1 q2 q3 q4 " + " ".join(VOCAB)])
+    bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
+    assert sorted(r.doc_id for r in decontaminate.contaminated(table, bench).collect()) == list(range(2001))
+
+
+def test_no_reachable_alignment_is_spared():
+    rng = np.random.default_rng(5)
+    for _ in range(500):
+        a, b = rng.integers(0, 6, rng.integers(1, 12)), rng.integers(0, 8, rng.integers(0, 40))
+        assert decontaminate.reachable(a, b, 0.5) or slow_alignment(a.tolist(), b.tolist()) < len(a)
+
+
 # --- language model ---
 
 

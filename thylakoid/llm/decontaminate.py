@@ -1,22 +1,23 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
 Words are lower-cased and freed of ASCII punctuation.  One pass over the documents emits, around
 each n-gram that the benchmark has as well, a segment of word hashes wide enough to align any
-item; a bitmap of fixed size keeps out what the benchmark doesn't have.  The segments give the
-corpus frequency of each n-gram.  Of each item only the rare ones seed candidates, in an
-equi-join; each candidate is aligned with its item, which finds edited copies too.
+item; a bitmap of fixed size keeps out what the benchmark doesn't have.  Every segment and item
+that share an n-gram, however frequent it is, meet in an equi-join and are aligned, which finds
+edited copies too; only pairs that provably can't reach the score are spared the alignment.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bounded_batches, durable
+from thylakoid.llm.common import bounded_batches, durable, sized_join
 from thylakoid.llm.textkit import LOWER, NOT_PUNCTUATION, U64, Words, as_long, blocks, combine, compact, find_words, hash_spans, ngrams
 
 #: Words of a seed, and bits (as a power of two) of the bitmap of the benchmark's n-grams.
@@ -57,6 +58,18 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int, int]:
     return score, i - back_i, i, j - back_j, j
 
 
+def reachable(item: np.ndarray, text: np.ndarray, least: float) -> bool:
+    """False only if no alignment can reach ``least``.
+
+    Each edit costs one at least, so an alignment that reaches it spans at most as many words of
+    the text as the item and the edits that it can afford have, and its matches lie among them.
+    """
+    need = math.ceil(least * len(item) - 1e-9)
+    span = len(item) + math.floor(MATCH * len(item) * (1 - least) / min(-MISMATCH, -GAP) + 1e-9)
+    shared = np.concatenate([[0], np.cumsum(np.isin(text, item))])
+    return int((shared[span:] - shared[:-span]).max() if len(text) > span else shared[-1]) >= need
+
+
 def benchmark_words(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     """``item`` and ``words`` (32-bit hashes) of each benchmark row with a word."""
 
@@ -143,17 +156,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     found = durable(find_segments(docs, key, text, grams, lengths, 2 * longest + n).withColumn("segment", F.xxhash64("doc", "begins", "words")))
 
     hits = found.select("segment", F.explode("grams").alias("gram"))
-    often = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
-    own = Window.partitionBy("item")
-    rare = grams.join(often, "gram", "left").withColumn("df", F.coalesce("df", F.lit(0)))
-    rare = rare.filter(F.col("df") > 0).withColumn("usual", F.percentile("df", 0.5).over(own)).withColumn("fewest", F.min("df").over(own))
-    rare = rare.filter("df <= greatest(usual, 4 * fewest)").select("gram", "item")
-    pairs = hits.join(rare, "gram").select("segment", "item").distinct()
+    pairs = sized_join(hits, grams, ["gram"], "inner").select("segment", "item").distinct()
 
     @F.arrow_udf("struct<score:int,item_start:int,item_end:int,doc_start:int,doc_end:int>")
     def aligned(item: pa.Array, segment: pa.Array) -> pa.Array:
         names = ["score", "item_start", "item_end", "doc_start", "doc_end"]
-        rows = [align(np.array(a, dtype=np.int64).astype(np.int32), np.array(b, dtype=np.int32)) for a, b in zip(item.to_pylist(), segment.to_pylist(), strict=True)]
+        sides = [(np.array(a, dtype=np.int64).astype(np.int32), np.array(b, dtype=np.int32)) for a, b in zip(item.to_pylist(), segment.to_pylist(), strict=True)]
+        rows = [align(a, b) if reachable(a, b, least) else (0, 0, 0, 0, 0) for a, b in sides]
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int32()) for i in range(5)], names)
 
     wide = pairs.join(found.select("segment", "doc", "begins", F.col("words").alias("around")), "segment").join(items, "item")
