@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from thylakoid.operators.intervals import islands
 
 #: Parameters of the extreme-value distribution for match 1, mismatch -2, ungapped.
 LAMBDA, K = 1.33, 0.621
+#: Bits (as a power of two) of the bitmap that keeps out k-mers that the other side doesn't have.
+BITS = 20
 
 
 def kmers(df: DataFrame, key: str, seq: str, k: int, step: int = 1) -> DataFrame:
@@ -31,6 +35,33 @@ def kmers(df: DataFrame, key: str, seq: str, k: int, step: int = 1) -> DataFrame
     return offset.select(key, "_offset", F.posexplode(cut).alias("_i", "kmer")).select(key, (F.col("_offset") + F.col("_i") * k).alias("pos"), "kmer")
 
 
+def _slots(text: str | None, k: int) -> np.ndarray:
+    """The bit of each k-mer of a sequence."""
+    letters = np.frombuffer((text or "").encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    total = np.zeros(max(0, len(letters) - k + 1), dtype=np.uint64)
+    for i in range(k):
+        total = total * np.uint64(0x9E3779B97F4A7C15) + letters[i : i + len(total)]
+    return ((total * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def kmers_among(df: DataFrame, key: str, seq: str, k: int, others: DataFrame) -> DataFrame:
+    """``key``, ``kmer`` of the distinct k-mers of each row that ``others`` (kmer) may have: all that it has, and few more."""
+
+    @F.pandas_udf("long")
+    def slot(words: pd.Series) -> pd.Series:
+        return words.map(lambda w: int(_slots(w, k)[0]))
+
+    have = np.zeros(1 << BITS, dtype=bool)
+    have[[r[0] for r in others.select(slot("kmer")).distinct().collect()]] = True  # 2^20 rows at most
+    shared = df.sparkSession.sparkContext.broadcast(have)
+
+    @F.pandas_udf("array<string>")
+    def taken(texts: pd.Series) -> pd.Series:
+        return pd.Series([list({t[i : i + k] for i in np.flatnonzero(shared.value[_slots(t, k)])}) for t in texts])
+
+    return df.select(key, F.explode(taken(seq)).alias("kmer"))
+
+
 def search(queries: DataFrame, subjects: DataFrame, k: int = 24, evalue: float = 0.1) -> DataFrame:
     """Hits of ``subjects`` (ref_id, seq) in ``queries`` (qseqid, seq): the 12 columns, 1-based.
 

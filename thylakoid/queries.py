@@ -147,9 +147,15 @@ def start_codons(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def find_all(spark: SparkSession, d: str) -> DataFrame:
-    rnas = inputs.references(spark, d).filter("class = 'tRNA'").select("ref_id", "guide_no", F.substring("seq", 1, 12).alias("m"))
-    genomes = inputs.genomes(spark, d).withColumn("guide_no", (F.col("genome_id") % 50).cast("int"))
-    return genomes.join(rnas, "guide_no").select("genome_id", "ref_id", F.transform(seq.find_all(F.col("seq"), F.col("m")), lambda x: x.cast("long")).alias("places"))
+    """Places of each tRNA reference's first 12 bases in every genome; a pair without a place has no row."""
+    genomes = inputs.genomes(spark, d)
+    rnas = inputs.references(spark, d).filter("class = 'tRNA'").select("ref_id", F.substring("seq", 1, 12).alias("m")).filter("m <> ''")
+    k = rnas.agg(F.min(F.length("m"))).first()[0] or 12
+    rnas = rnas.withColumn("kmer", F.substring("m", 1, k))
+    words = align.kmers_among(genomes, "genome_id", "seq", k, rnas)
+    pairs = words.join(rnas, "kmer").select(F.col("genome_id").alias("at"), "ref_id", "m").distinct()
+    found = genomes.join(pairs, F.col("genome_id").eqNullSafe(F.col("at"))).select("genome_id", "ref_id", F.transform(seq.find_all(F.col("seq"), F.col("m")), lambda x: x.cast("long")).alias("places"))
+    return found.filter(F.size("places") > 0)
 
 
 @query
