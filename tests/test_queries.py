@@ -1,6 +1,10 @@
+import random
+
 import pytest
 
 from thylakoid import queries
+from thylakoid.functions.sequence import code
+from thylakoid.operators import orf
 from thylakoid.plans import inputs
 
 REFS = "ref_id string, feature string, guide_no int, class string, seq string"
@@ -23,3 +27,23 @@ def test_find_all_searches_every_genome(spark, given):
     want = {(g, r, tuple(i for i in range(len(s)) if s.startswith(m[:12], i))) for g, s in genomes if s for r, _, _, kind, m in refs if kind == "tRNA" and m and m[:12] in s}
     got = [(r.genome_id, r.ref_id, tuple(r.places)) for r in queries.find_all(spark, "").collect()]
     assert len(got) == len(set(got)) == 7 and set(got) == want
+
+
+def protein_words(dna):
+    back = dna[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    frames = ["".join(code().get(s[i : i + 3], "X") for i in range(k, len(s) - 2, 3)) for s in (dna, back) for k in range(3)]
+    return {w for f in frames for i in range(len(f) - 4) if "X" not in (w := f[i : i + 5])}
+
+
+def test_protein_pairs_of_short_frames_and_short_words(spark, given):
+    rng = random.Random(3)
+    make = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    shared = "ATGAAATGGTGCCATGAC"  # six residues
+    genomes = [(1, "TAA" + shared + "GGTTAA"), (2, make(300)), (3, make(90) + shared + make(90)), (4, "")]
+    refs = [(f"r{i}", "f", 1, kind, s) for i, (kind, s) in enumerate([("gene", "CC" + shared + "CCC"), ("gene", make(120)), ("gene", make(400)), ("tRNA", shared)])]
+    given(genomes, refs)
+    frames = orf.find_orfs(inputs.genomes()).collect()
+    want = {(f"{f.genome_id}:{f.orf_id}", r[0]) for f in frames for r in refs if r[3] == "gene" and protein_words(dict(genomes)[f.genome_id][f.start0 : f.end0 + 1]) & protein_words(r[4])}
+    got = [tuple(r) for r in queries.protein_pairs(spark, "").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert any(q.startswith("1:") and r == "r0" for q, r in got)

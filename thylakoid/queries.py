@@ -311,8 +311,8 @@ def nearest_exon(spark: SparkSession, d: str) -> DataFrame:
 @query
 def protein_pairs(spark: SparkSession, d: str) -> DataFrame:
     genomes = inputs.genomes(spark, d)
-    orfs = orf.orf_sequences(orf.find_orfs(genomes, longer=90), genomes).withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id"))
-    return align.genome_search_pairs(orfs, inputs.references(spark, d).filter("class = 'gene'"), 8)
+    orfs = orf.orf_sequences(orf.find_orfs(genomes), genomes).withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id"))
+    return align.genome_search_pairs(orfs, inputs.references(spark, d).filter("class = 'gene'"))
 
 
 @query
