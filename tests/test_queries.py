@@ -47,3 +47,14 @@ def test_protein_pairs_of_short_frames_and_short_words(spark, given):
     got = [tuple(r) for r in queries.protein_pairs(spark, "").collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert any(q.startswith("1:") and r == "r0" for q, r in got)
+
+
+def test_short_genomes_have_regions(spark, given):
+    rng = random.Random(6)
+    make = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    given([(1, make(240)), (2, make(100)), (3, make(12)), (4, "A"), (5, ""), (6, None)], [])
+    got = {}
+    for r in queries.ir_regions(spark, "").collect():
+        got.setdefault(r.genome_id, set()).add(r.name)
+    whole = {"IRB", "SSC", "IRA", "FULL"}  # the repeat begins the genome, so LSC is empty
+    assert got == {1: whole, 2: whole, 3: {"FULL"}, 4: {"FULL"}}

@@ -293,7 +293,7 @@ def _circular(spark: SparkSession, d: str) -> DataFrame:
     """Genomes whose second half begins with the complement of their first quarter, so that they have an inverted repeat."""
     s, n = F.col("seq"), F.length("seq")
     quarter = F.substring(s, F.lit(1), (n / 4).cast("int"))
-    return inputs.genomes(spark, d).filter("length(seq) >= 200").select("genome_id", F.concat(s, seq.revcomp(F.substring(s, (n / 4).cast("int") + 1, (n / 4).cast("int"))), quarter, seq.revcomp(quarter)).alias("seq"))
+    return inputs.genomes(spark, d).select("genome_id", F.concat(s, seq.revcomp(F.substring(s, (n / 4).cast("int") + 1, (n / 4).cast("int"))), quarter, seq.revcomp(quarter)).alias("seq"))
 
 
 @query
