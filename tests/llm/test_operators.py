@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from thylakoid.llm import boosting, components, decontaminate, jaccard, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
+from thylakoid.llm import boosting, components, decontaminate, jaccard, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
 from thylakoid.llm.tokencounts import VOCABULARY
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
@@ -218,56 +218,6 @@ def test_no_reachable_alignment_is_spared():
         assert decontaminate.reachable(a, b, 0.5) or slow_alignment(a.tolist(), b.tolist()) < len(a)
 
 
-# --- language model ---
-
-
-def test_scores_of_words_and_of_the_model(spark, texts):
-    more = texts + ["new words here"] * 2
-    train = F.col("doc_id") % 4 != 0
-    got = {r.doc_id: r for r in lm.score_texts(docs(spark, more), train, parts=3).collect()}
-    assert len(got) == len(more)
-    tokens = {i: [*words(t), None] for i, t in enumerate(more)}
-    c = Counter(w for i, t in tokens.items() if i % 4 for w in t)
-    n, v = sum(c.values()), len(c)
-    for i, t in tokens.items():
-        r = got[i]
-        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(t), sum(c[w] > 0 for w in t), n)
-        assert r.base_score == pytest.approx(sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in t), rel=1e-9)
-        assert -math.inf < r.score < 0
-
-
-@pytest.mark.parametrize("frequent", [3, 65534])
-def test_model_against_brute_force(spark, texts, monkeypatch, frequent):
-    monkeypatch.setattr(lm, "FREQUENT", frequent)
-    weights = np.tile([0.6, 0.3, 0.1], (lm.BUCKETS, 1))
-    weights[0] = [0, 0.7, 0.3]
-    monkeypatch.setattr(lm, "learn_weights", lambda *a: weights)
-    small = [t for t in texts if len(t or "") < 3000]
-    got = {r.doc_id: r.score for r in lm.score_texts(docs(spark, small), F.col("doc_id") % 4 != 0, parts=3).collect()}
-    tokens = {i: [*words(t), None] for i, t in enumerate(small)}
-    one, two = Counter(), Counter()
-    for i, t in tokens.items():
-        if i % 4:
-            one.update(t)
-            two.update(zip(["<start>", *t], t, strict=False))
-    n, v = sum(one.values()), len(one)
-    context = Counter()
-    for (a, _), k in two.items():
-        context[a] += k
-    for i, t in tokens.items():
-        expected = 0.0
-        for a, b in zip(["<start>", *t], t, strict=False):
-            w = weights[1] if context[a] else weights[0]
-            expected += math.log10(w[0] * two[a, b] / max(context[a], 1) + w[1] * one[b] / n + w[2] / (v + 1))
-        assert got[i] == pytest.approx(expected, rel=1e-9)
-
-
-def test_weights_follow_held_out_counts():
-    cells = np.array([[3, 2, 20], [3, lm.GRID, 20], [5, lm.GRID, 10]])
-    found = lm.learn_weights(cells, np.array([900.0, 100.0, 500.0]), 1e-6)
-    assert found.sum(axis=1) == pytest.approx(1) and found[3, 0] > 0.85 and found[5, 1] > 0.95
-
-
 # --- token counts ---
 
 

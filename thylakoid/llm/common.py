@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,15 +44,6 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of tables that nothing refers to any more.
-
-    Spark removes them when the driver's garbage is collected, which may be long after.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join with ``right``, a durable table of narrow rows: broadcast up to ``limit`` rows, else shuffled."""
     return left.join(F.broadcast(right) if right.count() <= limit else right, on, how)

@@ -6,518 +6,422 @@ by powers of two of c(v), and each bucket's weights are learned by expectation-m
 counts that are held out from the training texts, against counts of the rest.  The model then
 counts all training texts.
 
-Counts cover every n-gram of every training text, and no table of them is held in one place.  The
-tokens of a batch of texts are sorted and packed, and go to the tasks that count their n-grams;
-what comes back is a sum for each text.  A word that is not frequent is counted in the task of
-its hash, and so is a context, so a pair of two such words passes two tasks.  Two small tables of
-fixed size are broadcast to save traffic, without any effect on results: counts of the FREQUENT
-most frequent words, and of those word pairs that are more than one in HOT_SHARE of all tokens,
-of which there can't be more than HOT_SHARE.  With them no key takes more than a small share of
-the tokens to one task.
+Counts cover every n-gram of every training text, and no table of them is held in one place:
+
+1. Texts are cut into chunks of about ``CHUNK_BYTES``: the words of a chunk, and the numbers of
+   its tokens among them.  Held-out texts have chunks of their own.  Chunks are durable.
+2. A chunk asks for the counts of its distinct words and word pairs.  Their 64-bit hashes go, with
+   the chunk's own counts, to the task of their hash range, which adds up and answers each chunk
+   in the order of its question.  A key is in a chunk's question once, so a word that makes up a
+   third of all tokens is one entry of each chunk like any other.
+3. With the answers a chunk knows all that its scores need.  Held-out chunks give the statistics
+   that the weights are learned from; then every chunk scores its texts.
+
+There are as many hash ranges as keep one below ``PART_TOKENS`` tokens, so a task's memory doesn't
+grow with the corpus.
 """
 
 from __future__ import annotations
 
-import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bounded_batches, durable, release
-from thylakoid.llm.textkit import LOWER, U64, as_long, blocks, find_words, hash_spans, mix
+from thylakoid.llm.common import bounded_batches, durable
+from thylakoid.llm.textkit import LOWER, U64, blocks, find_words, hash_spans, mix
 
-FREQUENT = 65_534
-HOT_SHARE = 1 << 18
+#: Bytes of text in a chunk, and tokens whose n-grams one task counts; what tasks hold is in proportion.
+CHUNK_BYTES, PART_TOKENS = 12 << 20, 3_000_000
 #: Of the training texts one in HELD has its counts held out for the weights.
 HELD = 10
-END = U64(1)
-BUCKETS, GRID = 40, 64
+END, START = U64(1), U64(2)
+#: Buckets of contexts, and cells of estimates: STEPS to an octave, GRID for those that are 0.
+BUCKETS, STEPS, GRID = 48, 2, 96
+#: Parts of an octave to which a cell's mean estimate is kept.
+FINE = 1 << 10
 ROUNDS = 100
 
 
-class Tables(NamedTuple):
-    """What every task knows: frequent words with their counts (rest and all), totals, hot pairs and weights."""
+class Totals(NamedTuple):
+    """Training tokens without and with the held-out texts, distinct ones, and the weights by bucket."""
 
-    words: np.ndarray
-    rest: np.ndarray  # counts without the held-out texts; the end of a text and its beginning come last
-    every: np.ndarray
     n_rest: int
     n_every: int
     n_words: int
-    hot: np.ndarray
-    hot_count: np.ndarray
     weights: np.ndarray | None
 
 
-def bucket(count: np.ndarray) -> np.ndarray:
-    """0 for a context that doesn't occur, else 1 and the power of two."""
-    return np.where(count > 0, np.minimum(1 + np.log2(np.maximum(count, 1)).astype(np.int64), BUCKETS - 1), 0)
-
-
-def learn_weights(cells: np.ndarray, mass: np.ndarray, floor: float) -> np.ndarray:
-    """Weights (pair, word, floor) for each bucket by EM over cells of (bucket, pair estimate, word estimate) and their held-out counts."""
-    weights = np.full((BUCKETS, 3), 1 / 3)
-    weights[0] = [0, 0.5, 0.5]
-    estimate = lambda q: np.where(q < GRID, 2.0 ** (-(q + 0.5) / 2), 0.0)
-    p = np.stack([estimate(cells[:, 1]), estimate(cells[:, 2]), np.full(len(cells), floor)], axis=1)
-    for _ in range(ROUNDS):
-        part = weights[cells[:, 0]] * p
-        part *= (mass / part.sum(axis=1))[:, None]
-        new = np.stack([np.bincount(cells[:, 0], weights=part[:, i], minlength=BUCKETS) for i in range(3)], axis=1) + 1.0
-        new[0, 0] = 0
-        weights = new / new.sum(axis=1, keepdims=True)
-    return weights
-
-
-def _grid(p: np.ndarray) -> np.ndarray:
-    return np.where(p > 0, np.minimum((-2 * np.log2(np.maximum(p, 1e-300))).astype(np.int64), GRID - 1), GRID)
+# --- arrays as bytes ---
 
 
 def pack(*arrays: np.ndarray) -> bytes:
-    """Arrays as bytes: their number and lengths, then their bytes by significance, which compress well."""
+    """Arrays as bytes: their number and lengths, then their bytes by significance, compressed."""
     planes = [np.ascontiguousarray(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T).tobytes() for a in arrays]
-    return np.array([len(arrays), *map(len, arrays)], dtype=np.int64).tobytes() + zlib.compress(b"".join(planes), 1)
+    return np.array([len(arrays), *map(len, arrays)], dtype=np.int64).tobytes() + pa.compress(b"".join(planes), codec="zstd", asbytes=True)
 
 
 def unpack(raw: bytes, kinds: str) -> list[np.ndarray]:
-    """Arrays of types Q, I, H, d or B (bytes of 8, 4, 2, 8, 1)."""
-    head = len(kinds) + 1
-    sizes = np.frombuffer(raw, dtype=np.int64, count=head)[1:].tolist()
-    body = np.frombuffer(zlib.decompress(memoryview(raw)[8 * head :]), dtype=np.uint8)
-    at, out = 0, []
-    for n, kind in zip(sizes, kinds, strict=True):
-        width = np.dtype(kind).itemsize
+    """Arrays of types Q, I or B (unsigned, of 8, 4 and 1 bytes)."""
+    head = 8 * (len(kinds) + 1)
+    sizes = np.frombuffer(raw, dtype=np.int64, count=len(kinds) + 1)[1:].tolist()
+    widths = [np.dtype(k).itemsize for k in kinds]
+    body = pa.decompress(memoryview(raw)[head:], decompressed_size=sum(n * w for n, w in zip(sizes, widths, strict=True)), codec="zstd")
+    body, at, out = np.frombuffer(body, dtype=np.uint8), 0, []
+    for n, kind, width in zip(sizes, kinds, widths, strict=True):
         out.append(np.ascontiguousarray(body[at : at + n * width].reshape(width, n).T).reshape(-1).view(kind))
         at += n * width
     return out
 
 
-def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes of all texts, each with its end; the text of each token; and the first token of each text."""
+def _steps(keys: np.ndarray) -> np.ndarray:
+    """Sorted keys as the differences between neighbours, which ``np.cumsum`` undoes."""
+    out = keys.copy()
+    out[1:] -= keys[:-1]
+    return out
+
+
+# --- chunks ---
+
+
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes of all texts, each with its end; and the number of tokens of each text."""
     found, counts = [], []
     for block in blocks(column):
         data = LOWER[block.data]
         words = find_words(data, block.offsets)
         found.append(hash_spans(data, words.start, words.end))
         counts.append(np.diff(words.first))
-    count = np.concatenate(counts)
-    first = np.concatenate([[0], np.cumsum(count + 1)])
-    tokens = np.full(first[-1], END, dtype=U64)
-    inside = np.ones(first[-1], dtype=bool)
-    inside[first[1:] - 1] = False
+    count = np.concatenate(counts) + 1
+    tokens = np.full(count.sum(), END, dtype=U64)
+    inside = np.ones(len(tokens), dtype=bool)
+    inside[np.cumsum(count) - 1] = False
     tokens[inside] = np.concatenate(found)
-    return tokens, np.repeat(np.arange(len(count)), count + 1), first[:-1]
-
-
-def _part(hashes: np.ndarray, parts: int) -> np.ndarray:
-    return ((hashes >> U64(32)) * U64(parts) >> U64(32)).astype(np.int64)
-
-
-def _ids(tables: Tables, tokens: np.ndarray) -> np.ndarray:
-    """Number of each frequent word, the end's after them; -1 for other words."""
-    words = tables.words
-    if not len(words):
-        return np.where(tokens == END, 0, -1)
-    at = np.minimum(np.searchsorted(words, tokens), len(words) - 1)
-    return np.where(tokens == END, len(words), np.where(words[at] == tokens, at, -1))
-
-
-class Sorted(NamedTuple):
-    """Tokens of one kind in order of their keys: where each distinct pair begins, its keys and its part."""
-
-    order: np.ndarray
-    first: np.ndarray
-    keys: list[np.ndarray]
-    part: np.ndarray
-
-
-def _sorted(main: np.ndarray, other: np.ndarray | None, keys: list[np.ndarray], parts: int) -> Sorted:
-    order = np.argsort(main, kind="stable") if other is None else np.lexsort((other, main))
-    main = main[order]
-    new = np.ones(len(main), dtype=bool)
-    new[1:] = main[1:] != main[:-1]
-    if other is not None:
-        other = other[order]
-        new[1:] |= other[1:] != other[:-1]
-    first = np.flatnonzero(new)
-    return Sorted(order, first, [k[order][first] for k in keys], _part(main[first], parts))
-
-
-#: Keys of each kind of message: both frequent (one number); word not; context not; neither.
-KEYS = ("I", "QH", "QH", "QQ")
-
-
-def _messages(tables: Tables, parts: int, ids: np.ndarray, before: np.ndarray, tokens: np.ndarray, context: np.ndarray, wanted: np.ndarray) -> list[tuple[np.ndarray, Sorted]]:
-    out = []
-    for kind in range(4):
-        at = np.flatnonzero(wanted & ((ids >= 0) == (kind in (0, 2))) & ((before >= 0) == (kind in (0, 1))))
-        w, v, wi, vi = tokens[at], context[at], ids[at], before[at]
-        if kind == 0:
-            pair = ((vi << 16) | wi).astype(np.uint32)
-            out.append((at, _sorted(mix(pair.astype(U64)), None, [pair], parts)))
-        elif kind == 1:
-            out.append((at, _sorted(w, vi, [w, vi.astype(np.uint16)], parts)))
-        elif kind == 2:
-            out.append((at, _sorted(v, wi, [v, wi.astype(np.uint16)], parts)))
-        else:
-            out.append((at, _sorted(w, v, [w, v], parts)))
-    return out
-
-
-def _split(found: Sorted, total: int, parts: int):
-    """For each part its range of pairs, and the range of sorted tokens of these."""
-    pairs = np.searchsorted(found.part, np.arange(parts + 1))
-    edges = np.append(found.first, total)
-    return [(pairs[p], pairs[p + 1], edges[pairs[p]], edges[pairs[p + 1]]) for p in range(parts)]
-
-
-def _context(tokens: np.ndarray, first: np.ndarray, ids: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and number of the word before each token; a text's beginning is a frequent context."""
-    context, before = np.roll(tokens, 1), np.roll(ids, 1)
-    before[first] = start
-    return context, before
+    return tokens, count
 
 
-SCHEMA = "part int, batch long, payload binary"
+class Chunk(NamedTuple):
+    """Distinct word hashes, most frequent first; the number of each token among them; tokens and training flag of each text."""
 
+    words: np.ndarray
+    ids: np.ndarray
+    count: np.ndarray
+    train: np.ndarray
 
-def _rows(part: list[int], batch: list[int], payload: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(batch, pa.int64()), pa.array(payload, pa.binary())], ["part", "batch", "payload"])
+    @classmethod
+    def of(cls, tokens: np.ndarray, count: np.ndarray, train: np.ndarray) -> Chunk:
+        words, ids, often = np.unique(tokens, return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        place = np.empty(len(words), dtype=np.int64)
+        place[order] = np.arange(len(words))
+        return cls(words[order], place[ids], count, train)
 
+    @classmethod
+    def read(cls, raw: bytes) -> Chunk:
+        words, ids, count, train = unpack(raw, "QIIB")
+        return cls(words, ids.astype(np.int64), count.astype(np.int64), train.astype(bool))
 
-def _folds(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    ident = batch.column(1).to_numpy().view(U64)
-    train = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
-    return ident, train, mix(ident) % U64(HELD) == 0
+    def packed(self) -> bytes:
+        return pack(self.words, self.ids.astype(np.uint32), self.count.astype(np.uint32), self.train.astype(np.uint8))
 
+    def pairs(self) -> np.ndarray:
+        """For each token a number that tells the word before it and itself; a text's beginning is a word before."""
+        before = np.empty(len(self.ids), dtype=np.int64)
+        before[1:] = self.ids[:-1]
+        before[np.cumsum(self.count) - self.count] = len(self.words)
+        return before * len(self.words) + self.ids
 
-# --- counting: what the weights are learned from ---
+    def pair_keys(self, pairs: np.ndarray) -> np.ndarray:
+        """Hashes of distinct pairs; 64 bits, as those of words."""
+        before = np.append(self.words, START)[pairs // len(self.words)]
+        return mix(before * U64(0x9E3779B97F4A7C15) + mix(self.words[pairs % len(self.words)] + U64(0xD6E8FEB86659FD93)))
 
 
-def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Training counts of the words of each batch, without and of the held-out texts."""
-    for batch in batches:
-        _, train, held = _folds(batch)
-        tokens, doc, _ = _tokens(batch.column(0))
-        use = train[doc]
-        words, at = np.unique(tokens[use], return_inverse=True)
-        out = held[doc][use]
-        yield pa.RecordBatch.from_arrays([as_long(words), pa.array(np.bincount(at[~out], minlength=len(words))), pa.array(np.bincount(at[out], minlength=len(words)))], ["word", "rest", "held"])
+CHUNKS = "chunk long, held boolean, n_tokens long, n_train long, payload binary"
 
 
-def _count_map(shared, parts: int):
+def _cut_chunks(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
+        task, made = TaskContext.get().partitionId(), 0
+        waiting: dict[bool, list] = {False: [], True: []}
+
+        def chunk(held: bool) -> pa.RecordBatch:
+            nonlocal made
+            names, tokens, count, train, _ = zip(*waiting[held], strict=True)
+            waiting[held] = []
+            found = Chunk.of(np.concatenate(tokens), np.concatenate(count), np.concatenate(train))
+            keys = pa.concat_arrays([x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in names])
+            made += 1
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([(task << 32) + made - 1], pa.int64()), pa.array([held]), pa.array([len(found.ids)], pa.int64()), pa.array([int(found.count[found.train].sum())], pa.int64()), pa.array([found.packed()], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys),
+                ],
+                ["chunk", "held", "n_tokens", "n_train", "payload", "keys"],
+            )
+
         for batch in batches:
-            _, train, held = _folds(batch)
-            tokens, doc, first = _tokens(batch.column(0))
-            ids = _ids(tables, tokens)
-            context, before = _context(tokens, first, ids, len(tables.words) + 1)
-            rows: list[list[np.ndarray]] = [[] for _ in range(parts)]
-            for at, found in _messages(tables, parts, ids, before, tokens, context, train[doc]):
-                out = held[doc[at]][found.order].astype(np.int64)
-                b = np.add.reduceat(out, found.first).astype(np.uint32) if len(at) else np.zeros(0, np.uint32)
-                a = np.diff(np.append(found.first, len(at))).astype(np.uint32) - b
-                for p, (lo, hi, _, _) in enumerate(_split(found, len(at), parts)):
-                    rows[p] += [*[k[lo:hi] for k in found.keys], a[lo:hi], b[lo:hi]]
-            yield _rows(list(range(parts)), [0] * parts, [pack(*r) for r in rows])
+            train, apart = (batch.column(i).to_numpy(zero_copy_only=False).astype(bool) for i in (2, 3))
+            for held in (False, True):
+                rows = np.flatnonzero(apart == held)
+                if len(rows):
+                    own = batch.take(pa.array(rows)) if len(rows) < batch.num_rows else batch
+                    tokens, count = _tokens(own.column(1))
+                    waiting[held].append((own.column(0), tokens, count, train[rows], own.column(1).nbytes))
+                    if sum(w[-1] for w in waiting[held]) >= size:
+                        yield chunk(held)
+        for held in (False, True):
+            if waiting[held]:
+                yield chunk(held)
 
     return run
 
 
-def _merged(keys: list[np.ndarray], *sums: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Distinct keys, the sums over each, and where each row went."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), dtype=bool)
-    new[:1] = True
-    for k in keys:
-        s = k[order]
-        new[1:] |= s[1:] != s[:-1]
-    first = np.flatnonzero(new)
-    where = np.empty(len(order), dtype=np.int64)
-    where[order] = np.cumsum(new) - 1
-    return [k[order][first] for k in keys], [np.bincount(where, weights=s, minlength=len(first)).astype(np.int64) for s in sums], where
-
-
-def _statistics(tables: Tables, a_vw: np.ndarray, b_vw: np.ndarray, a_v: np.ndarray, a_w: np.ndarray) -> dict[int, int]:
-    use = b_vw > 0
-    a_vw, b_vw, a_v, a_w = (x[use].astype(np.float64) for x in (a_vw, b_vw, a_v, a_w))
-    cell = (bucket(a_v) * (GRID + 1) + _grid(a_vw / np.maximum(a_v, 1))) * (GRID + 1) + _grid(a_w / max(tables.n_rest, 1))
-    names, at = np.unique(cell, return_inverse=True)
-    return dict(zip(names.tolist(), np.bincount(at, weights=b_vw).astype(np.int64).tolist(), strict=True))
+# --- counting ---
 
 
-def _gathered(table: pa.Table, kinds: str) -> list[np.ndarray]:
-    rows = [unpack(r, kinds) for r in table.column("payload").to_pylist()]
-    return [np.concatenate([r[i] for r in rows]) for i in range(len(kinds))]
+MESSAGES = "part long, chunk long, held boolean, payload binary"
+ANSWERS = "part long, chunk long, held boolean, n_words long, payload binary"
 
 
-COUNTS = "QQ"  # name and value of a result
+def _edges(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Where the keys of each part begin among sorted keys, and their number; parts are equal ranges of hashes."""
+    bounds = [((p << 32) + parts - 1) // parts << 32 for p in range(1, parts)]
+    return np.concatenate([[0], np.searchsorted(keys, np.array(bounds, dtype=U64)), [len(keys)]]).astype(np.int64)
 
 
-def _count_first(shared, parts: int):
-    """Counts by word: statistics and hot pairs (part -1), and what must be counted by context as well."""
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    new = np.ones(len(ordered), dtype=bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
 
-    def run(table: pa.Table) -> pa.Table:
-        tables = shared.value
-        key, a0, b0, w1, v1, a1, b1, v2, w2, a2, b2, w3, v3, a3, b3 = _gathered(table, "".join(k + "II" for k in KEYS))
-        cells: dict[int, int] = defaultdict(int)
-
-        def add(found: dict[int, int]) -> None:
-            for k, n in found.items():
-                cells[k] += n
-
-        (key,), (a, b), _ = _merged([key], a0, b0)
-        add(_statistics(tables, a, b, tables.rest[key >> 16], tables.rest[key & 0xFFFF]))
-        hot = (a + b) * HOT_SHARE > tables.n_every
-        _, (a_w,), where = _merged([np.concatenate([w1, w3])], np.concatenate([a1, a3]))
-        w_count = a_w[where]
-        (_, v), (a1, b1), at = _merged([w1, v1], a1, b1)
-        of = np.zeros(len(a1), dtype=np.int64)
-        of[at] = w_count[: len(w1)]
-        add(_statistics(tables, a1, b1, tables.rest[v], of))
-        (_, v3), (a3, b3), at = _merged([w3, v3], a3, b3)
-        of3 = np.zeros(len(a3), dtype=np.int64)
-        of3[at] = w_count[len(w1) :]
-        (v2, w2), (a2, b2), _ = _merged([v2, w2], a2, b2)
-        v = np.concatenate([v2, v3])
-        order = np.argsort(v)
-        arrays = [v, np.concatenate([tables.rest[w2], of3]).astype(np.uint32), np.concatenate([a2, a3]).astype(np.uint32), np.concatenate([b2, b3]).astype(np.uint32)]
-        arrays = [x[order] for x in arrays]
-        cut = np.searchsorted(_part(arrays[0], parts), np.arange(parts + 1))
-        out = [pack(*[x[cut[p] : cut[p + 1]] for x in arrays]) for p in range(parts)]
-        done = [pack(np.array(list(cells), dtype=U64), np.array(list(cells.values()), dtype=U64)), pack(key[hot].astype(U64), (a + b)[hot].astype(U64))]
-        return pa.Table.from_batches([_rows([*range(parts), -1, -2], [0] * (parts + 2), [*out, *done])])
-
-    return run
 
+def questions(chunk: Chunk, parts: int) -> Iterator[tuple[int, bytes]]:
+    """For each part the chunk's distinct words and pairs there, each with its training tokens."""
+    trained = np.repeat(chunk.train, chunk.count)
+    word_count = np.bincount(chunk.ids[trained], minlength=len(chunk.words))
+    pairs = chunk.pairs() * 2 + trained
+    pairs.sort()
+    first = _distinct(pairs >> 1)
+    pair_count = np.add.reduceat(pairs & 1, first)
+    sides = []
+    for keys, count in ((chunk.words, word_count), (chunk.pair_keys(pairs[first] >> 1), pair_count)):
+        order = np.argsort(keys)
+        sides.append((keys[order], count[order].astype(np.uint32), _edges(keys[order], parts)))
+    for p in range(parts):
+        cut = [(keys[at[p] : at[p + 1]], count[at[p] : at[p + 1]]) for keys, count, at in sides]
+        if any(len(keys) for keys, _ in cut):
+            yield p, pack(*[x for keys, count in cut for x in (_steps(keys), count)])
 
-def _count_second(shared):
-    """Statistics of the pairs whose context is counted here."""
 
-    def run(table: pa.Table) -> pa.Table:
-        tables = shared.value
-        v, a_w, a, b = _gathered(table, "QIII")
-        _, (a_v,), where = _merged([v], a)
-        cells = _statistics(tables, a, b, a_v[where], a_w)
-        return pa.Table.from_batches([_rows([-1], [0], [pack(np.array(list(cells), dtype=U64), np.array(list(cells.values()), dtype=U64))])])
+def _ask(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, held, raw in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                found = list(questions(Chunk.read(raw), parts))
+                n = len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p for p, _ in found], pa.int64()), pa.array([name] * n, pa.int64()), pa.array([held] * n), pa.array([x for _, x in found], pa.binary())], ["part", "chunk", "held", "payload"]
+                )
 
     return run
 
 
-# --- scoring ---
-
-
-def _logs(tables: Tables, c_vw: np.ndarray, c_v: np.ndarray, c_w: np.ndarray) -> np.ndarray:
-    weights = tables.weights[bucket(c_v)]
-    return np.log10(weights[:, 0] * c_vw / np.maximum(c_v, 1) + weights[:, 1] * c_w / max(tables.n_every, 1) + weights[:, 2] / (tables.n_words + 1))
-
+def _totals(keys: list[np.ndarray], counts: list[np.ndarray], held: list[bool]) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each key of all lists its total, and that of the held-out lists; and how many distinct keys have any."""
+    joined, count = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
+    apart = np.repeat(held, [len(k) for k in keys])
+    if not len(joined):
+        return count, count, 0
+    order = np.argsort(joined)
+    first = _distinct(joined[order])
+    group = np.zeros(len(joined), dtype=np.int64)
+    group[first[1:]] = 1
+    group = np.cumsum(group)
+    out = []
+    for values in (count, np.where(apart, count, 0)):
+        sums = np.add.reduceat(values[order], first)
+        spread = np.empty(len(joined), dtype=np.int64)
+        spread[order] = sums[group]
+        out.append((spread, sums))
+    return out[0][0], out[1][0], int((out[0][1] > 0).sum())
+
+
+def _answer(table: pa.Table) -> pa.Table:
+    """The totals of a part's words and pairs, for each chunk in the order in which it asked."""
+    part = table.column("part")[0].as_py()
+    chunks, held = table.column("chunk").to_pylist(), table.column("held").to_pylist()
+    asked = [unpack(x.as_py(), "QIQI") for x in table.column("payload")]
+    answers, n_words = [], 0
+    for side in (0, 2):
+        keys = [np.cumsum(a[side], dtype=U64) for a in asked]
+        every, apart, n = _totals(keys, [a[side + 1] for a in asked], held)
+        n_words = n_words if side else n
+        ends = np.cumsum([len(k) for k in keys])[:-1]
+        answers.append((np.split(every.astype(U64), ends), np.split(apart.astype(U64), ends)))
+    packed = [pack(*x) for x in zip(*answers[0], *answers[1], strict=True)]
+    n = len(chunks)
+    return pa.table({
+        "part": pa.array([part] * n, pa.int64()), "chunk": pa.array(chunks, pa.int64()), "held": pa.array(held), "n_words": pa.array([n_words] + [0] * (n - 1), pa.int64()), "payload": pa.array(packed, pa.binary()),
+    })
+
+
+# --- what a chunk does with the answers ---
+
+
+class Answered(NamedTuple):
+    """A chunk's tokens in order of their pairs: the order, where each pair begins, and the counts that it needs."""
 
-def _base(tables: Tables, c_w: np.ndarray) -> np.ndarray:
-    return np.log10((c_w + 0.1) / (tables.n_every + 0.1 * (tables.n_words + 1)))
+    order: np.ndarray
+    first: np.ndarray
+    word: np.ndarray
+    pair: np.ndarray
+    context: np.ndarray
+
+
+def answered(chunk: Chunk, answers: list[bytes], held: bool) -> tuple[np.ndarray, Answered]:
+    """Counts of the chunk's words, and of its pairs: of all training texts, or of those not held out."""
+    given = [unpack(x, "QQQQ") for x in answers]
+    totals = []
+    for every, apart in ((0, 1), (2, 3)):
+        total = np.concatenate([g[every] for g in given]).astype(np.int64)
+        totals.append(total - np.concatenate([g[apart] for g in given]).astype(np.int64) if held else total)
+    words = np.empty(len(chunk.words), dtype=np.int64)
+    words[np.argsort(chunk.words)] = totals[0]
+    pairs = chunk.pairs()
+    order = np.argsort(pairs)
+    pairs = pairs[order]
+    first = _distinct(pairs)
+    pairs = pairs[first]
+    found = np.empty(len(pairs), dtype=np.int64)
+    found[np.argsort(chunk.pair_keys(pairs))] = totals[1]
+    ends = words[np.flatnonzero(chunk.words == END)[0]]  # as many texts begin as end
+    context = np.append(words, ends)[pairs // len(chunk.words)]
+    return words, Answered(order, first, words[pairs % len(chunk.words)], found, context)
 
 
-def _score_map(shared, parts: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = shared.value
-        for batch in batches:
-            ident, train, _ = _folds(batch)
-            n = batch.num_rows
-            name = int(mix(mix(ident + np.arange(n, dtype=U64)).sum(dtype=U64)[None]).view(np.int64)[0])
-            tokens, doc, first = _tokens(batch.column(0))
-            ids = _ids(tables, tokens)
-            context, before = _context(tokens, first, ids, len(tables.words) + 1)
-            known = ids >= 0
-            base = np.bincount(doc[known], weights=_base(tables, tables.every[ids[known]]), minlength=n)
-            pair = np.where(known & (before >= 0), (before << 16) | np.maximum(ids, 0), -1)
-            at = np.minimum(np.searchsorted(tables.hot, pair), max(len(tables.hot) - 1, 0))
-            hot = tables.hot[at] == pair if len(tables.hot) else np.zeros(len(pair), dtype=bool)
-            logs = _logs(tables, tables.hot_count[at[hot]], tables.every[before[hot]], tables.every[ids[hot]])
-            model = np.bincount(doc[hot], weights=logs, minlength=n)
-            done = pack(model, base, np.bincount(doc[known], minlength=n).astype(np.uint32), ident, np.bincount(doc, minlength=n).astype(np.uint32))
-            head = [np.array([n], dtype=np.uint32), np.packbits(train)]
-            rows: list[list[np.ndarray]] = [[] for _ in range(parts)]
-            for at, found in _messages(tables, parts, ids, before, tokens, context, ~hot):
-                docs = doc[at][found.order].astype(np.uint16)
-                times = np.diff(np.append(found.first, len(at))).astype(np.uint32)
-                for p, (lo, hi, x, y) in enumerate(_split(found, len(at), parts)):
-                    rows[p] += [*[k[lo:hi] for k in found.keys], times[lo:hi], docs[x:y]]
-            yield _rows([*range(parts), -1], [name] * (parts + 1), [*[pack(*head, *r) for r in rows], done])
+def bucket(count: np.ndarray) -> np.ndarray:
+    """0 for a context that doesn't occur, else 1 and the power of two."""
+    return np.where(count > 0, np.minimum(1 + np.log2(np.maximum(count, 1)).astype(np.int64), BUCKETS - 1), 0)
 
-    return run
 
+def statistics(totals: Totals, found: Answered, times: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Cells of (bucket, pair estimate, word estimate), their held-out tokens, and these times the estimates' -log2."""
+    sides, fine = [bucket(found.context)], []
+    for p in (found.pair / np.maximum(found.context, 1), found.word / max(totals.n_rest, 1)):
+        depth = -np.log2(np.where(p > 0, p, 1.0))
+        sides.append(np.where(p > 0, np.minimum((depth * STEPS).astype(np.int64), GRID - 1), GRID))
+        fine.append(np.rint(depth * FINE).astype(np.int64))
+    names, at = np.unique((sides[0] * (GRID + 1) + sides[1]) * (GRID + 1) + sides[2], return_inverse=True)
+    sums = [np.zeros(len(names), dtype=np.int64) for _ in range(3)]
+    for total, values in zip(sums, (times, times * fine[0], times * fine[1]), strict=True):
+        np.add.at(total, at, values)
+    return names, *sums
 
-class Texts:
-    """Texts of several batches in a row, numbered on, with the sums for each."""
 
-    def __init__(self, names: list[int], sizes: list[int], train: list[np.ndarray]) -> None:
-        self.names = names
-        self.first = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
-        self.train = np.concatenate([np.unpackbits(t, count=int(s)).astype(bool) for t, s in zip(train, sizes, strict=True)])
-        self.model, self.base, self.known = (np.zeros(self.first[-1]) for _ in range(3))
+def learn_weights(cells: np.ndarray, mass: np.ndarray, depth: np.ndarray, floor: float) -> np.ndarray:
+    """Weights (pair, word, floor) of each bucket by EM over cells, their held-out tokens and mean -log2 estimates."""
+    weights = np.full((BUCKETS, 3), 1 / 3)
+    weights[0] = [0, 0.5, 0.5]
+    at = cells // (GRID + 1) ** 2
+    absent = np.stack([cells // (GRID + 1) % (GRID + 1), cells % (GRID + 1)], axis=1) == GRID
+    p = np.concatenate([np.where(absent, 0.0, 2.0**-depth), np.full((len(cells), 1), floor)], axis=1)
+    for _ in range(ROUNDS):
+        part = weights[at] * p
+        part *= (mass / part.sum(axis=1))[:, None]
+        new = np.stack([np.bincount(at, weights=part[:, i], minlength=BUCKETS) for i in range(3)], axis=1) + 1.0
+        new[0, 0] = 0
+        weights = new / new.sum(axis=1, keepdims=True)
+    return weights
 
-    def results(self) -> tuple[list[int], list[bytes]]:
-        cut = list(zip(self.first, self.first[1:], strict=False))
-        return self.names, [pack(self.model[x:y], self.base[x:y], self.known[x:y].astype(np.uint32)) for x, y in cut]
 
+CELLS = "cell long, mass long, pair long, word long"
 
-def _add(to: np.ndarray, texts: np.ndarray, values: np.ndarray) -> None:
-    to += np.bincount(texts, weights=values, minlength=len(to))
 
+def _opened(table: pa.Table) -> tuple[Chunk, list[bytes], int]:
+    """The chunk of a group, the answers to it in order of their parts, and the row that the chunk is in."""
+    parts = np.array(table.column("part").to_pylist(), dtype=np.int64)
+    order = np.argsort(parts)
+    payload = table.column("payload")
+    return Chunk.read(payload[int(order[0])].as_py()), [payload[int(i)].as_py() for i in order[1:]], int(order[0])
 
-def _score_first(shared, parts: int):
-    kinds = "IB" + "".join(k + "IH" for k in KEYS)
 
+def _weigh(totals: Totals):
     def run(table: pa.Table) -> pa.Table:
-        tables = shared.value
-        rows = [unpack(r, kinds) for r in table.column("payload").to_pylist()]
-        names = table.column("batch").to_pylist()
-        texts = Texts(names, [int(r[0][0]) for r in rows], [r[1] for r in rows])
-
-        def kind(at: int, keys: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-            """Keys of the pairs of all batches, the pair of each token, and its text."""
-            times = np.concatenate([r[at + keys] for r in rows])
-            text = np.concatenate([r[at + keys + 1].astype(np.int64) + texts.first[i] for i, r in enumerate(rows)])
-            return [np.concatenate([r[at + i] for r in rows]) for i in range(keys)], np.repeat(np.arange(len(times)), times), text
-
-        def trained(pair: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-            return np.bincount(pair[texts.train[text]], minlength=n)
-
-        (key,), pair, text = kind(2, 1)
-        (key,), (c_vw,), at = _merged([key], trained(pair, text, len(key)))
-        _add(texts.model, text, _logs(tables, c_vw, tables.every[key >> 16], tables.every[key & 0xFFFF])[at[pair]])
-        (w1, v1), pair1, text1 = kind(5, 2)
-        (w3, v3), pair3, text3 = kind(13, 2)
-        t1, t3 = trained(pair1, text1, len(w1)), trained(pair3, text3, len(w3))
-        _, (c_w,), where = _merged([np.concatenate([w1, w3])], np.concatenate([t1, t3]))
-        c_w = c_w[where]
-        for c, pair, text in ((c_w[: len(w1)], pair1, text1), (c_w[len(w1) :], pair3, text3)):
-            _add(texts.base, text, _base(tables, c)[pair])
-            _add(texts.known, text, (c > 0)[pair])
-        _, (c_vw,), at = _merged([w1, v1], t1)
-        _add(texts.model, text1, _logs(tables, c_vw[at], tables.every[v1], c_w[: len(w1)])[pair1])
-        _, (c3,), at3 = _merged([w3, v3], t3)
-        (v2, w2), pair2, text2 = kind(9, 2)
-        _, (c2,), at2 = _merged([v2, w2], trained(pair2, text2, len(v2)))
-
-        v = np.concatenate([v2[pair2], v3[pair3]])
-        order = np.argsort(v, kind="stable")
-        arrays = [
-            v, np.concatenate([tables.every[w2][pair2], c_w[len(w1) :][pair3]]).astype(np.uint32), np.concatenate([c2[at2][pair2], c3[at3][pair3]]).astype(np.uint32), np.concatenate([text2, text3]).astype(np.uint32),
-        ]
-        arrays = [x[order] for x in arrays]
-        cut = np.searchsorted(_part(arrays[0], parts), np.arange(parts + 1))
-        head = [np.array(names, dtype=np.int64).view(U64), np.diff(texts.first).astype(np.uint32), np.concatenate([r[1] for r in rows])]
-        onward = [pack(*head, *[x[cut[p] : cut[p + 1]] for x in arrays]) for p in range(parts)]
-        done = texts.results()
-        return pa.Table.from_batches([_rows([*range(parts), *[-1] * len(names)], [*[0] * parts, *done[0]], [*onward, *done[1]])])
+        chunk, answers, _ = _opened(table)
+        _, found = answered(chunk, answers, held=True)
+        times = np.diff(np.append(found.first, len(found.order)))
+        return pa.table(dict(zip(("cell", "mass", "pair", "word"), map(pa.array, statistics(totals, found, times)), strict=True)))
 
     return run
 
 
-def _score_second(shared):
+def _score(shared):
     def run(table: pa.Table) -> pa.Table:
-        tables = shared.value
-        rows = [unpack(r, "QIBQIII") for r in table.column("payload").to_pylist()]
-        place: dict[int, tuple[int, int]] = {}
-        train: list[np.ndarray] = []
-        sizes: list[int] = []
-        for r in rows:
-            at = 0
-            for name, size in zip(r[0].tolist(), r[1].tolist(), strict=True):
-                width = (size + 7) // 8
-                if name not in place:
-                    place[name] = (len(sizes), size)
-                    sizes.append(size)
-                    train.append(r[2][at : at + width])
-                at += width
-        texts = Texts(list(np.array(list(place), dtype=U64).view(np.int64).tolist()), sizes, train)
-        v, c_w, c_vw, text = [], [], [], []
-        for r in rows:
-            first = np.concatenate([[0], np.cumsum(r[1].astype(np.int64))])
-            shift = np.array([texts.first[place[name][0]] for name in r[0].tolist()], dtype=np.int64) - first[:-1]
-            owner = np.searchsorted(first, r[6], side="right") - 1
-            v.append(r[3])
-            c_w.append(r[4])
-            c_vw.append(r[5])
-            text.append(r[6].astype(np.int64) + shift[owner] if len(r[6]) else r[6].astype(np.int64))
-        v, c_w, c_vw, text = (np.concatenate(x) for x in (v, c_w, c_vw, text))
-        _, (c_v,), where = _merged([v], texts.train[text].astype(np.int64))
-        _add(texts.model, text, _logs(tables, c_vw, c_v[where], c_w))
-        names, done = texts.results()
-        return pa.Table.from_batches([_rows([-1] * len(names), names, done)])
+        totals: Totals = shared.value
+        chunk, answers, row = _opened(table)
+        words, found = answered(chunk, answers, held=False)
+        n = len(chunk.count)
+        text = np.repeat(np.arange(n), chunk.count)
+        weights = totals.weights[bucket(found.context)]
+        logs = np.log10(weights[:, 0] * found.pair / np.maximum(found.context, 1) + weights[:, 1] * found.word / max(totals.n_every, 1) + weights[:, 2] / (totals.n_words + 1))
+        logs = np.repeat(logs, np.diff(np.append(found.first, len(found.order))))
+        spread = np.empty(len(logs))
+        spread[found.order] = logs  # back in the order of the text, so that equal texts add up alike
+        base = np.log10((words + 0.1) / (totals.n_every + 0.1 * (totals.n_words + 1)))
+        keys = table.column("keys").combine_chunks()
+        return pa.table({
+            "key": keys.slice(row, 1).flatten(), "train": pa.array(chunk.train), "n_tokens": pa.array(chunk.count), "n_known": pa.array(np.bincount(text, weights=words[chunk.ids] > 0, minlength=n).astype(np.int64)),
+            "base_score": pa.array(np.bincount(text, weights=base[chunk.ids], minlength=n)), "score": pa.array(np.bincount(text, weights=spread, minlength=n)),
+        })
 
     return run
 
 
-def _total(table: pa.Table) -> pa.Table:
-    """Sums of all results of a batch, for each of its texts."""
-    sums, listed = None, None
-    for raw in table.column("payload").to_pylist():
-        if np.frombuffer(raw, dtype=np.int64, count=1)[0] == 5:  # what the map knew
-            *found, ident, tokens = unpack(raw, "ddIQI")
-            listed = ident, tokens
-        else:
-            found = unpack(raw, "ddI")
-        sums = [x.astype(np.float64) for x in found] if sums is None else [x + y for x, y in zip(sums, found, strict=True)]
-    ident, tokens = listed
-    return pa.Table.from_arrays([as_long(ident), pa.array(tokens.astype(np.int64)), pa.array(sums[2].astype(np.int64)), pa.array(sums[1]), pa.array(sums[0])], ["ident", "n_tokens", "n_known", "base_score", "score"])
-
-
-def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", parts: int | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, part_tokens: int = PART_TOKENS) -> DataFrame:
     """Each row's ``key``, ``train`` flag, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
     Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then the text's end.
     ``train`` tells which rows the model may learn from (null: not).  ``base_score`` is the log10
     probability by single words with 0.1 added to each count; ``score`` is the model's.  ``n_known``
-    counts tokens that occur in training.  Null texts count as empty.  Equal rows score alike and
-    all are returned.  Without training rows all words are unknown; an empty table gives an empty
-    one.  Other columns aren't read.
+    counts tokens that occur in training.  Null texts count as empty.  Repeated rows are texts
+    like others: each is counted and scored.  Without training rows all words are unknown; an
+    empty table gives an empty one.  Other columns aren't read.
+
+    The driver gets one table of statistics, of a fixed number of cells at most: estimates are
+    grouped by half octaves down to 2^-48, and a cell keeps its mean to a thousandth of an octave.
+    Texts longer than ``chunk_bytes`` are chunks of their own.  A message of a chunk to a hash range
+    has chunk_bytes * part_tokens / (the corpus's tokens) keys or so: for a corpus of terabytes both
+    should rise with the executors' memory.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    parts = parts or max(4, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
-    ident = F.xxhash64(key, text)
-    taken = docs.select(F.col(text).alias("text"), ident.alias("ident"), F.coalesce(train, F.lit(False)).alias("train"))
-    words = durable(taken.mapInArrow(count_words, "word long, rest long, held long").groupBy("word").agg(F.sum("rest").alias("rest"), F.sum("held").alias("held")))
-    n_rest, n_held, n_words = words.agg(F.coalesce(F.sum("rest"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0)), F.count(F.lit(1))).first()
-    ends = words.filter(F.col("word") == int(END)).first() or {"rest": 0, "held": 0}
-    top = words.filter(F.col("word") != int(END)).orderBy(F.desc(F.col("rest") + F.col("held")), "word").limit(FREQUENT).collect()
-    name = np.array([r.word for r in top], dtype=np.int64).view(U64)
-    order = np.argsort(name)
-    rest, held = (np.array([r[c] for r in top], dtype=np.int64)[order] for c in ("rest", "held"))
-    rest, held = np.append(rest, [ends["rest"]] * 2), np.append(held, [ends["held"]] * 2)
-    tables = Tables(name[order], rest, rest + held, n_rest, n_rest + n_held, n_words, np.zeros(0, np.int64), np.zeros(0, np.int64), None)
-    del top, words
-    shared = spark.sparkContext.broadcast(tables)
-
-    first = taken.mapInArrow(_count_map(shared, parts), SCHEMA).groupBy("part").applyInArrow(_count_first(shared, parts), SCHEMA)
-    first = durable(first)
-    second = first.filter("part >= 0").groupBy("part").applyInArrow(_count_second(shared), SCHEMA)
-    cells, hot = defaultdict(int), {}
-    for row in second.unionByName(first.filter("part < 0")).collect():  # a few cells of a fixed grid from each part, and HOT_SHARE pairs at most
-        for k, n in zip(*[x.tolist() for x in unpack(row.payload, COUNTS)], strict=True):
-            if row.part == -2:
-                hot[k] = n
-            else:
-                cells[k] += n
-    del first, second
-    release(spark)  # the counts have served: their files needn't lie beside those of scoring
-    cell = np.array(list(cells), dtype=np.int64)
-    grid = np.stack([cell // (GRID + 1) ** 2, cell // (GRID + 1) % (GRID + 1), cell % (GRID + 1)], axis=1) if len(cell) else np.zeros((0, 3), dtype=np.int64)
-    weights = learn_weights(grid, np.array(list(cells.values()), dtype=np.float64), 1 / (n_words + 1))
-    pairs = np.array(sorted(hot), dtype=np.int64)
-    shared = spark.sparkContext.broadcast(tables._replace(hot=pairs, hot_count=np.array([hot[p] for p in pairs.tolist()], dtype=np.int64), weights=weights))
-
-    mapped = taken.mapInArrow(_score_map(shared, parts), SCHEMA)
-    to_first, to_second = _score_first(shared, parts), _score_second(shared)
-    one = mapped.groupBy("part", F.when(F.col("part") < 0, F.col("batch")).alias("own")).applyInArrow(lambda t: t.select(["part", "batch", "payload"]) if t.column("part")[0].as_py() < 0 else to_first(t), SCHEMA)
-    two = one.groupBy("part", F.when(F.col("part") < 0, F.col("batch")).alias("own")).applyInArrow(lambda t: t.select(["part", "batch", "payload"]) if t.column("part")[0].as_py() < 0 else to_second(t), SCHEMA)
-    scores = two.groupBy("batch").applyInArrow(_total, "ident long, n_tokens long, n_known long, base_score double, score double").dropDuplicates(["ident"])
-    rows = docs.select(F.col(key).alias(key), F.coalesce(train, F.lit(False)).alias("train"), ident.alias("_ident"))
-    return rows.join(scores, rows["_ident"] == scores["ident"]).select(key, "train", "n_tokens", "n_known", F.lit(n_rest + n_held).cast("long").alias("train_tokens"), "base_score", "score")
+    train = F.coalesce(train, F.lit(False))
+    held = train & (F.pmod(F.xxhash64(F.lit(3), key, text), F.lit(HELD)) == 0)
+    taken = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), train.alias("train"), held.alias("held"))
+    kind = taken.schema["key"].dataType.simpleString()
+    chunks = durable(taken.mapInArrow(_cut_chunks(chunk_bytes), f"{CHUNKS}, keys array<{kind}>"))
+    n_tokens, n_every, n_held = (x or 0 for x in chunks.agg(F.sum("n_tokens"), F.sum("n_train"), F.sum(F.when(F.col("held"), F.col("n_train")))).first())
+    parts = max(1, -(-n_tokens // part_tokens))
+
+    asked = chunks.select("chunk", "held", "payload").mapInArrow(_ask(parts), MESSAGES)
+    answers = durable(asked.groupBy("part").applyInArrow(_answer, ANSWERS))
+    n_words = answers.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    totals = Totals(n_every - n_held, n_every, n_words, None)
+
+    none = F.lit(None).cast(f"array<{kind}>").alias("keys")
+    rows = chunks.select("chunk", F.lit(-1).cast("long").alias("part"), "held", "payload", "keys").unionByName(answers.select("chunk", "part", "held", "payload", none))
+    cells = rows.filter("held").drop("held", "keys").groupBy("chunk").applyInArrow(_weigh(totals), CELLS)
+    cells = cells.groupBy("cell").agg(*[F.sum(c).alias(c) for c in ("mass", "pair", "word")]).orderBy("cell").collect()  # BUCKETS * (GRID + 1)^2 at most
+    cell, mass, pair, word = (np.array([r[i] for r in cells], dtype=np.int64) for i in range(4))
+    depth = np.stack([pair, word], axis=1) / FINE / np.maximum(mass, 1)[:, None]
+    weights = learn_weights(cell, mass.astype(np.float64), depth, 1 / (n_words + 1))
+    shared = spark.sparkContext.broadcast(totals._replace(weights=weights))
+
+    scored = rows.drop("held").groupBy("chunk").applyInArrow(_score(shared), f"key {kind}, train boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(F.col("key").alias(key), "train", "n_tokens", "n_known", F.lit(n_every).cast("long").alias("train_tokens"), "base_score", "score")
