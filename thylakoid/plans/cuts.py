@@ -4,17 +4,33 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share; one of our own only in local mode, where none is set."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="thylakoid-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed once, without its lineage; a folder of our own only in local mode."""
+    """``df`` computed once and written to the shared folder, without its lineage.
+
+    Spark deletes the files when the frame is let go of, where the cluster sets
+    ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not spark.sparkContext.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-            folder = "file://" + tempfile.mkdtemp(prefix="thylakoid-")
-        spark.sparkContext.setCheckpointDir(folder)
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that a plan wrote and no frame reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
