@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from thylakoid.plans.cuts import cut as durable
+from thylakoid.plans.cuts import remove, shared_folder
+
+__all__ = ["BROADCAST_ROWS", "bounded_batches", "cumulative", "durable", "fresh", "remove", "repeated", "row_hash", "shared_folder", "sized_join", "skewed_join", "table"]
+
 #: Arrow batches to Python workers are cut at this size, so that long texts can't pile up.
 ARROW_BYTES = 8 << 20
 #: Rows of at most a few dozen bytes that may be broadcast (some 30 MB).
 BROADCAST_ROWS = 500_000
+#: Rows of one key from which on it may be frequent.
+OFTEN = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,29 +24,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bounded_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
-    """Cut what goes to Python workers by bytes, not only by rows."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+    """Cut what goes to Python workers by bytes, not only by rows: a session's tighter limit stays."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    found = spark.conf.get(name, None)
+    if found is None or not found.isdigit() or int(found) > size:
+        spark.conf.set(name, str(size))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one of our own only in local mode."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    found = "file://" + tempfile.mkdtemp(prefix="thylakoid-")
-    spark.conf.set("spark.checkpoint.dir", found)
-    return found
+def fresh(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as make it a name that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    name = f"_{name}"
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """``df`` computed once and written to the shared folder, without its lineage."""
-    context = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
+    """A 64-bit hash of a row, or of ``columns``: equal for rows that are equal in them, nulls in their places.
+
+    Columns of maps and variants have no hash and don't count.
+    """
+    names = [f.name for f in df.schema.fields if (columns is None or f.name in columns) and not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    return F.xxhash64(*[x for c in names for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
+
+
+def repeated(df: DataFrame, times: str, name: str) -> DataFrame:
+    """Each row as often as ``times`` (1 or more) says, numbered from 0 in ``name``; no array grows with the number itself."""
+    step, block = 1 << 12, fresh(df, "block")
+    df = df.withColumn(block, F.explode(F.sequence(F.lit(0).cast("long"), F.col(times) - 1, F.lit(step).cast("long"))))
+    return df.withColumn(name, F.explode(F.sequence(F.col(block), F.least(F.col(block) + step, F.col(times)) - 1))).drop(block)
 
 
 def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, limit: int = BROADCAST_ROWS) -> DataFrame:
@@ -49,6 +61,22 @@ def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, limit
     return left.join(F.broadcast(right) if right.count() <= limit else right, on, how)
 
 
+def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, limit: int = BROADCAST_ROWS, often: int = OFTEN) -> DataFrame:
+    """Inner join with ``right``, a durable table of one narrow row for each value of ``on``, not null.
+
+    ``times`` is a column of ``right``, dropped here: how many rows of ``left`` have the value.
+    Beyond ``limit`` rows the join is shuffled, but for values that are frequent: no more than
+    ``limit`` of them, which are broadcast, so that their rows stay where they are.
+    """
+    n, total = right.agg(F.count(F.lit(1)), F.coalesce(F.sum(times), F.lit(0))).first()
+    slim = right.drop(times)
+    if n <= limit:
+        return left.join(F.broadcast(slim), on)
+    often = max(often, total // limit + 1)  # so many rows have ``limit`` values at most
+    hot, rare = right.filter(F.col(times) >= often).drop(times), right.filter(F.col(times) < often).drop(times)
+    return left.join(F.broadcast(hot), on).unionByName(left.join(F.broadcast(hot.select(on)), on, "left_anti").join(rare, on))
+
+
 def cumulative(df: DataFrame, group: list[str], order: list[str], value: Column, name: str, bins: int = 1024) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the earlier rows of the same group.
 

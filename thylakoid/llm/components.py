@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import durable
+from thylakoid.llm.common import durable, skewed_join
+
+
+def _least(edges: DataFrame) -> DataFrame:
+    """``edges`` (u, v) with ``m``, the least of u and its neighbours; no task gets all edges of a hub."""
+    least = durable(edges.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n")))
+    return skewed_join(edges, least, "u", "n")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -18,10 +24,8 @@ def components(edges: DataFrame) -> DataFrame:
     stars = durable(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     seen = None
     while True:
-        both = stars.union(stars.select("v", "u"))
-        around = Window.partitionBy("u")
-        large = both.withColumn("m", F.least(F.col("u"), F.min("v").over(around))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = large.distinct().withColumn("m", F.min("v").over(around))
+        large = _least(stars.union(stars.select("v", "u"))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _least(durable(large.distinct()))
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
         stars = durable(small.filter("u <> v").distinct())
         sums = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()

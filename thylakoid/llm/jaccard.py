@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable
+from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable, fresh, row_hash, sized_join, skewed_join
 from thylakoid.llm.components import components
 from thylakoid.llm.textkit import LOWER, U64, as_long, blocks, combine, find_words, hash_spans, mix, ngrams
 
@@ -206,6 +206,21 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return rows.mapInArrow(_open_groups(num, den), "a long, b long")
 
 
+def _dealt(members: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """``members`` dealt by a hash of ``set_id`` into ``pieces`` pieces of about ``size`` for each value of ``keys``: ``piece`` from 0.
+
+    Only the values with more than ``size`` members are looked up: a ``size``-th of the members at most.
+    """
+    large = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size)
+    large = durable(large.select(*[F.col(k).alias(f"of_{k}") for k in keys], F.ceil(F.col("n") / size).alias("pieces")))
+    on = F.lit(True)
+    for k in keys:
+        on &= F.col(k).eqNullSafe(F.col(f"of_{k}"))
+    rows = members.join(F.broadcast(large) if large.count() <= BROADCAST_ROWS else large, on, "left").drop(*[f"of_{k}" for k in keys])
+    rows = rows.withColumn("pieces", F.coalesce("pieces", F.lit(1).cast("long")))
+    return rows.withColumn("piece", F.pmod(F.xxhash64(F.lit(9), "set_id"), F.col("pieces")))
+
+
 def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
     """Every row of ``docs`` (its other columns, ``set_id``, ``n_shingles``), and ``node`` and ``root`` of linked sets."""
     spark = docs.sparkSession
@@ -261,26 +276,25 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
         sets = sets.join(wanted, "set_id", "left_semi")
     sets = durable(sets.dropDuplicates(["set_id"]))
 
-    place = Window.partitionBy("grp").orderBy("set_id")
-    pieces = durable(members.withColumn("piece", ((F.row_number().over(place) - 1) / PIECE).cast("long")))
-    lead = pieces.filter("piece > 0").select("grp", "piece", F.col("grp").alias("set_id")).distinct()
-    links = durable(_links(pieces.unionByName(lead).withColumn("known", F.col("set_id")), sets, num, den))
+    pieces = durable(_dealt(members, ["grp"], PIECE))
+    lead = pieces.filter("piece <> 0").select("grp", "piece", F.col("grp").alias("set_id")).distinct()
+    links = durable(_links(pieces.drop("pieces").unionByName(lead).withColumn("known", F.col("set_id")), sets, num, den))
     roots = durable(components(links))
 
-    labelled = pieces.join(roots, pieces["set_id"] == roots["node"], "left").select("grp", "set_id", "piece", F.coalesce("root", "set_id").alias("known"))
-    open_groups = labelled.groupBy("grp").agg(F.max("piece").alias("last"), F.min("known").alias("lo"), F.max("known").alias("hi")).filter("last > 0 and lo <> hi").select("grp")
-    left = durable(labelled.drop("piece").join(open_groups, "grp", "left_semi"))
-    if left.take(1):
-        order = Window.partitionBy("grp").orderBy("known", "set_id")
-        left = durable(left.withColumn("piece", ((F.row_number().over(order) - 1) / (PIECE // 2)).cast("long")))
-        spans = left.groupBy("grp", "piece").agg(F.min("known").alias("lo"), F.max("known").alias("hi"))
+    # groups of several pieces with sets of several components: pieces of one component, or of what is left of many
+    labelled = pieces.filter("pieces > 1").join(roots, F.col("set_id") == F.col("node"), "left").select("grp", "set_id", F.coalesce("root", "set_id").alias("known"))
+    open_groups = durable(labelled.groupBy("grp").agg(F.min("known").alias("lo"), F.max("known").alias("hi")).filter("lo <> hi").select("grp"))
+    if open_groups.take(1):
+        left = sized_join(labelled, open_groups, ["grp"], "left_semi")
+        left = _dealt(left, ["grp", "known"], PIECE // 2).withColumn("own", F.when(F.col("pieces") > 1, F.col("known"))).drop("piece", "pieces")
+        left = durable(_dealt(left, ["grp", "own"], PIECE // 2).withColumn("piece", F.xxhash64("own", "piece")))
+        spans = durable(left.groupBy("grp", "piece").agg(F.min("known").alias("lo"), F.max("known").alias("hi")))
         x, y = spans.alias("x"), spans.alias("y")
-        cross = x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.piece") < F.col("y.piece"))).filter(
+        cross = x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.piece") <= F.col("y.piece"))).filter(
             "not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)"
         ).select(F.col("x.grp").alias("grp"), F.col("x.piece").alias("i"), F.col("y.piece").alias("j"))
-        both = cross.select("grp", F.struct("i", "j").alias("pair"), F.explode(F.array("i", "j")).alias("piece"))
+        both = cross.select("grp", F.xxhash64("i", "j").alias("pair"), F.explode(F.array_distinct(F.array("i", "j"))).alias("piece"))
         again = left.join(both, ["grp", "piece"]).select("grp", F.col("pair").alias("piece"), "set_id", "known")
-        again = again.withColumn("piece", F.xxhash64("piece.i", "piece.j"))
         links = links.union(_links(again, sets, num, den))
         roots = durable(components(links))
     return named, roots
@@ -297,11 +311,40 @@ def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """
     if not den < 2 * num <= 2 * den:
         raise ValueError("the threshold must be over 1/2 and at most 1")
-    named, roots = set_components(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", n, num, den)
-    sets = named.filter("set_id is not null").groupBy("set_id").agg(F.min("_key").alias("least"))
-    sets = sets.join(roots, sets["set_id"] == roots["node"], "left").select("set_id", "least", F.coalesce("root", "set_id").alias("root"))
-    least = sets.groupBy("root").agg(F.min("least").alias("component_id"))
-    sets = sets.join(least, "root").select(F.col("set_id").alias("_set"), "component_id")
-    return named.join(sets, named["set_id"] == sets["_set"], "left").select(
-        F.col("_key").alias(key), "n_shingles", F.when(F.col("set_id").isNull(), F.col("_key")).otherwise(F.col("component_id")).alias("component_id")
-    )
+    rows = _rooted(docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")), "_text", n, num, den)
+    return rows.select(F.col("_key").alias(key), "n_shingles", F.when(F.col("set_id").isNull(), F.col("_key")).otherwise(F.col("least._key")).alias("component_id"))
+
+
+def _rooted(docs: DataFrame, text: str, n: int, num: int, den: int) -> DataFrame:
+    """Rows of ``set_components`` with ``least``: the smallest of its component's rows, nulls last; null for a row without a set.
+
+    Rows are added up by set and sets by component before anything is joined back.
+    """
+    named, roots = set_components(docs, text, n, num, den)
+    order = [x for c in named.columns if c not in ("set_id", "n_shingles") for x in (F.col(c).isNull().alias(f"no{c}"), F.col(c))]
+    full = named.filter("set_id is not null")
+    each = full.groupBy("set_id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(*order)).alias("least"))
+    each = durable(each.join(roots, F.col("set_id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_id")).drop("node"))
+    best = durable(each.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.min("least").alias("least")))
+    sets = durable(skewed_join(each.drop("least"), best, "root", "sets").drop("root"))
+    return skewed_join(full, sets, "set_id", "times").unionByName(named.filter("set_id is null"), allowMissingColumns=True)
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` with one row of each component: that with the smallest key, nulls last, and of equal keys the smallest row hash.
+
+    Components are those of ``jaccard_components``.  A row without words is linked with nothing and
+    stays, whatever its key; so does a text whose key another text has as well.  Of rows that are
+    equal throughout one stays.
+    """
+    if not den < 2 * num <= 2 * den:
+        raise ValueError("the threshold must be over 1/2 and at most 1")
+    row = fresh(docs, "row")
+    marked = docs.withColumn(row, row_hash(docs))
+    rows = durable(_rooted(marked.select(F.col(key).alias("_key"), F.col(row).alias("_row"), F.col(text).alias("_text")), "_text", n, num, den).filter("set_id is not null"))
+    dropped = durable(rows.filter("_row <> least._row").select(F.col("_row").alias(row)).distinct())
+    again = durable(rows.filter("_row = least._row").groupBy(F.col("_row").alias(row)).agg(F.count(F.lit(1)).alias("times")).filter("times > 1").select(row))
+    left = sized_join(marked, dropped, [row], "left_anti")
+    if again.take(1):
+        left = sized_join(left, again, [row], "left_anti").unionByName(sized_join(left, again, [row], "left_semi").dropDuplicates([row]))
+    return left.select(docs.columns)

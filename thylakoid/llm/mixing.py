@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from thylakoid.llm.common import cumulative, durable, sized_join
+from thylakoid.llm.common import cumulative, durable, fresh, repeated, row_hash, sized_join
 
 #: Bisections that one pass over the table of sources evaluates.
 DEPTH, PASSES = 5, 6
@@ -33,7 +33,8 @@ def fit_exponent(shares: DataFrame, entropy: float | None = None, repetition: fl
     the number of sources.  ``budget_ratio`` is the budget by the corpus's tokens, or None for the
     smallest budget that uses every document once.  Both measures fall as the exponent rises, so
     it can be bisected; each pass evaluates 2^DEPTH - 1 exponents in one aggregation, and the
-    table of sources is never collected.
+    table of sources is never collected.  Limits that no exponent meets give 1, which comes nearest
+    to an entropy; with a budget too large for the corpus, sources then repeat beyond the limit.
     """
     n, least, most = shares.agg(F.count(F.lit(1)), F.min("p"), F.max("p")).first()
     if not n or n == 1:
@@ -72,23 +73,24 @@ def source_weights(tokens: DataFrame, entropy: float | None, repetition: float |
     return shares.select("_source", "tokens", weight.alias("weight"), quota.alias("quota")), exponent
 
 
-def mixing_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", *, entropy: float | None = None, repetition: float | None = 2.0, budget: int | None = None, block_tokens: int = 1 << 20, seed: int = 1) -> DataFrame:
+def mixing_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", *, ident: Column | None = None, entropy: float | None = None, repetition: float | None = 2.0, budget: int | None = None, block_tokens: int = 1 << 20, seed: int = 1) -> DataFrame:
     """A row for each use of a document: ``key``, ``source``, ``n_tokens``, ``epoch``, ``block``, ``slot``.
 
     A document is used in an epoch if it begins within what is left of its source's quota, so a
     source exceeds its quota by less than a document.  Without ``budget`` every document is used
     at least once.  ``slot`` orders a block at random, from 0.  Null sources are a source of their
     own; null texts count one token; equal rows are used apart from each other; an empty table
-    gives an empty one.  Rows also have ``_ident``, a hash of key, source and text.
+    gives an empty one.  Rows also have ``_ident``, which is ``ident`` or a hash of key, source and text.
     """
-    rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), token_count(F.col(text)).alias("_tokens"), F.xxhash64(key, source, text).alias("_ident"))
+    ident = ident if ident is not None else row_hash(docs, [key, source, text])
+    rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), token_count(F.col(text)).alias("_tokens"), ident.alias("_ident"))
     rows = durable(rows.groupBy("_key", "_source", "_tokens", "_ident").agg(F.count(F.lit(1)).alias("_n")))
     weights, _ = source_weights(rows.select("_source", (F.col("_tokens") * F.col("_n")).alias("_tokens")), entropy, repetition, budget)
     weights = durable(weights.withColumnRenamed("_source", "_of"))
     small = weights.count() <= 500_000
     joined = rows.join(F.broadcast(weights) if small else weights, rows["_source"].eqNullSafe(weights["_of"]))
-    uses = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))))
-    uses = uses.withColumn("epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("quota") - 1) / F.col("tokens")))))
+    uses = repeated(joined, "_n", "copy").withColumn("_epochs", F.floor((F.col("quota") - 1) / F.col("tokens")) + 1)
+    uses = repeated(uses.filter("_epochs > 0"), "_epochs", "epoch")
     uses = uses.withColumn("_at", F.xxhash64(F.lit(seed), "epoch", "_ident", "copy"))
     uses = cumulative(uses, ["_source", "epoch"], ["_at", "_ident", "copy"], F.col("_tokens"), "_before")
     uses = uses.withColumn("_before", F.col("_before") + F.col("epoch") * F.col("tokens")).filter("_before < quota")
@@ -100,8 +102,16 @@ def mixing_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", te
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **how) -> DataFrame:
-    """The rows of ``docs``, each as often as ``mixing_plan`` uses it."""
-    uses = mixing_plan(docs, key, source, text, **how).groupBy("_ident").agg(F.count(F.lit(1)).alias("_uses"))
-    rows = docs.withColumn("_ident", F.xxhash64(key, source, text)).dropDuplicates(["_ident"])
-    rows = sized_join(rows, durable(uses), ["_ident"], "inner")
-    return rows.withColumn("_use", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_uses")))).select(docs.columns)
+    """The rows of ``docs``, each as often as ``mixing_plan`` uses it.
+
+    Rows that differ in any column are rows of their own; only rows that are equal throughout
+    stand for each other, and only those are shuffled.
+    """
+    ident, uses, use = fresh(docs, "ident"), fresh(docs, "uses"), fresh(docs, "use")
+    plan = mixing_plan(docs, key, source, text, ident=row_hash(docs), **how)
+    counts = durable(plan.groupBy(F.col("_ident").alias(ident)).agg(F.count(F.lit(1)).alias(uses)))
+    rows = docs.withColumn(ident, row_hash(docs))
+    again = durable(rows.groupBy(ident).agg(F.count(F.lit(1)).alias(use)).filter(F.col(use) > 1).select(ident))
+    if again.take(1):
+        rows = sized_join(rows, again, [ident], "left_anti").unionByName(sized_join(rows, again, [ident], "left_semi").dropDuplicates([ident]))
+    return repeated(sized_join(rows, counts, [ident], "inner"), uses, use).select(docs.columns)

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import cumulative
+from thylakoid.llm.common import cumulative, repeated
 
 U64 = np.uint64
 
@@ -67,12 +67,12 @@ def shard_manifest(df: DataFrame, shards: int, key: str = "doc_id", text: str =
     ).groupBy("_key", "_size", "_crc").agg(F.count(F.lit(1)).alias("_copies"))
     rows = rows.withColumn("_shard", shard_column(F.col("_key"), shards)).withColumn("_grown", shard_column(F.col("_key"), shards + 1))
     rows = cumulative(rows, ["_shard"], ["_key", "_size", "_crc"], F.col("_copies"), "_slot", bins)
-    return rows.select(
+    return repeated(rows, "_copies", "_copy").select(
         F.col("_key").alias(key),
         F.col("_size").alias("size"),
         F.col("_crc").alias("text_crc32"),
         F.lit("key").alias("law"),
         F.col("_shard").alias("shard"),
-        F.explode(F.sequence(F.col("_slot"), F.col("_slot") + F.col("_copies") - 1)).alias("slot"),
+        (F.col("_slot") + F.col("_copy")).alias("slot"),
         F.col("_grown").alias("grown_shard"),
     )

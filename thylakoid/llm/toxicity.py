@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thylakoid.llm.boosting import fit, probabilities
-from thylakoid.llm.common import bounded_batches, durable
+from thylakoid.llm.common import bounded_batches, durable, fresh
 from thylakoid.llm.textkit import IS_SPACE, LOWER, NOT_PUNCTUATION, U64, as_long, blocks, combine, compact, find_words, hash_spans, ngrams
 
 #: Labelled rows that the model is fitted on at most: those whose key's hash is smallest.
@@ -203,6 +203,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
             score = probabilities(model, features(batch.column(batch.num_columns - 1), lexicon, weight))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(score)], [*batch.schema.names[:-1], "score"])
 
-    kept = docs.drop("score") if text != "score" else docs
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    return kept.withColumn("_text_", F.col(text)).mapInArrow(scored, f"{fields}, score double")
+    kept = [c for c in docs.columns if c != "score"]
+    taken = docs.select(*kept, F.col(text).alias(fresh(docs, "text")))
+    fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in taken.schema.fields[:-1])
+    return taken.mapInArrow(scored, f"{fields}score double")

@@ -27,7 +27,8 @@ def path_of(url: Column) -> Column:
 
 
 def _digest(host: Column, path: Column) -> Column:
-    return F.sha2(F.concat(host, path), 256)
+    """Of host and path with a sign between them that neither can hold."""
+    return F.sha2(F.concat(host, F.lit("?"), path), 256)
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
