@@ -2,6 +2,11 @@
 
 A stage takes (spark, docs, sf_dir) and returns a DataFrame; it is written as Parquet and read
 again as the next stage's ``docs``.  All stages but the last return the columns that they got.
+
+Decisions are taken by row, not by key: a row is known by a hash of the columns that the decision
+rests on, nulls among them, so keys may be null or occur with several texts, and columns may have
+any names beside doc_id, text and source.  Rows that are equal throughout are judged alike.  Empty
+tables give empty ones.
 """
 
 from __future__ import annotations
@@ -11,9 +16,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import durable, shared_folder, sized_join, table
+from thylakoid.llm.common import durable, fresh, remove, row_hash, shared_folder, sized_join, table
 from thylakoid.llm.decontaminate import contaminated
-from thylakoid.llm.jaccard import jaccard_components
+from thylakoid.llm.jaccard import one_of_each
 from thylakoid.llm.mixing import mix
 from thylakoid.llm.quality import judge_documents
 from thylakoid.llm.sharding import assign_shards
@@ -21,32 +26,32 @@ from thylakoid.llm.sharding import assign_shards
 SHARDS = 8
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the keys of ``dropped``; a row without a key stays."""
-    return sized_join(docs, durable(dropped.select("doc_id").filter("doc_id is not null").distinct()), ["doc_id"], "left_anti").select(docs.columns)
+def _marked(docs: DataFrame, columns: list[str]) -> tuple[DataFrame, str]:
+    """``docs`` with a hash of ``columns``, and what it is named."""
+    row = fresh(docs, "row")
+    return docs.withColumn(row, row_hash(docs, columns)), row
 
 
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules, their own or their host's, don't reject.
+def _without(marked: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
+    """``marked`` without the rows whose hash is among ``dropped``."""
+    return sized_join(marked, durable(dropped.select(row).distinct()), [row], "left_anti").drop(row)
 
-    A key with several texts goes if one of them is rejected; a document without a key stays.
-    """
-    return _without(docs, judge_documents(docs).filter("not kept"))
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rules, their own or their host's, don't reject; a null or empty text is rejected."""
+    marked, row = _marked(docs, ["doc_id", "source", "text"])
+    return _without(marked, row, judge_documents(marked, row).filter(~F.col("kept")))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies the document with the smallest key, once."""
-    found = jaccard_components(docs)
-    left = _without(docs, found.filter("doc_id <> component_id"))
-    repeated = durable(left.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null").select("doc_id"))
-    if not repeated.take(1):
-        return left
-    return _without(left, repeated).unionByName(sized_join(left, repeated, ["doc_id"], "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+    """Of each component of near copies the document with the smallest key, once; texts without words stay."""
+    return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no copy of a benchmark item."""
-    return _without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+    """Documents that hold no copy of a benchmark item; null and empty texts hold none."""
+    marked, row = _marked(docs, ["text"])
+    return _without(marked, row, contaminated(marked, table(spark, sf_dir, "benchmark"), row))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +60,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their shard."""
+    """Documents with their shard; rows of one key, null among them, share it."""
     return assign_shards(docs, "doc_id", SHARDS)
 
 
@@ -67,15 +72,22 @@ STAGES = [
     ("sharding", sharding),
 ]
 
-#: The alignment and the fitted exponent can't be expressed in SQL; tests hold the stages against brute force.
+#: The alignment and the fitted exponent can't be expressed in SQL; ``tests/llm/test_pipeline.py`` holds the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``, each written to the shared folder and read again."""
+    """All stages over the table ``documents``, each written to the shared folder and read again.
+
+    A stage's folder is deleted when the next one is written; the result reads the last.
+    """
     docs = table(spark, sf_dir, "documents")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            remove(spark, f"{folder}/{before}")
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
