@@ -32,6 +32,28 @@ def code() -> dict[str, str]:
     return {BASES[a] + BASES[b] + BASES[c]: AMINO_ACIDS[16 * a + 4 * b + c] for a, b, c in at} | FOURFOLD
 
 
+DIGIT = np.full(256, 5, dtype=np.uint8)
+DIGIT[list(b"TCAGN")] = np.arange(5)
+#: Amino acid of each codon of three digits, the first of weight 36.
+CODON = np.full(216, ord(UNKNOWN), dtype=np.uint8)
+for _codon, _amino in code().items():
+    CODON[DIGIT[list(_codon.encode())].astype(np.int64) @ np.array([36, 6, 1])] = ord(_amino)
+#: What complements each byte.
+COMPLEMENT = np.arange(256, dtype=np.uint8)
+COMPLEMENT[list(b"ATCGatcg")] = list(b"TAGCtagc")
+
+
+def as_bytes(text: str | None) -> np.ndarray:
+    """Letters of a sequence as bytes, one each; others than ASCII are unknown."""
+    return np.frombuffer((text or "").encode("ascii", "replace"), dtype=np.uint8)
+
+
+def amino_acids(letters: np.ndarray) -> np.ndarray:
+    """Amino acid (as a byte) of the codon at each place, of all three frames in turn."""
+    d = DIGIT[letters].astype(np.int64)
+    return CODON[36 * d[:-2] + 6 * d[1:-1] + d[2:]]
+
+
 def translate_dna(seq: Column, frame: int = 0) -> Column:
     """Protein of one frame; unknown codons give ``X``; null if there is no whole codon.
 
@@ -39,19 +61,9 @@ def translate_dna(seq: Column, frame: int = 0) -> Column:
     lambda for each codon took some hundred times longer, and a chain of 71 replacements was slow
     to plan.
     """
-    digit = np.full(256, 5, dtype=np.uint8)
-    digit[list(b"TCAGN")] = np.arange(5)
-    table = np.full(216, ord(UNKNOWN), dtype=np.uint8)
-    for codon, amino in code().items():
-        a, b, c = digit[list(codon.encode())].tolist()
-        table[36 * a + 6 * b + c] = ord(amino)
 
     def one(text: str | None) -> str | None:
-        if text is None or len(text) < frame + 3:
-            return None
-        raw = np.frombuffer(text.encode("ascii", "replace"), dtype=np.uint8)[frame:]
-        parts = digit[raw[: len(raw) // 3 * 3]].reshape(-1, 3).astype(np.int64)
-        return table[parts @ np.array([36, 6, 1])].tobytes().decode()
+        return amino_acids(as_bytes(text))[frame::3].tobytes().decode() if text is not None and len(text) >= frame + 3 else None
 
     @F.arrow_udf("string")
     def run(texts: pa.Array) -> pa.Array:
@@ -66,6 +78,19 @@ def six_frames(seq: Column) -> Column:
     return F.array(*[translate_dna(s, k) for s in (seq, back) for k in range(3)])
 
 
+def pieces(seq: Column, spans: Column) -> Column:
+    """The pieces of a sequence at an array of (start, end), 1-based and inclusive; a start before 1 is 1, a null span null.
+
+    An Arrow-backed function: each ``substring`` would walk the sequence from the start.
+    """
+
+    @F.pandas_udf("array<string>")
+    def run(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([[None if t is None or x is None else t[max(x["start"], 1) - 1 : max(x["end"], 0)] for x in xs] for t, xs in zip(texts, spans, strict=True)])
+
+    return run(seq, spans)
+
+
 def index_of(text: Column, part: Column, start: Column | int = 0) -> Column:
     """First 0-based position of ``part`` at or after ``start``; -1 if there is none or ``part`` is empty."""
     start = F.greatest(F.lit(0), start if isinstance(start, Column) else F.lit(start))

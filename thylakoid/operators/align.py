@@ -1,38 +1,38 @@
-"""A seed-and-join similarity search that writes hits in the 12 tabular columns.
+"""A seed-and-extend similarity search that writes hits in the 12 tabular columns.
 
-It stands in for an external search tool: exact seeds meet in an equi-join on k-mers, seeds that
-overlap on one diagonal are one hit, and the E-value is that of Karlin and Altschul (1990).  Its
-hits are ungapped and identical throughout; it doesn't claim the sensitivity of a search with
-gaps and mismatches.
+It stands in for an external search tool.  Words of ``k`` letters are packed into numbers; those
+of the queries that the subjects can't have never leave the task that cuts them, and the others
+meet the subjects' in an equi-join.  Seeds are extended along their diagonal, over mismatches, until
+the score falls too far below its best, and the E-value is that of Karlin and Altschul (1990).
+Hits have no gaps.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import revcomp, six_frames
-from thylakoid.operators.intervals import islands
+from thylakoid.functions.sequence import COMPLEMENT, STOP, UNKNOWN, amino_acids, as_bytes, revcomp
+from thylakoid.plans.cuts import cut
 
 #: Parameters of the extreme-value distribution for match 1, mismatch -2, ungapped.
 LAMBDA, K = 1.33, 0.621
-#: Bits (as a power of two) of the bitmap that keeps out k-mers that the other side doesn't have.
+MATCH, MISMATCH = 1, -2
+#: Letters of a seed, and how far a score may fall below its best before an extension ends.
+SEED, DROP = 16, 10
+#: Bits (as a power of two) of the bitmap that keeps out words that the other side doesn't have.
 BITS = 20
 
-
-def kmers(df: DataFrame, key: str, seq: str, k: int, step: int = 1) -> DataFrame:
-    """``key``, ``pos`` (0-based) and ``kmer`` of every ``step``-th k-mer.
-
-    The sequence is cut k times at different offsets rather than at each position, which would
-    walk it from the start every time.
-    """
-    offset = df.select(key, F.col(seq).alias("_seq"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("_offset")) if step == 1 else df.select(key, F.col(seq).alias("_seq"), F.lit(0).alias("_offset"))
-    cut = F.regexp_extract_all(F.substring(F.col("_seq"), F.col("_offset") + 1, F.length("_seq")), F.lit("(?s).{%d}" % k), F.lit(0))
-    return offset.select(key, "_offset", F.posexplode(cut).alias("_i", "kmer")).select(key, (F.col("_offset") + F.col("_i") * k).alias("pos"), "kmer")
+_BASE = np.full(256, 4, dtype=np.uint8)
+_BASE[list(b"ACGT")] = np.arange(4)
+_RESIDUE = np.zeros(256, dtype=np.int64)
+_RESIDUE[list(b"ACDEFGHIKLMNPQRSTVWY" + STOP.encode())] = np.arange(1, 22)
 
 
 def _slots(text: str | None, k: int) -> np.ndarray:
@@ -62,35 +62,165 @@ def kmers_among(df: DataFrame, key: str, seq: str, k: int, others: DataFrame) ->
     return df.select(key, F.explode(taken(seq)).alias("kmer"))
 
 
-def search(queries: DataFrame, subjects: DataFrame, k: int = 24, evalue: float = 0.1) -> DataFrame:
-    """Hits of ``subjects`` (ref_id, seq) in ``queries`` (qseqid, seq): the 12 columns, 1-based.
+def dna_words(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place and packed word of each run of ``k`` bases; letters other than ACGT are in none."""
+    digit = _BASE[letters].astype(np.int64)
+    n = max(0, len(digit) - k + 1)
+    word, sound = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for i in range(k):
+        word = word * 4 + digit[i : i + n]
+        sound &= digit[i : i + n] < 4
+    at = np.flatnonzero(sound)
+    return at, word[at]
+
+
+def protein_words(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place, in bases, and packed word of each run of ``k`` residues in any frame; unknown residues are in none."""
+    residue = _RESIDUE[amino_acids(letters)] if len(letters) >= 3 else np.zeros(0, dtype=np.int64)
+    n = max(0, len(residue) - 3 * (k - 1))
+    word, sound = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+    for i in range(k):
+        word = word * 22 + residue[3 * i : 3 * i + n]
+        sound &= residue[3 * i : 3 * i + n] > 0
+    at = np.flatnonzero(sound)
+    return at, word[at]
 
-    On the minus strand sstart is after send.  Every maximal exact match of ``k`` or more is found.
+
+def _bit(words: np.ndarray) -> np.ndarray:
+    return ((words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
+
+
+def _words_of(df: DataFrame, key: str, cut_words, k: int, have: np.ndarray | None = None, both: bool = False, span: int | None = None) -> DataFrame:
+    """``key``, ``pos``, ``back`` and ``word`` of the sequences of ``df`` (key, seq), of those in the bitmap ``have``; with ``both`` of either strand.
+
+    Places on the other strand are those of the complement, or with ``span``, the bases of a word,
+    of the sequence itself.
     """
-    forward = subjects.select("ref_id", F.length("seq").alias("_n"), F.col("seq").alias("_s"), F.lit(False).alias("_back"))
-    both = forward.unionByName(subjects.select("ref_id", F.length("seq").alias("_n"), revcomp(F.col("seq")).alias("_s"), F.lit(True).alias("_back")))
-    seeds = kmers(both.withColumn("_id", F.struct("ref_id", "_n", "_back")), "_id", "_s", k).select("_id.*", F.col("pos").alias("_sp"), "kmer")
-    found = kmers(queries, "qseqid", "seq", k).join(seeds, "kmer")
-    found = found.select("qseqid", "ref_id", "_n", "_back", (F.col("pos") - F.col("_sp")).alias("_diagonal"), F.col("pos").alias("start"), (F.col("pos") + k - 1).alias("end"), "_sp")
-    keys = ["qseqid", "ref_id", "_n", "_back", "_diagonal"]
-    runs = islands(found, keys).groupBy(*keys, "island").agg(F.min("start").alias("q0"), F.max("end").alias("q1"))
-    runs = runs.join(queries.select("qseqid", F.length("seq").cast("double").alias("_m")), "qseqid")
-    length = (F.col("q1") - F.col("q0") + 1).cast("int")
-    s0, s1 = F.col("q0") - F.col("_diagonal"), F.col("q1") - F.col("_diagonal")
-    at = lambda p: F.when(F.col("_back"), F.col("_n") - p).otherwise(p + 1).cast("int")
-    e = F.lit(K) * F.col("_m") * F.col("_n") * F.exp(-LAMBDA * length)
-    return runs.select(
-        "qseqid", F.col("ref_id").alias("sseqid"), F.lit(100.0).alias("pident"), length.alias("length"), F.lit(0).alias("mismatch"), F.lit(0).alias("gapopen"),
-        (F.col("q0") + 1).cast("int").alias("qstart"), (F.col("q1") + 1).cast("int").alias("qend"), at(s0).alias("sstart"), at(s1).alias("send"),
-        e.alias("evalue"), ((LAMBDA * length - math.log(K)) / math.log(2)).alias("bitscore"),
+    kind = df.schema[key].dataType.simpleString()
+    shared = df.sparkSession.sparkContext.broadcast(have)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            row, pos, back, word = [], [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                letters = as_bytes(text)
+                for reverse in (False, True) if both else (False,):
+                    at, found = cut_words(COMPLEMENT[letters[::-1]] if reverse else letters, k)
+                    if bits is not None:
+                        kept = bits[_bit(found)]
+                        at, found = at[kept], found[kept]
+                    row.append(np.full(len(at), i))
+                    pos.append(len(letters) - span - at if reverse and span else at)
+                    back.append(np.full(len(at), reverse))
+                    word.append(found)
+            if row:
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(np.concatenate(row))), pa.array(np.concatenate(pos).astype(np.int32)), pa.array(np.concatenate(back)), pa.array(np.concatenate(word))], [key, "pos", "back", "word"]
+                )
+
+    return df.select(key, "seq").mapInArrow(run, f"`{key}` {kind}, pos int, back boolean, word long")
+
+
+def _bitmap(words: DataFrame) -> np.ndarray:
+    """The bits of ``words`` (word): of fixed size, whatever their number."""
+
+    @F.pandas_udf("long")
+    def bit(words: pd.Series) -> pd.Series:
+        return pd.Series(_bit(words.to_numpy()))
+
+    have = np.zeros(1 << BITS, dtype=bool)
+    have[[r[0] for r in words.select(bit("word")).distinct().collect()]] = True  # 2^20 rows at most
+    return have
+
+
+def _small(words: DataFrame, limit: int = 500_000) -> DataFrame:
+    """A durable table of words, to be broadcast if it is small."""
+    return F.broadcast(words) if words.count() <= limit else words
+
+
+def extend(a: np.ndarray, b: np.ndarray, k: int, drop: int = DROP) -> list[tuple[int, int, int]]:
+    """Hits (start, end, mismatches) of two sequences of equal length laid side by side; end inclusive.
+
+    Each stretch of ``k`` equal bases or more is extended both ways, up to where the score is best
+    before it falls more than ``drop`` below its best; hits that overlap are one.
+    """
+    same = (a == b) & (_BASE[a] < 4)
+    edge = np.diff(np.concatenate([[0], same.astype(np.int8), [0]]))
+    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
+    step = np.where(same, MATCH, MISMATCH)
+
+    def gained(steps: np.ndarray) -> int:
+        if not len(steps):
+            return 0
+        score = np.cumsum(steps)
+        fallen = np.maximum(np.maximum.accumulate(score), 0) - score > drop
+        reach = int(fallen.argmax()) if fallen.any() else len(score)
+        best = int(score[:reach].argmax()) if reach else 0
+        return best + 1 if reach and score[best] > 0 else 0
+
+    spans = [(x - gained(step[:x][::-1]), y + gained(step[y + 1 :])) for x, y in zip(first.tolist(), last.tolist(), strict=True) if y - x + 1 >= k]
+    hits: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if hits and low <= hits[-1][1]:
+            low, high = hits[-1][0], max(high, hits.pop()[1])
+        hits.append((low, high))
+    return [(x, y, int((~same[x : y + 1]).sum())) for x, y in hits]
+
+
+def search(queries: DataFrame, subjects: DataFrame, k: int = SEED, evalue: float = 0.1, drop: int = DROP) -> DataFrame:
+    """Hits of ``subjects`` (ref_id, seq) in ``queries`` (qseqid, seq), with unique ids: the 12 columns, 1-based.
+
+    On the minus strand sstart is after send.  Every ungapped alignment with ``k`` equal bases in a
+    row is found, mismatches and all; bases other than ACGT never match.  The diagonals of a query
+    are gathered and extended in one go, so a query is moved once.
+    """
+    seeds = _words_of(subjects.withColumnRenamed("ref_id", "_ref"), "_ref", dna_words, k, both=True)
+    seeds = cut(seeds.withColumnRenamed("pos", "_at"))
+    found = _words_of(queries, "qseqid", dna_words, k, _bitmap(seeds)).drop("back")
+    near = found.join(_small(seeds), "word").select("qseqid", "_ref", "back", (F.col("pos") - F.col("_at")).alias("diagonal")).distinct()
+    sides = subjects.select(F.col("ref_id").alias("_ref"), F.lit(False).alias("back"), "seq").unionByName(subjects.select(F.col("ref_id").alias("_ref"), F.lit(True).alias("back"), revcomp(F.col("seq")).alias("seq")))
+    lanes = near.groupBy("qseqid", "_ref", "back").agg(F.collect_list("diagonal").alias("diagonals")).join(sides, ["_ref", "back"])
+    lanes = lanes.groupBy(F.col("qseqid").alias("_q")).agg(F.collect_list(F.struct(F.col("_ref").alias("ref"), "back", "diagonals", "seq")).alias("lanes"))
+
+    @F.pandas_udf("array<struct<lane:int,q0:int,q1:int,s0:int,s1:int,mismatch:int>>")
+    def laid(texts: pd.Series, lanes: pd.Series) -> pd.Series:
+        out = []
+        for text, sides in zip(texts, lanes, strict=True):
+            query, rows = as_bytes(text), []
+            for i, side in enumerate(sides):
+                subject = as_bytes(side["seq"])
+                for d in side["diagonals"]:
+                    low, high = max(0, d), min(len(query), len(subject) + d)
+                    for x, y, off in extend(query[low:high], subject[low - d : high - d], k, drop):
+                        rows.append({"lane": i, "q0": low + x, "q1": low + y, "s0": low + x - d, "s1": low + y - d, "mismatch": off})
+            out.append(rows)
+        return pd.Series(out)
+
+    rows = lanes.join(queries.select("qseqid", "seq"), F.col("_q") == F.col("qseqid")).select("qseqid", F.length("seq").cast("double").alias("_m"), "lanes", F.explode(laid("seq", "lanes")).alias("h"))
+    rows = rows.select("qseqid", "_m", F.col("lanes")[F.col("h.lane")].alias("_l"), "h.*").select("*", F.length("_l.seq").alias("_n"))
+    length = F.col("q1") - F.col("q0") + 1
+    score = length * MATCH + F.col("mismatch") * (MISMATCH - MATCH)
+    at = lambda p: F.when(F.col("_l.back"), F.col("_n") - p).otherwise(p + 1).cast("int")
+    e = F.lit(K) * F.col("_m") * F.col("_n") * F.exp(-LAMBDA * score)
+    return rows.select(
+        "qseqid", F.col("_l.ref").alias("sseqid"), (F.lit(100.0) * (length - F.col("mismatch")) / length).alias("pident"), length.cast("int").alias("length"), F.col("mismatch"), F.lit(0).alias("gapopen"),
+        (F.col("q0") + 1).cast("int").alias("qstart"), (F.col("q1") + 1).cast("int").alias("qend"), at(F.col("s0")).alias("sstart"), at(F.col("s1")).alias("send"),
+        e.alias("evalue"), ((LAMBDA * score - math.log(K)) / math.log(2)).alias("bitscore"),
     ).filter(F.col("evalue") <= evalue)
 
 
-def genome_search_pairs(orfs: DataFrame, refs: DataFrame, k: int = 5) -> DataFrame:
-    """Distinct (qseqid, sseqid) of frames and references that share a k-residue protein word, of any frame of either."""
-    def words(df: DataFrame, key: str) -> DataFrame:
-        frames = df.select(key, F.explode(six_frames(F.col("seq"))).alias("protein")).filter("protein is not null")
-        return kmers(frames, key, "protein", k).select(key, "kmer").filter(~F.contains(F.col("kmer"), F.lit("X"))).distinct()
+def genome_search_pairs(orfs: DataFrame, genomes: DataFrame, refs: DataFrame, k: int = 5) -> DataFrame:
+    """Distinct (qseqid, sseqid) of frames and references that share a k-residue protein word, of any frame of either.
 
-    a, b = words(orfs, "orf_id"), words(refs, "ref_id")
-    return a.join(b, "kmer").select(F.col("orf_id").alias("qseqid"), F.col("ref_id").alias("sseqid")).distinct()
+    ``orfs`` has genome_id, orf_id, start0 and end0.  A word of a frame lies, on either strand, at
+    some place of the genome within the frame: so genomes are cut into words once, and the few
+    that a reference has as well meet the frames in bins of places.
+    """
+    width = 1024
+    theirs = cut(_words_of(refs.select("ref_id", "seq"), "ref_id", protein_words, k, both=True).select("ref_id", "word").distinct())
+    found = _words_of(genomes, "genome_id", protein_words, k, _bitmap(theirs), both=True, span=3 * k)
+    hits = found.join(_small(theirs), "word").select("genome_id", "ref_id", F.col("pos").alias("_at")).distinct().withColumn("_bin", F.floor(F.col("_at") / width))
+    frames = orfs.select("genome_id", "orf_id", "start0", "end0").withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start0") / width), F.floor(F.col("end0") / width))))
+    inside = (F.col("start0") <= F.col("_at")) & (F.col("_at") + 3 * k - 1 <= F.col("end0"))
+    return frames.join(hits, ["genome_id", "_bin"]).filter(inside).select(F.col("orf_id").alias("qseqid"), F.col("ref_id").alias("sseqid")).distinct()

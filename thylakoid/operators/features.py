@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import exon_gene, exon_number, feature_class, ref_id, revcomp
+from thylakoid.functions.sequence import exon_gene, exon_number, feature_class, pieces, ref_id, revcomp
 from thylakoid.operators.intervals import last_written
 
 #: Words that mark a line as a region or an intron rather than a gene.
@@ -104,6 +104,19 @@ def is_region(name: Column, line: Column | None = None) -> Column:
     return plain | name.rlike(r"^trn\w+-\w\w\w(_exon\d)?$")
 
 
+def sliced(spans: DataFrame, seqs: DataFrame, key: str, start: Column, end: Column) -> DataFrame:
+    """``spans`` with ``seq``: the slice from ``start`` to ``end`` (1-based, inclusive) of the sequence of its ``key``.
+
+    ``seqs`` has one row (key, seq) for each key.  The spans of a sequence are gathered and cut in
+    one go, so a sequence is moved once and not once for each span.
+    """
+    columns = spans.columns
+    rows = spans.groupBy(F.col(key).alias("_of")).agg(F.collect_list(F.struct(F.struct(*columns).alias("row"), F.struct(start.alias("start"), end.alias("end")).alias("span"))).alias("_g"))
+    rows = rows.join(seqs.select(F.col(key).alias("_to"), "seq"), F.col("_of") == F.col("_to"))
+    rows = rows.select("_g", pieces(F.col("seq"), F.transform("_g", lambda x: x["span"])).alias("_cut"))
+    return rows.select(F.explode(F.arrays_zip(F.transform("_g", lambda x: x["row"]).alias("row"), F.col("_cut").alias("cut"))).alias("x")).select("x.row.*", F.col("x.cut").alias("seq"))
+
+
 def extract_regions(features: DataFrame, guides: DataFrame, order: list[str]) -> DataFrame:
     """``ref_id``, ``feature``, ``guide_no``, ``class``, ``seq`` of the features of guide genomes.
 
@@ -111,10 +124,9 @@ def extract_regions(features: DataFrame, guides: DataFrame, order: list[str]) ->
     last of several features of one name counts; ``guides`` has guide_no and seq.
     """
     rows = last_written(features.filter(is_region(F.col("name"))), ["guide_no", "name"], order)
-    rows = rows.select("guide_no", "name", "start", "end", "strand").join(guides.select("guide_no", F.col("seq").alias("_seq")), "guide_no")
-    piece = F.substring(F.col("_seq"), F.greatest("start", F.lit(1)), F.col("end") - F.col("start") + 1)
+    rows = sliced(rows.select("guide_no", "name", "start", "end", "strand"), guides, "guide_no", F.col("start"), F.greatest("start", F.lit(1)) + F.col("end") - F.col("start"))
     return rows.select(
-        ref_id(F.col("name"), F.col("guide_no")).alias("ref_id"), F.col("name").alias("feature"), "guide_no", feature_class(F.col("name")).alias("class"), F.when(F.col("strand") == "-", revcomp(piece)).otherwise(piece).alias("seq")
+        ref_id(F.col("name"), F.col("guide_no")).alias("ref_id"), F.col("name").alias("feature"), "guide_no", feature_class(F.col("name")).alias("class"), F.when(F.col("strand") == "-", revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("seq")
     )
 
 

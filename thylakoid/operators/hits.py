@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import feature_class, find_all, frame_protein, hit_strand, kmer_score, kmer_score_legacy, kmer_score_rna, exon_number, revcomp, six_frames, strip_guide
+from thylakoid.functions.sequence import find_all, frame_protein, hit_strand, kmer_score, kmer_score_legacy, kmer_score_rna, exon_number, revcomp, six_frames, strip_guide
+from thylakoid.operators.features import sliced
 from thylakoid.operators.intervals import union_length
 
-#: Least scores of proteins (now, and in older versions), and of RNA length.
-PROTEIN_LEAST, PROTEIN_LEAST_OLD = 0.70, (0.75, 0.85)
-RNA_LENGTH, RNA_LENGTH_OLD = 0.97, 0.98
-EVALUE = 0.1
+#: Least score of a protein, part of an RNA's length, E-value, and part of a reference that hits cover.
+PROTEIN_LEAST, RNA_LENGTH, EVALUE, COVERAGE = 0.70, 0.97, 0.1, 0.9
 
 
 def filter_hits(hits: DataFrame, identity: float = 0.5, evalue: float | None = EVALUE, reverse_only: str | None = "rpl16") -> DataFrame:
@@ -36,6 +35,11 @@ def hsp_coverage(hits: DataFrame, refs: DataFrame) -> DataFrame:
     return covered.join(refs.select(F.col("ref_id").alias("sseqid"), F.length("seq").alias("ref_len")), "sseqid").withColumn("fraction", F.col("covered").cast("double") / F.col("ref_len"))
 
 
+def covered_pairs(hits: DataFrame, refs: DataFrame, least: float = COVERAGE) -> DataFrame:
+    """Pairs whose hits together cover ``least`` of the reference or more."""
+    return hsp_coverage(hits, refs).filter(F.col("fraction") >= least)
+
+
 def coverage_tier(ref_len: Column, long_least: float = 0.20) -> Column:
     """Least coverage by the older rules: lower for longer references (``long_least`` was 0.05 in one version)."""
     return F.when(ref_len > 4500, long_least).when(ref_len > 1400, 0.30).otherwise(0.65)
@@ -78,9 +82,9 @@ def best_rna_hits(hits: DataFrame, queries: DataFrame, refs: DataFrame, compat:
     if compat:
         scored = named.withColumn("score", F.lit(0.0))
     else:
-        low, high = F.least("qstart", "qend"), F.greatest("qstart", "qend")
-        scored = named.join(queries.select("qseqid", F.col("seq").alias("_q")), "qseqid").join(refs.select(F.col("ref_id").alias("sseqid"), F.col("seq").alias("_r")), "sseqid")
-        piece = F.substring(F.col("_q"), low, high - low + 1)
+        scored = sliced(named, queries, "qseqid", F.least("qstart", "qend"), F.greatest("qstart", "qend")).withColumnRenamed("seq", "_q")
+        scored = scored.join(refs.select(F.col("ref_id").alias("sseqid"), F.col("seq").alias("_r")), "sseqid")
+        piece = F.col("_q")
         strand = hit_strand(F.col("qstart"), F.col("qend"), F.col("sstart"), F.col("send"))
         scored = scored.withColumn("score", kmer_score_rna(F.when(strand == "-", revcomp(piece)).otherwise(piece), F.col("_r"))).drop("_q", "_r")
     rank = F.row_number().over(Window.partitionBy("qseqid", "short_name").orderBy(F.desc_nulls_last("score"), "line_no"))
@@ -122,7 +126,3 @@ def locate_short_exons(shorts: DataFrame, candidates: DataFrame, genomes: DataFr
     rows = rows.filter(F.size("_at") > 0).withColumn("_p", place)
     n = F.row_number().over(Window.partitionBy("genome_id").orderBy("ref_id"))
     return rows.select("genome_id", "ref_id", F.concat(F.lit("orfx"), n.cast("string"), F.when(F.col("_back"), "-r").otherwise("")).alias("orf_id"), (F.col("_p") + 1).alias("start"), (F.col("_p") + F.length("_seq")).alias("end"))
-
-
-def is_rna(ref: Column) -> Column:
-    return feature_class(ref) != "gene"

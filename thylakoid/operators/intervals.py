@@ -36,10 +36,26 @@ def depth(df: DataFrame, keys: list[str], start: str = "start", end: str = "end"
     return edges.filter("depth > 0").select(*keys, "start", "end", "depth")
 
 
+def depth_members(df: DataFrame, keys: list[str], name: str, start: str = "start", end: str = "end") -> DataFrame:
+    """The stretches of ``depth`` cut where their intervals change, with ``members``: the sorted distinct names of those that cover them.
+
+    Each interval is put on the stretches between neighbouring bounds that it covers, so rows are
+    as many as the lists' entries.
+    """
+    bounds = df.select(*keys, F.explode(F.array(F.col(start), F.col(end) + 1)).alias("start")).distinct()
+    order = Window.partitionBy(*keys).orderBy("start")
+    cells = bounds.withColumn("end", F.lead("start").over(order) - 1).withColumn("_n", F.row_number().over(order)).filter("end is not null")
+    edge = lambda c, n: cells.select(*keys, F.col(c).alias(f"_{n}"), F.col("_n").alias(f"_{n}_n"))
+    spans = df.select(*keys, F.col(start).alias("_a"), F.col(end).alias("_b"), F.col(name).alias("_name")).join(edge("start", "a"), [*keys, "_a"]).join(edge("end", "b"), [*keys, "_b"])
+    held = spans.select(*keys, "_name", F.explode(F.sequence("_a_n", "_b_n")).alias("_n")).groupBy(*keys, "_n").agg(F.array_sort(F.collect_set("_name")).alias("members"))
+    return cells.join(held, [*keys, "_n"]).select(*keys, "start", "end", "members")
+
+
 def last_written(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The last row of each key by ``order``, null keys among them."""
-    rank = F.row_number().over(Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order]))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    """The last row of each key by ``order``, null keys among them; an aggregation, so copies go before the shuffle."""
+    rank = F.struct(*[x for c in order for x in (F.col(c).isNotNull(), F.col(c))])
+    last = df.groupBy(*key).agg(F.max_by(F.struct(*[c for c in df.columns if c not in key] or [F.lit(0).alias("_none")]), rank).alias("_last"))
+    return last.select(*[F.col(c) if c in key else F.col("_last")[c].alias(c) for c in df.columns])
 
 
 def drop_contained(df: DataFrame, keys: list[str], start: str = "start", end: str = "end") -> DataFrame:

@@ -1,60 +1,86 @@
 """Open reading frames in six frames, without a shuffle.
 
-Each genome is one row; a frame is translated, and its runs lie between stops and unknown codons.  Only runs that are long enough leave the row.
+Each genome is one row; its codons are looked up at once, and runs lie between stops and unknown
+codons.  Only runs that are long enough leave the row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import STOP, UNKNOWN, revcomp, translate_dna
+from thylakoid.functions.sequence import COMPLEMENT, STOP, UNKNOWN, amino_acids, as_bytes
+from thylakoid.operators.features import sliced
 from thylakoid.operators.intervals import union_length
 
 #: An open reading frame has more nucleotides than this, its stop included.
 MORE_THAN = 18
 
 
-def _runs(seq: Column, frame: int, longer: int, compat: bool) -> Column:
-    """Array of (frame, start0, end0, nt) of the runs of one frame, in order."""
-    # the protein is cut into runs and single breaks; only its few pieces pass an interpreted lambda
-    pieces = F.regexp_extract_all(F.coalesce(translate_dna(seq, frame), F.lit("")), F.lit(f"[^{STOP}{UNKNOWN}]+{STOP}?|[{STOP}{UNKNOWN}]"), F.lit(0))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<a:int,n:int,stop:boolean>>").alias("kept"))
-
-    def step(state: Column, piece: Column) -> Column:
-        n = F.length(piece)
-        run = F.array(F.struct(state["at"].alias("a"), n.alias("n"), piece.endswith(STOP).alias("stop")))
-        return F.struct((state["at"] + n).alias("at"), F.when(n * 3 > longer, F.concat(state["kept"], run)).otherwise(state["kept"]).alias("kept"))
-
-    runs = F.aggregate(pieces, start, step)["kept"]
-    if compat and frame == 2:
-        rest = F.length(seq) - frame
-        runs = F.filter(runs, lambda r: r.stop | (r.a + r.n < F.floor(rest / 3)) | (rest % 3 == 2))
-    return F.transform(runs, lambda r: F.struct(F.lit(frame).alias("frame"), (r.a * 3 + frame).alias("start0"), ((r.a + r.n) * 3 + frame - 1).alias("end0"), (r.n * 3).alias("nt")))
-
-
-def find_orfs(genomes: DataFrame, longer: int = MORE_THAN, compat: bool = False) -> DataFrame:
-    """``genome_id``, ``orf_id``, ``strand``, ``frame``, ``start0``, ``end0``, ``nt`` of ``genomes`` (genome_id, seq).
+def runs(letters: np.ndarray, longer: int, compat: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Frame, start and end (0-based, inclusive) of the runs of one strand, by frame and start."""
+    found = []
+    every = amino_acids(letters)
+    for frame in range(3):
+        amino = every[frame::3]
+        coding = np.concatenate([[False], (amino != ord(STOP)) & (amino != ord(UNKNOWN)), [False]])
+        first = np.flatnonzero(coding[1:] & ~coding[:-1])
+        last = np.flatnonzero(coding[:-1] & ~coding[1:])  # after the run
+        broken = last < len(amino)
+        stop = broken.copy()
+        stop[broken] = amino[last[broken]] == ord(STOP)
+        until = last + stop
+        kept = (until - first) * 3 > longer
+        if compat and frame == 2 and (len(letters) - frame) % 3 != 2:
+            kept &= broken
+        found.append((np.full(kept.sum(), frame), first[kept] * 3 + frame, until[kept] * 3 + frame - 1))
+    return tuple(np.concatenate(x).astype(np.int32) for x in zip(*found, strict=True))
+
+
+def find_orfs(genomes: DataFrame, longer: int = MORE_THAN, compat: bool = False, sequences: bool = False) -> DataFrame:
+    """``genome_id``, ``orf_id``, ``strand``, ``frame``, ``start0``, ``end0``, ``nt`` of ``genomes`` (genome_id, seq), with ``seq`` if ``sequences``.
 
     A run of coding codons needs no start codon and takes the stop that ends it along; a codon
     that isn't in the code ends it too.  Runs are numbered by frame and start for each strand;
     those of the reverse strand get ``-r`` and forward coordinates, and keep the frame of their
-    own strand.  ``compat`` drops a run that is still open at the end of frame 2.
+    own strand; their ``seq`` is the forward slice as well.  ``compat`` drops a run that is still
+    open at the end of frame 2.
     """
-    def strand(rows: DataFrame, reverse: bool) -> DataFrame:
-        seq = F.col("seq")
-        found = rows.select("genome_id", F.length("seq").alias("len"), F.posexplode(F.concat(*[_runs(seq, k, longer, compat) for k in range(3)])).alias("pos", "r"))
-        name = F.concat(F.lit("orf"), (F.col("pos") + 1).cast("string"), F.lit("-r" if reverse else ""))
-        start, end = (F.col("len") - F.col("r.end0") - 1, F.col("len") - F.col("r.start0") - 1) if reverse else (F.col("r.start0"), F.col("r.end0"))
-        return found.select("genome_id", name.alias("orf_id"), F.lit("-" if reverse else "+").alias("strand"), "r.frame", start.alias("start0"), end.alias("end0"), "r.nt")
-
-    back = genomes.select("genome_id", revcomp(F.col("seq")).alias("seq"))
-    return strand(genomes, False).unionByName(strand(back, True))
+    kind = genomes.schema["genome_id"].dataType.simpleString()
+    names = ["genome_id", "orf_id", "strand", "frame", "start0", "end0", "nt", *(["seq"] if sequences else [])]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, cells, seqs = [], [[] for _ in range(6)], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                letters = as_bytes(text)
+                if len(letters) < 3:
+                    continue
+                for strand, side in (("+", letters), ("-", COMPLEMENT[letters[::-1]])):
+                    frame, start, end = runs(side, longer, compat)
+                    mark = "-r" if strand == "-" else ""
+                    low, high = (len(letters) - 1 - end, len(letters) - 1 - start) if mark else (start, end)
+                    row.append(np.full(len(frame), i))
+                    for cell, value in zip(cells, ([f"orf{n}{mark}" for n in range(1, len(frame) + 1)], [strand] * len(frame), frame, low, high, end - start + 1), strict=True):
+                        cell.append(value)
+                    if sequences:
+                        seqs += [text[a : b + 1] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+            if row:
+                texts = [pa.array([x for part in c for x in part], pa.string()) for c in cells[:2]]
+                numbers = [pa.array(np.concatenate(c).astype(np.int32)) for c in cells[2:]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(row))), *texts, *numbers, *([pa.array(seqs, pa.string())] if sequences else [])], names)
+
+    schema = f"genome_id {kind}, orf_id string, strand string, frame int, start0 int, end0 int, nt int" + (", seq string" if sequences else "")
+    return genomes.select("genome_id", "seq").mapInArrow(run, schema)
 
 
 def orf_sequences(orfs: DataFrame, genomes: DataFrame) -> DataFrame:
-    """``orfs`` with ``seq``: the forward slice, for reverse ones as well."""
-    return orfs.join(genomes.select("genome_id", F.col("seq").alias("genome")), "genome_id").withColumn("seq", F.substring(F.col("genome"), F.col("start0") + 1, F.col("end0") - F.col("start0") + 1)).drop("genome")
+    """``orfs`` with ``seq``: the forward slice, for reverse ones as well.  Frames just found have it from ``find_orfs``."""
+    return sliced(orfs, genomes, "genome_id", F.col("start0") + 1, F.col("end0") + 1)
 
 
 def orf_summary(orfs: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
-"""The whole annotation, and the import of annotations, as one lazy plan each.
+"""The whole annotation, and the import of annotations.
 
-Genomes are annotated side by side: every join and window is keyed by the genome.
+The annotation makes six durable cuts while its plan is built: where the plan branches, so that
+nothing is computed twice.  Genomes are annotated side by side: every join and window is keyed by the genome.
 """
 
 from __future__ import annotations
@@ -47,7 +48,7 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     ``pairs`` (qseqid: ``{genome}:{frame}``).
     """
     seqs = genomes.select(F.col("genome_id").cast("string").alias("qseqid"), "seq")
-    orfs = orf.orf_sequences(orf.find_orfs(genomes, compat=compat), genomes)
+    orfs = orf.find_orfs(genomes, compat=compat, sequences=True)
     orfs = cut(orfs.withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id")))
     refs = cut(features.short_exons(refs))
     genes, rnas = refs.filter("class = 'gene' and not short"), refs.filter("class <> 'gene'")
@@ -60,7 +61,7 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     rna = rna.select("genome_id", "ref_id", "orf_id", "start", "end")
 
     if pairs is None:
-        pairs = align.genome_search_pairs(orfs, genes)
+        pairs = align.genome_search_pairs(orfs, genomes, genes)
     pairs = pairs.filter(~(F.contains(F.col("sseqid"), F.lit("rpl16")) & ~F.contains(F.col("qseqid"), F.lit("-r"))))
     proteins = best_orfs(orfs, genes, pairs, compat=compat).select("genome_id", "ref_id", "orf_id", "start", "end")
     cleaned = intervals.clean_overlaps(cut(proteins.withColumn("rna", F.lit(False)).unionByName(rna.withColumn("rna", F.lit(True)))), ["genome_id", "ref_id"], length=F.when(F.col("rna"), 0).otherwise(F.col("end") - F.col("start")) if compat else None, compat=compat)

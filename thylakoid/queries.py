@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as seq
 from thylakoid.operators import align, features, hits, intervals, orf, repeats
 from thylakoid.plans import annotate, inputs
-from thylakoid.sources import readers
+from thylakoid.plans.cuts import shared_folder
+from thylakoid.sources import readers, writers
+from thylakoid.streaming import frames
 
 Query = Callable[[SparkSession, str], DataFrame]
 SPAN = ["genome_id", "start", "end", "strand", "name"]
@@ -51,6 +54,12 @@ def _hits(spark: SparkSession, d: str) -> DataFrame:
     return align.search(queries, inputs.references(spark, d)).withColumn("line_no", F.row_number().over(order))
 
 
+def _rounded(found: DataFrame) -> DataFrame:
+    """All columns of hits, real ones to six places."""
+    real = [F.round("pident", 6).alias("pident"), F.round(F.log10("evalue"), 6).alias("log10_evalue"), F.round("bitscore", 6).alias("bitscore")]
+    return found.select("qseqid", "sseqid", "length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", *real)
+
+
 def _rna_hits(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     rnas = inputs.references(spark, d).filter("class <> 'gene'")
     return _hits(spark, d).join(rnas.select(F.col("ref_id").alias("sseqid")), "sseqid", "left_semi"), rnas
@@ -77,7 +86,7 @@ def orf_summary(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def orf_sequences(spark: SparkSession, d: str) -> DataFrame:
-    return orf.orf_sequences(_orfs(spark, d), inputs.genomes(spark, d)).select("genome_id", "orf_id", "seq")
+    return orf.find_orfs(inputs.genomes(spark, d), sequences=True).select("genome_id", "orf_id", "seq")
 
 
 @query
@@ -158,8 +167,7 @@ def find_all(spark: SparkSession, d: str) -> DataFrame:
     return found.filter(F.size("places") > 0)
 
 
-@query
-def region_extract(spark: SparkSession, d: str) -> DataFrame:
+def _regions(spark: SparkSession, d: str) -> DataFrame:
     n, name = F.col("load_order") % 6, F.col("name")
     named = (
         F.when(n == 0, name).when(n == 1, F.concat(F.lit("trnL"), name, F.lit("-UAA"))).when(n == 2, F.concat(F.lit("rrn"), name))
@@ -169,15 +177,20 @@ def region_extract(spark: SparkSession, d: str) -> DataFrame:
     return features.extract_regions(table, inputs.genomes(spark, d).withColumnRenamed("genome_id", "guide_no"), ["load_order"])
 
 
+@query
+def region_extract(spark: SparkSession, d: str) -> DataFrame:
+    return _regions(spark, d)
+
+
 @query
 def short_exons(spark: SparkSession, d: str) -> DataFrame:
-    cut = inputs.references(spark, d).withColumn("len", F.length("seq") - 60).withColumn("seq", F.repeat(F.lit("A"), F.greatest(F.col("len"), F.lit(0))))
-    return features.short_exons(cut).select("ref_id", "class", "len", "short")
+    rows = features.short_exons(_regions(spark, d))
+    return rows.select("ref_id", "class", F.length("seq").alias("len"), "short")
 
 
 @query
 def seed_search(spark: SparkSession, d: str) -> DataFrame:
-    return _hits(spark, d).drop("evalue", "bitscore", "line_no")
+    return _rounded(_hits(spark, d))
 
 
 @query
@@ -200,6 +213,11 @@ def hsp_coverage(spark: SparkSession, d: str) -> DataFrame:
     return hits.hsp_coverage(_hits(spark, d), inputs.references(spark, d))
 
 
+@query
+def covered_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return hits.covered_pairs(_hits(spark, d), inputs.references(spark, d))
+
+
 @query
 def coverage_tiers(spark: SparkSession, d: str) -> DataFrame:
     return hits.tiered_pairs(_hits(spark, d), inputs.references(spark, d))
@@ -244,6 +262,12 @@ def overlap_depth(spark: SparkSession, d: str) -> DataFrame:
     return intervals.depth(inputs.features(spark, d), ["genome_id"])
 
 
+@query
+def overlap_members(spark: SparkSession, d: str) -> DataFrame:
+    rows = intervals.depth_members(inputs.features(spark, d).withColumn("item", F.col("load_order").cast("string")), ["genome_id"], "item")
+    return rows.select("genome_id", "start", "end", F.array_join("members", ",").alias("members"))
+
+
 @query
 def union_length(spark: SparkSession, d: str) -> DataFrame:
     return intervals.union_length(inputs.features(spark, d), ["genome_id", "strand"])
@@ -303,16 +327,29 @@ def ir_regions(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def nearest_exon(spark: SparkSession, d: str) -> DataFrame:
-    refs = inputs.references(spark, d).filter("class = 'gene'")
-    found = _hits(spark, d).filter(F.contains(F.col("sseqid"), F.lit("_exon2"))).select(F.col("qseqid").cast("long").alias("genome_id"), F.col("sseqid").alias("ref_id"), F.concat(F.lit("orf"), F.col("line_no").cast("string"), F.when(F.col("sstart") > F.col("send"), "-r").otherwise("")).alias("orf_id"), (F.col("qstart") - 1).alias("start0"), (F.col("qend") - 1).alias("end0"))
-    return hits.locate_short_exons(refs.withColumn("seq", F.substring("seq", 1, 7)), found, inputs.genomes(spark, d))
+    """First exons of 7 bases, as genes have them, beside frames that share a protein word with their second exon.
+
+    Benchmark items are longer, so the exons are the first bases of each.
+    """
+    orfs, refs = _named_orfs(spark, d), inputs.references(spark, d)
+    seconds = refs.filter(F.contains(F.col("ref_id"), F.lit("_exon2")))
+    pairs = align.genome_search_pairs(orfs, inputs.genomes(spark, d), seconds)
+    found = pairs.select(F.col("qseqid").alias("orf_id"), F.col("sseqid").alias("ref_id")).join(orfs.select("genome_id", "orf_id", "start0", "end0"), "orf_id")
+    return hits.locate_short_exons(refs.filter("class = 'gene'").withColumn("seq", F.substring("seq", 1, 7)), found, inputs.genomes(spark, d))
+
+
+def _named_orfs(spark: SparkSession, d: str) -> DataFrame:
+    orfs = orf.find_orfs(inputs.genomes(spark, d), sequences=True)
+    return orfs.withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id"))
+
+
+def _genes(spark: SparkSession, d: str) -> DataFrame:
+    return inputs.references(spark, d).filter("class = 'gene'")
 
 
 @query
 def protein_pairs(spark: SparkSession, d: str) -> DataFrame:
-    genomes = inputs.genomes(spark, d)
-    orfs = orf.orf_sequences(orf.find_orfs(genomes), genomes).withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id"))
-    return align.genome_search_pairs(orfs, inputs.references(spark, d).filter("class = 'gene'"))
+    return align.genome_search_pairs(_named_orfs(spark, d), inputs.genomes(spark, d), _genes(spark, d))
 
 
 @query
@@ -326,23 +363,114 @@ def refine_exon(spark: SparkSession, d: str) -> DataFrame:
     return annotate.refine_candidates(found.select("genome_id", "ref_id", "orf_id", F.col("start0").alias("start"), F.col("end0").alias("end")), orfs.select("orf_id", "seq"), refs, catalogue)
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder for files that are written and read again."""
+    return f"{shared_folder(spark)}/files-{uuid.uuid4().hex}"
+
+
+def _of_path(column: str = "genome_id") -> Column:
+    """The genome of a file's path."""
+    return F.regexp_extract(column, "genome_id=(-?[0-9]+)", 1).cast("long").alias("genome_id")
+
+
+def _genome_files(spark: SparkSession, d: str) -> str:
+    folder = _folder(spark)
+    writers.write_fasta(inputs.genomes(spark, d).withColumn("id", F.col("genome_id").cast("string")), folder)
+    return folder
+
+
+@query
+def fasta_files(spark: SparkSession, d: str) -> DataFrame:
+    return readers.read_fasta(spark, _genome_files(spark, d)).select(F.col("genome_id").cast("long"), "id", "seq")
+
+
+@query
+def genome_files(spark: SparkSession, d: str) -> DataFrame:
+    return readers.read_genome(spark, _genome_files(spark, d)).select(_of_path("file"), "seq")
+
+
+@query
+def orf_stream(spark: SparkSession, d: str) -> DataFrame:
+    out = _folder(spark)
+    frames.write_frames(frames.genome_stream(spark, _genome_files(spark, d)), f"{out}/frames", f"{out}/state").awaitTermination()
+    return spark.read.schema("genome_id string, orf_id string, strand string, frame int, start0 int, end0 int, nt int").parquet(f"{out}/frames").withColumn("genome_id", _of_path())
+
+
+@query
+def orf_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_orfs(_orfs(spark, d), folder)
+    return readers.read_orf_coordinates(spark, folder).withColumn("genome_id", F.col("genome_id").cast("long"))
+
+
+@query
+def region_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_regions(_regions(spark, d), folder)
+    return readers.read_fasta(spark, folder).select("class", F.col("id").alias("ref_id"), "seq")
+
+
+@query
+def best_orf_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_best_orfs(hits.best_reference(_scored(spark, d)), folder, compat=True)
+    return readers.read_assignments(spark, folder)
+
+
+@query
+def best_rna_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_best_rnas(best_rna_hits(spark, d), folder)
+    return readers.read_assignments(spark, folder).select("query_id", "ref_id")
+
+
+@query
+def feature_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_features(_unique(spark, d).select(SPAN), folder)
+    return readers.read_features(spark, folder).select(F.col("genome_id").cast("long"), "start", "end", "strand", "name")
+
+
+@query
+def hit_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_hits(_hits(spark, d), folder)
+    return _rounded(readers.read_hits(spark, folder))
+
+
+@query
+def guide_list(spark: SparkSession, d: str) -> DataFrame:
+    names = spark.read.parquet(f"{d}/nation.parquet").agg(F.array_join(F.array_sort(F.collect_list("n_name")), ",").alias("names")).first()["names"]  # a list of guides is an argument
+    return readers.guide_list(spark, names)
+
+
 @query
 def gff_import(spark: SparkSession, d: str) -> DataFrame:
-    rows = _unique(spark, d)
+    rows, folder = _unique(spark, d), _folder(spark)
     attributes = F.concat(F.lit("ID=x;Parent="), "gene")
     lines = rows.select("genome_id", F.concat_ws("\t", F.lit("s"), F.lit("src"), F.lit("CDS"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), "strand", F.lit("0"), attributes).alias("value"))
     heads = _lengths(rows).select("genome_id", F.concat_ws("\t", F.lit("s"), F.lit("src"), F.lit("region"), F.lit("1"), F.col("len").cast("string"), F.lit("."), F.lit("+"), F.lit("."), F.lit("ID=r")).alias("value"))
-    return annotate.import_gff3(*readers.parse_gff3(lines.unionByName(heads)))
+    lines.unionByName(heads).repartition("genome_id").write.partitionBy("genome_id").text(folder)
+    found, lengths = readers.read_gff3(spark, folder)
+    return annotate.import_gff3(found, lengths).withColumn("genome_id", _of_path())
+
+
+@query
+def converter_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_features(gff_import(spark, d), folder)
+    return readers.read_features(spark, folder).select(F.col("genome_id").cast("long"), "start", "end", "strand", "name")
 
 
 @query
 def genbank_import(spark: SparkSession, d: str) -> DataFrame:
-    rows = _unique(spark, d)
+    rows, folder = _unique(spark, d), _folder(spark)
     place = F.concat(F.col("start").cast("string"), F.lit(".."), F.col("end").cast("string"))
     entry = F.concat(F.lit("     gene            "), F.when(F.col("strand") == "-", F.concat(F.lit("complement("), place, F.lit(")"))).otherwise(place), F.lit('\n                     /gene="'), "name", F.lit('"\n'))
     body = rows.groupBy("genome_id").agg(F.array_join(F.array_sort(F.collect_list(entry)), "").alias("body"))
     records = body.select("genome_id", F.concat(F.lit(f"LOCUS       X   {LENGTH} bp    DNA\nFEATURES             Location/Qualifiers\n"), "body").alias("value"))
-    return annotate.import_genbank(readers.parse_genbank(records))
+    records.repartition("genome_id").write.partitionBy("genome_id").text(folder)
+    return annotate.import_genbank(readers.read_genbank(spark, folder)).withColumn("genome_id", _of_path())
 
 
 @query

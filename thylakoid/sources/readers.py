@@ -9,7 +9,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FEATURES = "name string, start int, end int, strand string"
@@ -20,32 +20,45 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     """``id`` (the header without ``>``) and ``seq``; records of one id are joined in file order.
 
     Records are cut at line starts with ``>`` by the reader itself, so a large file is read in
-    parallel by many tasks.
+    parallel by many tasks.  Columns that folders are named by (``genome_id=...``) are kept, here
+    and by the other readers of tables.
     """
-    rows = spark.read.option("lineSep", "\n>").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"), "value")
+    lines = spark.read.option("lineSep", "\n>").text(path)
+    parts = [c for c in lines.columns if c != "value"]
+    rows = lines.select(*parts, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"), "value")
     record = F.regexp_replace("value", "^>", "")
-    rows = rows.select("file", "at", "n", F.regexp_extract(record, "^([^\n]*)", 1).alias("id"), F.regexp_replace(F.regexp_replace(record, "^[^\n]*\n?", ""), "\n", "").alias("seq"))
+    rows = rows.select(*parts, "file", "at", "n", F.regexp_extract(record, "^([^\n]*)", 1).alias("id"), F.regexp_replace(F.regexp_replace(record, "^[^\n]*\n?", ""), "\n", "").alias("seq"))
     rows = rows.filter("id <> '' or seq <> ''")
-    return rows.groupBy("id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "at", "n", "seq"))), lambda r: r.seq), "").alias("seq"))
+    return rows.groupBy(*parts, "id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "at", "n", "seq"))), lambda r: r.seq), "").alias("seq"))
+
+
+def sequence_lines(text: Column) -> Column:
+    """The lines of a FASTA text but for headers, joined."""
+    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~x.startswith(">")), "")
 
 
 def read_genome(spark: SparkSession, path: str) -> DataFrame:
     """``file`` and ``seq``: all sequence lines of each file as one string."""
     files = spark.read.text(path, wholetext=True)
-    lines = F.filter(F.split("value", "\n"), lambda x: ~x.startswith(">"))
-    return files.select(F.col("_metadata.file_path").alias("file"), F.array_join(lines, "").alias("seq"))
+    return files.select(F.col("_metadata.file_path").alias("file"), sequence_lines(F.col("value")).alias("seq"))
 
 
 def _fields(spark: SparkSession, path: str) -> DataFrame:
     """Lines split at white space, with their place in the file."""
-    rows = spark.read.text(path).withColumn("line_no", F.monotonically_increasing_id())
+    rows = spark.read.text(path)
+    rows = rows.withColumn("line_no", F.monotonically_increasing_id())
     return rows.withColumn("f", F.split(F.trim("value"), r"\s+"))
 
 
+def _parts(rows: DataFrame) -> list[str]:
+    """Columns that come from the names of folders."""
+    return [c for c in rows.columns if c not in ("value", "line_no", "f")]
+
+
 def read_features(spark: SparkSession, path: str) -> DataFrame:
     """Feature table: name, start, end, strand, and ``line_no``."""
     rows = _fields(spark, path).filter(F.size("f") >= 4)
-    return rows.select(F.get("f", 0).alias("name"), F.expr("try_cast(f[1] as int)").alias("start"), F.expr("try_cast(f[2] as int)").alias("end"), F.get("f", 3).alias("strand"), "line_no").filter("start is not null and end is not null")
+    return rows.select(*_parts(rows), F.get("f", 0).alias("name"), F.expr("try_cast(f[1] as int)").alias("start"), F.expr("try_cast(f[2] as int)").alias("end"), F.get("f", 3).alias("strand"), "line_no").filter("start is not null and end is not null")
 
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
@@ -57,13 +70,13 @@ def read_orf_coordinates(spark: SparkSession, path: str) -> DataFrame:
     """``orf_id``, ``start0``, ``end0`` from lines ``id start-end``."""
     rows = _fields(spark, path).filter(F.size("f") >= 2)
     part = lambda i: F.regexp_extract(F.get("f", 1), r"(\d+)-(\d+)", i)
-    return rows.filter(part(1) != "").select(F.get("f", 0).alias("orf_id"), part(1).cast("int").alias("start0"), part(2).cast("int").alias("end0"))
+    return rows.filter(part(1) != "").select(*_parts(rows), F.get("f", 0).alias("orf_id"), part(1).cast("int").alias("start0"), part(2).cast("int").alias("end0"))
 
 
 def read_assignments(spark: SparkSession, path: str) -> DataFrame:
     """``query_id`` and ``ref_id`` of a best-reference table, without introns; with ``score`` (a trailing q is dropped) where there is one."""
     rows = _fields(spark, path).filter((F.size("f") >= 2) & ~F.contains(F.col("value"), F.lit("intron")))
-    return rows.select(F.get("f", 0).alias("query_id"), F.get("f", 1).alias("ref_id"), F.expr("try_cast(regexp_replace(get(f, 2), 'q$', '') as double)").alias("score"))
+    return rows.select(*_parts(rows), F.get("f", 0).alias("query_id"), F.get("f", 1).alias("ref_id"), F.expr("try_cast(regexp_replace(get(f, 2), 'q$', '') as double)").alias("score"))
 
 
 def guide_list(spark: SparkSession, guides: str) -> DataFrame:
@@ -144,19 +157,10 @@ def parse_genbank(records: DataFrame, compat: bool = False) -> DataFrame:
 
 
 def read_gff3(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Features and lengths of GFF3 files, as ``parse_gff3`` gives them; a genome is known by its file."""
     return parse_gff3(spark.read.text(path).select(F.col("_metadata.file_path").alias("genome_id"), "value"))
 
 
 def read_genbank(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
+    """Features of GenBank files, a record a file, as ``parse_genbank`` gives them; a genome is known by its file."""
     return parse_genbank(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("genome_id"), "value"), compat)
-
-
-def last_by_name(features: DataFrame) -> DataFrame:
-    """The last line of each (start, end, strand)."""
-    rank = F.row_number().over(Window.partitionBy("start", "end", "strand").orderBy(F.desc("line_no")))
-    return features.withColumn("_r", rank).filter("_r = 1").drop("_r")
-
-
-def strand_column(column: Column) -> Column:
-    """``-`` for ``-``, else ``+``."""
-    return F.when(column == "-", "-").otherwise("+")

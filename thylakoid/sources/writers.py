@@ -1,43 +1,68 @@
-"""Writers of the flat files.  A run overwrites what an earlier one wrote."""
+"""Writers of the flat files.  A run overwrites what an earlier one wrote.
+
+A table with ``genome_id`` is written into one folder for each genome, ``genome_id=...``, as a
+single file in order; readers give the column back.  A table without is one genome's.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _ordered(df: DataFrame, order: list[str], columns: list[Column]) -> tuple[DataFrame, list[str]]:
+    """Columns in order, and what to part files by."""
+    if "genome_id" not in df.columns:
+        return df.orderBy(*order).select(*columns), []
+    return df.repartition("genome_id").sortWithinPartitions("genome_id", *order).select("genome_id", *columns), ["genome_id"]
+
+
+def _write(df: DataFrame, order: list[str], columns: list[Column], path: str) -> None:
+    rows, parts = _ordered(df, order, columns)
+    writer = rows.write.mode("overwrite").partitionBy(*parts)
+    if len(columns) == 1:
+        writer.text(path)
+    else:
+        writer.csv(path, sep="\t")
+
+
+def _record(name: str, seq: str) -> Column:
+    return F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col(seq)).alias("value")
+
+
 def write_fasta(df: DataFrame, path: str, name: str = "id", seq: str = "seq") -> None:
     """Records in order of their names."""
-    df.orderBy(name).select(F.concat(F.lit(">"), F.col(name), F.lit("\n"), F.col(seq)).alias("value")).write.mode("overwrite").text(path)
+    _write(df, [name], [_record(name, seq)], path)
 
 
 def write_orfs(orfs: DataFrame, path: str) -> None:
     """Lines ``id start-end``, in order of the ids as text."""
-    orfs.orderBy("orf_id").select("orf_id", F.concat_ws("-", F.col("start0").cast("string"), F.col("end0").cast("string")).alias("range")).write.mode("overwrite").csv(path, sep="\t")
+    _write(orfs, ["orf_id"], [F.col("orf_id"), F.concat_ws("-", F.col("start0").cast("string"), F.col("end0").cast("string")).alias("range")], path)
 
 
 def write_regions(regions: DataFrame, path: str) -> None:
     """Region sequences as FASTA, in one folder for each class."""
-    rows = regions.repartition("class").sortWithinPartitions("class", "ref_id")
-    rows.select("class", F.concat(F.lit(">"), F.col("ref_id"), F.lit("\n"), F.col("seq")).alias("value")).write.mode("overwrite").partitionBy("class").text(path)
+    regions.select("class", _record("ref_id", "seq")).write.mode("overwrite").partitionBy("class").text(path)
 
 
 def write_best_orfs(best: DataFrame, path: str, compat: bool = False) -> None:
     """Lines of frame, reference and score; ``compat`` puts a q after the score."""
     score = F.concat(F.col("score").cast("string"), F.lit("q")) if compat else F.col("score")
-    best.orderBy("orf_id").select("orf_id", "ref_id", score.alias("score")).write.mode("overwrite").csv(path, sep="\t")
+    _write(best, ["orf_id"], [F.col("orf_id"), F.col("ref_id"), score.alias("score")], path)
 
 
 def write_best_rnas(best: DataFrame, path: str) -> None:
     """Lines of query and reference, in order of the RNA's name."""
-    best.orderBy("short_name").select("query_id", "ref_id").write.mode("overwrite").csv(path, sep="\t")
+    _write(best, ["short_name", "query_id"], [F.col("query_id"), F.col("ref_id")], path)
 
 
 def write_features(features: DataFrame, path: str) -> None:
     """Feature table in order of start, end and strand; whole-genome regions last if ``sort_key`` says so."""
     order = (["sort_key"] if "sort_key" in features.columns else []) + ["start", "end", "strand", "name"]
-    features.orderBy(*order).select("name", "start", "end", "strand").write.mode("overwrite").csv(path, sep="\t")
+    _write(features, order, [F.col(c) for c in ("name", "start", "end", "strand")], path)
 
 
 def write_hits(hits: DataFrame, path: str) -> None:
-    hits.orderBy("qseqid", "sseqid", "qstart").write.mode("overwrite").csv(path, sep="\t")
+    """The 12 columns of hits."""
+    columns = ["qseqid", "sseqid", "pident", "length", "mismatch", "gapopen", "qstart", "qend", "sstart", "send", "evalue", "bitscore"]
+    _write(hits, ["qseqid", "sseqid", "qstart"], [F.col(c) for c in columns], path)

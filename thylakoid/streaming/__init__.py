@@ -1,5 +0,0 @@
-"""No stream is part of this engine's work: inputs are finished files.
-
-The row-wise operators (frames, translation, scores) take a streaming DataFrame as they are, since
-they neither shuffle nor keep state.
-"""
