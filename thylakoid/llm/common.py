@@ -14,8 +14,8 @@ __all__ = ["BROADCAST_ROWS", "bounded_batches", "cumulative", "durable", "fresh"
 ARROW_BYTES = 8 << 20
 #: Rows of at most a few dozen bytes that may be broadcast (some 30 MB).
 BROADCAST_ROWS = 500_000
-#: Rows of one key from which on it may be frequent.
-OFTEN = 100_000
+#: Rows of one key from which on it may be frequent, and frequent keys that there may be.
+OFTEN, FREQUENT_KEYS = 1000, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,20 +61,17 @@ def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, limit
     return left.join(F.broadcast(right) if right.count() <= limit else right, on, how)
 
 
-def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, limit: int = BROADCAST_ROWS, often: int = OFTEN) -> DataFrame:
-    """Inner join with ``right``, a durable table of one narrow row for each value of ``on``, not null.
+def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, total: int, often: int = OFTEN, limit: int = FREQUENT_KEYS) -> DataFrame:
+    """Inner join with ``right``, a table of one narrow row for each value of ``on``, not null.
 
-    ``times`` is a column of ``right``, dropped here: how many rows of ``left`` have the value.
-    Beyond ``limit`` rows the join is shuffled, but for values that are frequent: no more than
-    ``limit`` of them, which are broadcast, so that their rows stay where they are.
+    ``times`` is a column of ``right``, dropped here: how many of the ``total`` rows of ``left``
+    have the value.  Rows of frequent values stay where they are: those values are broadcast, and
+    there can't be more than ``limit`` of them.  The others are joined as Spark sees fit.
     """
-    n, total = right.agg(F.count(F.lit(1)), F.coalesce(F.sum(times), F.lit(0))).first()
-    slim = right.drop(times)
-    if n <= limit:
-        return left.join(F.broadcast(slim), on)
-    often = max(often, total // limit + 1)  # so many rows have ``limit`` values at most
-    hot, rare = right.filter(F.col(times) >= often).drop(times), right.filter(F.col(times) < often).drop(times)
-    return left.join(F.broadcast(hot), on).unionByName(left.join(F.broadcast(hot.select(on)), on, "left_anti").join(rare, on))
+    often = max(often, total // limit + 1)
+    hot = F.broadcast(right.filter(F.col(times) >= often).drop(times))
+    rare = right.filter(F.col(times) < often).drop(times)
+    return left.join(hot, on).unionByName(left.join(hot.select(on), on, "left_anti").join(rare, on))
 
 
 def cumulative(df: DataFrame, group: list[str], order: list[str], value: Column, name: str, bins: int = 1024) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from thylakoid.llm.common import durable, skewed_join
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """``edges`` (u, v) with ``m``, the least of u and its neighbours; no task gets all edges of a hub."""
-    least = durable(edges.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n")))
-    return skewed_join(edges, least, "u", "n")
+def _least(edges: DataFrame, total: int) -> DataFrame:
+    """``edges`` (u, v), of which there are ``total`` at most, with ``m``, the least of u and its neighbours; no task gets all edges of a hub."""
+    least = edges.groupBy("u").agg(F.least("u", F.min("v")).alias("m"), F.count(F.lit(1)).alias("n"))
+    return skewed_join(edges, least, "u", "n", total)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -22,13 +22,14 @@ def components(edges: DataFrame) -> DataFrame:
     driver.  Nodes without an edge to another node aren't returned.
     """
     stars = durable(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    seen = None
+    checksum = F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))
+    sums = stars.agg(*checksum).first()
     while True:
-        large = _least(stars.union(stars.select("v", "u"))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = _least(durable(large.distinct()))
+        total = 2 * sums[0]
+        large = _least(stars.union(stars.select("v", "u")), total).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = _least(large, total)
         small = small.select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        stars = durable(small.filter("u <> v").distinct())
-        sums = stars.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first()
+        stars, seen = durable(small.filter("u <> v").distinct()), sums
+        sums = stars.agg(*checksum).first()
         if sums == seen:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = sums

@@ -1,10 +1,11 @@
 """Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
 
-Words are lower-cased and freed of ASCII punctuation.  One pass over the documents emits, around
-each n-gram that the benchmark has as well, a segment of word hashes wide enough to align any
-item; a bitmap of fixed size keeps out what the benchmark doesn't have.  Every segment and item
-that share an n-gram, however frequent it is, meet in an equi-join and are aligned, which finds
-edited copies too; only pairs that provably can't reach the score are spared the alignment.
+Words are lower-cased and freed of ASCII punctuation.  One pass over the documents emits the word
+hashes and the seeds of each document that holds an n-gram of the benchmark; a Bloom filter, sized
+by the number of these n-grams, keeps out nearly all others.  Every document and item that share
+an n-gram, however frequent it is, meet in an equi-join.  The item is aligned with what lies around
+their seeds, as far as it could reach, which finds edited copies too; only pairs that provably
+can't reach the score are spared the alignment.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bounded_batches, durable, sized_join
-from thylakoid.llm.textkit import LOWER, NOT_PUNCTUATION, U64, Words, as_long, blocks, combine, compact, find_words, hash_spans, ngrams
+from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable, skewed_join
+from thylakoid.llm.textkit import LOWER, NOT_PUNCTUATION, U64, Words, as_long, blocks, combine, compact, find_words, hash_spans, mix, ngrams
 
-#: Words of a seed, and bits (as a power of two) of the bitmap of the benchmark's n-grams.
-SEED, BITS = 4, 22
+#: Words of a seed.
+SEED = 3
+#: The filter's bits for each n-gram of the benchmark, probes, and sizes (as powers of two) that it keeps to.
+BITS, PROBES, SMALLEST, LARGEST = 32, 4, 16, 27
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Part of an item's own score that an alignment must reach.
 LEAST = 0.5
@@ -58,14 +61,18 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int, int, int]:
     return score, i - back_i, i, j - back_j, j
 
 
+def reach(n: int, least: float) -> int:
+    """Words of a text that an alignment of ``least`` with an item of ``n`` words may span."""
+    return n + math.floor(MATCH * n * (1 - least) / min(-MISMATCH, -GAP) + 1e-9)
+
+
 def reachable(item: np.ndarray, text: np.ndarray, least: float) -> bool:
     """False only if no alignment can reach ``least``.
 
     Each edit costs one at least, so an alignment that reaches it spans at most as many words of
     the text as the item and the edits that it can afford have, and its matches lie among them.
     """
-    need = math.ceil(least * len(item) - 1e-9)
-    span = len(item) + math.floor(MATCH * len(item) * (1 - least) / min(-MISMATCH, -GAP) + 1e-9)
+    need, span = math.ceil(least * len(item) - 1e-9), reach(len(item), least)
     shared = np.concatenate([[0], np.cumsum(np.isin(text, item))])
     return int((shared[span:] - shared[:-span]).max() if len(text) > span else shared[-1]) >= need
 
@@ -85,58 +92,104 @@ def benchmark_words(benchmark: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _item_grams(items: DataFrame, n: int) -> DataFrame:
-    """``item``, ``gram`` for each n-gram of an item; an item of fewer words has one of all its words."""
+    """``ref``, ``gram`` for each n-gram of an item; an item of fewer words has one of all its words."""
 
     @F.arrow_udf("array<long>")
     def grams(words: pa.Array) -> pa.Array:
         found = [np.array(w, dtype=np.int64).view(U64) for w in words.to_pylist()]
         return pa.array([combine(w, min(n, len(w))).view(np.int64).tolist() for w in found], pa.list_(pa.int64()))
 
-    return items.select("item", F.explode(grams("words")).alias("gram")).distinct()
+    return items.select("ref", F.explode(grams("words")).alias("gram")).distinct()
+
+
+def probes(grams: np.ndarray, size: int) -> np.ndarray:
+    """The bits, one row for each probe, of n-gram hashes in a filter of 2^size bits."""
+    step = mix(grams) | U64(1)
+    return np.stack([((grams + U64(i) * step) >> U64(64 - size)).astype(np.int64) for i in range(PROBES)])
+
+
+def gram_filter(grams: DataFrame) -> np.ndarray:
+    """A Bloom filter of ``gram``, as 64-bit cells.  It has 2^LARGEST bits at most, so a huge benchmark is filtered less, and matched as well."""
+    n = grams.select("gram").distinct().count()
+    size = min(max(SMALLEST, (BITS * n).bit_length()), LARGEST)
+
+    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bit = np.unique(probes(batch.column(0).to_numpy().view(U64), size))
+            cell, first = np.unique(bit >> 6, return_index=True)
+            ored = np.bitwise_or.reduceat(U64(1) << (bit & 63).astype(U64), first) if len(bit) else np.zeros(0, dtype=U64)
+            yield pa.RecordBatch.from_arrays([pa.array(cell), as_long(ored)], ["cell", "bits"])
+
+    found = grams.select("gram").mapInArrow(cells, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
+    out = np.zeros(1 << (size - 6), dtype=U64)
+    out[found.column("cell").to_numpy()] = found.column("bits").to_numpy().view(U64)
+    return out
 
 
-def find_segments(docs: DataFrame, key: str, text: str, grams: DataFrame, lengths: list[int], margin: int) -> DataFrame:
-    """``doc``, ``begins`` (word number), ``words`` and ``grams`` around the benchmark's n-grams in each document."""
-    cells = grams.select((F.col("gram").bitwiseAND(F.lit((1 << BITS) - 1))).alias("bit")).groupBy(F.shiftright("bit", 5).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 31 as int))")).alias("bits"))
-    bitmap = np.zeros(1 << (BITS - 5), dtype=np.int64)
-    for cell, bits in cells.collect():  # 2^17 rows at most, however large the benchmark is
-        bitmap[cell] = bits
-    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+def find_seeds(docs: DataFrame, key: str, text: str, filtered: np.ndarray, lengths: list[int]) -> DataFrame:
+    """``doc``, ``words`` (32-bit hashes) and ``seeds`` (``at``, the first word's number, and ``gram``) of each document that may hold an n-gram of the benchmark."""
+    shared = docs.sparkSession.sparkContext.broadcast(filtered)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = shared.value
+        size = (len(have) * 64).bit_length() - 1
         for batch in batches:
-            at_row, doc, begins, found, hit = 0, [], [], [], []
+            at_row, doc, found, places, grams = 0, [], [], [], []
             for n, words, hashes in _words(batch.column(1)):
                 spots, keys = [], []
                 for length in lengths:
                     runs, at = ngrams(words, hashes, length)
-                    low = (runs & U64((1 << BITS) - 1)).astype(np.int64)
-                    ok = (have[low >> 5] >> (low & 31)) & 1 == 1
+                    ok = np.ones(len(runs), dtype=bool)
+                    for bit in probes(runs, size):
+                        ok &= (have[bit >> 6] >> (bit & 63).astype(U64)) & U64(1) == 1
                     spots.append(at[ok])
                     keys.append(runs[ok])
                 spot, gram = np.concatenate(spots), np.concatenate(keys)
-                order = np.argsort(spot, kind="stable")
-                spot, gram = spot[order], gram[order]
-                if len(spot):
-                    owner = words.doc[spot]
-                    lo = np.maximum(spot - margin, words.first[owner])
-                    hi = np.minimum(spot + margin, words.first[owner + 1])
-                    cut = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (lo[1:] > hi[:-1])]))
-                    for x, y in zip(cut, [*cut[1:], len(spot)], strict=True):
-                        doc.append(at_row + int(owner[x]))
-                        begins.append(int(lo[x] - words.first[owner[x]]))
-                        found.append(hashes[lo[x] : hi[y - 1]].view(np.int64).astype(np.int32).tolist())
-                        hit.append(np.unique(gram[x:y]).view(np.int64).tolist())
+                owner = words.doc[spot]
+                order = np.lexsort((spot, owner))
+                spot, gram, owner = spot[order], gram[order], owner[order]
+                for x, y in zip(*_runs(owner), strict=True):
+                    first = words.first[owner[x]]
+                    doc.append(at_row + int(owner[x]))
+                    found.append(hashes[first : words.first[owner[x] + 1]].view(np.int64).astype(np.int32))
+                    places.append((spot[x:y] - first).astype(np.int32))
+                    grams.append(gram[x:y])
                 at_row += n
             if doc:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(pa.array(doc)), pa.array(begins, pa.int64()), pa.array(found, pa.list_(pa.int32())), pa.array(hit, pa.list_(pa.int64()))],
-                    ["doc", "begins", "words", "grams"],
-                )
+                seeds = pa.StructArray.from_arrays([pa.array(np.concatenate(places)), as_long(np.concatenate(grams))], ["at", "gram"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), _listed(pa.array(np.concatenate(found)), found), _listed(seeds, places)], ["doc", "words", "seeds"])
 
     taken = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    return taken.mapInArrow(run, f"doc {taken.schema['doc'].dataType.simpleString()}, begins long, words array<int>, grams array<long>")
+    return taken.mapInArrow(run, f"doc {taken.schema['doc'].dataType.simpleString()}, words array<int>, seeds array<struct<at:int,gram:long>>")
+
+
+def _runs(owner: np.ndarray) -> tuple[list[int], list[int]]:
+    """Where runs of equal values begin and end."""
+    cut = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])).tolist() if len(owner) else []
+    return cut, [*cut[1:], len(owner)] if cut else []
+
+
+def _listed(values: pa.Array, parts: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), values)
+
+
+def best_alignment(item: np.ndarray, text: np.ndarray, spots: np.ndarray, least: float) -> tuple[int, int, int, int, int]:
+    """The best alignment of an item around its seeds in a text, of equals the first: score, item range, text range.
+
+    Seeds that one alignment could hold are looked at together.
+    """
+    margin = reach(len(item), least)
+    spots = np.sort(spots)
+    lo, hi = np.maximum(spots - margin, 0), np.minimum(spots + margin, len(text))
+    cut = np.flatnonzero(np.concatenate([[True], lo[1:] > hi[:-1]]))
+    best = (0, 0, 0, 0, 0)
+    for x, y in zip(cut.tolist(), [*cut[1:].tolist(), len(spots)], strict=True):
+        begins, around = int(lo[x]), text[lo[x] : hi[y - 1]]
+        if reachable(item, around, least):
+            score, i0, i1, t0, t1 = align(item, around)
+            if score > best[0]:
+                best = (score, i0, i1, begins + t0, begins + t1)
+    return best
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = SEED, least: float = LEAST) -> DataFrame:
@@ -146,32 +199,36 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     ``doc_end``, ``item_start`` and ``item_end`` tell the aligned words (from 0, end exclusive).
     Of several copies of an item in a document the best counts, then the first.  Null and empty
     texts and items match nothing, and rows that repeat a document give one row for an item.  An
-    item of fewer than ``n`` words is its own seed.  Other columns aren't read.
+    item of fewer than ``n`` words is its own seed.  Null keys are keys like others.  Other columns
+    aren't read.
     """
     bounded_batches(docs.sparkSession)
-    items = durable(benchmark_words(benchmark, item_key, item_text))
-    shape = items.agg(F.collect_set(F.least(F.size("words"), F.lit(n))), F.max(F.size("words"))).first()
-    lengths, longest = sorted(shape[0] or [n]), shape[1] or 0
+    items = durable(benchmark_words(benchmark, item_key, item_text).withColumn("ref", F.xxhash64("item", "words")).dropDuplicates(["ref"]))
+    shape = items.agg(F.collect_set(F.least(F.size("words"), F.lit(n)))).first()
+    lengths = sorted(shape[0] or [n])
     grams = durable(_item_grams(items, n))
-    found = durable(find_segments(docs, key, text, grams, lengths, 2 * longest + n).withColumn("segment", F.xxhash64("doc", "begins", "words")))
+    found = durable(find_seeds(docs, key, text, gram_filter(grams), lengths).withColumn("row", F.xxhash64("doc", "words")))
 
-    hits = found.select("segment", F.explode("grams").alias("gram"))
-    pairs = sized_join(hits, grams, ["gram"], "inner").select("segment", "item").distinct()
+    hits = found.select("row", F.explode("seeds").alias("seed")).select("row", "seed.at", "seed.gram")
+    if grams.count() <= BROADCAST_ROWS:
+        met = hits.join(F.broadcast(grams), "gram")
+    else:  # an n-gram of a passage that very many documents hold is no single task's
+        times = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
+        held = grams.groupBy("gram").agg(F.collect_list("ref").alias("held")).join(times, "gram")
+        met = skewed_join(hits, held, "gram", "times", hits.count()).select("row", "at", "gram", F.explode("held").alias("ref"))
+    pairs = met.groupBy("row", "ref").agg(F.collect_set("at").alias("spots"))
 
     @F.arrow_udf("struct<score:int,item_start:int,item_end:int,doc_start:int,doc_end:int>")
-    def aligned(item: pa.Array, segment: pa.Array) -> pa.Array:
+    def aligned(item: pa.Array, words: pa.Array, spots: pa.Array) -> pa.Array:
         names = ["score", "item_start", "item_end", "doc_start", "doc_end"]
-        sides = [(np.array(a, dtype=np.int64).astype(np.int32), np.array(b, dtype=np.int32)) for a, b in zip(item.to_pylist(), segment.to_pylist(), strict=True)]
-        rows = [align(a, b) if reachable(a, b, least) else (0, 0, 0, 0, 0) for a, b in sides]
+        sides = zip(*[[np.asarray(x.values) for x in c] for c in (item, words, spots)], strict=True)
+        rows = [best_alignment(a.astype(np.int32), b, at.astype(np.int64), least) for a, b, at in sides]
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int32()) for i in range(5)], names)
 
-    wide = pairs.join(found.select("segment", "doc", "begins", F.col("words").alias("around")), "segment").join(items, "item")
-    wide = wide.withColumn("fit", aligned("words", "around")).withColumn("similarity", F.col("fit.score") / (MATCH * F.size("words")))
-    wide = wide.filter(F.col("similarity") >= least).select(
-        "doc", "item", "similarity", F.col("fit.score").alias("score"),
-        (F.col("begins") + F.col("fit.doc_start")).alias("doc_start"), (F.col("begins") + F.col("fit.doc_end")).alias("doc_end"),
-        F.col("fit.item_start").alias("item_start"), F.col("fit.item_end").alias("item_end"),
-    )
+    wide = pairs.join(found.select("row", "doc", F.col("words").alias("around")), "row").join(items, "ref")
+    wide = wide.select("doc", "item", aligned("words", "around", "spots").alias("fit"), F.size("words").alias("n"))
     rest = ["similarity", "score", "doc_start", "doc_end", "item_start", "item_end"]
+    wide = wide.withColumn("similarity", F.col("fit.score") / (MATCH * F.col("n"))).filter(F.col("similarity") >= least).select("doc", "item", "similarity", *[f"fit.{c}" for c in rest[1:]])
+    # several texts of one key
     best = wide.groupBy("doc", "item").agg(F.max_by(F.struct(*rest), F.struct("score", -F.col("doc_start"))).alias("best"))
     return best.select(F.col("doc").alias(key), F.col("item").alias(item_key), *[F.col(f"best.{c}").alias(c) for c in rest])

@@ -165,6 +165,16 @@ def linked(sets: list[np.ndarray], num: int, den: int, same: list[int] | None =
     return found
 
 
+def stars(names: list[int], links: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Links of each component's members with its smallest name, so that they are soon contracted."""
+    order = sorted({i for link in links for i in link}, key=lambda i: names[i])
+    place = {i: k for k, i in enumerate(order)}
+    forest = Forest(len(order))
+    for i, j in links:
+        forest.join(place[i], place[j])
+    return [(names[i], names[order[forest.root(k)]]) for k, i in enumerate(order) if forest.root(k) != k]
+
+
 def _open_groups(num: int, den: int):
     """Of rows in order of ``grp`` and ``piece``: the links found among the sets of each."""
 
@@ -174,9 +184,9 @@ def _open_groups(num: int, den: int):
 
         def close() -> None:
             if len(names) > 1:
-                for i, j in linked(sets, num, den, same):
-                    a.append(names[i])
-                    b.append(names[j])
+                for i, j in stars(names, linked(sets, num, den, same)):
+                    a.append(i)
+                    b.append(j)
 
         for batch in batches:
             tokens = batch.column(4)
@@ -206,18 +216,11 @@ def _links(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     return rows.mapInArrow(_open_groups(num, den), "a long, b long")
 
 
-def _dealt(members: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """``members`` dealt by a hash of ``set_id`` into ``pieces`` pieces of about ``size`` for each value of ``keys``: ``piece`` from 0.
-
-    Only the values with more than ``size`` members are looked up: a ``size``-th of the members at most.
-    """
-    large = members.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > size)
-    large = durable(large.select(*[F.col(k).alias(f"of_{k}") for k in keys], F.ceil(F.col("n") / size).alias("pieces")))
-    on = F.lit(True)
-    for k in keys:
-        on &= F.col(k).eqNullSafe(F.col(f"of_{k}"))
-    rows = members.join(F.broadcast(large) if large.count() <= BROADCAST_ROWS else large, on, "left").drop(*[f"of_{k}" for k in keys])
-    rows = rows.withColumn("pieces", F.coalesce("pieces", F.lit(1).cast("long")))
+def _dealt(members: DataFrame, keys: list[str], size: int, total: int) -> DataFrame:
+    """``members`` (``total`` at most) dealt by a hash of ``set_id`` into ``pieces`` pieces of about ``size`` for each value of ``keys``: ``piece`` from 0."""
+    rows = members.withColumn("_of", row_hash(members, keys))
+    sizes = rows.groupBy("_of").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / size).alias("pieces"))
+    rows = skewed_join(rows, sizes, "_of", "n", total).drop("_of")
     return rows.withColumn("piece", F.pmod(F.xxhash64(F.lit(9), "set_id"), F.col("pieces")))
 
 
@@ -276,18 +279,19 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
         sets = sets.join(wanted, "set_id", "left_semi")
     sets = durable(sets.dropDuplicates(["set_id"]))
 
-    pieces = durable(_dealt(members, ["grp"], PIECE))
+    total = 2 * pairs.count()
+    pieces = durable(_dealt(members, ["grp"], PIECE, total))
     lead = pieces.filter("piece <> 0").select("grp", "piece", F.col("grp").alias("set_id")).distinct()
     links = durable(_links(pieces.drop("pieces").unionByName(lead).withColumn("known", F.col("set_id")), sets, num, den))
     roots = durable(components(links))
 
     # groups of several pieces with sets of several components: pieces of one component, or of what is left of many
-    labelled = pieces.filter("pieces > 1").join(roots, F.col("set_id") == F.col("node"), "left").select("grp", "set_id", F.coalesce("root", "set_id").alias("known"))
+    labelled = durable(pieces.filter("pieces > 1").join(roots, F.col("set_id") == F.col("node"), "left").select("grp", "set_id", F.coalesce("root", "set_id").alias("known")))
     open_groups = durable(labelled.groupBy("grp").agg(F.min("known").alias("lo"), F.max("known").alias("hi")).filter("lo <> hi").select("grp"))
     if open_groups.take(1):
         left = sized_join(labelled, open_groups, ["grp"], "left_semi")
-        left = _dealt(left, ["grp", "known"], PIECE // 2).withColumn("own", F.when(F.col("pieces") > 1, F.col("known"))).drop("piece", "pieces")
-        left = durable(_dealt(left, ["grp", "own"], PIECE // 2).withColumn("piece", F.xxhash64("own", "piece")))
+        left = durable(_dealt(left, ["grp", "known"], PIECE // 2, total).withColumn("own", F.when(F.col("pieces") > 1, F.col("known"))).drop("piece", "pieces"))
+        left = durable(_dealt(left, ["grp", "own"], PIECE // 2, total).withColumn("piece", F.xxhash64("own", "piece")))
         spans = durable(left.groupBy("grp", "piece").agg(F.min("known").alias("lo"), F.max("known").alias("hi")))
         x, y = spans.alias("x"), spans.alias("y")
         cross = x.join(y, (F.col("x.grp") == F.col("y.grp")) & (F.col("x.piece") <= F.col("y.piece"))).filter(
@@ -295,8 +299,9 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
         ).select(F.col("x.grp").alias("grp"), F.col("x.piece").alias("i"), F.col("y.piece").alias("j"))
         both = cross.select("grp", F.xxhash64("i", "j").alias("pair"), F.explode(F.array_distinct(F.array("i", "j"))).alias("piece"))
         again = left.join(both, ["grp", "piece"]).select("grp", F.col("pair").alias("piece"), "set_id", "known")
-        links = links.union(_links(again, sets, num, den))
-        roots = durable(components(links))
+        more = durable(_links(again, sets, num, den))
+        if more.take(1):
+            roots = durable(components(more.union(roots)))
     return named, roots
 
 
@@ -325,9 +330,10 @@ def _rooted(docs: DataFrame, text: str, n: int, num: int, den: int) -> DataFrame
     full = named.filter("set_id is not null")
     each = full.groupBy("set_id").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(*order)).alias("least"))
     each = durable(each.join(roots, F.col("set_id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_id")).drop("node"))
-    best = durable(each.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.min("least").alias("least")))
-    sets = durable(skewed_join(each.drop("least"), best, "root", "sets").drop("root"))
-    return skewed_join(full, sets, "set_id", "times").unionByName(named.filter("set_id is null"), allowMissingColumns=True)
+    n_sets, n_rows = each.agg(F.count(F.lit(1)), F.coalesce(F.sum("times"), F.lit(0))).first()
+    best = each.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.min("least").alias("least"))
+    sets = durable(skewed_join(each.drop("least"), best, "root", "sets", n_sets).drop("root"))
+    return skewed_join(full, sets, "set_id", "times", n_rows).unionByName(named.filter("set_id is null"), allowMissingColumns=True)
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:

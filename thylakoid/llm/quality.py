@@ -19,7 +19,8 @@ from thylakoid.llm.textkit import U64, IS_SPACE, blocks, find_words, hash_spans,
 
 SYMBOLS = b"#*$%&|<>"
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: A host is rejected if the shrunk rate of one of its rules is at least this.
+#: A host is rejected if the shrunk rate of one of its rules is at least this: of its documents three in
+#: five or more then fail, so that more bad ones go than good ones, with a margin for the rate's error.
 HOST_LIMIT = 0.6
 
 _IS_SYMBOL = np.zeros(256, dtype=bool)

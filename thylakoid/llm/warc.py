@@ -9,16 +9,20 @@ keeps those candidates that the chain of records reaches; the others lie inside
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import durable, shared_folder, sized_join
+from thylakoid.llm.common import bounded_batches, durable, shared_folder, sized_join
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 #: Payloads of fewer bytes are written again rather than referred to.
 LEAST_BYTES = 100
+#: Input splits, each a path and two numbers, of which a table may be broadcast.
+BROADCAST_SPLITS = 100_000
 
 
 def with_records(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", least: int = LEAST_BYTES) -> DataFrame:
@@ -101,6 +105,32 @@ def _located(cut: DataFrame) -> DataFrame:
     return cut.withColumn("within", F.coalesce(F.sum("length").over(inside), F.lit(0))).join(totals, ["file", "split"]).withColumn("offset", F.col("before") + F.col("within") - len(MAGIC)).drop("before", "within")
 
 
+def _located_in_place(cut: DataFrame, splits: int) -> DataFrame:
+    """``file``, ``offset`` and ``value`` of each cut, as ``_located`` has them, without a shuffle of values.
+
+    A task reads its splits one after the other, so lengths add up in passing; only the totals of
+    splits are shuffled, and broadcast if there aren't too many.
+    """
+    totals = cut.groupBy("file", "split").agg(F.sum("length").alias("total"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    totals = totals.select("file", "split", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("before"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, total = None, 0
+        for batch in batches:
+            within = []
+            for name, split, length in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+                if (name, split) != at:
+                    at, total = (name, split), 0
+                within.append(total)
+                total += length
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(within, pa.int64()), batch.column(3)], ["file", "split", "within", "value"])
+
+    bounded_batches(cut.sparkSession)
+    rows = cut.select("file", "split", "length", "value").mapInArrow(run, "file string, split long, within long, value string")
+    return rows.join(F.broadcast(totals) if splits <= BROADCAST_SPLITS else totals, ["file", "split"]).select("file", (F.col("before") + F.col("within") - len(MAGIC)).alias("offset"), "value")
+
+
 def reachable(candidates: DataFrame) -> DataFrame:
     """Those rows of (file, offset, next) that a walk from offset 0 of the file visits.
 
@@ -150,7 +180,7 @@ def read_archive(spark: SparkSession, folder: str) -> DataFrame:
         starts = starts.unionByName(records.filter("whole").select("file", "offset", F.lit(-1).cast("long").alias("record")))
         last = Window.partitionBy("file").orderBy("offset").rowsBetween(Window.unboundedPreceding, 0)
         owned = starts.withColumn("record", F.last("record", ignorenulls=True).over(last)).filter("record >= 0")
-        pieces = _located(cut.select("file", "split", "seq", "length", "value")).join(durable(owned), ["file", "offset"])
+        pieces = sized_join(_located_in_place(cut, slim.select("file", "split").distinct().count()), durable(owned), ["file", "offset"], "inner")
         text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("offset", "value"))), lambda p: p.value), MAGIC)
         joined = pieces.groupBy("file", "record").agg(text.alias("value")).withColumnRenamed("record", "offset")
         parts.append(finished(broken.join(joined, ["file", "offset"]).withColumn("block", block).drop("value")))
