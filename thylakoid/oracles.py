@@ -231,7 +231,9 @@ SQL: dict[str, str] = {
     "gap_fill_compat": f"WITH RECURSIVE {_F}, {_U}, {_EXONS_COMPAT}, {_GAP_COMPAT}",
     "gff_import": f"WITH {_F}, {_U}, {_EXONS}, src AS (SELECT * FROM x), {_GAP} UNION ALL SELECT * FROM x",
     "converter_files": f"WITH {_F}, {_U}, {_EXONS}, src AS (SELECT * FROM x), {_GAP} UNION ALL SELECT * FROM x",
+    "gff_files": f"WITH {_F}, {_U}, {_EXONS}, src AS (SELECT * FROM x), {_GAP} UNION ALL SELECT * FROM x",
     "genbank_import": f"WITH {_F}, {_U}, src AS (SELECT genome_id, \"start\", \"end\", strand, name FROM u), {_GAP.replace('~', '-')} UNION ALL SELECT * FROM src",
+    "genbank_files": f"WITH {_F}, {_U}, src AS (SELECT genome_id, \"start\", \"end\", strand, name FROM u), {_GAP.replace('~', '-')} UNION ALL SELECT * FROM src",
     "fasta_files": f"WITH {_G} SELECT genome_id, genome_id::VARCHAR AS id, seq FROM g",
     "genome_files": f"WITH {_G} SELECT genome_id, seq FROM g",
     "orf_stream": f"WITH {_ORFS} SELECT * FROM orfs",

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from thylakoid.functions import sequence as seq
 from thylakoid.operators import align, features, hits, intervals, orf, repeats
 from thylakoid.plans import annotate, inputs
-from thylakoid.plans.cuts import shared_folder
+from thylakoid.plans.cuts import cut, shared_folder
 from thylakoid.sources import readers, writers
 from thylakoid.streaming import frames
 
@@ -444,15 +444,25 @@ def guide_list(spark: SparkSession, d: str) -> DataFrame:
     return readers.guide_list(spark, names)
 
 
-@query
-def gff_import(spark: SparkSession, d: str) -> DataFrame:
-    rows, folder = _unique(spark, d), _folder(spark)
+def _gff_lines(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unique(spark, d)
     attributes = F.concat(F.lit("ID=x;Parent="), "gene")
     lines = rows.select("genome_id", F.concat_ws("\t", F.lit("s"), F.lit("src"), F.lit("CDS"), F.col("start").cast("string"), F.col("end").cast("string"), F.lit("."), "strand", F.lit("0"), attributes).alias("value"))
     heads = _lengths(rows).select("genome_id", F.concat_ws("\t", F.lit("s"), F.lit("src"), F.lit("region"), F.lit("1"), F.col("len").cast("string"), F.lit("."), F.lit("+"), F.lit("."), F.lit("ID=r")).alias("value"))
-    lines.unionByName(heads).repartition("genome_id").write.partitionBy("genome_id").text(folder)
-    found, lengths = readers.read_gff3(spark, folder)
-    return annotate.import_gff3(found, lengths).withColumn("genome_id", _of_path())
+    return lines.unionByName(heads)
+
+
+@query
+def gff_import(spark: SparkSession, d: str) -> DataFrame:
+    return annotate.import_gff3(*readers.parse_gff3(_gff_lines(spark, d)))
+
+
+@query
+def gff_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    _gff_lines(spark, d).repartition("genome_id").write.partitionBy("genome_id").text(folder)
+    found, lengths = (cut(df.withColumn("genome_id", _of_path())) for df in readers.read_gff3(spark, folder))
+    return annotate.import_gff3(found, lengths)
 
 
 @query
@@ -462,15 +472,24 @@ def converter_files(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_features(spark, folder).select(F.col("genome_id").cast("long"), "start", "end", "strand", "name")
 
 
-@query
-def genbank_import(spark: SparkSession, d: str) -> DataFrame:
-    rows, folder = _unique(spark, d), _folder(spark)
+def _genbank_records(spark: SparkSession, d: str) -> DataFrame:
+    rows = _unique(spark, d)
     place = F.concat(F.col("start").cast("string"), F.lit(".."), F.col("end").cast("string"))
     entry = F.concat(F.lit("     gene            "), F.when(F.col("strand") == "-", F.concat(F.lit("complement("), place, F.lit(")"))).otherwise(place), F.lit('\n                     /gene="'), "name", F.lit('"\n'))
     body = rows.groupBy("genome_id").agg(F.array_join(F.array_sort(F.collect_list(entry)), "").alias("body"))
-    records = body.select("genome_id", F.concat(F.lit(f"LOCUS       X   {LENGTH} bp    DNA\nFEATURES             Location/Qualifiers\n"), "body").alias("value"))
-    records.repartition("genome_id").write.partitionBy("genome_id").text(folder)
-    return annotate.import_genbank(readers.read_genbank(spark, folder)).withColumn("genome_id", _of_path())
+    return body.select("genome_id", F.concat(F.lit(f"LOCUS       X   {LENGTH} bp    DNA\nFEATURES             Location/Qualifiers\n"), "body").alias("value"))
+
+
+@query
+def genbank_import(spark: SparkSession, d: str) -> DataFrame:
+    return annotate.import_genbank(cut(readers.parse_genbank(_genbank_records(spark, d))))
+
+
+@query
+def genbank_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    _genbank_records(spark, d).repartition("genome_id").write.partitionBy("genome_id").text(folder)
+    return annotate.import_genbank(cut(readers.read_genbank(spark, folder).withColumn("genome_id", _of_path())))
 
 
 @query
