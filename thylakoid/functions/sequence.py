@@ -139,39 +139,66 @@ def frame_protein(seq: Column, compat: bool = False) -> Column:
     return F.when(frame == 0, translate_dna(seq)).when(frame == 1, translate_dna(seq, 1)).otherwise(translate_dna(seq, 2))
 
 
-def _windows(text: Column, width: int, step: int) -> Column:
+def windows(text: str, width: int, step: int) -> list[str]:
     """Windows of ``width`` at 0, ``step``, 2 ``step`` ... that lie within the text."""
-    if step == width:
-        return F.regexp_extract_all(text, F.lit("(?s).{%d}" % width), F.lit(0))
-    starts = F.when(F.length(text) >= width, F.sequence(F.lit(1), F.length(text) - width + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.substring(text, i, F.lit(width)))
+    return [text[i : i + width] for i in range(0, len(text) - width + 1, step)]
 
 
-def _found(windows: Column, text: Column) -> Column:
-    return F.size(F.filter(windows, lambda w: F.contains(text, w)))
+def _found(texts: Column, other: Column, width: int, step: int) -> Column:
+    """Of each of an array of texts, how many of its windows occur in ``other``; null for a null.
+
+    An Arrow-backed function: the words of a text that many others are compared with are made into
+    a set once in a batch.  As expressions each window cost a walk from the start and a search.
+    """
+
+    @F.pandas_udf("array<int>")
+    def run(texts: pd.Series, others: pd.Series) -> pd.Series:
+        known: dict[str, set[str]] = {}
+        out = []
+        for row, other in zip(texts, others, strict=True):
+            if row is None or other is None:
+                out.append(None)
+                continue
+            if other not in known:
+                known[other] = set(windows(other, width, 1))
+            words = known[other]
+            out.append([None if t is None else sum(w in words for w in windows(t, width, step)) for t in row])
+        return pd.Series(out)
+
+    return run(texts, other)
+
+
+def kmer_scores(orfs: Column, ref: Column) -> Column:
+    """Of each of an array of proteins its overlapping 3-residue windows found in ``ref``, by the length of ``ref``; may exceed 1; null if ``ref`` is empty."""
+    return F.when(F.length(ref) > 0, F.transform(_found(orfs, ref, 3, 1), lambda n: n.cast("double") / F.length(ref)))
+
+
+def kmer_scores_legacy(orfs: Column, ref: Column) -> Column:
+    """Of each of an array of proteins the part of its non-overlapping 3-residue windows found in ``ref``, times the ratio of lengths."""
+    several = F.transform(orfs, lambda o: F.floor(F.length(o) / 3))
+    score = F.zip_with(F.arrays_zip(_found(orfs, ref, 3, 3).alias("n"), several.alias("m")), orfs, lambda x, o: F.when(x["m"] > 0, x["n"].cast("double") / x["m"] * (F.length(o).cast("double") / F.length(ref))))
+    return F.when(F.length(ref) > 0, score)
 
 
 def kmer_score(orf: Column, ref: Column) -> Column:
-    """Overlapping 3-residue windows of ``orf`` found in ``ref``, by the length of ``ref``; may exceed 1; null if ``ref`` is empty."""
-    return F.when(F.length(ref) > 0, _found(_windows(orf, 3, 1), ref).cast("double") / F.length(ref))
+    """``kmer_scores`` of one protein."""
+    return kmer_scores(F.array(orf), ref)[0]
 
 
 def kmer_score_legacy(orf: Column, ref: Column) -> Column:
-    """Part of the non-overlapping 3-residue windows of ``orf`` found in ``ref``, times the ratio of lengths."""
-    windows = _windows(orf, 3, 3)
-    return F.when((F.length(ref) > 0) & (F.size(windows) > 0), _found(windows, ref).cast("double") / F.size(windows) * (F.length(orf).cast("double") / F.length(ref)))
+    """``kmer_scores_legacy`` of one protein."""
+    return kmer_scores_legacy(F.array(orf), ref)[0]
 
 
 def kmer_score_rna(query: Column, ref: Column) -> Column:
     """Part of the non-overlapping 6-base windows of ``ref`` found in ``query``; null if there is none."""
-    windows = _windows(ref, 6, 6)
-    return F.when(F.size(windows) > 0, _found(windows, query).cast("double") / F.size(windows))
+    return F.when(F.length(ref) >= 6, _found(F.array(ref), query, 6, 6)[0].cast("double") / F.floor(F.length(ref) / 6))
 
 
 def best_frames(gene: Column, proteins: Column) -> Column:
     """Struct (fwd, fwd_frame, rev, rev_frame): how much of the gene's 3-residue windows each of six proteins holds, the lower frame of equals."""
-    windows = _windows(gene, 3, 3)
-    scores = F.transform(proteins, lambda p: F.when(F.size(windows) > 0, _found(windows, F.coalesce(p, F.lit(""))).cast("double") / F.size(windows)))
+    held = lambda i: _found(F.array(gene), F.coalesce(F.get(proteins, i), F.lit("")), 3, 3)[0]
+    scores = F.array(*[F.when(F.length(gene) >= 3, held(i).cast("double") / F.floor(F.length(gene) / 3)) for i in range(6)])
     side = lambda a: F.slice(scores, a, 3)
     top = lambda a: F.array_max(side(a))
     return F.struct(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import find_all, frame_protein, hit_strand, kmer_score, kmer_score_legacy, kmer_score_rna, exon_number, revcomp, six_frames, strip_guide
+from thylakoid.functions.sequence import find_all, frame_protein, hit_strand, kmer_score_rna, kmer_scores, kmer_scores_legacy, exon_number, revcomp, six_frames, strip_guide
 from thylakoid.operators.features import sliced
 from thylakoid.operators.intervals import union_length
 
@@ -60,8 +60,8 @@ def score_pairs(pairs: DataFrame, orfs: DataFrame, refs: DataFrame, legacy: bool
     """
     queries = orfs.select(F.col("orf_id").alias("qseqid"), six_frames(F.col("seq")).alias("_frames"))
     proteins = refs.select(F.col("ref_id").alias("sseqid"), F.coalesce(frame_protein(F.col("seq"), compat), F.lit("")).alias("_ref"))
-    score = kmer_score_legacy if legacy else kmer_score
-    best = F.array_max(F.transform("_frames", lambda p: score(F.coalesce(p, F.lit("")), F.col("_ref"))))
+    score = kmer_scores_legacy if legacy else kmer_scores
+    best = F.array_max(score(F.transform("_frames", lambda p: F.coalesce(p, F.lit(""))), F.col("_ref")))
     return pairs.join(queries, "qseqid").join(proteins, "sseqid").withColumn("score", best).drop("_frames", "_ref")
 
 

@@ -90,10 +90,6 @@ meets AS (SELECT DISTINCT genome_id, gw.p AS p, ref_id FROM gw JOIN rw USING (w)
 pairs AS (SELECT DISTINCT genome_id, genome_id || ':' || orf_id AS orf_id, ref_id, start0, end0 FROM orfs JOIN meets USING (genome_id) WHERE start0 <= p AND p + 14 <= end0)"""
 
 
-_PAIRS = f"""
-{_G}, {_R0}, pairs AS (SELECT a.ref_id AS qseqid, b.ref_id AS sseqid, {_protein('a.seq')} AS o, {_protein('b.seq')} AS p, a.seq AS oq, b.seq AS pq FROM r a JOIN r b ON a.guide_no = b.guide_no)"""
-
-
 def _found(windows: str, text: str) -> str:
     return f"len(list_filter({windows}, lambda w: contains({text}, w)))"
 
@@ -106,12 +102,18 @@ def _last(seq: str, codon: str, below: str) -> str:
     return f"coalesce(list_max(list_filter(range(0, greatest(0, least({below}, length({seq}) - 2))), lambda i: substr({seq}, (i + 1)::INT, 3) = {codon})), -1)::INT"
 
 
-_SCORED = f"""{_PAIRS}, scored AS (SELECT qseqid, sseqid, list_max(list_transform([{', '.join(_protein(s, k) for s in ('oq', _rc('oq')) for k in range(3))}],
-  lambda q: {_found(_windows("coalesce(q, '')", 3, 1), 'pf')}::DOUBLE / length(pf))) AS score FROM (SELECT *,
-  CASE WHEN f0 >= f1 AND f0 >= f2 THEN p0 WHEN f1 >= f2 THEN p1 ELSE p2 END AS pf FROM (SELECT *,
-    CASE WHEN instr(p0, '_') = 0 THEN length(pq) + 1 ELSE instr(p0, '_') - 1 END AS f0, CASE WHEN instr(p1, '_') = 0 THEN length(pq) + 1 ELSE instr(p1, '_') - 1 END AS f1,
-    CASE WHEN instr(p2, '_') = 0 THEN length(pq) + 1 ELSE instr(p2, '_') - 1 END AS f2
-    FROM (SELECT *, {_protein('pq', 0)} AS p0, {_protein('pq', 1)} AS p1, {_protein('pq', 2)} AS p2 FROM pairs))))"""
+_FRAME_PAIRS = _pairs_by_words(_ORFS, "class = 'gene'")
+# sequences are translated once, before the pairs are made
+_SEQS = f"""{_FRAME_PAIRS}, used AS (SELECT DISTINCT orf_id, genome_id, start0, end0 FROM pairs), frames AS (SELECT orf_id, substr(seq, start0 + 1, end0 - start0 + 1) AS oq FROM used JOIN g USING (genome_id)),
+proteins AS (SELECT orf_id AS qseqid, ref_id AS sseqid, o, p FROM pairs JOIN (SELECT orf_id, {_protein('oq')} AS o FROM frames) USING (orf_id) JOIN (SELECT ref_id, {_protein('seq')} AS p FROM rr) USING (ref_id))"""
+_SCORED = f"""{_SEQS}, refp AS (SELECT ref_id, CASE WHEN f0 >= f1 AND f0 >= f2 THEN p0 WHEN f1 >= f2 THEN p1 ELSE p2 END AS pf FROM (SELECT *,
+    CASE WHEN instr(p0, '_') = 0 THEN length(seq) + 1 ELSE instr(p0, '_') - 1 END AS f0, CASE WHEN instr(p1, '_') = 0 THEN length(seq) + 1 ELSE instr(p1, '_') - 1 END AS f1,
+    CASE WHEN instr(p2, '_') = 0 THEN length(seq) + 1 ELSE instr(p2, '_') - 1 END AS f2
+    FROM (SELECT *, {_protein('seq', 0)} AS p0, {_protein('seq', 1)} AS p1, {_protein('seq', 2)} AS p2 FROM rr))),
+sixes AS (SELECT orf_id, [{', '.join(_protein(s, k) for s in ('oq', _rc('oq')) for k in range(3))}] AS six FROM frames),
+scored AS (SELECT orf_id AS qseqid, ref_id AS sseqid, list_max(list_transform(six, lambda q: {_found(_windows("coalesce(q, '')", 3, 1), 'pf')}::DOUBLE / length(pf))) AS score
+  FROM pairs JOIN sixes USING (orf_id) JOIN refp USING (ref_id))"""
+_PIECES = f"""{_HITS}, pieces AS (SELECT h.qseqid, h.sseqid, line_no, substr(g.seq, qstart, qend - qstart + 1) AS oq, r.seq AS pq FROM h JOIN g ON genome_id::VARCHAR = qseqid JOIN r ON ref_id = sseqid)"""
 
 _GAP = """
 e AS (SELECT *, nullif(regexp_extract(name, '^(.+)_exon\\d+', 1), '') AS gene0, try_cast(nullif(regexp_extract(name, '_exon(\\d+)', 1), '') AS INT) AS num FROM src),
@@ -149,10 +151,11 @@ regions AS (SELECT genome_id, 'FULL' AS name, 1 AS "start", len AS "end" FROM v
   UNION ALL SELECT genome_id, unnest(['LSC', 'IRB', 'SSC', 'IRA']), unnest([1, a + 1, z + 21, second + 1]), unnest([a, z + 20, second, len]) FROM v WHERE second >= z + 20)
 SELECT genome_id, name, "start"::INT AS "start", "end"::INT AS "end", '+' AS strand FROM regions WHERE "end" >= "start" """
 
-_BEST_RNA = f"""WITH {_HITS}, q AS (SELECT qseqid, sseqid, line_no, split_part(sseqid, 'XXX', 1) AS short_name, r.seq AS rseq, CASE WHEN (qend > qstart) = (send > sstart) THEN substr(g.seq, qstart, qend - qstart + 1) ELSE {_rc('substr(g.seq, qstart, qend - qstart + 1)')} END AS piece
-      FROM h JOIN r ON ref_id = sseqid JOIN g ON genome_id::VARCHAR = qseqid WHERE class <> 'gene')
-      SELECT short_name, qseqid AS query_id, sseqid AS ref_id, score FROM (SELECT *, {_found(_windows('rseq', 6, 6), 'piece')}::DOUBLE / len({_windows('rseq', 6, 6)}) AS score FROM q)
-      QUALIFY row_number() OVER (PARTITION BY qseqid, short_name ORDER BY score DESC, line_no) = 1"""
+_BEST = f"""{_HITS}, q AS (SELECT qseqid, sseqid, line_no, split_part(sseqid, 'XXX', 1) AS short_name, r.seq AS rseq, CASE WHEN (qend > qstart) = (send > sstart) THEN substr(g.seq, qstart, qend - qstart + 1) ELSE {_rc('substr(g.seq, qstart, qend - qstart + 1)')} END AS piece
+      FROM h JOIN r ON ref_id = sseqid JOIN g ON genome_id::VARCHAR = qseqid WHERE class <> 'gene'),
+best AS (SELECT short_name, qseqid AS query_id, sseqid AS ref_id, score FROM (SELECT *, {_found(_windows('rseq', 6, 6), 'piece')}::DOUBLE / len({_windows('rseq', 6, 6)}) AS score FROM q)
+      QUALIFY row_number() OVER (PARTITION BY qseqid, short_name ORDER BY score DESC, line_no) = 1)"""
+_BEST_RNA = f"WITH {_BEST} SELECT * FROM best"
 
 _REGIONS = f"""{_F}, guides AS (SELECT doc_id AS guide_no, {_dna('text')} AS seq FROM documents),
       n AS (SELECT genome_id AS guide_no, "start", "end", strand, load_order, CASE load_order % 6 WHEN 0 THEN name WHEN 1 THEN 'trnL' || name || '-UAA' WHEN 2 THEN 'rrn' || name WHEN 3 THEN 'trnV' || name || '-UAC_exon' || (load_order % 3 + 1) WHEN 4 THEN name || '~psbA' ELSE name || '_intron1' END AS name FROM f),
@@ -181,14 +184,14 @@ SQL: dict[str, str] = {
     "reference_frame": f"""WITH {_R0} SELECT ref_id, (CASE WHEN f0 >= f1 AND f0 >= f2 THEN 0 WHEN f1 >= f2 THEN 1 ELSE 2 END)::INT AS frame,
       (CASE WHEN i0 = -1 THEN 0 WHEN i2 > i0 THEN 2 WHEN i1 > i0 THEN 1 ELSE 0 END)::INT AS compat_frame FROM (SELECT *, CASE WHEN i0 = -1 THEN n + 1 ELSE i0 END AS f0, CASE WHEN i1 = -1 THEN n + 1 ELSE i1 END AS f1,
       CASE WHEN i2 = -1 THEN n + 1 ELSE i2 END AS f2 FROM (SELECT ref_id, length(seq) AS n, {', '.join(f"instr(coalesce({_protein('seq', k)}, ''), '_') - 1 AS i{k}" for k in range(3))} FROM r))""",
-    "score_protein": f"WITH {_PAIRS} SELECT qseqid, sseqid, {_found(_windows('o', 3, 1), 'p')}::DOUBLE / length(p) AS score FROM pairs",
-    "score_protein_legacy": f"WITH {_PAIRS} SELECT qseqid, sseqid, {_found(_windows('o', 3, 3), 'p')}::DOUBLE / len({_windows('o', 3, 3)}) * (length(o)::DOUBLE / length(p)) AS score FROM pairs",
-    "score_rna": f"WITH {_PAIRS} SELECT qseqid, sseqid, {_found(_windows('pq', 6, 6), 'oq')}::DOUBLE / len({_windows('pq', 6, 6)}) AS score FROM pairs",
+    "score_protein": f"WITH {_SEQS} SELECT qseqid, sseqid, {_found(_windows('o', 3, 1), 'p')}::DOUBLE / length(p) AS score FROM proteins",
+    "score_protein_legacy": f"WITH {_SEQS} SELECT qseqid, sseqid, {_found(_windows('o', 3, 3), 'p')}::DOUBLE / len({_windows('o', 3, 3)}) * (length(o)::DOUBLE / length(p)) AS score FROM proteins",
+    "score_rna": f"WITH {_PIECES} SELECT qseqid, sseqid, line_no::INT AS line_no, {_found(_windows('pq', 6, 6), 'oq')}::DOUBLE / len({_windows('pq', 6, 6)}) AS score FROM pieces",
     "score_six_frames": f"WITH {_SCORED} SELECT * FROM scored",
-    "best_frames": f"""WITH {_PAIRS}, w AS (SELECT qseqid, sseqid, {_windows('p', 3, 3)} AS ws, [{', '.join(_protein('oq', k) for k in range(3))}] AS fw, [{', '.join(_protein(_rc('oq'), k) for k in range(3))}] AS rv FROM pairs),
-      s AS (SELECT qseqid, sseqid, list_transform(fw, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS a, list_transform(rv, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS b FROM w)
-      SELECT qseqid, sseqid, list_max(a) AS fwd, (list_position(a, list_max(a)) - 1)::INT AS fwd_frame, list_max(b) AS rev, (list_position(b, list_max(b)) - 1)::INT AS rev_frame FROM s""",
-    "start_codons": f"""WITH {_R0} SELECT ref_id, {_last('seq', "'ATG'", '3 * 8')} AS atg, {_last('seq', 'substr(seq, 1, 3)', '3 * 8 + 1')} AS own FROM r""",
+    "best_frames": f"""WITH {_PIECES}, w AS (SELECT qseqid, sseqid, line_no, {_windows(_protein('pq'), 3, 3)} AS ws, [{', '.join(_protein('oq', k) for k in range(3))}] AS fw, [{', '.join(_protein(_rc('oq'), k) for k in range(3))}] AS rv FROM pieces),
+      s AS (SELECT qseqid, sseqid, line_no, list_transform(fw, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS a, list_transform(rv, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS b FROM w)
+      SELECT qseqid, sseqid, line_no::INT AS line_no, list_max(a) AS fwd, (list_position(a, list_max(a)) - 1)::INT AS fwd_frame, list_max(b) AS rev, (list_position(b, list_max(b)) - 1)::INT AS rev_frame FROM s""",
+    "start_codons": f"""WITH {_R0} SELECT ref_id, {_last('seq', "'ATG'", '3 * (length(seq) // 6)')} AS atg, {_last('seq', 'substr(seq, 1, 3)', '3 * (length(seq) // 6) + 1')} AS own FROM r""",
     "find_all": f"""WITH {_R0}, {_G} SELECT genome_id, ref_id, list_filter(range(0, greatest(0, length(g.seq) - length(m) + 1)), lambda i: substr(g.seq, (i + 1)::INT, length(m)) = m) AS places
       FROM g JOIN (SELECT ref_id, substr(seq, 1, 12) AS m FROM r WHERE class = 'tRNA' AND seq <> '') ON contains(g.seq, m)""",
     "region_extract": f"WITH {_REGIONS} SELECT * FROM regions",
@@ -210,9 +213,8 @@ SQL: dict[str, str] = {
     "best_orf_files": f"WITH {_SCORED} SELECT qseqid AS query_id, sseqid AS ref_id, score FROM scored WHERE score >= 0.7 QUALIFY row_number() OVER (PARTITION BY qseqid ORDER BY score DESC, sseqid) = 1",
     "best_rna_hits": _BEST_RNA,
     "best_rna_files": f"SELECT query_id, ref_id FROM ({_BEST_RNA})",
-    "rna_candidates": f"""WITH {_HITS}, b AS (SELECT qseqid, sseqid FROM h JOIN r ON ref_id = sseqid WHERE class <> 'gene' QUALIFY row_number() OVER (PARTITION BY qseqid, split_part(sseqid, 'XXX', 1) ORDER BY line_no) = 1)
-      SELECT qseqid, sseqid AS ref_id, 'orfRNA' || row_number() OVER (PARTITION BY qseqid ORDER BY line_no) || CASE WHEN send < sstart THEN '-r' ELSE '' END AS orf_id, qstart AS "start", qend AS "end"
-      FROM h SEMI JOIN b USING (qseqid, sseqid) JOIN r ON ref_id = sseqid WHERE (abs(send - sstart) + 1)::DOUBLE / length(seq) >= 0.97""",
+    "rna_candidates": f"""WITH {_BEST} SELECT qseqid, sseqid AS ref_id, 'orfRNA' || row_number() OVER (PARTITION BY qseqid ORDER BY line_no) || CASE WHEN send < sstart THEN '-r' ELSE '' END AS orf_id, qstart AS "start", qend AS "end"
+      FROM h SEMI JOIN (SELECT query_id AS qseqid, ref_id AS sseqid FROM best) USING (qseqid, sseqid) JOIN r ON ref_id = sseqid WHERE (abs(send - sstart) + 1)::DOUBLE / length(seq) >= 0.97 AND class <> 'gene'""",
     "dedupe_last": f"WITH {_F}, {_U} SELECT genome_id, \"start\", \"end\", strand, name FROM u",
     "locus_best": f"""WITH {_F}, i AS (SELECT *, sum(new) OVER (PARTITION BY genome_id, gene ORDER BY "start", "end", load_order ROWS UNBOUNDED PRECEDING) AS island FROM (
       SELECT *, CASE WHEN "start" <= max("end") OVER (PARTITION BY genome_id, gene ORDER BY "start", "end", load_order ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN 0 ELSE 1 END AS new FROM f))

@@ -36,16 +36,21 @@ def _unique(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    """References of one guide with each other, as sequences to score."""
-    refs = inputs.references(spark, d)
-    a = refs.select("guide_no", F.col("ref_id").alias("qseqid"), F.col("seq").alias("oq"))
-    return a.join(refs.select("guide_no", F.col("ref_id").alias("sseqid"), F.col("seq").alias("pq")), "guide_no")
+    """Frames and genes that share a protein word, with their sequences."""
+    orfs = _named_orfs(spark, d).select(F.col("orf_id").alias("qseqid"), F.col("seq").alias("oq"))
+    refs = _genes(spark, d).select(F.col("ref_id").alias("sseqid"), F.col("seq").alias("pq"))
+    return protein_pairs(spark, d).join(orfs, "qseqid").join(refs, "sseqid")
 
 
 def _proteins(spark: SparkSession, d: str) -> DataFrame:
-    refs = inputs.references(spark, d).withColumn("prot", seq.translate_dna(F.col("seq")))
-    a = refs.select("guide_no", F.col("ref_id").alias("qseqid"), F.col("prot").alias("o"), F.col("seq").alias("oq"))
-    return a.join(refs.select("guide_no", F.col("ref_id").alias("sseqid"), F.col("prot").alias("p"), F.col("seq").alias("pq")), "guide_no")
+    return _pairs(spark, d).select("qseqid", "sseqid", seq.translate_dna(F.col("oq")).alias("o"), seq.translate_dna(F.col("pq")).alias("p"))
+
+
+def _pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Hits with the piece of the query that they lie on, and their reference."""
+    found = features.sliced(_hits(spark, d), inputs.genomes(spark, d).select(F.col("genome_id").cast("string").alias("qseqid"), "seq"), "qseqid", F.col("qstart"), F.col("qend"))
+    refs = inputs.references(spark, d).select(F.col("ref_id").alias("sseqid"), F.col("seq").alias("pq"))
+    return found.select("qseqid", "sseqid", "line_no", F.col("seq").alias("oq")).join(refs, "sseqid")
 
 
 def _hits(spark: SparkSession, d: str) -> DataFrame:
@@ -122,12 +127,11 @@ def score_protein_legacy(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def score_rna(spark: SparkSession, d: str) -> DataFrame:
-    return _pairs(spark, d).select("qseqid", "sseqid", seq.kmer_score_rna(F.col("oq"), F.col("pq")).alias("score"))
+    return _pieces(spark, d).select("qseqid", "sseqid", "line_no", seq.kmer_score_rna(F.col("oq"), F.col("pq")).alias("score"))
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    refs = inputs.references(spark, d)
-    return hits.score_pairs(_pairs(spark, d).select("qseqid", "sseqid"), refs.select(F.col("ref_id").alias("orf_id"), "seq"), refs)
+    return hits.score_pairs(protein_pairs(spark, d), _named_orfs(spark, d), _genes(spark, d))
 
 
 @query
@@ -142,16 +146,16 @@ def best_reference(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def best_frames(spark: SparkSession, d: str) -> DataFrame:
-    refs = inputs.references(spark, d)
-    a = refs.select("guide_no", F.col("ref_id").alias("qseqid"), seq.six_frames(F.col("seq")).alias("f"))
-    b = refs.select("guide_no", F.col("ref_id").alias("sseqid"), seq.translate_dna(F.col("seq")).alias("p"))
-    return a.join(b, "guide_no").select("qseqid", "sseqid", seq.best_frames(F.col("p"), F.col("f")).alias("b")).select("qseqid", "sseqid", "b.*")
+    rows = _pieces(spark, d).select("qseqid", "sseqid", "line_no", seq.six_frames(F.col("oq")).alias("f"), seq.translate_dna(F.col("pq")).alias("p"))
+    return rows.select("qseqid", "sseqid", "line_no", seq.best_frames(F.col("p"), F.col("f")).alias("b")).select("qseqid", "sseqid", "line_no", "b.*")
 
 
 @query
 def start_codons(spark: SparkSession, d: str) -> DataFrame:
+    """Starts in the first half of each reference."""
     c = F.col("seq")
-    return inputs.references(spark, d).select("ref_id", seq.match_start(c, F.lit(8)).alias("atg"), seq.alt_start(c, F.lit(8), c).alias("own"))
+    near = F.floor(F.length(c) / 6).cast("int")
+    return inputs.references(spark, d).select("ref_id", seq.match_start(c, near).alias("atg"), seq.alt_start(c, near, c).alias("own"))
 
 
 @query
@@ -232,7 +236,7 @@ def best_rna_hits(spark: SparkSession, d: str) -> DataFrame:
 @query
 def rna_candidates(spark: SparkSession, d: str) -> DataFrame:
     found, rnas = _rna_hits(spark, d)
-    return hits.rna_candidates(found, hits.best_rna_hits(found, found, rnas, True), rnas)
+    return hits.rna_candidates(found, best_rna_hits(spark, d), rnas)
 
 
 @query
