@@ -3,7 +3,8 @@
 Words are lower-cased and freed of ASCII punctuation.  One pass over the documents emits the word
 hashes and the seeds of each document that holds an n-gram of the benchmark; a Bloom filter, sized
 by the number of these n-grams, keeps out nearly all others.  Every document and item that share
-an n-gram, however frequent it is, meet in an equi-join.  The item is aligned with what lies around
+an n-gram, however frequent it is, meet in an equi-join; a benchmark of up to INDEX_WORDS words
+is sent to the tasks instead, which then meet and align in passing.  The item is aligned with what lies around
 their seeds, as far as it could reach, which finds edited copies too; only pairs that provably
 can't reach the score are spared the alignment.
 """
@@ -12,19 +13,21 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable, skewed_join
-from thylakoid.llm.textkit import LOWER, NOT_PUNCTUATION, U64, Words, as_long, blocks, combine, compact, find_words, hash_spans, mix, ngrams
+from thylakoid.llm import bloom
+from thylakoid.llm.common import bounded_batches, durable, skewed_join
+from thylakoid.llm.textkit import LOWER, NOT_PUNCTUATION, U64, Words, as_long, blocks, combine, compact, find_words, hash_spans, ngrams
 
 #: Words of a seed.
 SEED = 3
-#: The filter's bits for each n-gram of the benchmark, probes, and sizes (as powers of two) that it keeps to.
-BITS, PROBES, SMALLEST, LARGEST = 32, 4, 16, 27
+#: Words, and n-grams of items, of a benchmark that is sent to every task (some 20 MB).
+INDEX_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Part of an item's own score that an alignment must reach.
 LEAST = 0.5
@@ -102,46 +105,19 @@ def _item_grams(items: DataFrame, n: int) -> DataFrame:
     return items.select("ref", F.explode(grams("words")).alias("gram")).distinct()
 
 
-def probes(grams: np.ndarray, size: int) -> np.ndarray:
-    """The bits, one row for each probe, of n-gram hashes in a filter of 2^size bits."""
-    step = mix(grams) | U64(1)
-    return np.stack([((grams + U64(i) * step) >> U64(64 - size)).astype(np.int64) for i in range(PROBES)])
-
-
-def gram_filter(grams: DataFrame) -> np.ndarray:
-    """A Bloom filter of ``gram``, as 64-bit cells.  It has 2^LARGEST bits at most, so a huge benchmark is filtered less, and matched as well."""
-    n = grams.select("gram").distinct().count()
-    size = min(max(SMALLEST, (BITS * n).bit_length()), LARGEST)
-
-    def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = np.unique(probes(batch.column(0).to_numpy().view(U64), size))
-            cell, first = np.unique(bit >> 6, return_index=True)
-            ored = np.bitwise_or.reduceat(U64(1) << (bit & 63).astype(U64), first) if len(bit) else np.zeros(0, dtype=U64)
-            yield pa.RecordBatch.from_arrays([pa.array(cell), as_long(ored)], ["cell", "bits"])
-
-    found = grams.select("gram").mapInArrow(cells, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toArrow()
-    out = np.zeros(1 << (size - 6), dtype=U64)
-    out[found.column("cell").to_numpy()] = found.column("bits").to_numpy().view(U64)
-    return out
-
-
 def find_seeds(docs: DataFrame, key: str, text: str, filtered: np.ndarray, lengths: list[int]) -> DataFrame:
     """``doc``, ``words`` (32-bit hashes) and ``seeds`` (``at``, the first word's number, and ``gram``) of each document that may hold an n-gram of the benchmark."""
     shared = docs.sparkSession.sparkContext.broadcast(filtered)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         have = shared.value
-        size = (len(have) * 64).bit_length() - 1
         for batch in batches:
             at_row, doc, found, places, grams = 0, [], [], [], []
             for n, words, hashes in _words(batch.column(1)):
                 spots, keys = [], []
                 for length in lengths:
                     runs, at = ngrams(words, hashes, length)
-                    ok = np.ones(len(runs), dtype=bool)
-                    for bit in probes(runs, size):
-                        ok &= (have[bit >> 6] >> (bit & 63).astype(U64)) & U64(1) == 1
+                    ok = bloom.may_hold(have, runs)
                     spots.append(at[ok])
                     keys.append(runs[ok])
                 spot, gram = np.concatenate(spots), np.concatenate(keys)
@@ -192,6 +168,96 @@ def best_alignment(item: np.ndarray, text: np.ndarray, spots: np.ndarray, least:
     return best
 
 
+class Index(NamedTuple):
+    """A small benchmark: its n-grams in order, each with the items that hold it, and these items' words (32-bit hashes)."""
+
+    grams: np.ndarray
+    first: np.ndarray
+    item: np.ndarray
+    refs: np.ndarray
+    words: list[np.ndarray]
+
+    @classmethod
+    def of(cls, items: DataFrame, grams: DataFrame) -> Index:
+        listed = items.select("ref", "words").toArrow()
+        refs = listed.column("ref").to_numpy()
+        order = np.argsort(refs)
+        words = [np.asarray(w.values).astype(np.int32) for w in listed.column("words")]
+        pairs = grams.select("gram", "ref").toArrow()
+        gram, item = pairs.column("gram").to_numpy().view(U64), np.searchsorted(refs[order], pairs.column("ref").to_numpy())
+        by = np.lexsort((item, gram))
+        found, first = np.unique(gram[by], return_index=True)
+        return cls(found, np.append(first, len(gram)), item[by], refs[order], [words[i] for i in order])
+
+    def met(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each n-gram that the benchmark has, its number among ``runs``, once for each item that holds it, and the item."""
+        if not len(self.grams) or not len(runs):
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+        place = np.minimum(np.searchsorted(self.grams, runs), len(self.grams) - 1)
+        at = np.flatnonzero(self.grams[place] == runs)
+        place = place[at]
+        times = self.first[place + 1] - self.first[place]
+        within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        return np.repeat(at, times), self.item[np.repeat(self.first[place], times) + within]
+
+
+FIT = ["score", "item_start", "item_end", "doc_start", "doc_end"]
+
+
+def align_in_place(docs: DataFrame, key: str, text: str, index: Index, lengths: list[int], least: float) -> DataFrame:
+    """``doc``, ``ref``, ``n`` (the item's words) and the alignment for each document and item of a small benchmark: no shuffle."""
+    shared = docs.sparkSession.sparkContext.broadcast(index)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index: Index = shared.value
+        for batch in batches:
+            at_row, doc, rows = 0, [], []
+            for n, words, hashes in _words(batch.column(1)):
+                spots, items = [], []
+                for length in lengths:
+                    runs, at = ngrams(words, hashes, length)
+                    place, item = index.met(runs)
+                    spots.append(at[place])
+                    items.append(item)
+                spot, item = np.concatenate(spots), np.concatenate(items)
+                owner = words.doc[spot]
+                order = np.lexsort((spot, item, owner))
+                spot, item, owner = spot[order], item[order], owner[order]
+                for x, y in zip(*_runs(owner * len(index.words) + item), strict=True):
+                    first, end, one = words.first[owner[x]], words.first[owner[x] + 1], index.words[item[x]]
+                    fit = best_alignment(one, hashes[first:end].view(np.int64).astype(np.int32), spot[x:y] - first, least)
+                    if fit[0] >= least * MATCH * len(one):
+                        doc.append(at_row + int(owner[x]))
+                        rows.append((int(index.refs[item[x]]), len(one), *fit))
+                at_row += n
+            if doc:
+                columns = [pa.array([r[0] for r in rows], pa.int64()), *[pa.array([r[i] for r in rows], pa.int32()) for i in range(1, 7)]]
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), *columns], ["doc", "ref", "n", *FIT])
+
+    taken = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    return taken.mapInArrow(run, f"doc {taken.schema['doc'].dataType.simpleString()}, ref long, n int, " + ", ".join(f"{c} int" for c in FIT))
+
+
+def align_joined(docs: DataFrame, key: str, text: str, items: DataFrame, grams: DataFrame, lengths: list[int], least: float) -> DataFrame:
+    """The same for a benchmark of any size: seeds meet n-grams in a join, and pairs get their words."""
+    found = durable(find_seeds(docs, key, text, bloom.build(grams, "gram"), lengths).withColumn("row", F.xxhash64("doc", "words")))
+    hits = found.select("row", F.explode("seeds").alias("seed")).select("row", "seed.at", "seed.gram")
+    # an n-gram of a passage that very many documents hold is no single task's
+    times = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
+    held = durable(grams.groupBy("gram").agg(F.collect_list("ref").alias("held")).join(times, "gram"))
+    met = skewed_join(hits, held, "gram", "times", held.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]).select("row", "at", F.explode("held").alias("ref"))
+    pairs = met.groupBy("row", "ref").agg(F.collect_set("at").alias("spots"))
+
+    @F.arrow_udf("struct<score:int,item_start:int,item_end:int,doc_start:int,doc_end:int>")
+    def aligned(item: pa.Array, words: pa.Array, spots: pa.Array) -> pa.Array:
+        sides = zip(*[[np.asarray(x.values) for x in c] for c in (item, words, spots)], strict=True)
+        rows = [best_alignment(a.astype(np.int32), b, at.astype(np.int64), least) for a, b, at in sides]
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int32()) for i in range(5)], FIT)
+
+    wide = pairs.join(found.select("row", "doc", F.col("words").alias("around")), "row").join(items, "ref")
+    return wide.select("doc", "ref", F.size("words").alias("n"), aligned("words", "around", "spots").alias("fit")).select("doc", "ref", "n", "fit.*")
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = SEED, least: float = LEAST) -> DataFrame:
     """A row for each document and the item that it holds a copy of.
 
@@ -204,31 +270,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """
     bounded_batches(docs.sparkSession)
     items = durable(benchmark_words(benchmark, item_key, item_text).withColumn("ref", F.xxhash64("item", "words")).dropDuplicates(["ref"]))
-    shape = items.agg(F.collect_set(F.least(F.size("words"), F.lit(n)))).first()
+    shape = items.agg(F.collect_set(F.least(F.size("words"), F.lit(n))), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
     lengths = sorted(shape[0] or [n])
     grams = durable(_item_grams(items, n))
-    found = durable(find_seeds(docs, key, text, gram_filter(grams), lengths).withColumn("row", F.xxhash64("doc", "words")))
-
-    hits = found.select("row", F.explode("seeds").alias("seed")).select("row", "seed.at", "seed.gram")
-    if grams.count() <= BROADCAST_ROWS:
-        met = hits.join(F.broadcast(grams), "gram")
-    else:  # an n-gram of a passage that very many documents hold is no single task's
-        times = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
-        held = grams.groupBy("gram").agg(F.collect_list("ref").alias("held")).join(times, "gram")
-        met = skewed_join(hits, held, "gram", "times", hits.count()).select("row", "at", "gram", F.explode("held").alias("ref"))
-    pairs = met.groupBy("row", "ref").agg(F.collect_set("at").alias("spots"))
-
-    @F.arrow_udf("struct<score:int,item_start:int,item_end:int,doc_start:int,doc_end:int>")
-    def aligned(item: pa.Array, words: pa.Array, spots: pa.Array) -> pa.Array:
-        names = ["score", "item_start", "item_end", "doc_start", "doc_end"]
-        sides = zip(*[[np.asarray(x.values) for x in c] for c in (item, words, spots)], strict=True)
-        rows = [best_alignment(a.astype(np.int32), b, at.astype(np.int64), least) for a, b, at in sides]
-        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int32()) for i in range(5)], names)
-
-    wide = pairs.join(found.select("row", "doc", F.col("words").alias("around")), "row").join(items, "ref")
-    wide = wide.select("doc", "item", aligned("words", "around", "spots").alias("fit"), F.size("words").alias("n"))
-    rest = ["similarity", "score", "doc_start", "doc_end", "item_start", "item_end"]
-    wide = wide.withColumn("similarity", F.col("fit.score") / (MATCH * F.col("n"))).filter(F.col("similarity") >= least).select("doc", "item", "similarity", *[f"fit.{c}" for c in rest[1:]])
-    # several texts of one key
-    best = wide.groupBy("doc", "item").agg(F.max_by(F.struct(*rest), F.struct("score", -F.col("doc_start"))).alias("best"))
-    return best.select(F.col("doc").alias(key), F.col("item").alias(item_key), *[F.col(f"best.{c}").alias(c) for c in rest])
+    if max(shape[1], grams.count()) <= INDEX_WORDS:
+        wide = align_in_place(docs, key, text, Index.of(items, grams), lengths, least)
+    else:
+        wide = align_joined(docs, key, text, items, grams, lengths, least)
+    wide = wide.withColumn("similarity", F.col("score") / (MATCH * F.col("n"))).filter(F.col("similarity") >= least)
+    wide = wide.join(items.select("ref", "item"), "ref")
+    # several texts of one key, and several items
+    rest = ["similarity", *FIT]
+    best = wide.groupBy("doc", "item").agg(F.max_by(F.struct(*rest), F.struct("score", -F.col("doc_start"), -F.col("doc_end"), -F.col("item_start"))).alias("best"))
+    return best.select(F.col("doc").alias(key), F.col("item").alias(item_key), *[F.col(f"best.{c}").alias(c) for c in ["similarity", "score", "doc_start", "doc_end", "item_start", "item_end"]])
