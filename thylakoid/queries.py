@@ -171,6 +171,14 @@ def find_all(spark: SparkSession, d: str) -> DataFrame:
     return found.filter(F.size("places") > 0)
 
 
+@query
+def first_places(spark: SparkSession, d: str) -> DataFrame:
+    """Of each place list the first place at or after 100, or -1."""
+    motif = inputs.references(spark, d).select("ref_id", F.substring("seq", 1, 12).alias("m"))
+    rows = find_all(spark, d).select("genome_id", "ref_id").join(inputs.genomes(spark, d), "genome_id").join(motif, "ref_id")
+    return rows.select("genome_id", "ref_id", seq.index_of(F.col("seq"), F.col("m"), 100).alias("place"))
+
+
 def _regions(spark: SparkSession, d: str) -> DataFrame:
     n, name = F.col("load_order") % 6, F.col("name")
     named = (
