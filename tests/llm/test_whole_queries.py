@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from thylakoid.llm import common, components, decontaminate, jaccard, mixing, quality, queries, sharding, tokencounts, toxicity, urlrules, warc
+from thylakoid.llm import bloom, common, components, decontaminate, jaccard, mixing, quality, queries, sharding, tokencounts, toxicity, urlrules, warc
 
 LOWER = {c: c + 32 for c in range(65, 91)}
 VOCAB = [f"w{i}" for i in range(300)]
@@ -159,7 +159,9 @@ def plain_words(text):
     return words(re.sub(r"[!-/:-@\[-`{-~]", "", (text or "").translate(LOWER)))
 
 
-def test_contamination_against_the_full_matrix(spark):
+@pytest.mark.parametrize("sent", [0, 1_000_000])
+def test_contamination_against_the_full_matrix(spark, monkeypatch, sent):
+    monkeypatch.setattr(decontaminate, "INDEX_WORDS", sent)
     items = [made(n) for n in (30, 18, 45, 12, 3, 25)] + ["Tiny, ITEM!", "", None, made(160)]
 
     def edited(text, rate):
@@ -200,9 +202,9 @@ def test_hot_ngrams_of_a_large_benchmark(spark, monkeypatch):
     texts = [(i, f"{made(5)} {items[i % 20][1]}") for i in range(200)]
     table, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     plain = sorted(map(tuple, decontaminate.contaminated(table, bench).collect()))
-    monkeypatch.setattr(decontaminate, "BROADCAST_ROWS", 3)
-    monkeypatch.setattr(decontaminate, "LARGEST", 6)  # a filter that lets everything pass
-    monkeypatch.setattr(decontaminate, "SMALLEST", 6)
+    monkeypatch.setattr(decontaminate, "INDEX_WORDS", 3)
+    monkeypatch.setattr(bloom, "LARGEST", 6)  # a filter that lets everything pass
+    monkeypatch.setattr(bloom, "SMALLEST", 6)
     assert sorted(map(tuple, decontaminate.contaminated(table, bench).collect())) == plain and {(r[0], r[1]) for r in plain} >= {(i, i % 20) for i in range(200)}
 
 
@@ -301,15 +303,15 @@ def test_frequent_keys_are_joined_like_others(spark):
     left = spark.createDataFrame([(i % 3 if i < 900 else i, i) for i in range(1000)], "k long, v long")
     right = left.groupBy("k").agg(F.count(F.lit(1)).alias("times"), F.max("v").alias("top"))
     want = Counter(map(tuple, left.join(right.drop("times"), "k").collect()))
-    for often, limit in ((1000, 100), (10, 1000), (1, 1), (10**6, 10**6)):
-        assert Counter(map(tuple, common.skewed_join(left, right, "k", "times", 1000, often, limit).collect())) == want
+    for rows, often, limit in ((None, 1000, 100), (None, 10, 1000), (5000, 1, 1), (None, 10**6, 10**6), (103, 1, 200)):
+        assert Counter(map(tuple, common.skewed_join(left, right, "k", "times", 1000, rows, often, limit).collect())) == want
 
 
-def test_large_families_and_their_hubs(spark, monkeypatch):
-    monkeypatch.setattr(common, "OFTEN", 2)
+def test_large_families_and_their_hubs(spark):
     star = [(0, i) for i in range(1, 300)] + [(1000 + i, 1001 + i) for i in range(50)]
-    got = dict(map(tuple, components.components(spark.createDataFrame(star, "a long, b long")).collect()))
-    assert got == {i: 0 for i in range(1, 300)} | {1001 + i: 1000 for i in range(50)}
+    for few in (0, 10**6):
+        got = dict(map(tuple, components.components(spark.createDataFrame(star, "a long, b long"), few).collect()))
+        assert got == {i: 0 for i in range(1, 300)} | {1001 + i: 1000 for i in range(50)}
 
 
 def test_rows_are_told_apart_with_their_nulls(spark):
@@ -318,3 +320,12 @@ def test_rows_are_told_apart_with_their_nulls(spark):
     assert common.fresh(df.withColumn("_row", F.lit(1)).withColumn("__ROW", F.lit(1)), "row") == "___row"
     many = common.repeated(spark.createDataFrame([(1, 1), (2, 9000)], "id int, times long"), "times", "n")
     assert [(r.id, r.c, r.lo, r.hi) for r in many.groupBy("id").agg(F.count_distinct("n").alias("c"), F.min("n").alias("lo"), F.max("n").alias("hi")).orderBy("id").collect()] == [(1, 1, 0, 0), (2, 9000, 0, 8999)]
+
+
+def test_filter_forgets_nothing(spark):
+    values = np.random.default_rng(3).integers(-(2**63), 2**63, 5000)
+    cells = bloom.build(spark.createDataFrame([(int(v),) for v in values], "h long").repartition(4), "h")
+    assert bloom.may_hold(cells, values.view(np.uint64)).all()
+    others = np.random.default_rng(4).integers(-(2**63), 2**63, 100000).view(np.uint64)
+    assert bloom.may_hold(cells, others).mean() < 0.01
+    assert not bloom.may_hold(bloom.build(spark.range(0).withColumnRenamed("id", "h"), "h"), others).any()

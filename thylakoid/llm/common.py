@@ -15,7 +15,7 @@ ARROW_BYTES = 8 << 20
 #: Rows of at most a few dozen bytes that may be broadcast (some 30 MB).
 BROADCAST_ROWS = 500_000
 #: Rows of one key from which on it may be frequent, and frequent keys that there may be.
-OFTEN, FREQUENT_KEYS = 1000, 100_000
+OFTEN, FREQUENT_KEYS = 100, 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,13 +61,16 @@ def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, limit
     return left.join(F.broadcast(right) if right.count() <= limit else right, on, how)
 
 
-def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, total: int, often: int = OFTEN, limit: int = FREQUENT_KEYS) -> DataFrame:
+def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, total: int, rows: int | None = None, often: int = OFTEN, limit: int = FREQUENT_KEYS) -> DataFrame:
     """Inner join with ``right``, a table of one narrow row for each value of ``on``, not null.
 
     ``times`` is a column of ``right``, dropped here: how many of the ``total`` rows of ``left``
     have the value.  Rows of frequent values stay where they are: those values are broadcast, and
-    there can't be more than ``limit`` of them.  The others are joined as Spark sees fit.
+    there can't be more than ``limit`` of them.  The others are joined as Spark sees fit; all are
+    broadcast if ``right`` is known to have no more than ``limit`` ``rows``.
     """
+    if rows is not None and rows <= limit:
+        return left.join(F.broadcast(right.drop(times)), on)
     often = max(often, total // limit + 1)
     hot = F.broadcast(right.filter(F.col(times) >= often).drop(times))
     rare = right.filter(F.col(times) < often).drop(times)

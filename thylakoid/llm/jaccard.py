@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from thylakoid.llm import bloom
 from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable, fresh, row_hash, sized_join, skewed_join
-from thylakoid.llm.components import components
+from thylakoid.llm.components import Forest, components
 from thylakoid.llm.textkit import LOWER, U64, as_long, blocks, combine, find_words, hash_spans, mix, ngrams
 
 #: Sets in a piece of a group, and in a block of its matrix.
@@ -92,24 +93,6 @@ def part_hashes(shingles: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(found)
 
 
-class Forest:
-    """Union-find over 0 to n - 1 that tells which unions were new."""
-
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-    def join(self, x: int, y: int) -> bool:
-        x, y = self.root(x), self.root(y)
-        self.up[max(x, y)] = min(x, y)
-        return x != y
-
-
 def linked(sets: list[np.ndarray], num: int, den: int, same: list[int] | None = None) -> list[tuple[int, int]]:
     """Links that join ``sets`` into the components of all links; ``same`` names components known before."""
     n = len(sets)
@@ -238,23 +221,35 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
                 [*batch.columns[:-1], pa.array([x[1] for x in found], pa.int64()), pa.array([x[0] for x in found], pa.int64())], [*others, "set_id", "n_shingles"]
             )
 
-    def cut_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            seen: dict[int, np.ndarray] = {}
-            for s in shingle_sets(batch.column(0), n):
-                if len(s) and (name := set_id(s)) not in seen:
-                    seen[name] = part_hashes(s, num, den)
-            if seen:
-                names = np.repeat(np.array(list(seen), dtype=np.int64), [len(v) for v in seen.values()])
-                yield pa.RecordBatch.from_arrays([as_long(np.concatenate(list(seen.values()))), pa.array(names)], ["part", "set_id"])
+    def cut_sets(filtered):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                seen: dict[int, np.ndarray] = {}
+                for s in shingle_sets(batch.column(0), n):
+                    if len(s) and (name := set_id(s)) not in seen:
+                        seen[name] = part_hashes(s, num, den)
+                if seen:
+                    parts = np.concatenate(list(seen.values()))
+                    names = np.repeat(np.array(list(seen), dtype=np.int64), [len(v) for v in seen.values()])
+                    if filtered is not None:
+                        kept = bloom.may_hold(filtered.value, parts)
+                        parts, names = parts[kept], names[kept]
+                    yield pa.RecordBatch.from_arrays([as_long(parts), pa.array(names)], ["part", "set_id"])
+
+        return run
 
     named = durable(docs.select(*others, F.col(text)).mapInArrow(name_sets, ", ".join([*([schema] if schema else []), "set_id long", "n_shingles long"])))
-    parts = docs.select(text).mapInArrow(cut_sets, "part long, set_id long")
-    by_part, by_set = Window.partitionBy("part"), Window.partitionBy("set_id")
-    shared = parts.withColumn("lo", F.min("set_id").over(by_part)).withColumn("hi", F.max("set_id").over(by_part)).withColumn("n", F.count(F.lit(1)).over(by_part))
-    shared = durable(shared.filter("lo < hi").select("part", "set_id", "n").distinct())
+    # parts that several sets have are counted first, so that none has to be gathered in one task
+    common = docs.select(text).mapInArrow(cut_sets(None), "part long, set_id long").groupBy("part").agg(F.min("set_id").alias("lo"), F.max("set_id").alias("hi"), F.count(F.lit(1)).alias("n"))
+    common = durable(common.filter("lo < hi").select("part", "n", F.col("n").alias("times")))
+    n_common, total = common.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    wide = spark.sparkContext.broadcast(bloom.build(common, "part", n_common))
+    shared = durable(docs.select(text).mapInArrow(cut_sets(wide), "part long, set_id long").distinct())
+    shared = durable(skewed_join(shared, common, "part", "times", total, n_common))
     # a part's group is named by its set that meets most others, so that a family has few groups
-    shared = shared.withColumn("met", F.sum("n").over(by_set)).withColumn("grp", F.max(F.struct("met", "set_id")).over(by_part)["set_id"])
+    met = shared.join(shared.groupBy("set_id").agg(F.sum("n").alias("met")), "set_id")
+    named_by = met.groupBy("part").agg(F.max(F.struct("met", "set_id"))["set_id"].alias("grp"), F.count(F.lit(1)).alias("times"))
+    shared = skewed_join(shared, named_by, "part", "times", total, n_common)
     pairs = durable(shared.filter("grp <> set_id").select("grp", "set_id").distinct())
     members = pairs.union(pairs.select("grp", F.col("grp").alias("set_id")).distinct())
 
@@ -283,7 +278,7 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
     pieces = durable(_dealt(members, ["grp"], PIECE, total))
     lead = pieces.filter("piece <> 0").select("grp", "piece", F.col("grp").alias("set_id")).distinct()
     links = durable(_links(pieces.drop("pieces").unionByName(lead).withColumn("known", F.col("set_id")), sets, num, den))
-    roots = durable(components(links))
+    roots = components(links)
 
     # groups of several pieces with sets of several components: pieces of one component, or of what is left of many
     labelled = durable(pieces.filter("pieces > 1").join(roots, F.col("set_id") == F.col("node"), "left").select("grp", "set_id", F.coalesce("root", "set_id").alias("known")))
@@ -301,7 +296,7 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
         again = left.join(both, ["grp", "piece"]).select("grp", F.col("pair").alias("piece"), "set_id", "known")
         more = durable(_links(again, sets, num, den))
         if more.take(1):
-            roots = durable(components(more.union(roots)))
+            roots = components(more.union(roots))
     return named, roots
 
 
@@ -332,8 +327,8 @@ def _rooted(docs: DataFrame, text: str, n: int, num: int, den: int) -> DataFrame
     each = durable(each.join(roots, F.col("set_id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "set_id")).drop("node"))
     n_sets, n_rows = each.agg(F.count(F.lit(1)), F.coalesce(F.sum("times"), F.lit(0))).first()
     best = each.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.min("least").alias("least"))
-    sets = durable(skewed_join(each.drop("least"), best, "root", "sets", n_sets).drop("root"))
-    return skewed_join(full, sets, "set_id", "times", n_rows).unionByName(named.filter("set_id is null"), allowMissingColumns=True)
+    sets = durable(skewed_join(each.drop("least"), best, "root", "sets", n_sets, n_sets).drop("root"))
+    return skewed_join(full, sets, "set_id", "times", n_rows, n_sets).unionByName(named.filter("set_id is null"), allowMissingColumns=True)
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
