@@ -7,7 +7,6 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from thylakoid.llm import boosting, components, decontaminate, jaccard, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
 from thylakoid.llm.tokencounts import VOCABULARY

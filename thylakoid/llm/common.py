@@ -61,8 +61,8 @@ def sized_join(left: DataFrame, right: DataFrame, on: list[str], how: str, limit
     return left.join(F.broadcast(right) if right.count() <= limit else right, on, how)
 
 
-def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, total: int, rows: int | None = None, often: int = OFTEN, limit: int = FREQUENT_KEYS) -> DataFrame:
-    """Inner join with ``right``, a table of one narrow row for each value of ``on``, not null.
+def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, total: int, rows: int | None = None, often: int = OFTEN, limit: int = FREQUENT_KEYS, how: str = "inner") -> DataFrame:
+    """Join (inner or left) with ``right``, a table of one narrow row for each value of ``on``, not null.
 
     ``times`` is a column of ``right``, dropped here: how many of the ``total`` rows of ``left``
     have the value.  Rows of frequent values stay where they are: those values are broadcast, and
@@ -70,11 +70,11 @@ def skewed_join(left: DataFrame, right: DataFrame, on: str, times: str, total: i
     broadcast if ``right`` is known to have no more than ``limit`` ``rows``.
     """
     if rows is not None and rows <= limit:
-        return left.join(F.broadcast(right.drop(times)), on)
+        return left.join(F.broadcast(right.drop(times)), on, how)
     often = max(often, total // limit + 1)
     hot = F.broadcast(right.filter(F.col(times) >= often).drop(times))
     rare = right.filter(F.col(times) < often).drop(times)
-    return left.join(hot, on).unionByName(left.join(hot.select(on), on, "left_anti").join(rare, on))
+    return left.join(hot, on).unionByName(left.join(hot.select(on), on, "left_anti").join(rare, on, how))
 
 
 def cumulative(df: DataFrame, group: list[str], order: list[str], value: Column, name: str, bins: int = 1024) -> DataFrame:

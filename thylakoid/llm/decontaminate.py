@@ -246,7 +246,8 @@ def align_joined(docs: DataFrame, key: str, text: str, items: DataFrame, grams:
     times = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
     held = durable(grams.groupBy("gram").agg(F.collect_list("ref").alias("held")).join(times, "gram"))
     met = skewed_join(hits, held, "gram", "times", held.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]).select("row", "at", F.explode("held").alias("ref"))
-    pairs = met.groupBy("row", "ref").agg(F.collect_set("at").alias("spots"))
+    pairs = durable(met.groupBy("row", "ref").agg(F.collect_set("at").alias("spots")))
+    copied = durable(pairs.groupBy("ref").agg(F.count(F.lit(1)).alias("times")).join(items.drop("item"), "ref"))
 
     @F.arrow_udf("struct<score:int,item_start:int,item_end:int,doc_start:int,doc_end:int>")
     def aligned(item: pa.Array, words: pa.Array, spots: pa.Array) -> pa.Array:
@@ -254,7 +255,8 @@ def align_joined(docs: DataFrame, key: str, text: str, items: DataFrame, grams:
         rows = [best_alignment(a.astype(np.int32), b, at.astype(np.int64), least) for a, b, at in sides]
         return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int32()) for i in range(5)], FIT)
 
-    wide = pairs.join(found.select("row", "doc", F.col("words").alias("around")), "row").join(items, "ref")
+    wide = pairs.join(found.select("row", "doc", F.col("words").alias("around")), "row")
+    wide = skewed_join(wide, copied, "ref", "times", copied.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0])
     return wide.select("doc", "ref", F.size("words").alias("n"), aligned("words", "around", "spots").alias("fit")).select("doc", "ref", "n", "fit.*")
 
 
@@ -273,12 +275,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     shape = items.agg(F.collect_set(F.least(F.size("words"), F.lit(n))), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
     lengths = sorted(shape[0] or [n])
     grams = durable(_item_grams(items, n))
+    names = items.select("ref", "item")
     if max(shape[1], grams.count()) <= INDEX_WORDS:
+        names = F.broadcast(names)
         wide = align_in_place(docs, key, text, Index.of(items, grams), lengths, least)
     else:
         wide = align_joined(docs, key, text, items, grams, lengths, least)
     wide = wide.withColumn("similarity", F.col("score") / (MATCH * F.col("n"))).filter(F.col("similarity") >= least)
-    wide = wide.join(items.select("ref", "item"), "ref")
+    wide = wide.join(names, "ref")
     # several texts of one key, and several items
     rest = ["similarity", *FIT]
     best = wide.groupBy("doc", "item").agg(F.max_by(F.struct(*rest), F.struct("score", -F.col("doc_start"), -F.col("doc_end"), -F.col("item_start"))).alias("best"))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from thylakoid.llm.common import cumulative, durable, fresh, repeated, row_hash, sized_join
+from thylakoid.llm.common import cumulative, durable, fresh, repeated, row_hash, sized_join, skewed_join
 
 #: Bisections that one pass over the table of sources evaluates.
 DEPTH, PASSES = 5, 6
@@ -58,11 +58,11 @@ def fit_exponent(shares: DataFrame, entropy: float | None = None, repetition: fl
 
 
 def source_weights(tokens: DataFrame, entropy: float | None, repetition: float | None, budget: int | None) -> tuple[DataFrame, float]:
-    """``_source``, ``tokens``, ``weight`` and ``quota`` (tokens to take) of each source; and the exponent.
+    """``_source``, ``tokens``, ``rows``, ``weight`` and ``quota`` (tokens to take) of each source; and the exponent.
 
     ``tokens`` has ``_source`` and ``_tokens``, of at least 1 in each row.
     """
-    totals = durable(tokens.groupBy("_source").agg(F.sum("_tokens").alias("tokens")))
+    totals = durable(tokens.groupBy("_source").agg(F.sum("_tokens").alias("tokens"), F.count(F.lit(1)).alias("rows")))
     whole = totals.agg(F.sum("tokens")).first()[0] or 1
     shares = totals.withColumn("p", F.col("tokens") / F.lit(float(whole)))
     exponent = fit_exponent(shares, entropy, repetition, None if budget is None else budget / whole)
@@ -70,7 +70,7 @@ def source_weights(tokens: DataFrame, entropy: float | None, repetition: float |
     aim = float(budget) if budget is not None else whole * (z or 1.0) * (most or 1.0) ** (1 - exponent)
     weight = F.pow("p", F.lit(exponent)) / F.lit(z or 1.0)
     quota = F.ceil(weight * aim - F.lit(1e-6)).cast("long")
-    return shares.select("_source", "tokens", weight.alias("weight"), quota.alias("quota")), exponent
+    return shares.select("_source", "tokens", "rows", weight.alias("weight"), quota.alias("quota")), exponent
 
 
 def mixing_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", *, ident: Column | None = None, entropy: float | None = None, repetition: float | None = 2.0, budget: int | None = None, block_tokens: int = 1 << 20, seed: int = 1) -> DataFrame:
@@ -86,9 +86,9 @@ def mixing_plan(docs: DataFrame, key: str = "doc_id", source: str = "source", te
     rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), token_count(F.col(text)).alias("_tokens"), ident.alias("_ident"))
     rows = durable(rows.groupBy("_key", "_source", "_tokens", "_ident").agg(F.count(F.lit(1)).alias("_n")))
     weights, _ = source_weights(rows.select("_source", (F.col("_tokens") * F.col("_n")).alias("_tokens")), entropy, repetition, budget)
-    weights = durable(weights.withColumnRenamed("_source", "_of"))
-    small = weights.count() <= 500_000
-    joined = rows.join(F.broadcast(weights) if small else weights, rows["_source"].eqNullSafe(weights["_of"]))
+    weights = durable(weights.withColumn("_of", row_hash(weights, ["_source"])).drop("_source"))
+    n_sources, total = weights.agg(F.count(F.lit(1)), F.coalesce(F.sum("rows"), F.lit(0))).first()
+    joined = skewed_join(rows.withColumn("_of", row_hash(rows, ["_source"])), weights, "_of", "rows", total, n_sources)
     uses = repeated(joined, "_n", "copy").withColumn("_epochs", F.floor((F.col("quota") - 1) / F.col("tokens")) + 1)
     uses = repeated(uses.filter("_epochs > 0"), "_epochs", "epoch")
     uses = uses.withColumn("_at", F.xxhash64(F.lit(seed), "epoch", "_ident", "copy"))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bounded_batches, durable
+from thylakoid.llm.common import bounded_batches, durable, row_hash, skewed_join
 from thylakoid.llm.textkit import U64, IS_SPACE, blocks, find_words, hash_spans, mix, ngrams
 
 SYMBOLS = b"#*$%&|<>"
@@ -95,7 +95,7 @@ def rule_failures() -> dict[str, Column]:
 
 
 def judge_hosts(measured: DataFrame, host: str, limit: float = HOST_LIMIT) -> DataFrame:
-    """``host_key`` and ``host_kept`` for each host.
+    """``host_key``, ``host_kept`` and ``n`` (its documents) for each host.
 
     For each rule the hosts' failure rates have mean m and variance v, each host weighing the
     same; the prior is the beta distribution with these moments, its strength m(1-m)/v - 1 held
@@ -111,7 +111,7 @@ def judge_hosts(measured: DataFrame, host: str, limit: float = HOST_LIMIT) -> Da
         m, v = prior[f"m_{k}"] or 0.0, prior[f"v_{k}"] or 0.0
         strength = min(1000.0, max(2.0, m * (1 - m) / v - 1)) if v > 0 else 1000.0
         kept &= (F.col(k) + F.lit(m * strength)) / (F.col("n") + F.lit(strength)) < limit
-    return hosts.select("host_key", kept.alias("host_kept"))
+    return hosts.select("host_key", kept.alias("host_kept"), "n")
 
 
 def base_failed() -> Column:
@@ -122,11 +122,14 @@ def base_failed() -> Column:
 def judge_documents(docs: DataFrame, key: str = "doc_id", host: str = "source", text: str = "text", limit: float = HOST_LIMIT) -> DataFrame:
     """``key``, the measures, ``base_failed`` and ``kept`` of each row.
 
-    A null text has no words and fails.  A null host is a host of its own.  Equal rows are judged
+    A null text has no words and fails.  A null host is a host of its own.  No task gets all documents of
+    a host that has very many.  Equal rows are judged
     alike and all returned.  An empty table gives an empty one.  Other columns are not read.
     """
     measured = durable(measure_documents(docs.select(F.col(key).alias("_key"), F.col(host).alias("_host"), F.col(text).alias("_body")), ["_key", "_host"], "_body"))
     hosts = judge_hosts(measured, "_host", limit)
-    return measured.join(hosts, measured["_host"].eqNullSafe(hosts["host_key"]), "left").select(
-        F.col("_key").alias(key), *MEASURES, base_failed().alias("base_failed"), (~base_failed() & F.coalesce("host_kept", F.lit(True))).alias("kept")
+    hosts = durable(hosts.select(row_hash(hosts, ["host_key"]).alias("_of"), "host_kept", "n"))
+    n_hosts, total = hosts.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    return skewed_join(measured.withColumn("_of", row_hash(measured, ["_host"])), hosts, "_of", "n", total, n_hosts).select(
+        F.col("_key").alias(key), *MEASURES, base_failed().alias("base_failed"), (~base_failed() & F.col("host_kept")).alias("kept")
     )

@@ -15,12 +15,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bounded_batches, durable, shared_folder, sized_join
+from thylakoid.llm.common import bounded_batches, durable, shared_folder, sized_join, skewed_join
 
 MAGIC = "WARC/1.1\r\n"
 END = "\r\n\r\n"
 #: Payloads of fewer bytes are written again rather than referred to.
 LEAST_BYTES = 100
+#: Repeated digests, each of 64 letters with a key, that may be broadcast.
+BROADCAST_DIGESTS = 200_000
 #: Input splits, each a path and two numbers, of which a table may be broadcast.
 BROADCAST_SPLITS = 100_000
 
@@ -30,13 +32,16 @@ def with_records(pages: DataFrame, key: str = "page_id", url: str = "url", paylo
 
     Of rows with equal payloads of ``least`` bytes or more, those with the smallest key are
     responses and the others revisit it; without any key among them all are responses.  Payloads
-    aren't shuffled unless the repeated ones are too many to broadcast: digests are grouped first.
+    aren't shuffled unless the repeated digests are too many to broadcast, and those of the most
+    frequent ones not even then: digests are grouped first.
     """
     body = F.coalesce(F.col(payload), F.lit(""))
     rows = pages.select(F.col(key).alias("_id"), F.col(url).alias("_url"), body.alias("_payload"))
     rows = rows.withColumn("_bytes", F.octet_length("_payload").cast("long")).withColumn("_digest", F.sha2("_payload", 256))
-    again = rows.filter(F.col("_bytes") >= least).groupBy("_digest").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-    rows = sized_join(rows, durable(again), ["_digest"], "left")
+    again = rows.filter(F.col("_bytes") >= least).groupBy("_digest").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    again = durable(again)
+    n, total = again.agg(F.count(F.lit(1)), F.coalesce(F.sum("_n"), F.lit(0))).first()
+    rows = skewed_join(rows, again, "_digest", "_n", total, n, limit=BROADCAST_DIGESTS, how="left")
     return rows.select("_id", "_url", "_payload", "_bytes", "_digest", F.when(~F.col("_first").eqNullSafe(F.col("_id")), F.col("_first")).alias("_refers"))
 
 
