@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import COMPLEMENT, STOP, UNKNOWN, amino_acids, as_bytes, revcomp
+from thylakoid.functions.sequence import COMPLEMENT, STOP, amino_acids, as_bytes, revcomp
 from thylakoid.plans.cuts import cut
 
 #: Parameters of the extreme-value distribution for match 1, mismatch -2, ungapped.
