@@ -97,6 +97,19 @@ def test_regions_tile_the_genome(repeat, lsc, ssc):
     assert place in (0, len(lsc + repeat + ssc + rc))
 
 
+def test_walks_over_packed_words_and_texts_agree(monkeypatch):
+    rng = random.Random(9)
+    for letters in ("ACGT", "ACGTN", "ACGTRYKMSWBDHVN"):
+        for _ in range(60):
+            half = "".join(rng.choice(letters) for _ in range(rng.randrange(25, 6000 if letters == "ACGT" else 200)))
+            genome = "".join(rng.choice(letters) for _ in range(30)) + half + "".join(rng.choice(letters) for _ in range(rng.randrange(5, 60))) + half[::-1].translate(str.maketrans("ACGT", "TGCA"))
+            packed = repeats.inverted_repeat(genome)
+            with monkeypatch.context() as m:
+                m.setattr(repeats, "_packed", lambda *_: None)
+                assert repeats.inverted_repeat(genome) == packed
+            assert len(packed) == 5 or "Y" in letters
+
+
 def test_no_repeat_gives_full_only():
     assert repeats.inverted_repeat("A" * 50) == [("FULL", 1, 50)]
     assert repeats.inverted_repeat("ACG") == [("FULL", 1, 3)]
