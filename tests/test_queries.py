@@ -4,7 +4,7 @@ import pytest
 
 from thylakoid import queries
 from thylakoid.functions.sequence import code
-from thylakoid.operators import orf
+from thylakoid.operators import align, orf
 from thylakoid.plans import inputs
 
 REFS = "ref_id string, feature string, guide_no int, class string, seq string"
@@ -47,6 +47,8 @@ def test_protein_pairs_of_short_frames_and_short_words(spark, given):
     got = [tuple(r) for r in queries.protein_pairs(spark, "").collect()]
     assert len(got) == len(set(got)) and set(got) == want
     assert any(q.startswith("1:") and r == "r0" for q, r in got)
+    joined = align.frame_pairs(inputs.genomes(), inputs.references().filter("class = 'gene'"), limit=0)  # as with references of any size
+    assert {tuple(r) for r in joined.collect()} == want
 
 
 def test_short_genomes_have_regions(spark, given):

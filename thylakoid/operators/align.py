@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import COMPLEMENT, STOP, amino_acids, as_bytes, revcomp
+from thylakoid.operators.orf import MORE_THAN, ROWS_OUT, find_orfs, runs
 from thylakoid.plans.cuts import cut
 
 #: Parameters of the extreme-value distribution for match 1, mismatch -2, ungapped.
@@ -26,6 +27,8 @@ LAMBDA, K = 1.33, 0.621
 MATCH, MISMATCH = 1, -2
 #: Letters of a seed, and how far a score may fall below its best before an extension ends.
 SEED, DROP = 16, 10
+#: Words of references, with the references that have them, that may be sent to every task (some 30 MB).
+SENT_WORDS = 2_000_000
 #: Bits (as a power of two) of the bitmap that keeps out words that the other side doesn't have.
 BITS = 20
 
@@ -224,3 +227,67 @@ def genome_search_pairs(orfs: DataFrame, genomes: DataFrame, refs: DataFrame, k:
     frames = orfs.select("genome_id", "orf_id", "start0", "end0").withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start0") / width), F.floor(F.col("end0") / width))))
     inside = (F.col("start0") <= F.col("_at")) & (F.col("_at") + 3 * k - 1 <= F.col("end0"))
     return frames.join(hits, ["genome_id", "_bin"]).filter(inside).select(F.col("orf_id").alias("qseqid"), F.col("ref_id").alias("sseqid")).distinct()
+
+
+def frame_pairs(genomes: DataFrame, refs: DataFrame, k: int = 5, limit: int = SENT_WORDS) -> DataFrame:
+    """``genome_search_pairs`` of all frames of ``genomes`` (with unique ids), whose qseqid is ``{genome}:{frame}``.
+
+    References of up to ``limit`` words are sent to the tasks; a genome's frames and words then meet
+    where they are made, and nothing but the pairs leaves a task.
+    """
+    theirs = cut(_words_of(refs.select("ref_id", "seq"), "ref_id", protein_words, k, both=True).select("ref_id", "word").distinct())
+    if theirs.count() > limit:
+        orfs = find_orfs(genomes).withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id"))
+        return genome_search_pairs(orfs, genomes, refs, k)
+    held = theirs.toArrow()
+    names, ref = np.unique(held.column("ref_id").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
+    order = np.argsort(held.column("word").to_numpy(), kind="stable")
+    known, first = np.unique(held.column("word").to_numpy()[order], return_index=True)
+    shared = genomes.sparkSession.sparkContext.broadcast((known, np.append(first, len(order)), ref[order], names))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, first, ref, names = shared.value
+        frames, found = [], []
+
+        def flush() -> pa.RecordBatch:
+            done = pa.RecordBatch.from_arrays([pa.array(frames, pa.string()), pa.array(names[np.concatenate([*found, np.zeros(0, dtype=np.int64)])].tolist(), pa.string())], ["qseqid", "sseqid"])
+            frames.clear()
+            found.clear()
+            return done
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                genome, letters = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
+                if len(letters) < 3 * k or not len(known):
+                    continue
+                places, owners = [], []
+                for back in (False, True):
+                    at, word = protein_words(COMPLEMENT[letters[::-1]] if back else letters, k)
+                    slot = np.minimum(np.searchsorted(known, word), len(known) - 1)
+                    at, slot = at[known[slot] == word], slot[known[slot] == word]
+                    spot, times = _ranges(first[slot], first[slot + 1])
+                    places.append(np.repeat(len(letters) - 3 * k - at if back else at, times))
+                    owners.append(ref[spot])
+                place, owner = np.concatenate(places), np.concatenate(owners)
+                by = np.argsort(place, kind="stable")
+                place, owner = place[by], owner[by]
+                for back in (False, True):
+                    _, start, end = runs(COMPLEMENT[letters[::-1]] if back else letters, MORE_THAN, False)
+                    low, high = (len(letters) - 1 - end, len(letters) - 1 - start) if back else (start, end)
+                    x = np.searchsorted(place, low)
+                    spot, times = _ranges(x, np.maximum(x, np.searchsorted(place, high - 3 * k + 1, side="right")))
+                    pairs = np.unique(np.repeat(np.arange(len(low)), times) * len(names) + owner[spot])
+                    head, tail = "" if genome is None else f"{genome}:", "-r" if back else ""
+                    frames.extend(f"{head}orf{n + 1}{tail}" for n in (pairs // len(names)).tolist())
+                    found.append(pairs % len(names))
+                if len(frames) > ROWS_OUT:
+                    yield flush()
+        yield flush()
+
+    return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, "qseqid string, sseqid string")
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers from each ``low`` up to its ``high``, one range after the other, and how many each has."""
+    times = high - low
+    return np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum()), times

@@ -19,6 +19,8 @@ from thylakoid.operators.intervals import union_length
 
 #: An open reading frame has more nucleotides than this, its stop included.
 MORE_THAN = 18
+#: Rows that a task gathers before it lets go of them.
+ROWS_OUT = 100_000
 
 
 def runs(letters: np.ndarray, longer: int, compat: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,10 +55,16 @@ def find_orfs(genomes: DataFrame, longer: int = MORE_THAN, compat: bool = False,
     kind = genomes.schema["genome_id"].dataType.simpleString()
     names = ["genome_id", "orf_id", "strand", "frame", "start0", "end0", "nt", *(["seq"] if sequences else [])]
 
+    def rows(batch: pa.RecordBatch, row: list, cells: list[list], seqs: list[str]) -> pa.RecordBatch:
+        texts = [pa.array([x for part in c for x in part], pa.string()) for c in cells[:2]]
+        numbers = [pa.array(np.concatenate(c).astype(np.int32)) for c in cells[2:]]
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(row))), *texts, *numbers, *([pa.array(seqs, pa.string())] if sequences else [])], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, cells, seqs = [], [[] for _ in range(6)], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            row, cells, seqs, waiting = [], [[] for _ in range(6)], [], 0
+            for i in range(batch.num_rows):
+                text = batch.column(1)[i].as_py()
                 letters = as_bytes(text)
                 if len(letters) < 3:
                     continue
@@ -69,10 +77,12 @@ def find_orfs(genomes: DataFrame, longer: int = MORE_THAN, compat: bool = False,
                         cell.append(value)
                     if sequences:
                         seqs += [text[a : b + 1] for a, b in zip(low.tolist(), high.tolist(), strict=True)]
+                    waiting += len(frame)
+                if waiting > ROWS_OUT:
+                    yield rows(batch, row, cells, seqs)
+                    row, cells, seqs, waiting = [], [[] for _ in range(6)], [], 0
             if row:
-                texts = [pa.array([x for part in c for x in part], pa.string()) for c in cells[:2]]
-                numbers = [pa.array(np.concatenate(c).astype(np.int32)) for c in cells[2:]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(np.concatenate(row))), *texts, *numbers, *([pa.array(seqs, pa.string())] if sequences else [])], names)
+                yield rows(batch, row, cells, seqs)
 
     schema = f"genome_id {kind}, orf_id string, strand string, frame int, start0 int, end0 int, nt int" + (", seq string" if sequences else "")
     return genomes.select("genome_id", "seq").mapInArrow(run, schema)

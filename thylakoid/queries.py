@@ -345,7 +345,7 @@ def nearest_exon(spark: SparkSession, d: str) -> DataFrame:
     """
     orfs, refs = _named_orfs(spark, d), inputs.references(spark, d)
     seconds = refs.filter(F.contains(F.col("ref_id"), F.lit("_exon2")))
-    pairs = align.genome_search_pairs(orfs, inputs.genomes(spark, d), seconds)
+    pairs = align.frame_pairs(inputs.genomes(spark, d), seconds)
     found = pairs.select(F.col("qseqid").alias("orf_id"), F.col("sseqid").alias("ref_id")).join(orfs.select("genome_id", "orf_id", "start0", "end0"), "orf_id")
     return hits.locate_short_exons(refs.filter("class = 'gene'").withColumn("seq", F.substring("seq", 1, 7)), found, inputs.genomes(spark, d))
 
@@ -361,7 +361,7 @@ def _genes(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def protein_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return align.genome_search_pairs(_named_orfs(spark, d), inputs.genomes(spark, d), _genes(spark, d))
+    return align.frame_pairs(inputs.genomes(spark, d), _genes(spark, d))
 
 
 @query
