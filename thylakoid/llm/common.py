@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, VariantType
 
 from thylakoid.plans.cuts import cut as durable
 from thylakoid.plans.cuts import remove, shared_folder
@@ -40,13 +41,34 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
+def _spelled(value: Column, kind: DataType) -> Column:
+    """A column of any type as one that ``to_json`` tells apart: text in place of atoms, entries in order of their keys in place of maps."""
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _spelled(x, kind.elementType))
+    if isinstance(kind, StructType):
+        return F.when(value.isNotNull(), F.struct(*[_spelled(value.getField(f.name), f.dataType).alias(f"f{i}") for i, f in enumerate(kind.fields)]))
+    if isinstance(kind, MapType):
+        entries = F.transform(F.map_entries(value), lambda e: F.to_json(F.struct(_spelled(e["key"], kind.keyType).alias("k"), _spelled(e["value"], kind.valueType).alias("v")), {"ignoreNullFields": "false"}))
+        return F.array_sort(entries)
+    if isinstance(kind, BinaryType):
+        return F.hex(value)
+    return F.to_json(value) if isinstance(kind, VariantType) else value.cast("string")
+
+
 def row_hash(df: DataFrame, columns: list[str] | None = None) -> Column:
     """A 64-bit hash of a row, or of ``columns``: equal for rows that are equal in them, nulls in their places.
 
-    Columns of maps and variants have no hash and don't count.
+    Spark's own hash passes over nulls and bounds within arrays and structs, and has none of maps
+    and variants; so columns of these types are spelled out as text first.
     """
-    names = [f.name for f in df.schema.fields if (columns is None or f.name in columns) and not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
-    return F.xxhash64(*[x for c in names for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))])
+    parts = []
+    for field in df.schema.fields:
+        if columns is None or field.name in columns:
+            value = F.col(f"`{field.name}`")
+            if isinstance(field.dataType, (ArrayType, MapType, StructType, VariantType)):
+                value = F.to_json(F.struct(_spelled(value, field.dataType).alias("f")), {"ignoreNullFields": "false"})
+            parts += [F.col(f"`{field.name}`").isNull(), value]
+    return F.xxhash64(*parts)
 
 
 def repeated(df: DataFrame, times: str, name: str) -> DataFrame:

@@ -18,10 +18,6 @@ import pyarrow as pa
 BLOCK_BYTES = 1 << 20
 
 U64 = np.uint64
-_BASE = U64(0x9E3779B97F4A7C13)
-_BASE_INVERSE = U64(pow(0x9E3779B97F4A7C13, -1, 1 << 64))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection on 64-bit values whose every output bit depends on every input bit."""
     x = np.asarray(x, dtype=U64).copy()
@@ -33,28 +29,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=U64))
+#: Masks of the first 0 to 8 bytes of a number, and what tells a first number from others.
+_FIRST_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], dtype=U64)
+_PLACE = U64(0x9E3779B97F4A7C15)
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
-_powers = np.ones(1, dtype=U64)
-_inverses = np.ones(1, dtype=U64)
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    global _powers, _inverses
-    if len(_powers) < n:
-        size = max(n, BLOCK_BYTES + 1)
-        steps = np.full(size, _BASE, dtype=U64)
-        steps[0] = 1
-        _powers = np.multiply.accumulate(steps)
-        steps[1:] = _BASE_INVERSE
-        _inverses = np.multiply.accumulate(steps)
-    return _powers, _inverses
-
-
 class Block(NamedTuple):
     """Texts ``lo`` to ``hi`` of a column: their bytes, and where each of them begins."""
 
@@ -108,18 +90,33 @@ def find_words(data: np.ndarray, offsets: np.ndarray) -> Words:
 
 
 def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte range, from one prefix sum over the whole block."""
-    powers, inverses = _tables(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=U64)
-    np.cumsum(_BYTE_VALUE[data] * powers[: len(data)], out=sums[1:])
-    return mix((sums[end] - sums[start]) * inverses[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
+    """A 64-bit hash of each byte range.
+
+    A range is read as numbers of eight bytes each, the last filled up with zeros.  Each number is
+    mixed with its place before they are added up with the length, so that no arrangement of equal
+    pieces cancels out, as it does in a polynomial modulo 2^64.
+    """
+    size = end - start
+    padded = np.concatenate([np.ascontiguousarray(data), np.zeros(8, dtype=np.uint8)])
+    numbers = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    sums = mix((numbers[start] & _FIRST_BYTES[np.minimum(size, 8)]) + _PLACE)
+    long = np.flatnonzero(size > 8)
+    if len(long):
+        pieces = (size[long] - 1) >> 3  # beyond the first
+        first = np.cumsum(pieces) - pieces
+        place = np.arange(pieces.sum()) - np.repeat(first, pieces) + 1
+        at = np.repeat(start[long], pieces) + 8 * place
+        left = np.repeat(end[long], pieces) - at
+        values = mix((numbers[at] & _FIRST_BYTES[np.minimum(left, 8)]) + (mix(place.astype(U64)) + U64(1)) * _PLACE)
+        sums[long] += np.add.reduceat(values, first)
+    return mix(sums + size.astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
 def combine(hashes: np.ndarray, n: int) -> np.ndarray:
     """One hash for each run of ``n`` neighbours; the result is n - 1 shorter."""
     total = np.zeros(max(0, len(hashes) - n + 1), dtype=U64)
-    for i in range(n):
-        total += hashes[i : len(hashes) - n + 1 + i] * U64((0xA0761D6478BD642F + 2 * i * 0xE7037ED1A0B428DB) % (1 << 64) | 1)
+    for i, factor in enumerate(mix(np.arange(1, n + 1, dtype=U64)) | U64(1)):
+        total += hashes[i : len(hashes) - n + 1 + i] * factor
     return mix(total + U64(n))
 
 

@@ -169,7 +169,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     """``docs`` with ``score``, the probability of label 1, learned from ``labels`` (key, label).
 
     The lexicon and the trees are fitted on at most ``limit`` labelled rows, three in four for the
-    trees and one for the calibration; scoring reads every whole text in one pass without a
+    lexicon and the trees and one for the calibration, which so sees features of texts that are new; scoring reads every whole text in one pass without a
     shuffle.  Null and empty texts have the features of no words and so a score like any other; without any
     usable label all scores are alike.  Equal rows score alike; an empty table stays empty.  A
     column named ``score`` is replaced.
@@ -177,8 +177,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = durable(fitting_rows(docs, labels, key, text, label, limit))
-    n_toxic, n_clean = rows.agg(F.coalesce(F.sum("label"), F.lit(0)), F.coalesce(F.sum(1 - F.col("label")), F.lit(0))).first()
-    words = rows.select("text", "label").mapInArrow(_word_counts, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    n_toxic, n_clean = rows.filter(~F.col("apart")).agg(F.coalesce(F.sum("label"), F.lit(0)), F.coalesce(F.sum(1 - F.col("label")), F.lit(0))).first()
+    words = rows.filter(~F.col("apart")).select("text", "label").mapInArrow(_word_counts, "word long, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     a, b = (F.col("toxic") + 0.5) / (n_toxic + 1), (F.col("clean") + 0.5) / (n_clean + 1)
     spread = F.sqrt(1 / (F.col("toxic") + 0.5) + 1 / (F.col("clean") + 0.5))
     words = words.withColumn("odds", F.log(a) - F.log(b)).withColumn("sure", F.col("odds") / spread)
