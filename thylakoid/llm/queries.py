@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import decontaminate, jaccard, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
+from thylakoid.llm import decontaminate, importance, jaccard, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -85,6 +89,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op12_importance": op12_importance,
 }
 
 _URL = """
@@ -144,4 +149,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM f JOIN verdict ON f.source IS NOT DISTINCT FROM verdict.source
 """
 
-ORACLE_SQL: dict[str, str] = {"op3_url_filters": _URL, "op4_jaccard_join": _JACCARD, "op7_warc": _WARC, "op10_quality_rules": _QUALITY}
+
+
+def _crc_step(c: int) -> int:
+    for _ in range(8):
+        c = (c >> 1) ^ (0xEDB88320 if c & 1 else 0)
+    return c
+
+
+# CRC-32 byte by byte, by the table of all bytes' remainders
+_CRC = f"""list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode(f))), lambda i: ('0x' || substr(x, (2 * i + 1)::INT, 2))::BIGINT)),
+  lambda c, b: xor(({[_crc_step(c) for c in range(256)]}::BIGINT[])[xor(c, b) % 256 + 1], c >> 8))"""
+_IMPORTANCE = rf"""
+WITH t AS (SELECT true AS doc, row_number() OVER () AS k, doc_id, text FROM documents UNION ALL SELECT false, row_number() OVER (), NULL, text FROM benchmark),
+w AS (SELECT doc, k, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM t),
+g AS (SELECT doc, k, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM w),
+n AS (SELECT doc, k, f, count(*) AS n FROM g GROUP BY ALL),
+b AS (SELECT f, xor({_CRC}, 4294967295) % 10000 AS b FROM (SELECT f, hex(encode(f)) AS x FROM (SELECT DISTINCT f FROM n))),
+c AS (SELECT b, sum(n) FILTER (doc) AS s, sum(n) FILTER (NOT doc) AS t FROM n JOIN b USING (f) GROUP BY b),
+a AS (SELECT sum(s)::DOUBLE AS s, coalesce(sum(t), 0)::DOUBLE AS t FROM c),
+gain AS (SELECT b, floor(1000 * ln((coalesce(c.t, 0) + 1)::DOUBLE * (a.s + 10000) / ((coalesce(c.s, 0) + 1)::DOUBLE * (a.t + 10000)))) AS gain FROM c, a),
+p AS (SELECT k, sum(n) AS n, floor(sum(n * gain) / sum(n)) AS weight FROM n JOIN b USING (f) JOIN gain USING (b) WHERE doc GROUP BY k),
+d AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+  ('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT::DOUBLE AS h FROM w LEFT JOIN p USING (k) WHERE doc),
+z AS (SELECT *, (weight + floor(-1000 * ln(-ln((h + 0.5) / 4294967296))))::BIGINT AS score FROM d),
+r AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id NULLS LAST) AS r, 25 * count(*) OVER (PARTITION BY n_words >= 20) // 100 AS most FROM z)
+SELECT doc_id, n_words, n_features, weight, score, CASE WHEN n_words >= 20 AND r <= most THEN r END AS rank FROM r
+"""
+
+ORACLE_SQL: dict[str, str] = {"op3_url_filters": _URL, "op4_jaccard_join": _JACCARD, "op7_warc": _WARC, "op10_quality_rules": _QUALITY, "op12_importance": _IMPORTANCE}
