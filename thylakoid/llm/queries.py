@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import decontaminate, importance, jaccard, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
+from thylakoid.llm import decontaminate, importance, jaccard, langid, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +74,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3, F.lit(0)) == 1
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out.alias("held_out"), "lang", "text")
+    return langid.identify(docs, ~F.col("held_out")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -89,6 +95,7 @@ QUERIES: dict[str, Query] = {
     "op8_mixing": op8_mixing,
     "op9_toxicity": op9_toxicity,
     "op10_quality_rules": op10_quality_rules,
+    "op11_language_id": op11_language_id,
     "op12_importance": op12_importance,
 }
 
