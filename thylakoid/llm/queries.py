@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from thylakoid.llm import decontaminate, importance, jaccard, langid, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
+from thylakoid.llm import crosstoken, decontaminate, importance, jaccard, langid, lm, mixing, quality, sharding, tokencounts, toxicity, urlrules, warc
 from thylakoid.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,10 @@ def op12_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstoken.align_tokens(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -97,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_language_id": op11_language_id,
     "op12_importance": op12_importance,
+    "op13_cross_tokenizer": op13_cross_tokenizer,
 }
 
 _URL = """
