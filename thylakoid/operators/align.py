@@ -9,8 +9,10 @@ Hits have no gaps.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -18,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import COMPLEMENT, STOP, amino_acids, as_bytes, revcomp
-from thylakoid.operators.orf import MORE_THAN, ROWS_OUT, find_orfs, runs
+from thylakoid.functions.sequence import COMPLEMENT, STOP, amino_acids, as_bytes, frame_protein, revcomp
+from thylakoid.operators.orf import MORE_THAN, ROWS_OUT, runs
 from thylakoid.plans.cuts import cut
 
 #: Parameters of the extreme-value distribution for match 1, mismatch -2, ungapped.
@@ -27,7 +29,7 @@ LAMBDA, K = 1.33, 0.621
 MATCH, MISMATCH = 1, -2
 #: Letters of a seed, and how far a score may fall below its best before an extension ends.
 SEED, DROP = 16, 10
-#: Words of references, with the references that have them, that may be sent to every task (some 30 MB).
+#: Words of references, with the references that have them, that are sent to every task at once (some 30 MB).
 SENT_WORDS = 2_000_000
 #: Bits (as a power of two) of the bitmap that keeps out words that the other side doesn't have.
 BITS = 20
@@ -213,78 +215,183 @@ def search(queries: DataFrame, subjects: DataFrame, k: int = SEED, evalue: float
     ).filter(F.col("evalue") <= evalue)
 
 
-def genome_search_pairs(orfs: DataFrame, genomes: DataFrame, refs: DataFrame, k: int = 5) -> DataFrame:
-    """Distinct (qseqid, sseqid) of frames and references that share a k-residue protein word, of any frame of either.
-
-    ``orfs`` has genome_id, orf_id, start0 and end0.  A word of a frame lies, on either strand, at
-    some place of the genome within the frame: so genomes are cut into words once, and the few
-    that a reference has as well meet the frames in bins of places.
+class References(NamedTuple):
+    """References that are sent to every task: their words, each with the references that have it, and by reference the windows of its protein."""
+
+    names: pa.Array
+    words: np.ndarray
+    first: np.ndarray
+    ref: np.ndarray
+    lengths: np.ndarray
+    window_first: np.ndarray
+    window_ref: np.ndarray
+
+    @classmethod
+    def of(cls, refs: pa.Table, k: int) -> References:
+        """Of a table of names, sequences and proteins."""
+        names = refs.column(0).combine_chunks()
+        word, owner, window, by = [], [], [], []
+        for i, (seq, protein) in enumerate(zip(refs.column(1).to_pylist(), refs.column(2).to_pylist(), strict=True)):
+            letters = as_bytes(seq)
+            found = np.unique(np.concatenate([protein_words(side, k)[1] for side in (letters, COMPLEMENT[letters[::-1]])]))
+            word.append(found)
+            owner.append(np.full(len(found), i))
+            found = np.unique(_windows(as_bytes(protein), 1))
+            window.append(found)
+            by.append(np.full(len(found), i))
+        word, owner, window, by = (np.concatenate([*x, np.zeros(0, dtype=np.int64)]) for x in (word, owner, window, by))
+        order = np.argsort(word, kind="stable")
+        known, first = np.unique(word[order], return_index=True)
+        lengths = np.array([len(x or "") for x in refs.column(2).to_pylist()], dtype=np.int64)
+        return cls(names, known, np.append(first, len(order)), owner[order], lengths, np.searchsorted(np.sort(window), np.arange(WINDOWS + 1)), by[np.argsort(window, kind="stable")])
+
+
+#: Windows of three residues, of five bits each.
+WINDOWS = 1 << 15
+
+
+def _windows(residues: np.ndarray, step: int) -> np.ndarray:
+    """Each residue with the two that follow it ``step`` places apart, as a number; unknown ones and stops are letters like others."""
+    r = residues.astype(np.int64) & 31
+    return (r[: -2 * step] << 10) | (r[step:-step] << 5) | r[2 * step :] if len(r) > 2 * step else r[:0]
+
+
+class Place(NamedTuple):
+    """A genome's frames of one strand in forward coordinates, and the pairs (frame number, reference) that share a word."""
+
+    low: np.ndarray
+    high: np.ndarray
+    frame: np.ndarray
+    ref: np.ndarray
+
+
+def _pairs_of(letters: np.ndarray, refs: References, k: int, compat: bool, shortest: float = 0) -> Iterator[tuple[bool, Place]]:
+    """The pairs of a genome, of either strand's frames of ``shortest`` bases or more."""
+    sides = []
+    for back in (False, True):
+        _, start, end = runs(COMPLEMENT[letters[::-1]] if back else letters, MORE_THAN, compat)
+        low, high = (len(letters) - 1 - end, len(letters) - 1 - start) if back else (start, end)
+        sides.append((back, low.astype(np.int64), high.astype(np.int64), np.flatnonzero(high - low + 1 >= shortest)))
+    if not any(len(long) for *_, long in sides):
+        return
+    places, owners = [], []
+    for back in (False, True):
+        at, word = protein_words(COMPLEMENT[letters[::-1]] if back else letters, k)
+        slot = np.minimum(np.searchsorted(refs.words, word), len(refs.words) - 1)
+        at, slot = at[refs.words[slot] == word], slot[refs.words[slot] == word]
+        spot, times = _ranges(refs.first[slot], refs.first[slot + 1])
+        places.append(np.repeat(len(letters) - 3 * k - at if back else at, times))
+        owners.append(refs.ref[spot])
+    place, owner = np.concatenate(places), np.concatenate(owners)
+    by = np.argsort(place, kind="stable")
+    place, owner = place[by], owner[by]
+    for back, low, high, long in sides:
+        x = np.searchsorted(place, low[long])
+        spot, times = _ranges(x, np.maximum(x, np.searchsorted(place, high[long] - 3 * k + 1, side="right")))
+        pairs = np.unique(np.repeat(long, times) * len(refs.names) + owner[spot])
+        yield back, Place(low, high, pairs // len(refs.names), pairs % len(refs.names))
+
+
+def _postings(letters: np.ndarray, refs: References) -> np.ndarray:
+    """Sorted numbers of (reference, strand and phase, place) for each window of nine bases that a reference's protein has, by the place of its first base on its own strand."""
+    n, found = len(letters), []
+    for back in (False, True):
+        window = _windows(amino_acids(COMPLEMENT[letters[::-1]] if back else letters), 3)
+        spot, times = _ranges(refs.window_first[window], refs.window_first[window + 1])
+        place = np.repeat(np.arange(len(window)), times)
+        found.append(((refs.window_ref[spot] * 6 + 3 * back + place % 3) * n) + place)
+    return np.sort(np.concatenate(found))
+
+
+def _scores(postings: np.ndarray, n: int, pairs: Place, refs: References) -> np.ndarray:
+    """For each pair the best of six frames: how many of its windows the reference has, by the reference's length.
+
+    A frame's windows are ranges of the postings, so a pair costs two searches for each of six.
     """
-    width = 1024
-    theirs = cut(_words_of(refs.select("ref_id", "seq"), "ref_id", protein_words, k, both=True).select("ref_id", "word").distinct())
-    found = _words_of(genomes, "genome_id", protein_words, k, _bitmap(theirs), both=True, span=3 * k)
-    hits = found.join(_small(theirs), "word").select("genome_id", "ref_id", F.col("pos").alias("_at")).distinct().withColumn("_bin", F.floor(F.col("_at") / width))
-    frames = orfs.select("genome_id", "orf_id", "start0", "end0").withColumn("_bin", F.explode(F.sequence(F.floor(F.col("start0") / width), F.floor(F.col("end0") / width))))
-    inside = (F.col("start0") <= F.col("_at")) & (F.col("_at") + 3 * k - 1 <= F.col("end0"))
-    return frames.join(hits, ["genome_id", "_bin"]).filter(inside).select(F.col("orf_id").alias("qseqid"), F.col("ref_id").alias("sseqid")).distinct()
-
-
-def frame_pairs(genomes: DataFrame, refs: DataFrame, k: int = 5, limit: int = SENT_WORDS) -> DataFrame:
-    """``genome_search_pairs`` of all frames of ``genomes`` (with unique ids), whose qseqid is ``{genome}:{frame}``.
-
-    References of up to ``limit`` words are sent to the tasks; a genome's frames and words then meet
-    where they are made, and nothing but the pairs leaves a task.
+    low, high, best = pairs.low[pairs.frame], pairs.high[pairs.frame], np.zeros(len(pairs.frame), dtype=np.int64)
+    for back in (False, True):
+        start, last = (n - 1 - high, n - 1 - low) if back else (low, high)
+        for phase in range(3):
+            side = (pairs.ref * 6 + 3 * back + (start + phase) % 3) * n
+            begins = np.minimum(start + phase, last)
+            many = np.searchsorted(postings, side + np.maximum(last - 8, begins - 1), side="right") - np.searchsorted(postings, side + begins)
+            np.maximum(best, many, out=best)
+    return best / refs.lengths[pairs.ref]
+
+
+def _reference_blocks(refs: DataFrame, k: int, limit: int, compat: bool) -> list[References]:
+    """All references, in as many blocks as keep one to some ``limit`` words."""
+    held = cut(refs.select("ref_id", "seq", F.coalesce(frame_protein(F.col("seq"), compat), F.lit("")).alias("protein")))
+    words = held.agg(F.sum(F.greatest(F.length("seq") - 3 * k + 1, F.lit(0)) * 2)).first()[0] or 0
+    blocks = max(1, -(-words // max(1, limit)))
+    return [References.of(held.filter(F.pmod(F.xxhash64("ref_id", "seq"), F.lit(blocks)) == b).toArrow(), k) for b in range(blocks)]
+
+
+def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None, k: int = 5, limit: int = SENT_WORDS, compat: bool = False, scored: bool = True) -> DataFrame:
+    """``qseqid``, ``sseqid`` and ``score`` of the frames of ``genomes`` and the references that share a k-residue word with them, of any frame of either.
+
+    ``score`` is that of ``hits.score_pairs``: the best of a frame's six proteins, how many of its
+    windows of three residues the reference's protein has, by the protein's length.  qseqid is
+    ``{genome}:{frame}``.  With ``least`` only pairs that reach it are made: a frame that has fewer
+    windows than that isn't looked at.  No pair is scored by itself: the windows of a genome that
+    references have are laid out once, by reference and place, and a frame's are a range of them.
+
+    References are sent to the tasks in blocks of some ``limit`` words, so nothing but the pairs
+    leaves a task, however many references there are.  Null and empty sequences have no pairs; null
+    names are names like others.
     """
-    theirs = cut(_words_of(refs.select("ref_id", "seq"), "ref_id", protein_words, k, both=True).select("ref_id", "word").distinct())
-    if theirs.count() > limit:
-        orfs = find_orfs(genomes).withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id"))
-        return genome_search_pairs(orfs, genomes, refs, k)
-    held = theirs.toArrow()
-    names, ref = np.unique(held.column("ref_id").to_numpy(zero_copy_only=False).astype(str), return_inverse=True)
-    order = np.argsort(held.column("word").to_numpy(), kind="stable")
-    known, first = np.unique(held.column("word").to_numpy()[order], return_index=True)
-    shared = genomes.sparkSession.sparkContext.broadcast((known, np.append(first, len(order)), ref[order], names))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, first, ref, names = shared.value
-        frames, found = [], []
-
-        def flush() -> pa.RecordBatch:
-            done = pa.RecordBatch.from_arrays([pa.array(frames, pa.string()), pa.array(names[np.concatenate([*found, np.zeros(0, dtype=np.int64)])].tolist(), pa.string())], ["qseqid", "sseqid"])
-            frames.clear()
-            found.clear()
-            return done
-
-        for batch in batches:
-            for i in range(batch.num_rows):
-                genome, letters = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
-                if len(letters) < 3 * k or not len(known):
-                    continue
-                places, owners = [], []
-                for back in (False, True):
-                    at, word = protein_words(COMPLEMENT[letters[::-1]] if back else letters, k)
-                    slot = np.minimum(np.searchsorted(known, word), len(known) - 1)
-                    at, slot = at[known[slot] == word], slot[known[slot] == word]
-                    spot, times = _ranges(first[slot], first[slot + 1])
-                    places.append(np.repeat(len(letters) - 3 * k - at if back else at, times))
-                    owners.append(ref[spot])
-                place, owner = np.concatenate(places), np.concatenate(owners)
-                by = np.argsort(place, kind="stable")
-                place, owner = place[by], owner[by]
-                for back in (False, True):
-                    _, start, end = runs(COMPLEMENT[letters[::-1]] if back else letters, MORE_THAN, False)
-                    low, high = (len(letters) - 1 - end, len(letters) - 1 - start) if back else (start, end)
-                    x = np.searchsorted(place, low)
-                    spot, times = _ranges(x, np.maximum(x, np.searchsorted(place, high - 3 * k + 1, side="right")))
-                    pairs = np.unique(np.repeat(np.arange(len(low)), times) * len(names) + owner[spot])
-                    head, tail = "" if genome is None else f"{genome}:", "-r" if back else ""
-                    frames.extend(f"{head}orf{n + 1}{tail}" for n in (pairs // len(names)).tolist())
-                    found.append(pairs % len(names))
-                if len(frames) > ROWS_OUT:
-                    yield flush()
-        yield flush()
-
-    return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, "qseqid string, sseqid string")
+    kind = refs.schema["ref_id"].dataType.simpleString()
+    out = ["qseqid", "sseqid", *(["score"] if scored else [])]
+
+    def scan(block: References) -> DataFrame:
+        shared = genomes.sparkSession.sparkContext.broadcast(block)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            refs, frames, found, score = shared.value, [], [], []
+            shortest = 3 * (least * refs.lengths.min() + 2 - 1e-9) if least is not None and len(refs.lengths) else 0
+
+            def flush() -> pa.RecordBatch:
+                which = np.concatenate([*found, np.zeros(0, dtype=np.int64)])
+                done = pa.RecordBatch.from_arrays([pa.array(frames, pa.string()), refs.names.take(pa.array(which)), *([pa.array(np.concatenate([*score, np.zeros(0)]))] if scored else [])], out)
+                for x in (frames, found, score):
+                    x.clear()
+                return done
+
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    genome, letters = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
+                    if len(letters) < 3 * k or not len(refs.words):
+                        continue
+                    postings = None
+                    for back, pairs in _pairs_of(letters, refs, k, compat, shortest):
+                        if least is not None:
+                            able = (pairs.high - pairs.low + 1)[pairs.frame] // 3 - 2 >= least * refs.lengths[pairs.ref] - 1e-9
+                            pairs = pairs._replace(frame=pairs.frame[able], ref=pairs.ref[able])
+                        if not len(pairs.frame):
+                            continue
+                        if scored:
+                            postings = _postings(letters, refs) if postings is None else postings
+                            value = _scores(postings, len(letters), pairs, refs)
+                            if least is not None:
+                                good = value >= least
+                                pairs, value = pairs._replace(frame=pairs.frame[good], ref=pairs.ref[good]), value[good]
+                            score.append(value)
+                        head, tail = "" if genome is None else f"{genome}:", "-r" if back else ""
+                        frames.extend([f"{head}orf{n + 1}{tail}" for n in pairs.frame.tolist()])
+                        found.append(pairs.ref)
+                    if len(frames) > ROWS_OUT:
+                        yield flush()
+            yield flush()
+
+        return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, f"qseqid string, sseqid {kind}" + (", score double" if scored else ""))
+
+    every = [scan(block) for block in _reference_blocks(refs, k, limit, compat)]
+    return functools.reduce(DataFrame.unionByName, every)
+
+
+def frame_pairs(genomes: DataFrame, refs: DataFrame, k: int = 5, limit: int = SENT_WORDS, compat: bool = False) -> DataFrame:
+    """``frame_scores`` without the scores: distinct pairs, for genomes and references of unique names."""
+    return frame_scores(genomes, refs, None, k, limit, compat, False)
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from thylakoid.operators.refine import CODE
-
+#: The standard code by amino acid, ``_`` a stop, with the codons of any third base that are read as one.
+_CODE = """A GCA GCC GCG GCT GCN|C TGC TGT|D GAC GAT|E GAA GAG|F TTC TTT|G GGA GGC GGG GGT GGN|H CAC CAT|I ATA ATC ATT|K AAA AAG|L CTA CTC CTG CTT TTA TTG|M ATG|N AAC AAT|P CCA CCC CCG CCT CCN
+Q CAA CAG|R AGA AGG CGA CGC CGG CGT CGN|S AGC AGT TCA TCC TCG TCT TCN|T ACA ACC ACG ACT ACN|V GTA GTC GTG GTT GTN|W TGG|Y TAC TAT|_ TAA TAG TGA"""
+CODE = {codon: line.split()[0] for line in _CODE.replace("\n", "|").split("|") for codon in line.split()[1:]}
 _MAP = "MAP {" + ", ".join(f"'{k}': '{v}'" for k, v in sorted(CODE.items())) + "}"
 
 
@@ -42,9 +44,10 @@ orfs AS (SELECT genome_id, 'orf' || row_number() OVER (PARTITION BY genome_id, s
   (CASE strand WHEN '-' THEN len - b - 1 ELSE a END)::INT AS start0, (CASE strand WHEN '-' THEN len - a - 1 ELSE b END)::INT AS end0, nt::INT AS nt FROM o)"""
 
 _ORFS_COMPAT = _ORFS.replace("-- kept", "AND NOT (frame = 2 AND count(*) FILTER (aa IS NULL OR aa = '_') = 0)")
-# what longer frames cover of a frame: each overlap counts from where the earlier ones end
-_NESTED = """over AS (SELECT a.genome_id, a.orf_id, a.start0 AS lo, a.end0 AS hi, greatest(a.start0, b.start0) AS s, least(a.end0, b.end0) AS e FROM orfs a JOIN orfs b
-  ON a.genome_id = b.genome_id AND a.start0 <= b.end0 AND b.start0 <= a.end0 AND (b.nt > a.nt OR (b.nt = a.nt AND b.orf_id < a.orf_id))),
+# what longer frames cover of a frame: frames meet in the bin where their overlap begins, and each overlap counts from where the earlier ones end
+_NESTED = """bins AS MATERIALIZED (SELECT genome_id, orf_id, start0, end0, nt, unnest(range(start0 // 128, end0 // 128 + 1)) AS bin FROM orfs),
+over AS (SELECT a.genome_id, a.orf_id, a.start0 AS lo, a.end0 AS hi, greatest(a.start0, b.start0) AS s, least(a.end0, b.end0) AS e FROM bins a JOIN bins b
+  ON a.genome_id = b.genome_id AND a.bin = b.bin AND a.start0 <= b.end0 AND b.start0 <= a.end0 AND a.bin = greatest(a.start0, b.start0) // 128 AND (b.nt > a.nt OR (b.nt = a.nt AND b.orf_id < a.orf_id))),
 nested AS (SELECT genome_id, orf_id FROM (SELECT *, greatest(0, e - greatest(s - 1, coalesce(max(e) OVER (PARTITION BY genome_id, orf_id ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), s - 1))) AS more FROM over)
   GROUP BY genome_id, orf_id, lo, hi HAVING sum(more)::DOUBLE / greatest(hi - lo, 1) >= 0.9)"""
 

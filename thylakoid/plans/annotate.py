@@ -15,12 +15,12 @@ from thylakoid.operators import align, features, hits, intervals, orf, refine, r
 from thylakoid.plans.cuts import cut
 
 
-def best_orfs(orfs: DataFrame, refs: DataFrame, pairs: DataFrame, least: float = hits.PROTEIN_LEAST, compat: bool = False) -> DataFrame:
+def best_orfs(orfs: DataFrame, scored: DataFrame, least: float = hits.PROTEIN_LEAST) -> DataFrame:
     """Assignments: the best reference of each frame, and of frames of a reference that overlap the best.
 
-    ``orfs`` has genome_id, orf_id (unique over genomes), start0, end0, seq.
+    ``orfs`` has genome_id, orf_id (unique over genomes), start0 and end0; ``scored`` qseqid, sseqid and score.
     """
-    best = hits.best_reference(hits.score_pairs(pairs, orfs, refs, compat=compat), least)
+    best = hits.best_reference(scored, least)
     placed = best.join(orfs.select("genome_id", "orf_id", F.col("start0").alias("start"), F.col("end0").alias("end")), "orf_id")
     return intervals.best_of_islands(placed, ["genome_id", "ref_id"], "score", "orf_id")
 
@@ -60,10 +60,9 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     rna = hits.rna_candidates(rna_hits, best_rna, rnas).join(genomes.select("genome_id", F.col("genome_id").cast("string").alias("qseqid")), "qseqid")
     rna = rna.select("genome_id", "ref_id", "orf_id", "start", "end")
 
-    if pairs is None:
-        pairs = align.genome_search_pairs(orfs, genomes, genes)
-    pairs = pairs.filter(~(F.contains(F.col("sseqid"), F.lit("rpl16")) & ~F.contains(F.col("qseqid"), F.lit("-r"))))
-    proteins = best_orfs(orfs, genes, pairs, compat=compat).select("genome_id", "ref_id", "orf_id", "start", "end")
+    scored = align.frame_scores(genomes, genes, hits.PROTEIN_LEAST, compat=compat) if pairs is None else hits.score_pairs(pairs, orfs, genes, compat=compat)
+    scored = scored.filter(~(F.contains(F.col("sseqid"), F.lit("rpl16")) & ~F.contains(F.col("qseqid"), F.lit("-r"))))
+    proteins = best_orfs(orfs, scored).select("genome_id", "ref_id", "orf_id", "start", "end")
     cleaned = intervals.clean_overlaps(cut(proteins.withColumn("rna", F.lit(False)).unionByName(rna.withColumn("rna", F.lit(True)))), ["genome_id", "ref_id"], length=F.when(F.col("rna"), 0).otherwise(F.col("end") - F.col("start")) if compat else None, compat=compat)
     cleaned = cut(cleaned)
 

@@ -130,8 +130,8 @@ def score_rna(spark: SparkSession, d: str) -> DataFrame:
     return _pieces(spark, d).select("qseqid", "sseqid", "line_no", seq.kmer_score_rna(F.col("oq"), F.col("pq")).alias("score"))
 
 
-def _scored(spark: SparkSession, d: str) -> DataFrame:
-    return hits.score_pairs(protein_pairs(spark, d), _named_orfs(spark, d), _genes(spark, d))
+def _scored(spark: SparkSession, d: str, least: float | None = None) -> DataFrame:
+    return align.frame_scores(inputs.genomes(spark, d), _genes(spark, d), least)
 
 
 @query
@@ -141,7 +141,7 @@ def score_six_frames(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def best_reference(spark: SparkSession, d: str) -> DataFrame:
-    return hits.best_reference(_scored(spark, d))
+    return hits.best_reference(_scored(spark, d, hits.PROTEIN_LEAST))
 
 
 @query
@@ -425,7 +425,7 @@ def region_files(spark: SparkSession, d: str) -> DataFrame:
 @query
 def best_orf_files(spark: SparkSession, d: str) -> DataFrame:
     folder = _folder(spark)
-    writers.write_best_orfs(hits.best_reference(_scored(spark, d)), folder, compat=True)
+    writers.write_best_orfs(best_reference(spark, d), folder, compat=True)
     return readers.read_assignments(spark, folder)
 
 
