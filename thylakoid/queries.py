@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as seq
-from thylakoid.operators import align, features, hits, intervals, orf, repeats
+from thylakoid.operators import align, features, hits, intervals, orf, repeats, translated
 from thylakoid.plans import annotate, inputs
 from thylakoid.plans.cuts import cut, shared_folder
 from thylakoid.sources import readers, writers
@@ -364,6 +364,18 @@ def protein_pairs(spark: SparkSession, d: str) -> DataFrame:
     return align.frame_pairs(inputs.genomes(spark, d), _genes(spark, d))
 
 
+@query
+def translated_hits(spark: SparkSession, d: str) -> DataFrame:
+    return _rounded(translated.translated_search(inputs.genomes(spark, d), _genes(spark, d)))
+
+
+@query
+def translated_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """Frames and genes with hits that are not filtered, with how much of the gene these cover."""
+    found = hits.filter_hits(translated.translated_search(inputs.genomes(spark, d), _genes(spark, d)))
+    return hits.hit_pairs(found).join(hits.hsp_coverage(found, _genes(spark, d)), ["qseqid", "sseqid"])
+
+
 @query
 def refine_exon(spark: SparkSession, d: str) -> DataFrame:
     genomes, refs = inputs.genomes(spark, d), inputs.references(spark, d).filter("class = 'gene'")
