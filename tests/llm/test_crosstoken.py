@@ -70,10 +70,11 @@ def aligned(spark, rows, **how):
     return Counter(map(tuple, crosstoken.align_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), **how).collect()))
 
 
-@pytest.mark.parametrize("size", [1 << 23, 2000])
-def test_tables_against_brute_force(spark, tools, size, monkeypatch):
+@pytest.mark.parametrize(("size", "sent"), [(1 << 23, 10**6), (2000, 10**6), (2000, 0)])
+def test_tables_against_brute_force(spark, tools, size, sent, monkeypatch):
+    monkeypatch.setattr(crosstoken, "SEGMENTS", 50 if size == 2000 else 10**5)
     want = brute(ROWS, tools)
-    assert aligned(spark, ROWS, chunk_bytes=size) == want
+    assert aligned(spark, ROWS, chunk_bytes=size, sent=sent) == want
     assert sum(n for k, n in want.items() if k[1] == 0) < len(ROWS) // 4
 
 
@@ -109,10 +110,12 @@ def test_large_groups_and_whole_texts(spark, tools, monkeypatch):
     own = crosstoken.Vocabularies(*[open(p, "rb").read() for p in (crosstoken.BYTE_LEVEL, crosstoken.PIECES)])
     texts = [t for _, t in ROWS if t][:60]
     found = crosstoken.align([b" " + t.encode() for t in texts], own)
+    linked = crosstoken.read_groups(*crosstoken.unpack_texts(crosstoken.pack_texts(found)))
     for i, text in enumerate(texts):
         links = Counter((a << 32) | b for x, y in groups(text, tools) for a in x for b in y)
-        assert dict(zip(found["pairs"][i].as_py(), found["times"][i].as_py(), strict=True)) == links
-    assert np.array(found["n_links"]).sum() == sum(sum(x) for x in found["times"].to_pylist())
+        own_links = slice(linked.first[i], linked.first[i + 1])
+        assert dict(zip(linked.pair[own_links].tolist(), linked.times[own_links].tolist(), strict=True)) == links
+        assert (linked.n_links[i], linked.n_groups[i], bool(linked.sound[i])) == (sum(links.values()), len(groups(text, tools)), bool(links))
 
 
 def test_odd_tables(spark, tools):

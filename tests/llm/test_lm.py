@@ -89,7 +89,7 @@ def same(rows, wanted, rel=1e-9):
         assert (r.base_score, r.score) == (pytest.approx(base, rel=1e-9), pytest.approx(score, rel=rel))
 
 
-@pytest.mark.parametrize("how", [SMALL, {}])
+@pytest.mark.parametrize("how", [SMALL | {"message_keys": 0}, SMALL, {}])  # packed questions, rows, one question
 def test_model_against_brute_force(spark, texts, how):
     table = docs(spark, texts)
     rows = lm.score_texts(table, learned(), **how).collect()
@@ -105,7 +105,7 @@ def test_given_weights_make_scores_exact(spark, texts, monkeypatch):
     weights = np.tile([0.6, 0.3, 0.1], (lm.BUCKETS, 1))
     weights[0] = [0, 0.7, 0.3]
     monkeypatch.setattr(lm, "learn_weights", lambda *a: weights)
-    same(lm.score_texts(docs(spark, texts), learned(), **SMALL).collect(), expected(texts, [i for i in range(len(texts)) if i % 4], weights))
+    same(lm.score_texts(docs(spark, texts), learned(), **SMALL, message_keys=0).collect(), expected(texts, [i for i in range(len(texts)) if i % 4], weights))
 
 
 def test_a_table_united_with_itself(spark, texts, tmp_path):

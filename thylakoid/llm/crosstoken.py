@@ -6,13 +6,14 @@ tokens are those that it has within any text.
 
 1. Texts are cut into chunks: the distinct segments of each, and the numbers of its texts'
    segments among them.
-2. Each distinct segment of the corpus is tokenized by both and aligned once: tokens that end at
-   the same byte close a group, and all pairs of tokens of a group are links.
-3. Chunks get the alignments of their segments by a join, and tell how many of their texts hold
-   each pair of ids.  These counts give each segment its sums.
-4. Chunks get the sums and the groups of their segments, and compose their texts.
-
-No task gets more than a chunk and what its distinct segments have.
+2. Segments meet by their hash, so that each distinct one of the corpus is tokenized by both and
+   aligned once: tokens that end at the same byte close a group, and all pairs of tokens of a
+   group are links.  Its groups go back to every chunk that has it.
+3. A chunk tells how many of its texts hold each pair of ids linked, and these counts are added up.
+4. Chunks look the counts of their pairs up and compose their texts.
+
+No task gets more than a chunk and what its distinct segments have.  Chunks lie in Parquet in the
+shared folder until the rows are done; they are about as large as the texts' own Parquet.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import hashlib
 import itertools
 import json
 import os
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -30,14 +32,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm.common import bounded_batches, durable, sized_join
+from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable, remove, shared_folder
 from thylakoid.llm.lm import pack, unpack
 from thylakoid.llm.textkit import U64, as_long, blocks, hash_spans
 
 #: Where the vocabularies lie here: a byte-level one, and one of pieces that adds a space of its own.
 BYTE_LEVEL, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text in a chunk, and segments that are aligned at once.
-CHUNK_BYTES, SEGMENTS = 8 << 20, 20_000
+CHUNK_BYTES, SEGMENTS = 16 << 20, 20_000
 #: Links of a group that are laid out one by one; larger groups are counted by id first.
 LAID_OUT = 256
 SPACE = "▁"
@@ -123,26 +125,35 @@ def split(data: np.ndarray, offsets: np.ndarray, splits: bool) -> tuple[np.ndarr
 
 
 class Chunk(NamedTuple):
-    """Distinct segments' hashes in order, the number of each segment among them, and how many each text has."""
+    """The number of each segment among the chunk's distinct ones, the most frequent first, and how many segments each text has."""
 
-    hashes: np.ndarray
     ids: np.ndarray
     counts: np.ndarray
 
     @classmethod
     def read(cls, raw: bytes) -> Chunk:
-        hashes, ids, counts = unpack(raw, "QII")
-        return cls(np.cumsum(hashes, dtype=U64), ids.astype(np.int64), counts.astype(np.int64))
+        ids, counts = unpack(raw, "II")
+        return cls(ids.astype(np.int64), counts.astype(np.int64))
 
     def packed(self) -> bytes:
-        steps = self.hashes.copy()
-        steps[1:] -= self.hashes[:-1]
-        return pack(steps, self.ids.astype(np.uint32), self.counts.astype(np.uint32))
+        return pack(self.ids.astype(np.uint32), self.counts.astype(np.uint32))
 
     def doc(self) -> np.ndarray:
         return np.repeat(np.arange(len(self.counts)), self.counts)
 
 
+def pack_texts(texts: list[bytes]) -> bytes:
+    """Texts as one compressed run of bytes, with their lengths."""
+    joined = b"".join(texts)
+    return pack(np.array([len(t) for t in texts], dtype=np.uint32), np.frombuffer(joined, dtype=np.uint8))
+
+
+def unpack_texts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each text begins, and the end of the last; and all bytes."""
+    lengths, data = unpack(raw, "IB")
+    return np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)]), data
+
+
 def _cut_chunks(shared, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splits = loaded(shared.value).splits
@@ -151,13 +162,17 @@ def _cut_chunks(shared, size: int):
 
         def chunk() -> pa.RecordBatch:
             nonlocal made, waiting
-            hashes, ids = np.unique(np.concatenate(found), return_inverse=True)
+            hashes, ids, often = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            order = np.argsort(-often, kind="stable")
+            place = np.empty(len(order), dtype=np.int64)
+            place[order] = np.arange(len(order))
             names = pa.concat_arrays(keys)
-            payload = Chunk(hashes, ids, np.concatenate(counts)).packed()
-            held = pa.StructArray.from_arrays([as_long(hashes), pa.array([texts[h] for h in hashes.tolist()], pa.binary())], ["h", "t"])
             row = pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + made], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), pa.array([payload], pa.binary()), pa.ListArray.from_arrays(pa.array([0, len(hashes)], pa.int32()), held)],
-                ["chunk", "keys", "payload", "segments"],
+                [
+                    pa.array([(task << 32) + made], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), pa.array([Chunk(place[ids], np.concatenate(counts)).packed()], pa.binary()),
+                    pa.array([pack_texts([texts[h] for h in hashes[order].tolist()])], pa.binary()),
+                ],
+                ["chunk", "keys", "payload", "texts"],
             )
             made, waiting = made + 1, 0
             for x in (keys, found, counts, texts):
@@ -183,10 +198,21 @@ def _cut_chunks(shared, size: int):
     return run
 
 
-# --- alignment ---
+def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of chunks: the hash, the number and the text of each distinct segment."""
+    for batch in batches:
+        for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            ends, data = unpack_texts(raw.as_py())
+            for lo in range(0, len(ends) - 1, SEGMENTS):
+                cut = ends[lo : lo + SEGMENTS + 1]
+                part = np.ascontiguousarray(data[cut[0] : cut[-1]])
+                at = cut - cut[0]
+                n = len(at) - 1
+                texts = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(part)])
+                yield pa.RecordBatch.from_arrays([as_long(hash_spans(part, at[:-1], at[1:])), pa.array(np.full(n, chunk)), pa.array(np.arange(lo, lo + n, dtype=np.int32)), texts], ["h", "chunk", "number", "t"])
 
-ALIGNED = "h long, sound boolean, n_a long, n_b long, n_groups long, n_links long, groups binary, pairs array<long>, times array<long>"
 
+# --- alignment ---
 
 def _firsts(ordered: np.ndarray) -> np.ndarray:
     """Where each run of equal values begins."""
@@ -221,56 +247,52 @@ def _links(group: np.ndarray, a: np.ndarray, b: np.ndarray, first_a: np.ndarray,
     return tuple(np.concatenate(s) for s in zip(*sides, strict=True))
 
 
-def align(segments: list[bytes], tools: Vocabularies) -> dict[str, object]:
-    """Columns of ``ALIGNED`` but for the hashes, of segments that begin with a space."""
+def align(segments: list[bytes], tools: Vocabularies) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3`` for each of segments that begin with a space; empty where a vocabulary doesn't give it back."""
     texts = [s.decode() for s in segments]
     encode = getattr(tools.first, "encode_batch_fast", tools.first.encode_batch)
     firsts = [e.ids for e in encode(texts, add_special_tokens=False)]
     seconds = tools.second.encode([t[1:] for t in texts], num_threads=1)
     sound = [b"".join([tools.piece[i] for i in ids]) == s for ids, s in zip(seconds, segments, strict=True)]
-    sound = np.array([ok and int(tools.width[ids].sum()) == len(s) for ok, ids, s in zip(sound, firsts, segments, strict=True)], dtype=bool)
+    sound = [ok and int(tools.width[ids].sum()) == len(s) for ok, ids, s in zip(sound, firsts, segments, strict=True)]
     empty: list[int] = []
-    a, b = (Tokens.of([ids if ok else empty for ids, ok in zip(lists, sound.tolist(), strict=True)]) for lists in (firsts, seconds))
-    n = len(segments)
+    a, b = (Tokens.of([ids if ok else empty for ids, ok in zip(lists, sound, strict=True)]) for lists in (firsts, seconds))
     # sound segments lie one after the other, as bytes; what both end closes a group
     end_a, end_b = np.cumsum(tools.width[a.ids]), np.cumsum(tools.piece_width[b.ids])
     closed = np.intersect1d(end_a, end_b, assume_unique=True)
     group_a, group_b = np.searchsorted(closed, end_a), np.searchsorted(closed, end_b)
     first_a, first_b = _firsts(group_a), _firsts(group_b)
     n_a, n_b = np.diff(np.append(first_a, len(group_a))), np.diff(np.append(first_b, len(group_b)))
-    owner = np.repeat(np.arange(n), a.count)[first_a]
-    group, pair, times = _links(np.arange(len(closed)), a.ids, b.ids, first_a, n_a, first_b, n_b)
-    order = np.lexsort((pair, owner[group]))
-    of, pair, times = owner[group][order], pair[order], times[order]
-    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (pair[1:] != pair[:-1])])) if len(of) else of
-    times = np.add.reduceat(times, first) if len(first) else times
-    ends = np.concatenate([[0], np.cumsum(np.bincount(of[first], minlength=n))]).astype(np.int32)
     left, right = ([names[i] for i in ids.tolist()] for names, ids in zip(tools.names, (a.ids, b.ids), strict=True))
     spelled = [
         f"{left[x]}|{right[y]}" if k == m == 1 else ",".join(left[x : x + k]) + "|" + ",".join(right[y : y + m])
         for x, k, y, m in zip(first_a.tolist(), n_a.tolist(), first_b.tolist(), n_b.tolist(), strict=True)
     ]
-    per = np.bincount(owner, minlength=n)
-    at = np.concatenate([[0], np.cumsum(per)]).tolist()
-    return {
-        "sound": pa.array(sound), "n_a": pa.array(a.count), "n_b": pa.array(b.count), "n_groups": pa.array(per.astype(np.int64)), "n_links": pa.array(np.bincount(owner, weights=n_a * n_b, minlength=n).astype(np.int64)),
-        "groups": pa.array([";".join(spelled[x:y]).encode() for x, y in itertools.pairwise(at)], pa.binary()), "pairs": pa.ListArray.from_arrays(pa.array(ends), pa.array(pair[first])), "times": pa.ListArray.from_arrays(pa.array(ends), pa.array(times)),
-    }
+    owner = np.repeat(np.arange(len(segments)), a.count)[first_a]
+    at = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(segments)))]).tolist()
+    return [";".join(spelled[x:y]).encode() for x, y in itertools.pairwise(at)]
 
 
 def _align(shared):
+    """Of rows in order of ``h``: the groups of each row's segment; equal segments are aligned once."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tools = loaded(shared.value)
+        tools, last, held = loaded(shared.value), None, b""
         for batch in batches:
             for at in range(0, batch.num_rows, SEGMENTS):
                 part = batch.slice(at, SEGMENTS)
-                found = align(part.column(1).to_pylist(), tools)
-                yield pa.RecordBatch.from_arrays([part.column(0), *found.values()], ["h", *found])
+                names = part.column(0).to_numpy()
+                first = _firsts(names)
+                known = int(names[0] == last)  # the last one of the rows before
+                found = [held] * known + align(part.column(3).take(pa.array(first[known:])).to_pylist(), tools)
+                last, held = names[-1], found[-1]
+                which = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(names))))
+                yield pa.RecordBatch.from_arrays([part.column(1), part.column(2), pa.array(found, pa.binary()).take(pa.array(which))], ["chunk", "number", "groups"])
 
     return run
 
 
-# --- what a chunk does with its segments' alignments ---
+# --- what a chunk does with its segments' groups ---
 
 
 def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -279,77 +301,135 @@ def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
 
 
-def _in_order(answers: pa.Table, chunk: Chunk) -> pa.Table:
-    """The answers in the order of the chunk's segments."""
-    order = np.argsort(answers.column("h").to_numpy().view(U64))
-    answers = answers.take(pa.array(order)).combine_chunks()
-    assert (answers.column("h").to_numpy().view(U64) == chunk.hashes).all()
-    return answers
+class Linked(NamedTuple):
+    """By segment: whether it is sound, its tokens of either, groups and links; and its distinct pairs of ids, with where they begin, and their times."""
+
+    sound: np.ndarray
+    n_a: np.ndarray
+    n_b: np.ndarray
+    n_groups: np.ndarray
+    n_links: np.ndarray
+    first: np.ndarray
+    pair: np.ndarray
+    times: np.ndarray
+
+
+def read_groups(ends: np.ndarray, data: np.ndarray) -> Linked:
+    """The links of segments, from the bytes of their groups: all numbers are read at once."""
+    n, sizes = len(ends) - 1, np.diff(ends)
+    full = np.flatnonzero(sizes)
+    data = np.insert(data, ends[1:][full], ord(";"))
+    stop = np.flatnonzero((data < ord("0")) | (data > ord("9")))
+    start = np.concatenate([[0], stop[:-1] + 1])
+    value = np.zeros(len(stop), dtype=np.int64)
+    for k in range(int((stop - start).max()) if len(stop) else 0):
+        inside = start + k < stop
+        value[inside] = value[inside] * 10 + (data[start[inside] + k] - ord("0"))
+    mark = data[stop]
+    closed = np.cumsum(mark == ord(";")) - (mark == ord(";"))  # groups before each number
+    second = (np.cumsum(mark == ord("|")) - (mark == ord("|"))) > closed
+    ids, group = [value[~second], value[second]], [closed[~second], closed[second]]
+    firsts = [_firsts(g) for g in group]
+    counts = [np.diff(np.append(f, len(g))) for f, g in zip(firsts, group, strict=True)]
+    closes = stop[mark == ord(";")]
+    owner = full[np.searchsorted((ends[1:][full] + np.arange(len(full))), closes)] if len(closes) else closes
+    of, pair, times = _links(np.arange(len(closes)), ids[0], ids[1], firsts[0], counts[0], firsts[1], counts[1])
+    order = np.lexsort((pair, owner[of]))
+    of, pair, times = owner[of][order], pair[order], times[order]
+    first = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (pair[1:] != pair[:-1])])) if len(of) else of
+    times = np.add.reduceat(times, first) if len(first) else times
+    per = lambda weights: np.bincount(owner, weights=weights, minlength=n).astype(np.int64)
+    return Linked(sizes > 0, per(counts[0]), per(counts[1]), np.bincount(owner, minlength=n), per(counts[0] * counts[1]), np.concatenate([[0], np.cumsum(np.bincount(of[first], minlength=n))]), pair[first], times)
+
+
+def _good(chunk: Chunk, sound: np.ndarray) -> np.ndarray:
+    """The texts that have tokens: of segments that are all sound, of one at least."""
+    broken = np.bincount(chunk.doc(), weights=~sound[chunk.ids], minlength=len(chunk.counts))
+    return (chunk.counts > 0) & (broken == 0)
 
 
-def _count_pairs(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-    """How many of a chunk's texts hold each pair of ids; texts with a segment that isn't sound hold none."""
+LINKED = "chunk long, payload binary, groups binary, pairs array<long>, times array<long>"
+
+
+def _gather(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+    """A chunk with its segments' groups, and how many of its texts hold each pair of ids."""
     chunk = Chunk.read(chunks.column("payload")[0].as_py())
-    nothing = pa.table({"pair": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
-    if not len(chunk.ids):
-        return nothing
-    answers = _in_order(answers, chunk)
-    sound = answers.column("sound").to_numpy()
-    lists = answers.column("pairs").combine_chunks()
-    offsets = lists.offsets.to_numpy().astype(np.int64)
-    pairs, local = np.unique(lists.values.to_numpy()[offsets[0] : offsets[-1]], return_inverse=True)
-    offsets -= offsets[0]
+    answers = answers.take(pa.array(np.argsort(answers.column("number").to_numpy()))).combine_chunks()
+    assert answers.num_rows == (chunk.ids.max() + 1 if len(chunk.ids) else 0)
+    raw = pack_texts(answers.column("groups").to_pylist())
+    linked = read_groups(*unpack_texts(raw))
     doc = chunk.doc()
-    held = np.unique(doc * len(chunk.hashes) + chunk.ids)
-    doc, segment = held // len(chunk.hashes), held % len(chunk.hashes)
-    broken = np.zeros(len(chunk.counts), dtype=bool)
-    broken[doc[~sound[segment]]] = True
-    doc, segment = doc[~broken[doc]], segment[~broken[doc]]
-    if not len(doc) or not len(pairs):
-        return nothing
-    many = np.diff(offsets)[segment]
-    each = np.unique(np.repeat(doc, many) * len(pairs) + local[_ragged(offsets[:-1][segment], many)])
-    times = np.bincount(each % len(pairs), minlength=len(pairs))
-    return pa.table({"pair": pa.array(pairs[times > 0]), "n": pa.array(times[times > 0])})
+    held = np.unique(doc * max(1, answers.num_rows) + chunk.ids)
+    doc, segment = held // max(1, answers.num_rows), held % max(1, answers.num_rows)
+    good = _good(chunk, linked.sound)[doc]
+    doc, segment = doc[good], segment[good]
+    pairs, local = np.unique(linked.pair, return_inverse=True)
+    many = np.diff(linked.first)[segment]
+    each = np.unique(np.repeat(doc, many) * max(1, len(pairs)) + local[_ragged(linked.first[:-1][segment], many)])
+    times = np.bincount(each % max(1, len(pairs)), minlength=len(pairs))
+    pairs, times = pairs[times > 0], times[times > 0]
+    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int64)))
+    return pa.table({"chunk": chunks.column("of"), "keys": chunks.column("keys"), "payload": chunks.column("payload"), "groups": pa.array([raw], pa.binary()), "pairs": one(pairs), "times": one(times)})
 
 
 SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
 
-def _compose(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+class Counts(NamedTuple):
+    """Pairs of ids in order, how many texts hold each, and whether none of the same first id has more."""
+
+    pair: np.ndarray
+    n: np.ndarray
+    best: np.ndarray
+
+    @classmethod
+    def of(cls, table: pa.Table) -> Counts:
+        pair, n, best = (table.column(c).to_numpy() for c in ("pair", "n", "best"))
+        order = np.argsort(pair)
+        return cls(pair[order], n[order], best[order])
+
+
+def compose(keys: pa.Array, payload: bytes, groups: bytes, counts: Counts) -> pa.Table:
     """The sums and the digest of each text of a chunk."""
-    chunk = Chunk.read(chunks.column("payload")[0].as_py())
-    keys, n = chunks.column("keys").combine_chunks().flatten(), len(chunk.counts)
-    out = {c: np.zeros(n, dtype=np.int64) for c in SUMS}
-    digest = [""] * n
-    if len(chunk.ids):
-        answers = _in_order(answers, chunk)
-        ends = np.concatenate([[0], np.cumsum(chunk.counts)])
-
-        def added(values: np.ndarray) -> np.ndarray:
-            total = np.zeros(len(chunk.ids) + 1, dtype=np.int64)
-            np.cumsum(values[chunk.ids], out=total[1:])
-            return total[ends[1:]] - total[ends[:-1]]
-
-        good = (chunk.counts > 0) & (added((~answers.column("sound").to_numpy()).astype(np.int64)) == 0)
-        for c in SUMS:
-            out[c] = np.where(good, added(answers.column(c).to_numpy()), 0)
-        groups = answers.column("groups").to_pylist()
-        for i in np.flatnonzero(good).tolist():
-            digest[i] = hashlib.sha256(b";".join([groups[j] for j in chunk.ids[ends[i] : ends[i + 1]].tolist()])).hexdigest()
-    return pa.table({"key": keys, **{c: pa.array(v) for c, v in out.items()}, "groups_sha256": pa.array(digest, pa.string())})
-
-
-def segment_alignments(docs: DataFrame, key: str, text: str, shared, chunk_bytes: int) -> tuple[DataFrame, DataFrame]:
-    """Durable tables of the chunks of ``docs`` and of the alignments of their distinct segments."""
-    taken = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    kind = taken.schema["key"].dataType.simpleString()
-    chunks = durable(taken.mapInArrow(_cut_chunks(shared, chunk_bytes), f"chunk long, keys array<{kind}>, payload binary, segments array<struct<h:long,t:binary>>"))
-    segments = chunks.select(F.explode("segments").alias("s")).select("s.h", "s.t").groupBy("h").agg(F.first("t").alias("t"))
-    return chunks, durable(segments.mapInArrow(_align(shared), ALIGNED))
+    chunk, (ends, data) = Chunk.read(payload), unpack_texts(groups)
+    linked = read_groups(ends, data)
+    n, good = len(chunk.counts), _good(chunk, linked.sound)
+    at = np.minimum(np.searchsorted(counts.pair, linked.pair), max(0, len(counts.pair) - 1))
+    # a pair that only texts without tokens hold has no count, and no sum asks for it
+    known = counts.pair[at] == linked.pair if len(counts.pair) else np.zeros(len(linked.pair), dtype=bool)
+    much, best = (np.where(known, x[at] if len(counts.pair) else 0, 0) * linked.times for x in (counts.n, counts.best))
+
+    def by_segment(values: np.ndarray) -> np.ndarray:
+        total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+        return total[linked.first[1:]] - total[linked.first[:-1]]
+
+    columns = dict(zip(SUMS, (linked.n_a, linked.n_b, linked.n_groups, linked.n_links, by_segment(best), by_segment(much)), strict=True))
+    until = np.concatenate([[0], np.cumsum(chunk.counts)])
+    out = {}
+    for c, values in columns.items():
+        total = np.concatenate([[0], np.cumsum(values[chunk.ids], dtype=np.int64)])
+        out[c] = pa.array(np.where(good, total[until[1:]] - total[until[:-1]], 0))
+    digest, raw = [""] * n, data.tobytes()
+    spelled = [raw[x:y] for x, y in itertools.pairwise(ends.tolist())]
+    for i in np.flatnonzero(good).tolist():
+        digest[i] = hashlib.sha256(b";".join([spelled[j] for j in chunk.ids[until[i] : until[i + 1]].tolist()])).hexdigest()
+    return pa.table({"key": keys, **out, "groups_sha256": pa.array(digest, pa.string())})
+
+
+def _compose_sent(shared):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from compose(batch.column(0).slice(i, 1).flatten(), batch.column(1)[i].as_py(), batch.column(2)[i].as_py(), shared.value).to_batches()
+
+    return run
 
 
-def align_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", first: str = BYTE_LEVEL, second: str = PIECES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+def _compose_joined(chunks: pa.Table, counts: pa.Table) -> pa.Table:
+    return compose(chunks.column("keys").combine_chunks().flatten(), chunks.column("payload")[0].as_py(), chunks.column("groups")[0].as_py(), Counts.of(counts))
+
+
+def align_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", first: str = BYTE_LEVEL, second: str = PIECES, chunk_bytes: int = CHUNK_BYTES, sent: int = BROADCAST_ROWS) -> DataFrame:
     """``key``, ``n_a``, ``n_b``, ``n_groups``, ``n_links``, ``n_best``, ``count_sum`` and ``groups_sha256`` of each row.
 
     ``first`` encodes the text with a space before it, ``second`` the text, to which it adds one; no
@@ -360,7 +440,8 @@ def align_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", first
     that of ``a1,a2|b1;a3|b2,b3``, ids by group.  A text that is null or empty, or that either
     vocabulary doesn't give back byte by byte, has no tokens: its numbers are 0 and its digest is empty.
     Rows that repeat are rows like others, null keys as well; an empty table gives an empty one; other
-    columns aren't read.  The driver reads both files, whose sizes are fixed, and sends them out.
+    columns aren't read.  The driver reads both files, whose sizes are fixed, and sends them out; it sends the
+    counts of up to ``sent`` distinct pairs, and beyond that chunks get those of their pairs by a join.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -369,20 +450,29 @@ def align_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", first
         with open(path, "rb") as file:
             files.append(file.read())
     shared = spark.sparkContext.broadcast(tuple(files))
-    chunks, aligned = segment_alignments(docs, key, text, shared, chunk_bytes)
-    asked = chunks.select("chunk", F.explode("segments.h").alias("h"))
-    kind = chunks.schema["keys"].dataType.elementType.simpleString()
-
-    held = asked.join(aligned.select("h", "sound", "pairs"), "h")
-    counts = chunks.select(F.col("chunk").alias("of"), "payload").groupBy("of").cogroup(held.groupBy("chunk")).applyInArrow(_count_pairs, "pair long, n long")
-    counts = durable(counts.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("a", F.shiftright("pair", 32)))
-    best = counts.groupBy("a").agg(F.max("n").alias("most"))  # a row for each id of the vocabulary at most
-    counts = durable(counts.join(F.broadcast(best), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best")))
-
-    links = aligned.filter("sound").select("h", F.explode(F.arrays_zip("pairs", "times")).alias("l")).select("h", F.col("l.pairs").alias("pair"), "l.times")
-    # a pair that only texts without tokens hold has no count, and no text asks for it
-    sums = sized_join(links, counts, ["pair"], "inner").groupBy("h").agg(F.sum(F.when(F.col("best"), F.col("times")).otherwise(0)).alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
-    whole = aligned.drop("pairs", "times").join(sums, "h", "left").fillna(0, ["n_best", "count_sum"])
-    rows = asked.join(whole, "h")
-    done = chunks.select(F.col("chunk").alias("of"), "keys", "payload").groupBy("of").cogroup(rows.groupBy("chunk")).applyInArrow(_compose, f"key {kind}, " + ", ".join(f"{c} long" for c in SUMS) + ", groups_sha256 string")
-    return done.withColumnRenamed("key", key)
+    folder = f"{shared_folder(spark)}/crosstoken-{uuid.uuid4().hex}"
+    taken = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    kind = taken.schema["key"].dataType.simpleString()
+    taken.mapInArrow(_cut_chunks(shared, chunk_bytes), f"chunk long, keys array<{kind}>, payload binary, texts binary").write.parquet(f"{folder}/chunks", compression="none")  # packed already
+    chunks = spark.read.parquet(f"{folder}/chunks")
+    segments = chunks.select("chunk", "texts").mapInArrow(_segments, "h long, chunk long, number int, t binary")
+    answers = segments.repartition("h").sortWithinPartitions("h").mapInArrow(_align(shared), "chunk long, number int, groups binary")
+    gathered = chunks.select(F.col("chunk").alias("of"), "keys", "payload").groupBy("of").cogroup(answers.groupBy("chunk")).applyInArrow(_gather, f"keys array<{kind}>, {LINKED}")
+    gathered.write.parquet(f"{folder}/linked")
+    remove(spark, f"{folder}/chunks")
+    linked = spark.read.parquet(f"{folder}/linked")
+
+    asked = linked.select("chunk", F.explode(F.arrays_zip("pairs", "times")).alias("p")).select("chunk", F.col("p.pairs").alias("pair"), "p.times")
+    counts = durable(asked.groupBy("pair").agg(F.sum("times").alias("n")).withColumn("a", F.shiftright("pair", 32)))
+    most = counts.groupBy("a").agg(F.max("n").alias("most"))  # a row for each id of the vocabulary at most
+    counts = durable(counts.join(F.broadcast(most), "a").select("pair", "n", (F.col("n") == F.col("most")).alias("best")))
+    schema = f"key {kind}, " + ", ".join(f"{c} long" for c in SUMS) + ", groups_sha256 string"
+    if counts.count() <= sent:
+        known = spark.sparkContext.broadcast(Counts.of(counts.toArrow()))
+        rows = linked.select("keys", "payload", "groups").mapInArrow(_compose_sent(known), schema)
+    else:
+        found = asked.select("chunk", "pair").join(counts, "pair")
+        rows = linked.select(F.col("chunk").alias("of"), "keys", "payload", "groups").groupBy("of").cogroup(found.groupBy("chunk")).applyInArrow(_compose_joined, schema)
+    rows = durable(rows)
+    remove(spark, folder)
+    return rows.withColumnRenamed("key", key)

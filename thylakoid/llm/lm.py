@@ -18,7 +18,9 @@ Counts cover every n-gram of every training text, and no table of them is held i
    that the weights are learned from; then every chunk scores its texts.
 
 There are as many hash ranges as keep one below ``PART_TOKENS`` tokens, so a task's memory doesn't
-grow with the corpus.
+grow with the corpus.  Where a chunk's question to a range would have fewer than ``MESSAGE_KEYS``
+keys, that is from some ten billion tokens on, questions aren't packed: each key of a chunk is a row, rows are added
+up by key and joined back, and the shuffles grow with the tokens alone.
 """
 
 from __future__ import annotations
@@ -33,10 +35,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from thylakoid.llm.common import bounded_batches, durable
-from thylakoid.llm.textkit import LOWER, U64, blocks, find_words, hash_spans, mix
+from thylakoid.llm.textkit import LOWER, U64, as_long, blocks, find_words, hash_spans, mix
 
 #: Bytes of text in a chunk, and tokens whose n-grams one task counts; what tasks hold is in proportion.
 CHUNK_BYTES, PART_TOKENS = 12 << 20, 3_000_000
+#: Keys of a chunk's question to a hash range below which keys go as rows.
+MESSAGE_KEYS = 500
+#: Rows that a task lets go of at once.
+ROWS_OUT = 1 << 17
 #: Of the training texts one in HELD has its counts held out for the weights.
 HELD = 10
 END, START = U64(1), U64(2)
@@ -201,8 +207,8 @@ def _distinct(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def questions(chunk: Chunk, parts: int) -> Iterator[tuple[int, bytes]]:
-    """For each part the chunk's distinct words and pairs there, each with its training tokens."""
+def counted(chunk: Chunk) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The chunk's distinct words, and its distinct pairs, as sorted keys, each with its training tokens."""
     trained = np.repeat(chunk.train, chunk.count)
     word_count = np.bincount(chunk.ids[trained], minlength=len(chunk.words))
     pairs = chunk.pairs() * 2 + trained
@@ -212,7 +218,13 @@ def questions(chunk: Chunk, parts: int) -> Iterator[tuple[int, bytes]]:
     sides = []
     for keys, count in ((chunk.words, word_count), (chunk.pair_keys(pairs[first] >> 1), pair_count)):
         order = np.argsort(keys)
-        sides.append((keys[order], count[order].astype(np.uint32), _edges(keys[order], parts)))
+        sides.append((keys[order], count[order].astype(np.uint32)))
+    return sides
+
+
+def questions(chunk: Chunk, parts: int) -> Iterator[tuple[int, bytes]]:
+    """For each part the chunk's distinct words and pairs there, each with its training tokens."""
+    sides = [(keys, count, _edges(keys, parts)) for keys, count in counted(chunk)]
     for p in range(parts):
         cut = [(keys[at[p] : at[p + 1]], count[at[p] : at[p + 1]]) for keys, count, at in sides]
         if any(len(keys) for keys, _ in cut):
@@ -271,6 +283,37 @@ def _answer(table: pa.Table) -> pa.Table:
     })
 
 
+def _ask_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct word (side 0) and pair (side 1) of a chunk."""
+    for batch in batches:
+        for name, held, raw in zip(*[batch.column(i).to_pylist() for i in range(3)], strict=True):
+            for side, (keys, count) in enumerate(counted(Chunk.read(raw))):
+                for at in range(0, len(keys), ROWS_OUT):
+                    n = len(keys[at : at + ROWS_OUT])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, side, dtype=np.int32)), as_long(keys[at : at + ROWS_OUT]), pa.array(np.full(n, name)), pa.array(np.full(n, held)), pa.array(count[at : at + ROWS_OUT].astype(np.int64))],
+                        ["side", "key", "chunk", "held", "times"],
+                    )
+
+
+def _packed_rows(table: pa.Table) -> pa.Table:
+    """The answers to a chunk, whose keys came as rows, as one message."""
+    side, key = table.column("side").to_numpy(), table.column("key").to_numpy().view(U64)
+    order = np.lexsort((key, side))
+    cut = int((side == 0).sum())
+    every, apart = (table.column(c).to_numpy()[order].astype(U64) for c in ("every", "apart"))
+    payload = pack(every[:cut], apart[:cut], every[cut:], apart[cut:])
+    return pa.table({"part": pa.array([0], pa.int64()), "chunk": table.column("chunk").slice(0, 1), "held": table.column("held").slice(0, 1), "n_words": pa.array([0], pa.int64()), "payload": pa.array([payload], pa.binary())})
+
+
+def answer_rows(chunks: DataFrame) -> tuple[DataFrame, int]:
+    """Durable answers to all chunks, and how many distinct words are in training texts, by rows: shuffles that grow with the keys alone."""
+    asked = chunks.select("chunk", "held", "payload").mapInArrow(_ask_rows, "side int, key long, chunk long, held boolean, times long")
+    totals = durable(asked.groupBy("side", "key").agg(F.sum("times").alias("every"), F.sum(F.when(F.col("held"), F.col("times")).otherwise(0)).alias("apart")))
+    answers = asked.drop("times").join(totals, ["side", "key"]).groupBy("chunk").applyInArrow(_packed_rows, ANSWERS)
+    return durable(answers), totals.filter("side = 0 and every > 0").count()
+
+
 # --- what a chunk does with the answers ---
 
 
@@ -383,7 +426,7 @@ def _score(shared):
     return run
 
 
-def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, part_tokens: int = PART_TOKENS) -> DataFrame:
+def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", chunk_bytes: int = CHUNK_BYTES, part_tokens: int = PART_TOKENS, message_keys: int = MESSAGE_KEYS) -> DataFrame:
     """Each row's ``key``, ``train`` flag, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score``.
 
     Tokens are the words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased, then the text's end.
@@ -395,9 +438,8 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
 
     The driver gets one table of statistics, of a fixed number of cells at most: estimates are
     grouped by half octaves down to 2^-48, and a cell keeps its mean to a thousandth of an octave.
-    Texts longer than ``chunk_bytes`` are chunks of their own.  A message of a chunk to a hash range
-    has chunk_bytes * part_tokens / (the corpus's tokens) keys or so: for a corpus of terabytes both
-    should rise with the executors' memory.
+    Texts longer than ``chunk_bytes`` are chunks of their own.  Questions go packed by hash ranges of ``part_tokens`` tokens
+    where a chunk has ``message_keys`` tokens or more for each range, and as rows beyond; the results are the same.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -406,12 +448,15 @@ def score_texts(docs: DataFrame, train: Column, key: str = "doc_id", text: str =
     taken = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), train.alias("train"), held.alias("held"))
     kind = taken.schema["key"].dataType.simpleString()
     chunks = durable(taken.mapInArrow(_cut_chunks(chunk_bytes), f"{CHUNKS}, keys array<{kind}>"))
-    n_tokens, n_every, n_held = (x or 0 for x in chunks.agg(F.sum("n_tokens"), F.sum("n_train"), F.sum(F.when(F.col("held"), F.col("n_train")))).first())
+    n_tokens, n_every, n_held, n_chunks = (x or 0 for x in chunks.agg(F.sum("n_tokens"), F.sum("n_train"), F.sum(F.when(F.col("held"), F.col("n_train"))), F.count(F.lit(1))).first())
     parts = max(1, -(-n_tokens // part_tokens))
 
-    asked = chunks.select("chunk", "held", "payload").mapInArrow(_ask(parts), MESSAGES)
-    answers = durable(asked.groupBy("part").applyInArrow(_answer, ANSWERS))
-    n_words = answers.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    if parts * message_keys * n_chunks <= max(n_tokens, message_keys * n_chunks):
+        asked = chunks.select("chunk", "held", "payload").mapInArrow(_ask(parts), MESSAGES)
+        answers = durable(asked.groupBy("part").applyInArrow(_answer, ANSWERS))
+        n_words = answers.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    else:
+        answers, n_words = answer_rows(chunks)
     totals = Totals(n_every - n_held, n_every, n_words, None)
 
     none = F.lit(None).cast(f"array<{kind}>").alias("keys")
