@@ -1,11 +1,13 @@
 """Whole queries and operators against brute force over generated tables, and over odd ones."""
 
+import itertools
 import random
 import re
 from collections import Counter, defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -155,11 +157,19 @@ def full_score(a, b):
     return best
 
 
+RARE = [f"rare{i}" for i in range(4000)]
+
+
+def hashed(texts):
+    (_, found, hashes), = decontaminate._words(pa.array(texts))
+    return [hashes[a:b].view(np.int64).tolist() for a, b in itertools.pairwise(found.first.tolist())]
+
+
 def plain_words(text):
     return words(re.sub(r"[!-/:-@\[-`{-~]", "", (text or "").translate(LOWER)))
 
 
-@pytest.mark.parametrize("sent", [0, 1_000_000])
+@pytest.mark.parametrize("sent", [60, 1_000_000])
 def test_contamination_against_the_full_matrix(spark, monkeypatch, sent):
     monkeypatch.setattr(decontaminate, "INDEX_WORDS", sent)
     items = [made(n) for n in (30, 18, 45, 12, 3, 25)] + ["Tiny, ITEM!", "", None, made(160)]
@@ -202,12 +212,23 @@ def test_hot_ngrams_of_a_large_benchmark(spark, monkeypatch):
     texts = [(i, f"{made(5)} {items[i % 20][1]}") for i in range(200)]
     table, bench = spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
     plain = sorted(map(tuple, decontaminate.contaminated(table, bench).collect()))
-    monkeypatch.setattr(decontaminate, "INDEX_WORDS", 3)
-    monkeypatch.setattr(bloom, "LARGEST", 6)  # a filter that lets everything pass
-    monkeypatch.setattr(bloom, "SMALLEST", 6)
+    monkeypatch.setattr(decontaminate, "INDEX_WORDS", 60)  # four blocks
     assert sorted(map(tuple, decontaminate.contaminated(table, bench).collect())) == plain and {(r[0], r[1]) for r in plain} >= {(i, i % 20) for i in range(200)}
 
 
+def test_common_phrases_alone_make_no_pairs():
+    """Only documents with a rare word of an item meet it, and none that an alignment could reach is left out."""
+    items = [f"as one of the many people who {made(14, RARE)} in the end of the day" for _ in range(40)]
+    texts = [f"{made(30)} one of the many people who {made(40)} in the end of the day" for _ in range(30)] + [f"{made(20)} {items[3]} {made(5)}"]
+    held = pa.table({"ref": pa.array(range(len(items)), pa.int64()), "words": hashed(items)})
+    index = decontaminate.Index.of(held, 3, 0.5)
+    (_, found, hashes), = decontaminate._words(pa.array(texts))
+    owner, item, _ = decontaminate.find_pairs(found, hashes, index)
+    assert (30, 3) in set(zip(owner.tolist(), item.tolist(), strict=True))
+    want = {(i, j) for i, t in enumerate(texts) for j, x in enumerate(items) if full_score(plain_words(x), plain_words(t)) >= len(plain_words(x))}
+    assert want <= set(zip(owner.tolist(), item.tolist(), strict=True)) and len(set(zip(owner.tolist(), item.tolist(), strict=True))) < 0.2 * len(items) * len(texts)
+
+
 # --- op8: blocks and epochs ---
 
 

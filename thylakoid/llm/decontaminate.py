@@ -1,17 +1,20 @@
-"""Benchmark decontamination: n-gram seeds, then Smith-Waterman alignment of words.
-
-Words are lower-cased and freed of ASCII punctuation.  One pass over the documents emits the word
-hashes and the seeds of each document that holds an n-gram of the benchmark; a Bloom filter, sized
-by the number of these n-grams, keeps out nearly all others.  Every document and item that share
-an n-gram, however frequent it is, meet in an equi-join; a benchmark of up to INDEX_WORDS words
-is sent to the tasks instead, which then meet and align in passing.  The item is aligned with what lies around
-their seeds, as far as it could reach, which finds edited copies too; only pairs that provably
-can't reach the score are spared the alignment.
+"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment of words.
+
+Words are lower-cased and freed of ASCII punctuation.  The benchmark is the query set: it goes to the
+tasks in blocks of INDEX_WORDS words, so a document meets the items that it shares an n-gram with
+where it is read, and nothing is shuffled, however frequent an n-gram is.  A seed counts only for an
+item of which the document has a rare word too: an alignment that reaches the score matches so many
+of the item's words that one of the rarest, as many as it can miss and one more, is among them.  That spares
+passages that share nothing but common phrases, and loses no alignment.  The item is then aligned with
+what lies around the seeds, as far as it could reach, which finds edited copies too; only pairs that
+provably can't reach the score are spared the alignment.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -20,13 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.llm import bloom
-from thylakoid.llm.common import bounded_batches, durable, skewed_join
-from thylakoid.llm.textkit import LOWER, NOT_PUNCTUATION, U64, Words, as_long, blocks, combine, compact, find_words, hash_spans, ngrams
+from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable
+from thylakoid.llm.textkit import LOWER, NOT_PUNCTUATION, U64, Words, blocks, combine, compact, find_words, hash_spans, ngrams
 
 #: Words of a seed.
 SEED = 3
-#: Words, and n-grams of items, of a benchmark that is sent to every task (some 20 MB).
+#: Words of a block of the benchmark that is sent to every task (some 40 MB).
 INDEX_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Part of an item's own score that an alignment must reach.
@@ -94,61 +96,12 @@ def benchmark_words(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     return taken.mapInArrow(run, f"item {taken.schema['item'].dataType.simpleString()}, words array<long>").filter("size(words) > 0")
 
 
-def _item_grams(items: DataFrame, n: int) -> DataFrame:
-    """``ref``, ``gram`` for each n-gram of an item; an item of fewer words has one of all its words."""
-
-    @F.arrow_udf("array<long>")
-    def grams(words: pa.Array) -> pa.Array:
-        found = [np.array(w, dtype=np.int64).view(U64) for w in words.to_pylist()]
-        return pa.array([combine(w, min(n, len(w))).view(np.int64).tolist() for w in found], pa.list_(pa.int64()))
-
-    return items.select("ref", F.explode(grams("words")).alias("gram")).distinct()
-
-
-def find_seeds(docs: DataFrame, key: str, text: str, filtered: np.ndarray, lengths: list[int]) -> DataFrame:
-    """``doc``, ``words`` (32-bit hashes) and ``seeds`` (``at``, the first word's number, and ``gram``) of each document that may hold an n-gram of the benchmark."""
-    shared = docs.sparkSession.sparkContext.broadcast(filtered)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = shared.value
-        for batch in batches:
-            at_row, doc, found, places, grams = 0, [], [], [], []
-            for n, words, hashes in _words(batch.column(1)):
-                spots, keys = [], []
-                for length in lengths:
-                    runs, at = ngrams(words, hashes, length)
-                    ok = bloom.may_hold(have, runs)
-                    spots.append(at[ok])
-                    keys.append(runs[ok])
-                spot, gram = np.concatenate(spots), np.concatenate(keys)
-                owner = words.doc[spot]
-                order = np.lexsort((spot, owner))
-                spot, gram, owner = spot[order], gram[order], owner[order]
-                for x, y in zip(*_runs(owner), strict=True):
-                    first = words.first[owner[x]]
-                    doc.append(at_row + int(owner[x]))
-                    found.append(hashes[first : words.first[owner[x] + 1]].view(np.int64).astype(np.int32))
-                    places.append((spot[x:y] - first).astype(np.int32))
-                    grams.append(gram[x:y])
-                at_row += n
-            if doc:
-                seeds = pa.StructArray.from_arrays([pa.array(np.concatenate(places)), as_long(np.concatenate(grams))], ["at", "gram"])
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(doc)), _listed(pa.array(np.concatenate(found)), found), _listed(seeds, places)], ["doc", "words", "seeds"])
-
-    taken = docs.select(F.col(key).alias("doc"), F.col(text).alias("text"))
-    return taken.mapInArrow(run, f"doc {taken.schema['doc'].dataType.simpleString()}, words array<int>, seeds array<struct<at:int,gram:long>>")
-
-
 def _runs(owner: np.ndarray) -> tuple[list[int], list[int]]:
     """Where runs of equal values begin and end."""
     cut = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])).tolist() if len(owner) else []
     return cut, [*cut[1:], len(owner)] if cut else []
 
 
-def _listed(values: pa.Array, parts: list[np.ndarray]) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, parts)]).astype(np.int32)), values)
-
-
 def best_alignment(item: np.ndarray, text: np.ndarray, spots: np.ndarray, least: float) -> tuple[int, int, int, int, int]:
     """The best alignment of an item around its seeds in a text, of equals the first: score, item range, text range.
 
@@ -168,44 +121,90 @@ def best_alignment(item: np.ndarray, text: np.ndarray, spots: np.ndarray, least:
     return best
 
 
-class Index(NamedTuple):
-    """A small benchmark: its n-grams in order, each with the items that hold it, and these items' words (32-bit hashes)."""
+def rare_words(words: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Words of which an alignment of ``least`` matches one, and the item of each: an item's rarest in ``words``, as many as such an alignment can miss and one more."""
+    often = Counter(w for item in words for w in np.unique(item).tolist())
+    found, owner = [], []
+    for i, item in enumerate(words):
+        known, times = np.unique(item, return_counts=True)
+        order = np.argsort([often[w] for w in known.tolist()], kind="stable")
+        can_miss = len(item) - max(1, math.ceil(least * len(item) - 1e-9))
+        taken = np.searchsorted(np.cumsum(times[order]), can_miss, side="right") + 1
+        found.append(known[order[:taken]])
+        owner.append(np.full(len(found[-1]), i))
+    return np.concatenate([*found, np.zeros(0, dtype=U64)]), np.concatenate([*owner, np.zeros(0, dtype=np.int64)])
 
-    grams: np.ndarray
+
+class Postings(NamedTuple):
+    """Hashes in order, each with the items that hold it."""
+
+    known: np.ndarray
     first: np.ndarray
     item: np.ndarray
-    refs: np.ndarray
-    words: list[np.ndarray]
 
     @classmethod
-    def of(cls, items: DataFrame, grams: DataFrame) -> Index:
-        listed = items.select("ref", "words").toArrow()
-        refs = listed.column("ref").to_numpy()
-        order = np.argsort(refs)
-        words = [np.asarray(w.values).astype(np.int32) for w in listed.column("words")]
-        pairs = grams.select("gram", "ref").toArrow()
-        gram, item = pairs.column("gram").to_numpy().view(U64), np.searchsorted(refs[order], pairs.column("ref").to_numpy())
-        by = np.lexsort((item, gram))
-        found, first = np.unique(gram[by], return_index=True)
-        return cls(found, np.append(first, len(gram)), item[by], refs[order], [words[i] for i in order])
-
-    def met(self, runs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Of each n-gram that the benchmark has, its number among ``runs``, once for each item that holds it, and the item."""
-        if not len(self.grams) or not len(runs):
+    def of(cls, hashes: np.ndarray, item: np.ndarray) -> Postings:
+        by = np.lexsort((item, hashes))
+        known, first = np.unique(hashes[by], return_index=True)
+        return cls(known, np.append(first, len(hashes)), item[by])
+
+    def met(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of each of ``hashes`` that is known, its number, once for each item that holds it, and the item."""
+        if not len(self.known) or not len(hashes):
             return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        place = np.minimum(np.searchsorted(self.grams, runs), len(self.grams) - 1)
-        at = np.flatnonzero(self.grams[place] == runs)
+        place = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        at = np.flatnonzero(self.known[place] == hashes)
         place = place[at]
         times = self.first[place + 1] - self.first[place]
         within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
         return np.repeat(at, times), self.item[np.repeat(self.first[place], times) + within]
 
 
+class Index(NamedTuple):
+    """A block of the benchmark: postings of its n-grams, of each of ``lengths`` words, and of its rare words, and the items' words (32-bit hashes)."""
+
+    grams: Postings
+    rare: Postings
+    refs: np.ndarray
+    words: list[np.ndarray]
+    lengths: list[int]
+
+    @classmethod
+    def of(cls, items: pa.Table, n: int, least: float) -> Index:
+        """Of a table of ``ref`` and ``words``; an item of fewer than ``n`` words is one n-gram."""
+        order = np.argsort(items.column("ref").to_numpy())
+        words = [np.asarray(w.values).view(U64) for w in items.column("words").take(pa.array(order))]
+        grams = [np.unique(combine(w, min(n, len(w)))) for w in words]
+        owner = np.repeat(np.arange(len(words)), [len(g) for g in grams])
+        return cls(Postings.of(np.concatenate([*grams, np.zeros(0, dtype=U64)]), owner), Postings.of(*rare_words(words, least)), items.column("ref").to_numpy()[order], [w.view(np.int64).astype(np.int32) for w in words], sorted({min(n, len(w)) for w in words}))
+
+
 FIT = ["score", "item_start", "item_end", "doc_start", "doc_end"]
 
 
-def align_in_place(docs: DataFrame, key: str, text: str, index: Index, lengths: list[int], least: float) -> DataFrame:
-    """``doc``, ``ref``, ``n`` (the item's words) and the alignment for each document and item of a small benchmark: no shuffle."""
+def find_pairs(words: Words, hashes: np.ndarray, index: Index) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, item and first word of each seed of a block, in this order: n-grams that count."""
+    spots, items = [], []
+    for length in index.lengths:
+        runs, at = ngrams(words, hashes, length)
+        place, item = index.grams.met(runs)
+        spots.append(at[place])
+        items.append(item)
+    spot, item = np.concatenate([*spots, np.zeros(0, dtype=np.int64)]), np.concatenate([*items, np.zeros(0, dtype=np.int64)])
+    owner = words.doc[spot]
+    # rare words are looked up in texts that have seeds
+    seeded = np.zeros(len(words.first), dtype=bool)
+    seeded[owner] = True
+    inside = np.flatnonzero(seeded[words.doc])
+    at, of = index.rare.met(hashes[inside])
+    good = np.isin(owner * len(index.words) + item, words.doc[inside[at]] * len(index.words) + of)
+    spot, item, owner = spot[good], item[good], owner[good]
+    order = np.lexsort((spot, item, owner))
+    return owner[order], item[order], spot[order]
+
+
+def align_in_place(docs: DataFrame, key: str, text: str, index: Index, least: float) -> DataFrame:
+    """``doc``, ``ref``, ``n`` (the item's words) and the alignment for each document and item of a block of the benchmark: no shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -213,16 +212,7 @@ def align_in_place(docs: DataFrame, key: str, text: str, index: Index, lengths:
         for batch in batches:
             at_row, doc, rows = 0, [], []
             for n, words, hashes in _words(batch.column(1)):
-                spots, items = [], []
-                for length in lengths:
-                    runs, at = ngrams(words, hashes, length)
-                    place, item = index.met(runs)
-                    spots.append(at[place])
-                    items.append(item)
-                spot, item = np.concatenate(spots), np.concatenate(items)
-                owner = words.doc[spot]
-                order = np.lexsort((spot, item, owner))
-                spot, item, owner = spot[order], item[order], owner[order]
+                owner, item, spot = find_pairs(words, hashes, index)
                 for x, y in zip(*_runs(owner * len(index.words) + item), strict=True):
                     first, end, one = words.first[owner[x]], words.first[owner[x] + 1], index.words[item[x]]
                     fit = best_alignment(one, hashes[first:end].view(np.int64).astype(np.int32), spot[x:y] - first, least)
@@ -238,28 +228,6 @@ def align_in_place(docs: DataFrame, key: str, text: str, index: Index, lengths:
     return taken.mapInArrow(run, f"doc {taken.schema['doc'].dataType.simpleString()}, ref long, n int, " + ", ".join(f"{c} int" for c in FIT))
 
 
-def align_joined(docs: DataFrame, key: str, text: str, items: DataFrame, grams: DataFrame, lengths: list[int], least: float) -> DataFrame:
-    """The same for a benchmark of any size: seeds meet n-grams in a join, and pairs get their words."""
-    found = durable(find_seeds(docs, key, text, bloom.build(grams, "gram"), lengths).withColumn("row", F.xxhash64("doc", "words")))
-    hits = found.select("row", F.explode("seeds").alias("seed")).select("row", "seed.at", "seed.gram")
-    # an n-gram of a passage that very many documents hold is no single task's
-    times = hits.groupBy("gram").agg(F.count(F.lit(1)).alias("times"))
-    held = durable(grams.groupBy("gram").agg(F.collect_list("ref").alias("held")).join(times, "gram"))
-    met = skewed_join(hits, held, "gram", "times", held.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0]).select("row", "at", F.explode("held").alias("ref"))
-    pairs = durable(met.groupBy("row", "ref").agg(F.collect_set("at").alias("spots")))
-    copied = durable(pairs.groupBy("ref").agg(F.count(F.lit(1)).alias("times")).join(items.drop("item"), "ref"))
-
-    @F.arrow_udf("struct<score:int,item_start:int,item_end:int,doc_start:int,doc_end:int>")
-    def aligned(item: pa.Array, words: pa.Array, spots: pa.Array) -> pa.Array:
-        sides = zip(*[[np.asarray(x.values) for x in c] for c in (item, words, spots)], strict=True)
-        rows = [best_alignment(a.astype(np.int32), b, at.astype(np.int64), least) for a, b, at in sides]
-        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], pa.int32()) for i in range(5)], FIT)
-
-    wide = pairs.join(found.select("row", "doc", F.col("words").alias("around")), "row")
-    wide = skewed_join(wide, copied, "ref", "times", copied.agg(F.coalesce(F.sum("times"), F.lit(0))).first()[0])
-    return wide.select("doc", "ref", F.size("words").alias("n"), aligned("words", "around", "spots").alias("fit")).select("doc", "ref", "n", "fit.*")
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text", n: int = SEED, least: float = LEAST) -> DataFrame:
     """A row for each document and the item that it holds a copy of.
 
@@ -272,15 +240,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     """
     bounded_batches(docs.sparkSession)
     items = durable(benchmark_words(benchmark, item_key, item_text).withColumn("ref", F.xxhash64("item", "words")).dropDuplicates(["ref"]))
-    shape = items.agg(F.collect_set(F.least(F.size("words"), F.lit(n))), F.coalesce(F.sum(F.size("words")), F.lit(0))).first()
-    lengths = sorted(shape[0] or [n])
-    grams = durable(_item_grams(items, n))
+    n_words, n_items = items.agg(F.coalesce(F.sum(F.size("words")), F.lit(0)), F.count(F.lit(1))).first()
+    parts = max(1, -(-n_words // INDEX_WORDS))
+    found = []
+    for part in range(parts):
+        index = Index.of(items.filter(F.pmod(F.col("ref"), F.lit(parts)) == part).select("ref", "words").toArrow(), n, least)
+        if len(index.words) or part == parts - 1 and not found:
+            found.append(align_in_place(docs, key, text, index, least))
+    wide = functools.reduce(DataFrame.unionByName, found)
     names = items.select("ref", "item")
-    if max(shape[1], grams.count()) <= INDEX_WORDS:
-        names = F.broadcast(names)
-        wide = align_in_place(docs, key, text, Index.of(items, grams), lengths, least)
-    else:
-        wide = align_joined(docs, key, text, items, grams, lengths, least)
+    names = F.broadcast(names) if n_items <= BROADCAST_ROWS else names
     wide = wide.withColumn("similarity", F.col("score") / (MATCH * F.col("n"))).filter(F.col("similarity") >= least)
     wide = wide.join(names, "ref")
     # several texts of one key, and several items
