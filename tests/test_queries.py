@@ -1,10 +1,11 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from thylakoid import queries
 from thylakoid.functions.sequence import code
-from thylakoid.operators import align, orf
+from thylakoid.operators import align, motifs, orf
 from thylakoid.plans import inputs
 
 REFS = "ref_id string, feature string, guide_no int, class string, seq string"
@@ -22,11 +23,17 @@ def given(spark, monkeypatch):
 def test_find_all_searches_every_genome(spark, given):
     motif, short = "ACGTTGCAACGG", "TTGCAAC"
     genomes = [(1, "AA" + motif), (2, motif + "C" + motif), (7, "ACGT"), (53, "G" * 30), (54, ""), (55, None), (None, motif), (99, "TTGCAACTTGCAAC")]
-    refs = [("a", "a", 1, "tRNA", motif + "TTTT"), ("b", "b", 1, "tRNA", short), ("c", "c", 2, "tRNA", "A" * 12), ("d", "d", 1, "gene", "G" * 12), ("e", "e", 1, "tRNA", "")]
+    refs = [("a", "a", 1, "tRNA", motif), ("f", "f", 1, "gene", motif), ("g", "g", 1, "gene", motif + "TTTT"), ("b", "b", 1, "tRNA", short), ("c", "c", 2, "tRNA", "A" * 12), ("d", "d", 1, "gene", "G" * 12), ("e", "e", 1, "tRNA", "")]
     given(genomes, refs)
-    want = {(g, r, tuple(i for i in range(len(s)) if s.startswith(m[:12], i))) for g, s in genomes if s for r, _, _, kind, m in refs if kind == "tRNA" and m and m[:12] in s}
+    want = {(g, r, tuple(i for i in range(len(s)) if s.startswith(m, i))) for g, s in genomes if s for r, _, _, _, m in refs if m and m in s}
     got = [(r.genome_id, r.ref_id, tuple(r.places)) for r in queries.find_all(spark, "").collect()]
-    assert len(got) == len(set(got)) == 7 and set(got) == want
+    assert len(got) == len(set(got)) == len(want) and set(got) == want
+    first = {(g, r): next((i for i in at if i >= 100), -1) for g, r, at in want}
+    assert {(r.genome_id, r.ref_id): r.place for r in queries.first_places(spark, "").collect()} == first
+    several = motifs.find_motifs(inputs.genomes(), inputs.references().select(F.col("seq").alias("motif")), limit=8).collect()  # a block for nearly each motif
+    assert {(r.genome_id, r.motif, tuple(r.places)) for r in several} == {(g, {x[0]: x[4] for x in refs}[r], at) for g, r, at in want}
+    assert motifs.find_motifs(inputs.genomes().limit(0), inputs.references().select(F.col("seq").alias("motif"))).collect() == []
+    assert motifs.find_motifs(inputs.genomes(), inputs.references().limit(0).select(F.col("seq").alias("motif"))).collect() == []
 
 
 def protein_words(dna):

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import find_all, frame_protein, hit_strand, kmer_score_rna, kmer_scores, kmer_scores_legacy, exon_number, revcomp, six_frames, strip_guide
+from thylakoid.functions.sequence import frame_protein, hit_strand, kmer_score_rna, kmer_scores, kmer_scores_legacy, exon_number, revcomp, six_frames, strip_guide
 from thylakoid.operators.features import sliced
 from thylakoid.operators.intervals import union_length
+from thylakoid.operators.motifs import both_strands, find_motifs
 
 #: Least score of a protein, part of an RNA's length, E-value, and part of a reference that hits cover.
 PROTEIN_LEAST, RNA_LENGTH, EVALUE, COVERAGE = 0.70, 0.97, 0.1, 0.9
@@ -109,7 +110,8 @@ def locate_short_exons(shorts: DataFrame, candidates: DataFrame, genomes: DataFr
 
     ``shorts`` has ref_id, feature, guide_no and seq; ``candidates`` genome_id, ref_id, orf_id,
     start0 and end0.  Only a second exon with one candidate in the genome is an anchor: its end on
-    the reverse strand, its start on the other.  Of equally near places the first counts.  Returns
+    the reverse strand, its start on the other.  Of equally near places the first counts.  All exons are
+    looked for in one pass over the genomes, and only their places meet the anchors.  Returns
     genome_id, ref_id, orf_id, start and end, 1-based.  ``compat`` never finds position 0, and takes
     the last place on the reverse strand.
     """
@@ -118,9 +120,11 @@ def locate_short_exons(shorts: DataFrame, candidates: DataFrame, genomes: DataFr
         F.col("ref_id"), F.col("seq").alias("_seq"), F.concat(gene, F.lit("_exon2XXX"), F.col("guide_no").cast("string")).alias("_next")
     )
     alone = candidates.groupBy("genome_id", F.col("ref_id").alias("_next")).agg(F.count(F.lit(1)).alias("_n"), F.first("orf_id").alias("_orf"), F.first("start0").alias("_s"), F.first("end0").alias("_e")).filter("_n = 1")
-    rows = first.join(alone, "_next").join(genomes.select("genome_id", F.col("seq").alias("_genome")), "genome_id")
     back = F.col("_orf").endswith("-r")
-    rows = rows.withColumn("_back", back).withColumn("_at", find_all(F.col("_genome"), F.when(back, revcomp(F.col("_seq"))).otherwise(F.col("_seq")), not compat))
+    rows = first.join(alone, "_next").withColumn("_back", back).withColumn("_motif", F.when(back, revcomp(F.col("_seq"))).otherwise(F.col("_seq")))
+    places = find_motifs(genomes, both_strands(first.select(F.col("_seq").alias("motif"))))
+    rows = rows.join(places.select(F.col("genome_id"), F.col("motif").alias("_motif"), F.col("places").alias("_at")), ["genome_id", "_motif"])
+    rows = rows.withColumn("_at", F.filter("_at", lambda p: p > 0)) if compat else rows
     near = F.array_min(F.transform("_at", lambda p: F.struct(F.abs(p - F.when(F.col("_back"), F.col("_e")).otherwise(F.col("_s"))).alias("d"), p.alias("p"))))["p"]
     place = F.when(F.col("_back"), F.element_at("_at", -1)).otherwise(near) if compat else near
     rows = rows.filter(F.size("_at") > 0).withColumn("_p", place)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from thylakoid.functions.sequence import COMPLEMENT, STOP, UNKNOWN, amino_acids, as_bytes
 from thylakoid.operators.align import SENT_WORDS
-from thylakoid.operators.orf import MORE_THAN, ROWS_OUT, runs
+from thylakoid.operators.orf import MORE_THAN, runs
 from thylakoid.plans.cuts import cut
 
 #: BLOSUM62 (Henikoff and Henikoff, 1992), each residue's row up to itself, and its parameters of ungapped scores.
@@ -50,6 +50,8 @@ LAMBDA, K = 0.3176, 0.134
 #: Residues of a word, what a neighbour of it scores at least, how far two hits may be apart, and how far a score may fall.
 WORD, NEIGHBOUR, WINDOW, DROP = 4, 18, 40, 16
 EVALUE = 0.1
+#: Letters of genomes that are searched at once; a longer genome is searched by itself.
+LETTERS = 50_000
 
 #: Codes of residues: those of the matrix, a stop, an unknown one, and what lies between sequences.
 _STOP, _UNKNOWN, _WALL = 20, 21, 22
@@ -208,8 +210,9 @@ _COLUMNS = [c.split()[0] for c in HIT.split(", ")]
 
 
 class Hits(NamedTuple):
-    """Frame (number, its strand), where it lies, and a hit in it: reference, strands, bases from 0, residues, equal ones, score, E-value."""
+    """Genome (its number), frame (its number and strand), and a hit in it: reference, residues, equal ones, bases from 0, score, E-value."""
 
+    genome: np.ndarray
     number: np.ndarray
     minus: np.ndarray
     ref: np.ndarray
@@ -223,36 +226,77 @@ class Hits(NamedTuple):
     evalue: np.ndarray
 
 
-def genome_hits(letters: np.ndarray, refs: Subjects, space: int, evalue: float, drop: int, compat: bool) -> Hits | None:
-    """The hits of all frames of a genome; ``space`` is the number of residues of all references."""
-    n = len(letters)
-    strands = [letters, COMPLEMENT[letters[::-1]]]
-    sides = [CODE[amino_acids(s)] for s in strands]
+class Laid(NamedTuple):
+    """Genomes one after the other, each from a multiple of three on: both strands, where each begins and how long it is."""
+
+    strands: list[np.ndarray]
+    base: np.ndarray
+    size: np.ndarray
+
+    @classmethod
+    def of(cls, genomes: list[np.ndarray]) -> Laid:
+        size = np.array([len(g) for g in genomes], dtype=np.int64)
+        room = (size // 3 + 1 + WINDOW + WORD) * 3
+        base = np.cumsum(room) - room
+        strands = [np.zeros(int(room.sum()), dtype=np.uint8) for _ in range(2)]  # what lies between is in no codon
+        for at, letters in zip(base.tolist(), genomes, strict=True):
+            strands[0][at : at + len(letters)] = letters
+            strands[1][at : at + len(letters)] = COMPLEMENT[letters[::-1]]
+        return cls(strands, base, size)
+
+    def of_place(self, place: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.base, place, side="right") - 1
+
+    def turned(self, genome: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """A place on one strand of a genome, as it is on the other."""
+        return 2 * self.base[genome] + self.size[genome] - 1 - place
+
+    def frames(self, minus: int, compat: bool) -> tuple[np.ndarray, ...]:
+        """Genome, number, frame, and forward first and last base of the frames of one strand, by frame and first base."""
+        strand = self.strands[minus]
+        if compat:  # what a genome's end cuts off counts
+            parts = [runs(strand[at : at + n], MORE_THAN, True) for at, n in zip(self.base.tolist(), self.size.tolist(), strict=True) if n >= 3]
+            at = np.repeat(self.base[self.size >= 3], [len(p[0]) for p in parts])
+            frame, start, end = (np.concatenate([*x, np.zeros(0, dtype=np.int64)]).astype(np.int64) for x in (zip(*parts, strict=True) if parts else [[], [], []]))
+            start, end = start + at, end + at
+        else:
+            frame, start, end = (x.astype(np.int64) for x in runs(strand, MORE_THAN, False))
+        genome = self.of_place(start)
+        order = np.lexsort((start, frame, genome))
+        frame, start, end, genome = frame[order], start[order], end[order], genome[order]
+        first = np.searchsorted(genome, np.arange(len(self.base)))
+        number = np.arange(len(genome)) - first[genome]
+        low, high = (self.turned(genome, end), self.turned(genome, start)) if minus else (start, end)
+        order = np.lexsort((low, frame))
+        return genome[order], number[order], frame[order], low[order], high[order]
+
+
+def block_hits(genomes: list[np.ndarray], refs: Subjects, space: int, evalue: float, drop: int, compat: bool) -> Hits | None:
+    """The hits of all frames of some genomes; ``space`` is the number of residues of all references."""
+    laid = Laid.of(genomes)
+    sides = [CODE[amino_acids(s)] for s in laid.strands]
     seeds = find_seeds(sides, refs)
     if not len(seeds.at):
         return None
-    # both words, in bases of the genome
+    # both words, in bases of the forward strand
     low, high = 3 * seeds.before + seeds.phase, 3 * (seeds.at + WORD) + seeds.phase - 1
-    low, high = np.where(seeds.back == 1, n - 1 - high, low), np.where(seeds.back == 1, n - 1 - low, high)
+    of = laid.of_place(low)
+    low, high = np.where(seeds.back == 1, laid.turned(of, high), low), np.where(seeds.back == 1, laid.turned(of, low), high)
     rows = []
-    for minus, strand in enumerate(strands):
-        frame, start, end = (x.astype(np.int64) for x in runs(strand, MORE_THAN, compat))
-        number = np.arange(len(frame))
-        a, b = (n - 1 - end, n - 1 - start) if minus else (start, end)
+    for minus in (0, 1):
+        genome, number, frame, a, b = laid.frames(minus, compat)
         for f in range(3):
-            own = np.flatnonzero(frame == f)
-            own = own[np.argsort(a[own])]
-            if len(own):
-                i = np.searchsorted(a[own], low, side="right") - 1
-                held = np.flatnonzero((i >= 0) & (b[own[np.maximum(i, 0)]] >= high))
-                got = own[i[held]]
-                rows.append((held, number[got], np.full(len(got), minus), a[got], b[got]))
+            x, y = np.searchsorted(frame, [f, f + 1])
+            if x < y:
+                i = np.searchsorted(a[x:y], low, side="right") - 1 + x
+                held = np.flatnonzero((i >= x) & (b[np.maximum(i, x)] >= high))
+                rows.append((held, number[i[held]], np.full(len(held), minus), a[i[held]], b[i[held]]))
     if not rows:
         return None
     seed, number, minus, a, b = (np.concatenate(x) for x in zip(*rows, strict=True))
-    back, phase, at, place = seeds.back[seed], seeds.phase[seed], seeds.at[seed], seeds.place[seed]
+    genome, back, phase, at, place = of[seed], seeds.back[seed], seeds.phase[seed], seeds.at[seed], seeds.place[seed]
     # residues of the frame before the word and after it, on the strand of the seed
-    begins, ends = np.where(back == 1, n - 1 - b, a), np.where(back == 1, n - 1 - a, b)
+    begins, ends = np.where(back == 1, laid.turned(genome, b), a), np.where(back == 1, laid.turned(genome, a), b)
     spot = 3 * at + phase
     query = np.concatenate(sides)
     shifted = spot + back * len(sides[0])
@@ -260,19 +304,18 @@ def genome_hits(letters: np.ndarray, refs: Subjects, space: int, evalue: float,
     gain_left, left = extend(query, refs.codes, shifted, place, 3, (spot - begins) // 3, -1, drop)
     gain_right, right = extend(query, refs.codes, shifted + 3 * (WORD - 1), place + WORD - 1, 3, (ends - spot + 1) // 3 - WORD, 1, drop)
     score, first, size = word + gain_left + gain_right, place - left, left + right + WORD
-    stretch = np.searchsorted(refs.start, place, side="right") - 1
-    ref = refs.stretch[stretch, 0]
     e = K * ((b - a + 1) // 3) * float(space) * np.exp(-LAMBDA * score)
     good = np.flatnonzero(e <= evalue)
     if not len(good):
         return None
     # of hits that overlap on a diagonal of a frame the best stays, then the first
-    lane = np.stack([number, minus, back, phase, at - place])[:, good]
+    lane = np.stack([genome, number, minus, back, phase, at - place])[:, good]
     order = np.lexsort((first[good], -score[good], *lane[::-1]))
     good, lane = good[order], lane[:, order]
     new = np.concatenate([[True], (lane[:, 1:] != lane[:, :-1]).any(axis=0)])
-    kept, taken = [], []
-    for g, fresh in zip(good.tolist(), new.tolist(), strict=True):
+    alone = new & np.append(new[1:], True)
+    kept, taken = good[alone].tolist(), []
+    for g, fresh in zip(good[~alone].tolist(), new[~alone].tolist(), strict=True):
         taken = [] if fresh else taken
         x, y = first[g], first[g] + size[g]
         if all(y <= u or v <= x for u, v in taken):
@@ -281,14 +324,13 @@ def genome_hits(letters: np.ndarray, refs: Subjects, space: int, evalue: float,
     g = np.array(kept)
     start, length = spot[g] - 3 * left[g], size[g]
     inside = _ranges(np.zeros(len(g), dtype=np.int64), length)
-    of = np.repeat(np.arange(len(g)), length)
-    equal = np.bincount(of, weights=query[(shifted[g] - 3 * left[g])[of] + 3 * inside] == refs.codes[first[g][of] + inside], minlength=len(g)).astype(np.int64)
+    each = np.repeat(np.arange(len(g)), length)
+    equal = np.bincount(each, weights=query[(shifted[g] - 3 * left[g])[each] + 3 * inside] == refs.codes[first[g][each] + inside], minlength=len(g)).astype(np.int64)
     q0, q1 = start - begins[g], start + 3 * length - 1 - begins[g]  # on the strand of the hit, within the frame
-    wide = (b - a + 1)[g]
-    s0 = 3 * (first[g] - refs.start[stretch[g]]) + refs.stretch[stretch[g], 2]
-    s1, m, turned = s0 + 3 * length - 1, refs.length[ref[g]], refs.stretch[stretch[g], 1] == 1
-    flip = back[g] == 1
-    return Hits(number[g], minus[g], ref[g], length, equal, np.where(flip, wide - 1 - q0, q0), np.where(flip, wide - 1 - q1, q1), np.where(turned, m - 1 - s0, s0), np.where(turned, m - 1 - s1, s1), score[g], e[g])
+    wide, stretch = (b - a + 1)[g], np.searchsorted(refs.start, place[g], side="right") - 1
+    ref, turned, s0 = refs.stretch[stretch, 0], refs.stretch[stretch, 1] == 1, 3 * (first[g] - refs.start[stretch]) + refs.stretch[stretch, 2]
+    s1, m, flip = s0 + 3 * length - 1, refs.length[ref], back[g] == 1
+    return Hits(genome[g], number[g], minus[g], ref, length, equal, np.where(flip, wide - 1 - q0, q0), np.where(flip, wide - 1 - q1, q1), np.where(turned, m - 1 - s0, s0), np.where(turned, m - 1 - s1, s1), score[g], e[g])
 
 
 def translated_search(genomes: DataFrame, refs: DataFrame, evalue: float = EVALUE, least: int = NEIGHBOUR, drop: int = DROP, limit: int = SENT_WORDS, compat: bool = False) -> DataFrame:
@@ -311,27 +353,28 @@ def translated_search(genomes: DataFrame, refs: DataFrame, evalue: float = EVALU
         shared = genomes.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            refs, names, found = shared.value, [], []
+            refs = shared.value
+            names: list[str | None] = []
+            waiting: list[np.ndarray] = []
 
             def flush() -> pa.RecordBatch:
-                hits = Hits(*[np.concatenate(x) for x in zip(*found, strict=True)]) if found else Hits(*[np.zeros(0, dtype=np.int64)] * 11)
-                whole = [(100.0 * hits.same / np.maximum(hits.length, 1)), hits.length, hits.length - hits.same, np.zeros(len(hits.ref), dtype=np.int64), *[x + 1 for x in (hits.qstart, hits.qend, hits.sstart, hits.send)]]
-                columns = [pa.array(whole[0]), *[pa.array(x.astype(np.int32)) for x in whole[1:]], pa.array(hits.evalue.astype(np.float64)), pa.array((LAMBDA * hits.score - math.log(K)) / math.log(2))]
-                done = pa.RecordBatch.from_arrays([pa.array(names, pa.string()), refs.names.take(pa.array(hits.ref)), *columns], _COLUMNS)
+                hits = block_hits(waiting, refs, space, evalue, drop, compat) if waiting and len(refs.codes) else None
+                hits = hits or Hits(*[np.zeros(0, dtype=np.int64)] * len(Hits._fields))
+                heads = ["" if name is None else f"{name}:" for name in names]
+                frames = [f"{heads[g]}orf{n + 1}{'-r' if minus else ''}" for g, n, minus in zip(hits.genome.tolist(), hits.number.tolist(), hits.minus.tolist(), strict=True)]
+                whole = [hits.length, hits.length - hits.same, np.zeros(len(hits.ref)), *[x + 1 for x in (hits.qstart, hits.qend, hits.sstart, hits.send)]]
+                columns = [pa.array(100.0 * hits.same / np.maximum(hits.length, 1)), *[pa.array(x.astype(np.int32)) for x in whole], pa.array(hits.evalue.astype(np.float64)), pa.array((LAMBDA * hits.score - math.log(K)) / math.log(2))]
                 names.clear()
-                found.clear()
-                return done
+                waiting.clear()
+                return pa.RecordBatch.from_arrays([pa.array(frames, pa.string()), refs.names.take(pa.array(hits.ref)), *columns], _COLUMNS)
 
             for batch in batches:
-                for i in range(batch.num_rows):
-                    genome, letters = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
-                    hits = genome_hits(letters, refs, space, evalue, drop, compat) if len(letters) > MORE_THAN and len(refs.codes) else None
-                    if hits is not None:
-                        head = "" if genome is None else f"{genome}:"
-                        names.extend([f"{head}orf{x + 1}{'-r' if minus else ''}" for x, minus in zip(hits.number.tolist(), hits.minus.tolist(), strict=True)])
-                        found.append(hits)
-                    if len(names) > ROWS_OUT:
-                        yield flush()
+                for genome, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    if text is not None and len(text) > MORE_THAN:
+                        names.append(genome)
+                        waiting.append(as_bytes(text))
+                        if sum(map(len, waiting)) >= LETTERS:
+                            yield flush()
             yield flush()
 
         return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, HIT.format(kind=kind))

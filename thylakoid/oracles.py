@@ -196,9 +196,9 @@ SQL: dict[str, str] = {
       SELECT qseqid, sseqid, line_no::INT AS line_no, list_max(a) AS fwd, (list_position(a, list_max(a)) - 1)::INT AS fwd_frame, list_max(b) AS rev, (list_position(b, list_max(b)) - 1)::INT AS rev_frame FROM s""",
     "start_codons": f"""WITH {_R0} SELECT ref_id, {_last('seq', "'ATG'", '3 * (length(seq) // 6)')} AS atg, {_last('seq', 'substr(seq, 1, 3)', '3 * (length(seq) // 6) + 1')} AS own FROM r""",
     "find_all": f"""WITH {_R0}, {_G} SELECT genome_id, ref_id, list_filter(range(0, greatest(0, length(g.seq) - length(m) + 1)), lambda i: substr(g.seq, (i + 1)::INT, length(m)) = m) AS places
-      FROM g JOIN (SELECT ref_id, substr(seq, 1, 12) AS m FROM r WHERE class = 'tRNA' AND seq <> '') ON contains(g.seq, m)""",
+      FROM g JOIN (SELECT ref_id, seq AS m FROM r WHERE seq <> '') ON contains(g.seq, m)""",
     "first_places": f"""WITH {_R0}, {_G} SELECT genome_id, ref_id, (CASE WHEN contains(substr(g.seq, 101), m) THEN instr(substr(g.seq, 101), m) + 99 ELSE -1 END)::INT AS place
-      FROM g JOIN (SELECT ref_id, substr(seq, 1, 12) AS m FROM r WHERE class = 'tRNA' AND seq <> '') ON contains(g.seq, m)""",
+      FROM g JOIN (SELECT ref_id, seq AS m FROM r WHERE seq <> '') ON contains(g.seq, m)""",
     "region_extract": f"WITH {_REGIONS} SELECT * FROM regions",
     "region_files": f"WITH {_REGIONS} SELECT class, ref_id, seq FROM regions",
     "short_exons": f"WITH {_REGIONS} SELECT ref_id, class, length(seq)::INT AS len, CASE WHEN class = 'gene' THEN length(seq) < 25 ELSE length(seq) < 26 END AS short FROM regions",

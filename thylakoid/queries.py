@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as seq
-from thylakoid.operators import align, features, hits, intervals, orf, repeats, translated
+from thylakoid.operators import align, features, hits, intervals, motifs, orf, repeats, translated
 from thylakoid.plans import annotate, inputs
 from thylakoid.plans.cuts import cut, shared_folder
 from thylakoid.sources import readers, writers
@@ -160,23 +160,16 @@ def start_codons(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def find_all(spark: SparkSession, d: str) -> DataFrame:
-    """Places of each tRNA reference's first 12 bases in every genome; a pair without a place has no row."""
-    genomes = inputs.genomes(spark, d)
-    rnas = inputs.references(spark, d).filter("class = 'tRNA'").select("ref_id", F.substring("seq", 1, 12).alias("m")).filter("m <> ''")
-    k = rnas.agg(F.min(F.length("m"))).first()[0] or 12
-    rnas = rnas.withColumn("kmer", F.substring("m", 1, k))
-    words = align.kmers_among(genomes, "genome_id", "seq", k, rnas)
-    pairs = words.join(rnas, "kmer").select(F.col("genome_id").alias("at"), "ref_id", "m").distinct()
-    found = genomes.join(pairs, F.col("genome_id").eqNullSafe(F.col("at"))).select("genome_id", "ref_id", F.transform(seq.find_all(F.col("seq"), F.col("m")), lambda x: x.cast("long")).alias("places"))
-    return found.filter(F.size("places") > 0)
+    """Places of every whole reference in every genome; a pair without a place has no row."""
+    refs = inputs.references(spark, d).select("ref_id", F.col("seq").alias("motif"))
+    found = motifs.find_motifs(inputs.genomes(spark, d), refs).join(refs, "motif")
+    return found.select("genome_id", "ref_id", F.transform("places", lambda x: x.cast("long")).alias("places"))
 
 
 @query
 def first_places(spark: SparkSession, d: str) -> DataFrame:
     """Of each place list the first place at or after 100, or -1."""
-    motif = inputs.references(spark, d).select("ref_id", F.substring("seq", 1, 12).alias("m"))
-    rows = find_all(spark, d).select("genome_id", "ref_id").join(inputs.genomes(spark, d), "genome_id").join(motif, "ref_id")
-    return rows.select("genome_id", "ref_id", seq.index_of(F.col("seq"), F.col("m"), 100).alias("place"))
+    return find_all(spark, d).select("genome_id", "ref_id", motifs.first_at(F.col("places"), 100).cast("int").alias("place"))
 
 
 def _regions(spark: SparkSession, d: str) -> DataFrame:
