@@ -189,7 +189,7 @@ def find_seeds(sides: list[np.ndarray], refs: Subjects) -> Seeds:
     return Seeds(lane // 3, lane % 3, key % wide - gap, key % wide, place)
 
 
-def extend(query: np.ndarray, subject: np.ndarray, at: np.ndarray, place: np.ndarray, step: int, limit: np.ndarray, way: int, drop: int) -> tuple[np.ndarray, np.ndarray]:
+def extend(query: np.ndarray, subject: np.ndarray, at: np.ndarray, place: np.ndarray, step: int, limit: np.ndarray, way: int, drop: int, scores: np.ndarray = SCORES) -> tuple[np.ndarray, np.ndarray]:
     """Best gain and its number of residues beyond ``at`` and ``place`` one way; at most ``limit`` residues."""
     n = len(at)
     score, best, reach = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
@@ -198,7 +198,7 @@ def extend(query: np.ndarray, subject: np.ndarray, at: np.ndarray, place: np.nda
         k += 1
         spot = place[going] + way * k
         spot = np.where((spot >= 0) & (spot < len(subject)), spot, -1)  # the last is a wall
-        score[going] += SCORES[query[at[going] + way * k * step], subject[spot]]
+        score[going] += scores[query[at[going] + way * k * step], subject[spot]]
         up = score[going] > best[going]
         best[going[up]], reach[going[up]] = score[going[up]], k
         going = going[(best[going] - score[going] <= drop) & (k < limit[going])]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 from thylakoid.functions.sequence import exon_gene, exon_number, strip_guide
-from thylakoid.operators import align, features, hits, intervals, orf, refine, repeats
+from thylakoid.operators import align, features, gapped, hits, intervals, orf, refine, repeats
 from thylakoid.plans.cuts import cut
 
 
@@ -54,7 +54,7 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     genes, rnas = refs.filter("class = 'gene' and not short"), refs.filter("class <> 'gene'")
 
     if rna_hits is None:
-        rna_hits = align.search(seqs, rnas).withColumn("line_no", F.row_number().over(Window.partitionBy("qseqid").orderBy("sseqid", "qstart", "qend", "sstart")))
+        rna_hits = gapped.gapped_search(seqs, rnas).withColumn("line_no", F.row_number().over(Window.partitionBy("qseqid").orderBy("sseqid", "qstart", "qend", "sstart")))
     rna_hits = cut(hits.filter_hits(rna_hits, reverse_only=None))
     best_rna = hits.best_rna_hits(rna_hits, seqs, rnas, compat)
     rna = hits.rna_candidates(rna_hits, best_rna, rnas).join(genomes.select("genome_id", F.col("genome_id").cast("string").alias("qseqid")), "qseqid")

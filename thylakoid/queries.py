@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as seq
-from thylakoid.operators import align, features, hits, intervals, motifs, orf, repeats, translated
+from thylakoid.operators import align, features, gapped, hits, intervals, motifs, orf, repeats, translated
 from thylakoid.plans import annotate, inputs
 from thylakoid.plans.cuts import cut, shared_folder
 from thylakoid.sources import readers, writers
@@ -198,6 +198,13 @@ def seed_search(spark: SparkSession, d: str) -> DataFrame:
     return _rounded(_hits(spark, d))
 
 
+@query
+def gapped_hits(spark: SparkSession, d: str) -> DataFrame:
+    """Hits of RNA references in all genomes, gaps among them."""
+    queries = inputs.genomes(spark, d).select(F.col("genome_id").cast("string").alias("qseqid"), "seq")
+    return _rounded(gapped.gapped_search(queries, inputs.references(spark, d).filter("class <> 'gene'")))
+
+
 @query
 def hit_filter(spark: SparkSession, d: str) -> DataFrame:
     return hits.filter_hits(_hits(spark, d)).select("qseqid", "sseqid", "qstart", "qend", "sstart", "send")
