@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thylakoid.operators import hits, intervals, orf
+from thylakoid.plans.counters import Counters
 from thylakoid.sources import readers, writers
 from thylakoid.streaming import frames
 
@@ -77,7 +78,7 @@ def test_annotation_files(spark, tmp_path):
     assert sorted(map(tuple, name(found).collect())) == [("x.gff", "g", 10, 20, "+"), ("y.gff", "rrn16", 10, 20, "-")]
     assert sorted(map(tuple, name(lengths).collect())) == [("x.gff", 100), ("y.gff", 50)]
     (tmp_path / "g.gb").write_text('LOCUS  X  100 bp\n     gene            complement(join(10..20,\n                     31..40))\n                     /gene="g"\n')
-    assert sorted(map(tuple, name(readers.read_genbank(spark, f"file://{tmp_path}/g.gb")).collect())) == [("g.gb", "g", 10, 20, "-", 100), ("g.gb", "g", 31, 40, "-", 100)]
+    assert sorted(map(tuple, name(readers.read_genbank(spark, f"file://{tmp_path}/g.gb")).collect())) == [("g.gb#X", "g", 10, 20, "-", 100), ("g.gb#X", "g", 31, 40, "-", 100)]
     assert readers.read_genbank(spark, f"file://{tmp_path}/g.gb", compat=True).collect() == []
 
 
@@ -104,3 +105,40 @@ def test_pairs_covered_by_several_hits(spark):
     refs = spark.createDataFrame([("r", "A" * 100)], "ref_id string, seq string")
     found = spark.createDataFrame([("q", "r", 1, 50), ("q", "r", 90, 40), ("p", "r", 1, 89)], "qseqid string, sseqid string, sstart int, send int")
     assert [tuple(r) for r in hits.covered_pairs(found, refs).select("qseqid", "covered", "fraction").collect()] == [("q", 90, 0.9)]
+
+
+def test_guides_are_added_to_others(spark, tmp_path):
+    rows = [(n, k, f"{name}XXX{n}", s) for n, k, name, s in [(1, "gene", "psbA", "ACGT"), (1, "tRNA", "trnK-UUU", "AC"), (2, "gene", "psbA", "GGGG"), (2, "rRNA", "rrn16", "TT")]]
+    table = spark.createDataFrame(rows, "guide_no int, class string, ref_id string, seq string")
+    path = f"file://{tmp_path}/guides"
+    for guide in (1, 2, 2):
+        writers.append_regions(table.filter(F.col("guide_no") == guide), path)
+    read = lambda: {(r.guide_no, r["class"], r.id, r.seq) for r in readers.read_fasta(spark, path).collect()}
+    assert read() == set(rows)
+    writers.append_regions(spark.createDataFrame([(2, "gene", "rbcLXXX2", "CCCC")], table.schema), path)
+    assert read() == {r for r in rows if r[:2] != (2, "gene")} | {(2, "gene", "rbcLXXX2", "CCCC")}
+
+
+RECORD = 'LOCUS       {0}   {1} bp    DNA\nFEATURES             Location/Qualifiers\n     gene            complement(1..{2})\n                     /gene="g{2}"\n     CDS             5..6\n                     /gene="no"\n'
+
+
+def test_records_of_one_genbank_file(spark, tmp_path):
+    texts = [RECORD.format(f"NC_{i}", 100 + i, 10 + i) for i in range(3)]
+    (tmp_path / "a.gb").write_text("//\n".join([*texts, ""]))
+    (tmp_path / "b.gb").write_text(texts[1])
+    found = {(r.genome_id.rsplit("/", 1)[1], r.name, r.start, r.end, r.strand, r.len) for r in readers.read_genbank(spark, f"file://{tmp_path}").collect()}
+    assert found == {("a.gb#NC_0", "g10", 1, 10, "-", 100), ("a.gb#NC_1", "g11", 1, 11, "-", 101), ("a.gb#NC_2", "g12", 1, 12, "-", 102), ("b.gb#NC_1", "g11", 1, 11, "-", 101)}
+    readers.register_genbank(spark)
+    spark.createDataFrame([("a", "//\n".join(texts)), ("b", None), ("c", ""), ("d", "no record")], "id string, value string").createOrReplaceTempView("texts")
+    rows = spark.sql("SELECT t.id, f.record, f.locus, f.name, f.end FROM texts t, LATERAL genbank_features(t.value) f").collect()
+    assert {tuple(r) for r in rows} == {("a", i, f"NC_{i}", f"g{10 + i}", 10 + i) for i in range(3)}
+
+
+def test_counters_are_taken_by_the_run(spark):
+    counters = Counters()
+    rows = counters.on(spark.range(100), "seen", odd=F.col("id") % 2 == 1)
+    assert counters.on(rows.filter("id > 89"), "kept").count() == 10
+    assert counters.found() == {"seen_rows": 100, "seen_odd": 50, "kept_rows": 10}
+    empty = Counters()
+    empty.on(spark.range(0), "seen", odd=F.col("id") % 2 == 1).collect()
+    assert empty.found() == {"seen_rows": 0, "seen_odd": 0}

@@ -243,6 +243,11 @@ SQL: dict[str, str] = {
     "genbank_files": f"WITH {_F}, {_U}, src AS (SELECT genome_id, \"start\", \"end\", strand, name FROM u), {_GAP.replace('~', '-')} UNION ALL SELECT * FROM src",
     "fasta_files": f"WITH {_G} SELECT genome_id, genome_id::VARCHAR AS id, seq FROM g",
     "genome_files": f"WITH {_G} SELECT genome_id, seq FROM g",
+    "orf_fasta_files": f"WITH {_ORFS} SELECT genome_id, orf_id, substr(seq, start0 + 1, end0 - start0 + 1) AS seq FROM orfs JOIN g USING (genome_id)",
+    "guide_append_files": f"WITH {_REGIONS} SELECT class, guide_no % 20 AS guide_no, ref_id, seq FROM regions",
+    "hit_counters": f"""WITH {_HITS} SELECT unnest(['kept_rows', 'seen_intron', 'seen_reverse', 'seen_rows', 'seen_weak']) AS counter, unnest([
+      count(*) FILTER (NOT contains(sseqid, 'intron') AND pident >= 0.5 AND evalue <= 0.1 AND NOT contains(sseqid, 'rpl16')), count(*) FILTER (contains(sseqid, 'intron')), count(*) FILTER (contains(sseqid, 'rpl16')), count(*), count(*) FILTER (evalue > 0.1)]) AS n FROM h""",
+    "genbank_sql": f"""WITH {_F}, {_U} SELECT genome_id % 50 AS file, (dense_rank() OVER (PARTITION BY genome_id % 50 ORDER BY genome_id) - 1)::INT AS record, 'X' AS locus, 4000::INT AS len, name, "start", "end", strand FROM u""",
     "orf_stream": f"WITH {_ORFS} SELECT * FROM orfs",
     "orf_files": f"WITH {_ORFS} SELECT genome_id, orf_id, start0, end0 FROM orfs",
     "feature_files": f"WITH {_F}, {_U} SELECT genome_id, \"start\", \"end\", strand, name FROM u",

@@ -1,6 +1,6 @@
 """The whole annotation, and the import of annotations.
 
-The annotation makes six durable cuts while its plan is built: where the plan branches, so that
+The annotation makes durable cuts while its plan is built: where the plan branches, so that
 nothing is computed twice.  Genomes are annotated side by side: every join and window is keyed by the genome.
 """
 

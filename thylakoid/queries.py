@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from thylakoid.functions import sequence as seq
 from thylakoid.operators import align, features, gapped, hits, intervals, motifs, orf, repeats, translated
 from thylakoid.plans import annotate, inputs
+from thylakoid.plans.counters import Counters
 from thylakoid.plans.cuts import cut, shared_folder
 from thylakoid.sources import readers, writers
 from thylakoid.streaming import frames
@@ -427,6 +428,33 @@ def orf_files(spark: SparkSession, d: str) -> DataFrame:
     return readers.read_orf_coordinates(spark, folder).withColumn("genome_id", F.col("genome_id").cast("long"))
 
 
+@query
+def orf_fasta_files(spark: SparkSession, d: str) -> DataFrame:
+    folder = _folder(spark)
+    writers.write_orf_files(orf.find_orfs(inputs.genomes(spark, d), sequences=True), folder)
+    return readers.read_fasta(spark, f"{folder}/sequences").select(F.col("genome_id").cast("long"), F.col("id").alias("orf_id"), "seq")
+
+
+@query
+def guide_append_files(spark: SparkSession, d: str) -> DataFrame:
+    """Regions of twenty guides, of even number and then of odd, the latter written twice."""
+    folder, regions = _folder(spark), _regions(spark, d).withColumn("guide_no", F.col("guide_no") % 20)
+    for part in (0, 1, 1):
+        writers.append_regions(regions.filter(F.col("guide_no") % 2 == part), folder)
+    return readers.read_fasta(spark, folder).select("class", F.col("guide_no").cast("long"), F.col("id").alias("ref_id"), "seq")
+
+
+@query
+def hit_counters(spark: SparkSession, d: str) -> DataFrame:
+    """How many hits a filter saw and left out, and why, counted by the run that writes what it keeps."""
+    counters = Counters()
+    intron = F.contains("qseqid", F.lit("intron")) | F.contains("sseqid", F.lit("intron"))
+    reverse = F.contains("sseqid", F.lit("rpl16")) & ~F.contains("qseqid", F.lit("-r"))
+    kept = hits.filter_hits(counters.on(_hits(spark, d), "seen", intron=intron, reverse=reverse, weak=F.col("evalue") > hits.EVALUE))
+    counters.on(kept, "kept").write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([(name, n) for name, n in sorted(counters.found().items())], "counter string, n long")
+
+
 @query
 def region_files(spark: SparkSession, d: str) -> DataFrame:
     folder = _folder(spark)
@@ -509,6 +537,14 @@ def genbank_import(spark: SparkSession, d: str) -> DataFrame:
     return annotate.import_genbank(cut(readers.parse_genbank(_genbank_records(spark, d))))
 
 
+@query
+def genbank_sql(spark: SparkSession, d: str) -> DataFrame:
+    """Features of texts of many records by the table function, in SQL."""
+    readers.register_genbank(spark)
+    texts = _genbank_records(spark, d).groupBy((F.col("genome_id") % 50).alias("file")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("genome_id", "value"))), lambda r: r["value"]), "\n//\n").alias("value"))
+    return spark.sql("SELECT t.file, f.record, f.locus, f.len, f.name, f.start, f.end, f.strand FROM {texts} t, LATERAL genbank_features(t.value) f", texts=texts)
+
+
 @query
 def genbank_files(spark: SparkSession, d: str) -> DataFrame:
     folder = _folder(spark)

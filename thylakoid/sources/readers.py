@@ -162,5 +162,28 @@ def read_gff3(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
 
 
 def read_genbank(spark: SparkSession, path: str, compat: bool = False) -> DataFrame:
-    """Features of GenBank files, a record a file, as ``parse_genbank`` gives them; a genome is known by its file."""
-    return parse_genbank(spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("genome_id"), "value"), compat)
+    """Features of GenBank files, as ``parse_genbank`` gives them; a genome is known by its file and the name in its LOCUS line.
+
+    Files are cut into records at lines of ``//`` by the reader itself, so a large one is read by many tasks.
+    """
+    records = spark.read.option("lineSep", "\n//").text(path).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\\s+", "").alias("value")).filter("value <> ''")
+    name = F.regexp_extract("value", r"(?m)^LOCUS\s+(\S+)", 1)
+    return parse_genbank(records.select(F.concat_ws("#", "file", name).alias("genome_id"), "value"), compat)
+
+
+def register_genbank(spark: SparkSession, name: str = "genbank_features") -> None:
+    """A table function for SQL: ``SELECT r.id, f.* FROM records r, LATERAL genbank_features(r.value) f``.
+
+    It gives ``record`` (from 0), ``locus``, ``len``, ``name``, ``start``, ``end`` and ``strand`` for each feature of a text of one
+    record or several; a null text gives none.
+    """
+
+    class Features:
+        def eval(self, value: str):
+            for i, text in enumerate(x for x in re.split(r"^//.*$", value or "", flags=re.M) if x.strip()):
+                found, length = genbank_features(text)
+                locus = re.search(r"^LOCUS\s+(\S+)", text, re.M)
+                for feature in found:
+                    yield (i, locus[1] if locus else None, length, *feature)
+
+    spark.udtf.register(name, F.udtf(Features, returnType="record int, locus string, len int, name string, start int, end int, strand string"))

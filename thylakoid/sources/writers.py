@@ -1,4 +1,4 @@
-"""Writers of the flat files.  A run overwrites what an earlier one wrote.
+"""Writers of the flat files.  A run overwrites what an earlier one wrote, but for guides that are added to others.
 
 A table with ``genome_id`` is written into one folder for each genome, ``genome_id=...``, as a
 single file in order; readers give the column back.  A table without is one genome's.
@@ -40,11 +40,27 @@ def write_orfs(orfs: DataFrame, path: str) -> None:
     _write(orfs, ["orf_id"], [F.col("orf_id"), F.concat_ws("-", F.col("start0").cast("string"), F.col("end0").cast("string")).alias("range")], path)
 
 
+def write_orf_files(orfs: DataFrame, path: str) -> None:
+    """Both products of a run over frames (with ``seq``): ``coordinates``, as ``write_orfs`` writes them, and ``sequences``, FASTA in the same order."""
+    write_orfs(orfs, f"{path}/coordinates")
+    write_fasta(orfs, f"{path}/sequences", "orf_id", "seq")
+
+
 def write_regions(regions: DataFrame, path: str) -> None:
     """Region sequences as FASTA, in one folder for each class."""
     regions.select("class", _record("ref_id", "seq")).write.mode("overwrite").partitionBy("class").text(path)
 
 
+def append_regions(regions: DataFrame, path: str) -> None:
+    """Region sequences of some guides added to those that lie at ``path``, in a folder for each class and guide.
+
+    What a guide has of a class there already is replaced, so a run may be repeated; other guides
+    stay as they are.  ``regions`` has guide_no, class, ref_id and seq.
+    """
+    rows = regions.repartition("class", "guide_no").sortWithinPartitions("class", "guide_no", "ref_id").select("class", "guide_no", _record("ref_id", "seq"))
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("class", "guide_no").text(path)
+
+
 def write_best_orfs(best: DataFrame, path: str, compat: bool = False) -> None:
     """Lines of frame, reference and score; ``compat`` puts a q after the score."""
     score = F.concat(F.col("score").cast("string"), F.lit("q")) if compat else F.col("score")
