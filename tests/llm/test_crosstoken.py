@@ -73,6 +73,7 @@ def aligned(spark, rows, **how):
 @pytest.mark.parametrize(("size", "sent"), [(1 << 23, 10**6), (2000, 10**6), (2000, 0)])
 def test_tables_against_brute_force(spark, tools, size, sent, monkeypatch):
     monkeypatch.setattr(crosstoken, "SEGMENTS", 50 if size == 2000 else 10**5)
+    monkeypatch.setattr(crosstoken, "LOOKED_AT", 30 if size == 2000 else 10**5)
     want = brute(ROWS, tools)
     assert aligned(spark, ROWS, chunk_bytes=size, sent=sent) == want
     assert sum(n for k, n in want.items() if k[1] == 0) < len(ROWS) // 4

@@ -6,9 +6,10 @@ tokens are those that it has within any text.
 
 1. Texts are cut into chunks: the distinct segments of each, and the numbers of its texts'
    segments among them.
-2. Segments meet by their hash, so that each distinct one of the corpus is tokenized by both and
-   aligned once: tokens that end at the same byte close a group, and all pairs of tokens of a
-   group are links.  Its groups go back to every chunk that has it.
+2. Segments that a chunk has several times meet by their hash, so that each distinct one of the
+   corpus is tokenized by both and aligned once: tokens that end at the same byte close a group, and
+   all pairs of tokens of a group are links.  Its groups go back to every chunk that has it.  What a
+   chunk has once is tokenized there, once: sending it both ways costs more than tokenizing it.
 3. A chunk tells how many of its texts hold each pair of ids linked, and these counts are added up.
 4. Chunks look the counts of their pairs up and compose their texts.
 
@@ -39,7 +40,11 @@ from thylakoid.llm.textkit import U64, as_long, blocks, hash_spans
 #: Where the vocabularies lie here: a byte-level one, and one of pieces that adds a space of its own.
 BYTE_LEVEL, PIECES = "/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of text in a chunk, and segments that are aligned at once.
-CHUNK_BYTES, SEGMENTS = 16 << 20, 20_000
+CHUNK_BYTES, SEGMENTS = 6 << 20, 20_000
+#: Bytes of segments that are encoded as one text.
+JOINED = 4096
+#: Segments whose pairs are counted at once.
+LOOKED_AT = 200_000
 #: Links of a group that are laid out one by one; larger groups are counted by id first.
 LAID_OUT = 256
 SPACE = "▁"
@@ -95,6 +100,12 @@ def loaded(files: tuple[bytes, bytes]) -> Vocabularies:
 # --- segments ---
 
 
+def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges of ``count`` from each ``first``."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
+
+
 def split(data: np.ndarray, offsets: np.ndarray, splits: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Texts with a space before each, and where their segments begin and end, and how many each text has.
 
@@ -144,8 +155,12 @@ class Chunk(NamedTuple):
 
 def pack_texts(texts: list[bytes]) -> bytes:
     """Texts as one compressed run of bytes, with their lengths."""
-    joined = b"".join(texts)
-    return pack(np.array([len(t) for t in texts], dtype=np.uint32), np.frombuffer(joined, dtype=np.uint8))
+    return pack(np.array([len(t) for t in texts], dtype=np.uint32), np.frombuffer(b"".join(texts), dtype=np.uint8))
+
+
+def pack_spans(data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> bytes:
+    """The same of spans of bytes."""
+    return pack((stop - start).astype(np.uint32), data[_ragged(start, stop - start)])
 
 
 def unpack_texts(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -158,37 +173,33 @@ def _cut_chunks(shared, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splits = loaded(shared.value).splits
         task, made = TaskContext.get().partitionId(), 0
-        keys, found, counts, texts, waiting = [], [], [], {}, 0
+        keys, parts, waiting = [], [], 0
 
         def chunk() -> pa.RecordBatch:
             nonlocal made, waiting
-            hashes, ids, often = np.unique(np.concatenate(found), return_inverse=True, return_counts=True)
+            data, start, stop, counts = (np.concatenate(x) for x in zip(*parts, strict=True))
+            _, at, ids, often = np.unique(hash_spans(data, start, stop), return_index=True, return_inverse=True, return_counts=True)
             order = np.argsort(-often, kind="stable")
             place = np.empty(len(order), dtype=np.int64)
             place[order] = np.arange(len(order))
             names = pa.concat_arrays(keys)
             row = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([(task << 32) + made], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), pa.array([Chunk(place[ids], np.concatenate(counts)).packed()], pa.binary()),
-                    pa.array([pack_texts([texts[h] for h in hashes[order].tolist()])], pa.binary()),
+                    pa.array([(task << 32) + made], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(names)], pa.int32()), names), pa.array([Chunk(place[ids], counts).packed()], pa.binary()),
+                    *[pa.array([pack_spans(data, start[x], stop[x])], pa.binary()) for x in np.split(at[order], [int((often > 1).sum())])],
                 ],
-                ["chunk", "keys", "payload", "texts"],
+                ["chunk", "keys", "payload", "texts", "once"],
             )
             made, waiting = made + 1, 0
-            for x in (keys, found, counts, texts):
-                x.clear()
+            keys.clear()
+            parts.clear()
             return row
 
         for batch in batches:
             for block in blocks(batch.column(1)):
                 data, start, stop, count = split(block.data, block.offsets, splits)
-                hashes = hash_spans(data, start, stop)
-                raw = data.tobytes()
-                names, at = np.unique(hashes, return_index=True)
-                texts.update((h, raw[a:b]) for h, a, b in zip(names.tolist(), start[at].tolist(), stop[at].tolist(), strict=True) if h not in texts)
                 keys.append(batch.column(0).slice(block.lo, block.hi - block.lo))
-                found.append(hashes)
-                counts.append(count)
+                parts.append((data, start + waiting, stop + waiting, count))
                 waiting += len(data)
                 if waiting >= size:
                     yield chunk()
@@ -199,7 +210,7 @@ def _cut_chunks(shared, size: int):
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of chunks: the hash, the number and the text of each distinct segment."""
+    """Of chunks: the hash, the number and the text of each segment that occurs several times."""
     for batch in batches:
         for chunk, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             ends, data = unpack_texts(raw.as_py())
@@ -227,11 +238,6 @@ class Tokens(NamedTuple):
     ids: np.ndarray
     count: np.ndarray
 
-    @classmethod
-    def of(cls, lists: list[list[int]]) -> Tokens:
-        count = np.array([len(x) for x in lists], dtype=np.int64)
-        return cls(np.fromiter(itertools.chain.from_iterable(lists), dtype=np.int64, count=count.sum()), count)
-
 
 def _links(group: np.ndarray, a: np.ndarray, b: np.ndarray, first_a: np.ndarray, n_a: np.ndarray, first_b: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Group, pair of ids (as one number) and times of the links of each group, distinct by group for large ones."""
@@ -247,16 +253,58 @@ def _links(group: np.ndarray, a: np.ndarray, b: np.ndarray, first_a: np.ndarray,
     return tuple(np.concatenate(s) for s in zip(*sides, strict=True))
 
 
-def align(segments: list[bytes], tools: Vocabularies) -> list[bytes]:
-    """``a1,a2|b1;a3|b2,b3`` for each of segments that begin with a space; empty where a vocabulary doesn't give it back."""
-    texts = [s.decode() for s in segments]
+def _encoded(texts: list[str], tools: Vocabularies) -> tuple[list[list[int]], list[list[int]], list[bool]]:
+    """Ids of either vocabulary for each of texts that begin with a space, and whether both give the text back."""
     encode = getattr(tools.first, "encode_batch_fast", tools.first.encode_batch)
     firsts = [e.ids for e in encode(texts, add_special_tokens=False)]
     seconds = tools.second.encode([t[1:] for t in texts], num_threads=1)
-    sound = [b"".join([tools.piece[i] for i in ids]) == s for ids, s in zip(seconds, segments, strict=True)]
-    sound = [ok and int(tools.width[ids].sum()) == len(s) for ok, ids, s in zip(sound, firsts, segments, strict=True)]
-    empty: list[int] = []
-    a, b = (Tokens.of([ids if ok else empty for ids, ok in zip(lists, sound, strict=True)]) for lists in (firsts, seconds))
+    raw = [t.encode() for t in texts]
+    return firsts, seconds, [b"".join([tools.piece[i] for i in ids]) == s and int(tools.width[other].sum()) == len(s) for ids, other, s in zip(seconds, firsts, raw, strict=True)]
+
+
+def tokens_of(segments: list[bytes], tools: Vocabularies) -> tuple[Tokens, Tokens]:
+    """The tokens of segments that begin with a space; none where a vocabulary doesn't give one back.
+
+    Where texts may be split they may be joined as well: so segments are encoded some ``JOINED`` bytes
+    at a time, but for those that end in white space.  Where that doesn't give the bytes back, or a
+    token crosses an end, each is encoded by itself.
+    """
+    texts = [s.decode() for s in segments]
+    runs: list[list[int]] = []
+    room = 0
+    for i, t in enumerate(texts):
+        if not tools.splits or t[-1].isspace() or t[-1] == "\u180e":
+            runs.append([i])
+            room = 0
+        else:
+            if room <= 0:
+                runs.append([])
+                room = JOINED
+            runs[-1].append(i)
+            room -= len(segments[i])
+    firsts, seconds, sound = _encoded(["".join([texts[i] for i in run]) for run in runs], tools)
+    parts: list[list] = [[], []]  # tokens of each run and how many each segment has, of either
+    order = []
+    for run, x, y, ok in zip(runs, firsts, seconds, sound, strict=True):
+        order += run
+        ends = np.cumsum([len(segments[i]) for i in run])
+        found = [(np.array(ids, dtype=np.int64), np.cumsum(width[ids])) for ids, width in ((x, tools.width), (y, tools.piece_width))]
+        at = [np.searchsorted(until, ends, side="right") for _, until in found]
+        if ok and all((until[i - 1] == ends).all() for (_, until), i in zip(found, at, strict=True)):
+            for side, (ids, _), i in zip(parts, found, at, strict=True):
+                side.append((ids, np.diff(i, prepend=0)))
+        else:
+            alone = _encoded([texts[i] for i in run], tools)
+            for side, lists in zip(parts, alone[:2], strict=True):
+                lists = [ids if good else [] for ids, good in zip(lists, alone[2], strict=True)]
+                side.append((np.fromiter(itertools.chain.from_iterable(lists), dtype=np.int64), np.array([len(ids) for ids in lists], dtype=np.int64)))
+    assert order == list(range(len(segments)))
+    return tuple(Tokens(*[np.concatenate([np.zeros(0, dtype=np.int64), *x]) for x in (zip(*side, strict=True) if side else ([], []))]) for side in parts)
+
+
+def align(segments: list[bytes], tools: Vocabularies) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3`` for each of segments that begin with a space; empty where a vocabulary doesn't give it back."""
+    a, b = tokens_of(segments, tools)
     # sound segments lie one after the other, as bytes; what both end closes a group
     end_a, end_b = np.cumsum(tools.width[a.ids]), np.cumsum(tools.piece_width[b.ids])
     closed = np.intersect1d(end_a, end_b, assume_unique=True)
@@ -295,12 +343,6 @@ def _align(shared):
 # --- what a chunk does with its segments' groups ---
 
 
-def _ragged(first: np.ndarray, count: np.ndarray) -> np.ndarray:
-    """All numbers of the ranges of ``count`` from each ``first``."""
-    ends = np.cumsum(count)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - count), count)
-
-
 class Linked(NamedTuple):
     """By segment: whether it is sound, its tokens of either, groups and links; and its distinct pairs of ids, with where they begin, and their times."""
 
@@ -351,25 +393,45 @@ def _good(chunk: Chunk, sound: np.ndarray) -> np.ndarray:
 LINKED = "chunk long, payload binary, groups binary, pairs array<long>, times array<long>"
 
 
-def _gather(chunks: pa.Table, answers: pa.Table) -> pa.Table:
-    """A chunk with its segments' groups, and how many of its texts hold each pair of ids."""
-    chunk = Chunk.read(chunks.column("payload")[0].as_py())
-    answers = answers.take(pa.array(np.argsort(answers.column("number").to_numpy()))).combine_chunks()
-    assert answers.num_rows == (chunk.ids.max() + 1 if len(chunk.ids) else 0)
-    raw = pack_texts(answers.column("groups").to_pylist())
-    linked = read_groups(*unpack_texts(raw))
-    doc = chunk.doc()
-    held = np.unique(doc * max(1, answers.num_rows) + chunk.ids)
-    doc, segment = held // max(1, answers.num_rows), held % max(1, answers.num_rows)
-    good = _good(chunk, linked.sound)[doc]
-    doc, segment = doc[good], segment[good]
+def _count_pairs(chunk: Chunk, linked: Linked) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of ids, and how many of the chunk's texts that have tokens hold each; some texts at a time."""
     pairs, local = np.unique(linked.pair, return_inverse=True)
-    many = np.diff(linked.first)[segment]
-    each = np.unique(np.repeat(doc, many) * max(1, len(pairs)) + local[_ragged(linked.first[:-1][segment], many)])
-    times = np.bincount(each % max(1, len(pairs)), minlength=len(pairs))
-    pairs, times = pairs[times > 0], times[times > 0]
-    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int64)))
-    return pa.table({"chunk": chunks.column("of"), "keys": chunks.column("keys"), "payload": chunks.column("payload"), "groups": pa.array([raw], pa.binary()), "pairs": one(pairs), "times": one(times)})
+    times, n, m = np.zeros(len(pairs), dtype=np.int64), max(1, len(linked.sound)), max(1, len(pairs))
+    good, ends = _good(chunk, linked.sound), np.concatenate([[0], np.cumsum(chunk.counts)])
+    lo = 0
+    while lo < len(chunk.counts):
+        hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + LOOKED_AT, side="right")) - 1)
+        doc = np.repeat(np.arange(hi - lo), chunk.counts[lo:hi])
+        held = np.unique(doc * n + chunk.ids[ends[lo] : ends[hi]])
+        doc, segment = held // n, held % n
+        kept = good[lo:hi][doc]
+        doc, segment = doc[kept], segment[kept]
+        many = np.diff(linked.first)[segment]
+        each = np.unique(np.repeat(doc, many) * m + local[_ragged(linked.first[:-1][segment], many)])
+        times += np.bincount(each % m, minlength=m)[: len(pairs)]
+        lo = hi
+    return pairs[times > 0], times[times > 0]
+
+
+def _gather(shared):
+    def run(chunks: pa.Table, answers: pa.Table) -> pa.Table:
+        """A chunk with its segments' groups, and how many of its texts hold each pair of ids."""
+        tools = loaded(shared.value)
+        chunk = Chunk.read(chunks.column("payload")[0].as_py())
+        groups = answers.column("groups").take(pa.array(np.argsort(answers.column("number").to_numpy()))).to_pylist()
+        ends, data = unpack_texts(chunks.column("once")[0].as_py())
+        for lo in range(0, len(ends) - 1, SEGMENTS):
+            cut = ends[lo : lo + SEGMENTS + 1]
+            raw = data[cut[0] : cut[-1]].tobytes()
+            groups += align([raw[x:y] for x, y in itertools.pairwise((cut - cut[0]).tolist())], tools)
+        assert len(groups) == (chunk.ids.max() + 1 if len(chunk.ids) else 0)
+        raw = pack_texts(groups)
+        del groups
+        pairs, times = _count_pairs(chunk, read_groups(*unpack_texts(raw)))
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(np.int64)))
+        return pa.table({"chunk": chunks.column("of"), "keys": chunks.column("keys"), "payload": chunks.column("payload"), "groups": pa.array([raw], pa.binary()), "pairs": one(pairs), "times": one(times)})
+
+    return run
 
 
 SUMS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -453,11 +515,11 @@ def align_tokens(docs: DataFrame, key: str = "doc_id", text: str = "text", first
     folder = f"{shared_folder(spark)}/crosstoken-{uuid.uuid4().hex}"
     taken = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
     kind = taken.schema["key"].dataType.simpleString()
-    taken.mapInArrow(_cut_chunks(shared, chunk_bytes), f"chunk long, keys array<{kind}>, payload binary, texts binary").write.parquet(f"{folder}/chunks", compression="none")  # packed already
+    taken.mapInArrow(_cut_chunks(shared, chunk_bytes), f"chunk long, keys array<{kind}>, payload binary, texts binary, once binary").write.parquet(f"{folder}/chunks", compression="none")  # packed already
     chunks = spark.read.parquet(f"{folder}/chunks")
     segments = chunks.select("chunk", "texts").mapInArrow(_segments, "h long, chunk long, number int, t binary")
     answers = segments.repartition("h").sortWithinPartitions("h").mapInArrow(_align(shared), "chunk long, number int, groups binary")
-    gathered = chunks.select(F.col("chunk").alias("of"), "keys", "payload").groupBy("of").cogroup(answers.groupBy("chunk")).applyInArrow(_gather, f"keys array<{kind}>, {LINKED}")
+    gathered = chunks.select(F.col("chunk").alias("of"), "keys", "payload", "once").groupBy("of").cogroup(answers.groupBy("chunk")).applyInArrow(_gather(shared), f"keys array<{kind}>, {LINKED}")
     gathered.write.parquet(f"{folder}/linked")
     remove(spark, f"{folder}/chunks")
     linked = spark.read.parquet(f"{folder}/linked")
