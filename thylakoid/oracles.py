@@ -194,6 +194,20 @@ SQL: dict[str, str] = {
     "best_frames": f"""WITH {_PIECES}, w AS (SELECT qseqid, sseqid, line_no, {_windows(_protein('pq'), 3, 3)} AS ws, [{', '.join(_protein('oq', k) for k in range(3))}] AS fw, [{', '.join(_protein(_rc('oq'), k) for k in range(3))}] AS rv FROM pieces),
       s AS (SELECT qseqid, sseqid, line_no, list_transform(fw, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS a, list_transform(rv, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS b FROM w)
       SELECT qseqid, sseqid, line_no::INT AS line_no, list_max(a) AS fwd, (list_position(a, list_max(a)) - 1)::INT AS fwd_frame, list_max(b) AS rev, (list_position(b, list_max(b)) - 1)::INT AS rev_frame FROM s""",
+    "frame_anchors": f"""WITH {_PIECES}, aw AS (SELECT qseqid, sseqid, line_no, coalesce({_protein('pq')}, '') AS gp, [{', '.join(f"coalesce({_protein('oq', k)}, '')" for k in range(3))}] AS fw, [{', '.join(f"coalesce({_protein(_rc('oq'), k)}, '')" for k in range(3))}] AS rv
+        FROM pieces JOIN r ON ref_id = sseqid WHERE class = 'gene'),
+      split AS (SELECT *, {_windows('gp', 3, 3)} AS ws FROM aw), am AS (SELECT *, list_transform(fw, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS a, list_transform(rv, lambda q: {_found('ws', 'q')}::DOUBLE / len(ws)) AS b FROM split),
+      ap AS (SELECT qseqid, sseqid, line_no, gp, length(gp) AS n, list_max(a) AS fwd, list_max(b) AS rev, CASE WHEN list_max(a) > list_max(b) THEN fw[list_position(a, list_max(a))] ELSE rv[list_position(b, list_max(b))] END AS pr FROM am),
+      ak AS (SELECT *, CASE WHEN n >= 4 AND contains(pr, substr(gp, 2, 3)) THEN instr(pr, substr(gp, 2, 3)) - 1
+          ELSE list_filter(list_transform(range(2, n - 2), lambda i: CASE WHEN contains(pr, substr(gp, (i + 1)::INT, 3)) THEN instr(pr, substr(gp, (i + 1)::INT, 3)) - 1 - i END), lambda x: x IS NOT NULL)[1] END AS near_start,
+        CASE WHEN n >= 4 AND contains(pr, substr(gp, n - 3, 3)) THEN instr(pr, substr(gp, n - 3, 3)) - 1
+          ELSE list_filter(list_transform(range(2, n - 2), lambda i: CASE WHEN contains(pr, substr(gp, (n - 2 - i)::INT, 3)) THEN instr(pr, substr(gp, (n - 2 - i)::INT, 3)) - 1 + i END), lambda x: x IS NOT NULL)[1] END AS near_end FROM ap),
+      tails AS (SELECT *, instr(substr(pr, near_end + 1), right(gp, 4)) AS tail, instr(substr(pr, near_end + 1), right(gp, 1)) - 1 AS one, instr(substr(pr, near_end + 1), '_') - 1 AS stop FROM ak),
+      ae AS (SELECT *, CASE WHEN one >= 0 THEN one + near_end ELSE -1 END AS spot, CASE WHEN stop >= 0 AND stop + near_end > 0 THEN least(stop + near_end, near_end + 5) ELSE length(pr) END AS bound FROM tails),
+      placed AS (SELECT *, CASE WHEN instr(pr, right(gp, 4)) - 1 > 0 AND tail > 0 THEN tail - 1 + near_end + 3
+          ELSE greatest(spot, coalesce(list_max(list_filter(range(greatest(spot, 0), bound), lambda i: substr(pr, (i + 1)::INT, 1) = right(gp, 1))), -1)) END AS place FROM ae)
+      SELECT qseqid, sseqid, line_no::INT AS line_no, fwd, rev, fwd < 0.5 AND rev < 0.5 AS gated, near_start::INT AS near_start, near_end::INT AS near_end,
+        (CASE WHEN near_end IS NOT NULL THEN CASE WHEN place < 0 THEN 0 ELSE length(pr) * 3 - (place * 3 + 2) - 1 END END)::INT AS match_end FROM placed""",
     "start_codons": f"""WITH {_R0} SELECT ref_id, {_last('seq', "'ATG'", '3 * (length(seq) // 6)')} AS atg, {_last('seq', 'substr(seq, 1, 3)', '3 * (length(seq) // 6) + 1')} AS own FROM r""",
     "find_all": f"""WITH {_R0}, {_G} SELECT genome_id, ref_id, list_filter(range(0, greatest(0, length(g.seq) - length(m) + 1)), lambda i: substr(g.seq, (i + 1)::INT, length(m)) = m) AS places
       FROM g JOIN (SELECT ref_id, seq AS m FROM r WHERE seq <> '') ON contains(g.seq, m)""",

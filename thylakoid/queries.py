@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from thylakoid.functions import sequence as seq
-from thylakoid.operators import align, features, gapped, hits, intervals, motifs, orf, repeats, translated
+from thylakoid.operators import align, features, gapped, hits, intervals, motifs, orf, refine, repeats, translated
 from thylakoid.plans import annotate, inputs
 from thylakoid.plans.counters import Counters
 from thylakoid.plans.cuts import cut, shared_folder
@@ -377,6 +377,14 @@ def translated_pairs(spark: SparkSession, d: str) -> DataFrame:
     return hits.hit_pairs(found).join(hits.hsp_coverage(found, _genes(spark, d)), ["qseqid", "sseqid"])
 
 
+@query
+def frame_anchors(spark: SparkSession, d: str) -> DataFrame:
+    """Where the ends of each hit's gene lie in the hit's better frame, and whether the hit passes the gate."""
+    genes = _genes(spark, d).select(F.col("ref_id").alias("sseqid"))
+    rows = _pieces(spark, d).join(genes, "sseqid", "left_semi").select("qseqid", "sseqid", "line_no", refine.frame_anchors(F.col("oq"), F.col("pq")).alias("a"))
+    return rows.select("qseqid", "sseqid", "line_no", "a.*")
+
+
 @query
 def refine_exon(spark: SparkSession, d: str) -> DataFrame:
     genomes, refs = inputs.genomes(spark, d), inputs.references(spark, d).filter("class = 'gene'")
