@@ -156,6 +156,18 @@ def test_components_against_brute_force(spark, texts, monkeypatch, n, num):
     assert got == brute_components(texts, n, num, 100)
 
 
+def test_components_of_very_many_sets(spark, texts, monkeypatch):
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, jaccard.jaccard_components(docs(spark, texts), n=4, num=85).collect())) == brute_components(texts, 4, 85, 100)
+
+
+def test_shuffle_files_go_with_their_query(spark, texts, tmp_path):
+    stored = lambda: spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+    before = stored()
+    assert jaccard.jaccard_components(docs(spark, texts), n=4, num=85).count() == len(texts)
+    assert stored() <= before
+
+
 def test_components_of_odd_tables(spark):
     assert jaccard.jaccard_components(docs(spark, []).limit(0)).count() == 0
     rows = spark.createDataFrame([(None, "a b"), (None, "a b"), (3, "A  b"), (None, None)], "doc_id long, text string")

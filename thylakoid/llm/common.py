@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, VariantType
 
 from thylakoid.plans.cuts import cut as durable
-from thylakoid.plans.cuts import remove, shared_folder
+from thylakoid.plans.cuts import let_go, remove, shared_folder
 
-__all__ = ["BROADCAST_ROWS", "bounded_batches", "cumulative", "durable", "fresh", "remove", "repeated", "row_hash", "shared_folder", "sized_join", "skewed_join", "table"]
+__all__ = ["BROADCAST_ROWS", "bounded_batches", "cumulative", "durable", "fresh", "let_go", "remove", "repeated", "row_hash", "shared_folder", "sized_join", "skewed_join", "table"]
 
 #: Arrow batches to Python workers are cut at this size, so that long texts can't pile up.
 ARROW_BYTES = 8 << 20

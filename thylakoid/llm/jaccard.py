@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from thylakoid.llm import bloom
-from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable, fresh, row_hash, sized_join, skewed_join
+from thylakoid.llm.common import BROADCAST_ROWS, bounded_batches, durable, fresh, let_go, row_hash, sized_join, skewed_join
 from thylakoid.llm.components import Forest, components
 from thylakoid.llm.textkit import LOWER, U64, as_long, blocks, combine, find_words, hash_spans, mix, ngrams
 
@@ -211,6 +211,7 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
     """Every row of ``docs`` (its other columns, ``set_id``, ``n_shingles``), and ``node`` and ``root`` of linked sets."""
     spark = docs.sparkSession
     bounded_batches(spark)
+    let_go(spark)
     others = [c for c in docs.columns if c != text]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != text)
 
@@ -254,16 +255,18 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
     members = pairs.union(pairs.select("grp", F.col("grp").alias("set_id")).distinct())
 
     wanted = durable(members.select("set_id").distinct())
-    few = wanted.count() <= BROADCAST_ROWS
-    ids = spark.sparkContext.broadcast({r[0] for r in wanted.toLocalIterator()} if few else None)
+    # few names are sent as they are; of many a filter is, so that hardly any other set leaves its task
+    n_wanted = wanted.count()
+    few = n_wanted <= BROADCAST_ROWS
+    ids = spark.sparkContext.broadcast({r[0] for r in wanted.toLocalIterator()} if few else bloom.build(wanted, "set_id", n_wanted))
 
     def give_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = ids.value
         for batch in batches:
-            seen: dict[int, np.ndarray] = {}
-            for s in shingle_sets(batch.column(0), n):
-                if len(s) and ((name := set_id(s)) in keep if keep is not None else True):
-                    seen[name] = s
+            seen = {set_id(s): s for s in shingle_sets(batch.column(0), n) if len(s)}
+            names = np.array(list(seen), dtype=np.int64)
+            held = [x in keep for x in seen] if few else bloom.may_hold(keep, names.view(U64))
+            seen = {x: seen[x] for x in names[held].tolist()}
             if seen:
                 ends = np.cumsum([0, *map(len, seen.values())]).astype(np.int32)
                 tokens = pa.ListArray.from_arrays(pa.array(ends), as_long(np.concatenate(list(seen.values()))))
