@@ -142,3 +142,21 @@ def test_counters_are_taken_by_the_run(spark):
     empty = Counters()
     empty.on(spark.range(0), "seen", odd=F.col("id") % 2 == 1).collect()
     assert empty.found() == {"seen_rows": 0, "seen_odd": 0}
+
+
+def test_genomes_share_files(spark, genomes, tmp_path):
+    rows, path = genomes.withColumn("id", F.concat(F.lit("x\ty"), F.col("genome_id").cast("string"))).coalesce(1), f"file://{tmp_path}"
+    writers.write_fasta(rows, f"{path}/f", together=True)
+    assert not list((tmp_path / "f").glob("genome_id=*"))
+    assert sorted(map(tuple, readers.read_fasta(spark, f"{path}/f", together=True).select("genome_id", "id", "seq").collect())) == sorted((str(g), f"x\ty{g}", s) for g, s in GENOMES)
+    assert {(r.genome_id, r.seq) for r in readers.read_genome(spark, f"{path}/f", together=True).collect()} == {(str(g), s) for g, s in GENOMES}
+    frames.write_frames(frames.genome_stream(spark, f"{path}/f", together=True), f"{path}/out", f"{path}/state").awaitTermination()
+    found = orf.find_orfs(genomes)
+    want = sorted((str(r.genome_id), r.orf_id, r.start0, r.end0) for r in found.collect())
+    assert sorted((r.genome_id, r.orf_id, r.start0, r.end0) for r in spark.read.parquet(f"{path}/out").collect()) == want
+    writers.write_orfs(found, f"{path}/c", together=True)
+    assert sorted((r.genome_id, r.orf_id, r.start0, r.end0) for r in readers.read_orf_coordinates(spark, f"{path}/c", together=True).collect()) == want
+    spans = [(1, "b", 20, 30, "-"), (1, "a", 3, 9, "+"), (-2, "c", 1, 5, "+")]
+    writers.write_features(spark.createDataFrame(spans, "genome_id long, name string, start int, end int, strand string"), f"{path}/t", together=True)
+    assert sorted((int(r.genome_id), r.name, r.start, r.end, r.strand) for r in readers.read_features(spark, f"{path}/t", together=True).collect()) == sorted(spans)
+    assert [x for x in lines(tmp_path / "t") if x.startswith("1\t")] == ["1\ta\t3\t9\t+", "1\tb\t20\t30\t-"]

@@ -1,6 +1,7 @@
 """Readers of the flat files: FASTA, frames, features, hits, assignments, GFF3, GenBank.
 
-Schemas are declared, never inferred.  Lines that can't be read are left out.
+Schemas are declared, never inferred.  Lines that can't be read are left out.  ``together`` reads
+what the writers write so: ``genome_id`` (as text) is what stands before the first tab.
 """
 
 from __future__ import annotations
@@ -16,7 +17,12 @@ FEATURES = "name string, start int, end int, strand string"
 HITS = "qseqid string, sseqid string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double"
 
 
-def read_fasta(spark: SparkSession, path: str) -> DataFrame:
+def _genome(value: Column) -> tuple[Column, Column]:
+    """What stands before the first tab and what after it."""
+    return F.substring_index(value, "\t", 1), F.regexp_replace(value, "^[^\t]*\t", "")
+
+
+def read_fasta(spark: SparkSession, path: str, together: bool = False) -> DataFrame:
     """``id`` (the header without ``>``) and ``seq``; records of one id are joined in file order.
 
     Records are cut at line starts with ``>`` by the reader itself, so a large file is read in
@@ -29,6 +35,9 @@ def read_fasta(spark: SparkSession, path: str) -> DataFrame:
     record = F.regexp_replace("value", "^>", "")
     rows = rows.select(*parts, "file", "at", "n", F.regexp_extract(record, "^([^\n]*)", 1).alias("id"), F.regexp_replace(F.regexp_replace(record, "^[^\n]*\n?", ""), "\n", "").alias("seq"))
     rows = rows.filter("id <> '' or seq <> ''")
+    if together:
+        genome, name = _genome(F.col("id"))
+        rows, parts = rows.withColumn("genome_id", genome).withColumn("id", name), [*parts, "genome_id"]
     return rows.groupBy(*parts, "id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "at", "n", "seq"))), lambda r: r.seq), "").alias("seq"))
 
 
@@ -37,15 +46,21 @@ def sequence_lines(text: Column) -> Column:
     return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~x.startswith(">")), "")
 
 
-def read_genome(spark: SparkSession, path: str) -> DataFrame:
-    """``file`` and ``seq``: all sequence lines of each file as one string."""
+def read_genome(spark: SparkSession, path: str, together: bool = False) -> DataFrame:
+    """``file`` and ``seq``: all sequence lines of each file as one string; with ``together`` ``genome_id`` and those of each genome, records in order of their names."""
+    if together:
+        records = F.array_sort(F.collect_list(F.struct("id", "seq")))
+        return read_fasta(spark, path, True).groupBy("genome_id").agg(F.array_join(F.transform(records, lambda r: r.seq), "").alias("seq"))
     files = spark.read.text(path, wholetext=True)
     return files.select(F.col("_metadata.file_path").alias("file"), sequence_lines(F.col("value")).alias("seq"))
 
 
-def _fields(spark: SparkSession, path: str) -> DataFrame:
+def _fields(spark: SparkSession, path: str, together: bool = False) -> DataFrame:
     """Lines split at white space, with their place in the file."""
     rows = spark.read.text(path)
+    if together:
+        genome, line = _genome(F.col("value"))
+        rows = rows.select(genome.alias("genome_id"), line.alias("value"))
     rows = rows.withColumn("line_no", F.monotonically_increasing_id())
     return rows.withColumn("f", F.split(F.trim("value"), r"\s+"))
 
@@ -55,9 +70,9 @@ def _parts(rows: DataFrame) -> list[str]:
     return [c for c in rows.columns if c not in ("value", "line_no", "f")]
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
+def read_features(spark: SparkSession, path: str, together: bool = False) -> DataFrame:
     """Feature table: name, start, end, strand, and ``line_no``."""
-    rows = _fields(spark, path).filter(F.size("f") >= 4)
+    rows = _fields(spark, path, together).filter(F.size("f") >= 4)
     return rows.select(*_parts(rows), F.get("f", 0).alias("name"), F.expr("try_cast(f[1] as int)").alias("start"), F.expr("try_cast(f[2] as int)").alias("end"), F.get("f", 3).alias("strand"), "line_no").filter("start is not null and end is not null")
 
 
@@ -66,9 +81,9 @@ def read_hits(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, sep="\t", schema=HITS, mode="DROPMALFORMED").withColumn("line_no", F.monotonically_increasing_id())
 
 
-def read_orf_coordinates(spark: SparkSession, path: str) -> DataFrame:
+def read_orf_coordinates(spark: SparkSession, path: str, together: bool = False) -> DataFrame:
     """``orf_id``, ``start0``, ``end0`` from lines ``id start-end``."""
-    rows = _fields(spark, path).filter(F.size("f") >= 2)
+    rows = _fields(spark, path, together).filter(F.size("f") >= 2)
     part = lambda i: F.regexp_extract(F.get("f", 1), r"(\d+)-(\d+)", i)
     return rows.filter(part(1) != "").select(*_parts(rows), F.get("f", 0).alias("orf_id"), part(1).cast("int").alias("start0"), part(2).cast("int").alias("end0"))
 
@@ -156,8 +171,10 @@ def parse_genbank(records: DataFrame, compat: bool = False) -> DataFrame:
     return records.select("genome_id", "value").mapInPandas(run, f"genome_id {kind}, name string, start int, end int, strand string, len int")
 
 
-def read_gff3(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Features and lengths of GFF3 files, as ``parse_gff3`` gives them; a genome is known by its file."""
+def read_gff3(spark: SparkSession, path: str, together: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Features and lengths of GFF3 files, as ``parse_gff3`` gives them; a genome is known by its file, with ``together`` by the first column."""
+    if together:
+        return parse_gff3(spark.read.text(path).select(F.regexp_extract("value", r"^\s*(\S+)", 1).alias("genome_id"), "value"))
     return parse_gff3(spark.read.text(path).select(F.col("_metadata.file_path").alias("genome_id"), "value"))
 
 

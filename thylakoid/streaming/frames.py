@@ -14,8 +14,15 @@ from thylakoid.operators.orf import find_orfs
 from thylakoid.sources.readers import sequence_lines
 
 
-def genome_stream(spark: SparkSession, path: str, files: int = 1000) -> DataFrame:
-    """A stream of ``genome_id`` (the file) and ``seq`` of FASTA files under ``path``, ``files`` of them at a time."""
+def genome_stream(spark: SparkSession, path: str, files: int = 1000, together: bool = False) -> DataFrame:
+    """A stream of ``genome_id`` (the file) and ``seq`` of FASTA files under ``path``, ``files`` of them at a time.
+
+    With ``together`` each record is a genome, known by what stands before the first tab of its header.
+    """
+    if together:
+        records = spark.readStream.option("lineSep", "\n>").option("recursiveFileLookup", True).option("maxFilesPerTrigger", files).text(path)
+        text = F.concat(F.lit(">"), F.regexp_replace("value", "^>", ""))
+        return records.select(F.regexp_extract(text, "^>([^\t\n]*)", 1).alias("genome_id"), sequence_lines(text).alias("seq")).filter("genome_id <> ''")
     rows = spark.readStream.option("wholetext", True).option("recursiveFileLookup", True).option("maxFilesPerTrigger", files).text(path)
     return rows.select(F.col("_metadata.file_path").alias("genome_id"), sequence_lines(F.col("value")).alias("seq"))
 
