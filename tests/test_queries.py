@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from thylakoid import queries
+from thylakoid.functions import sequence
 from thylakoid.functions.sequence import code
 from thylakoid.operators import align, motifs, orf
 from thylakoid.plans import inputs
@@ -67,3 +68,18 @@ def test_short_genomes_have_regions(spark, given):
         got.setdefault(r.genome_id, set()).add(r.name)
     whole = {"IRB", "SSC", "IRA", "FULL"}  # the repeat begins the genome, so LSC is empty
     assert got == {1: whole, 2: whole, 3: {"FULL"}, 4: {"FULL"}}
+
+
+def test_nested_frames_make_no_pairs(spark):
+    rng = random.Random(9)
+    rows = [(g, f"orf{i}{'-r' * (i % 2)}", s, s + n, n + 1) for g in (1, 2, None) for i in range(60) for s, n in [(rng.randrange(150), rng.randrange(6, 50))]]
+    frames = spark.createDataFrame(rows, "genome_id long, orf_id string, start0 int, end0 int, nt int").withColumn("more", F.lit("x"))
+
+    def nested(g, name, a, b, nt):
+        over = {x for h, o, s, e, n in rows if h == g and (n > nt or n == nt and o < name) for x in range(max(a, s), min(b, e) + 1)}
+        return g is not None and len(over) / max(b - a, 1) >= 0.9
+
+    kept = orf.nested_filter(frames, 0.9)
+    assert sorted((str(r.genome_id), r.orf_id) for r in kept.collect()) == sorted((str(r[0]), r[1]) for r in rows if not nested(*r))
+    assert kept.columns == frames.columns and "Join" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert orf.nested_filter(frames.limit(0), 0.9).collect() == []
