@@ -70,6 +70,25 @@ def test_short_genomes_have_regions(spark, given):
     assert got == {1: whole, 2: whole, 3: {"FULL"}, 4: {"FULL"}}
 
 
+def test_scores_of_first_frames_are_those_of_each_pair(spark, given):
+    rng = random.Random(8)
+    make = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    shared = make(60)
+    genomes = [(i, make(rng.randrange(40)) + shared[rng.randrange(9) :] + make(90) + "N" + shared[:40]) for i in range(6)] + [(7, None), (8, "ACGT")]
+    refs = [(f"r{i}", "f", 1, "gene", make(i) + shared + make(20 * i)) for i in range(4)]
+    given(genomes, refs)
+    frames = orf.find_orfs(inputs.genomes(), sequences=True).select(F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id").alias("qseqid"), F.col("seq").alias("o"))
+    pairs = queries.protein_pairs(spark, "").join(frames, "qseqid").join(inputs.references().select(F.col("ref_id").alias("sseqid"), F.col("seq").alias("p")), "sseqid")
+    pairs = pairs.select("qseqid", "sseqid", sequence.translate_dna(F.col("o")).alias("o"), sequence.translate_dna(F.col("p")).alias("p"))
+    for query, score in ((queries.score_protein, sequence.kmer_score), (queries.score_protein_legacy, sequence.kmer_score_legacy)):
+        want = pairs.select("qseqid", "sseqid", score(F.col("o"), F.col("p")).alias("score")).collect()
+        found = query(spark, "")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want)) and len(want) > 20
+        assert len({r.score for r in want}) > 5
+        assert "Join" not in found._jdf.queryExecution().executedPlan().toString()  # no pair is moved with its sequences
+
+
+
 def test_nested_frames_make_no_pairs(spark):
     rng = random.Random(9)
     rows = [(g, f"orf{i}{'-r' * (i % 2)}", s, s + n, n + 1) for g in (1, 2, None) for i in range(60) for s, n in [(rng.randrange(150), rng.randrange(6, 50))]]

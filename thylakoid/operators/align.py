@@ -17,10 +17,10 @@ from typing import NamedTuple
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from thylakoid.functions.sequence import COMPLEMENT, STOP, amino_acids, as_bytes, frame_protein, revcomp
+from thylakoid.functions.sequence import COMPLEMENT, STOP, amino_acids, as_bytes, frame_protein, revcomp, translate_dna
 from thylakoid.operators.orf import MORE_THAN, ROWS_OUT, runs
 from thylakoid.plans.cuts import cut
 
@@ -319,20 +319,45 @@ def _scores(postings: np.ndarray, n: int, pairs: Place, refs: References) -> np.
     return best / refs.lengths[pairs.ref]
 
 
-def _reference_blocks(refs: DataFrame, k: int, limit: int, compat: bool) -> list[References]:
+def _first_postings(letters: np.ndarray, refs: References, period: int) -> np.ndarray:
+    """As ``_postings``, of the sequence's own strand alone: sorted numbers of (reference, place modulo ``period``, place)."""
+    window = _windows(amino_acids(letters), 3)
+    spot, times = _ranges(refs.window_first[window], refs.window_first[window + 1])
+    place = np.repeat(np.arange(len(window)), times)
+    return np.sort((refs.window_ref[spot] * period + place % period) * len(letters) + place)
+
+
+def _first_scores(postings: np.ndarray, n: int, pairs: Place, refs: References, period: int) -> np.ndarray:
+    """For each pair how many windows of the frame's slice, read from its first base, the reference has, by the reference's length.
+
+    With a ``period`` of 9 only windows that don't overlap count, as the part of the frame's that
+    are found, times the ratio of lengths.
+    """
+    low, high = pairs.low[pairs.frame], pairs.high[pairs.frame]
+    side = (pairs.ref * period + low % period) * n
+    many = np.searchsorted(postings, side + np.maximum(high - 8, low - 1), side="right") - np.searchsorted(postings, side + low)
+    if period == 3:
+        return many / refs.lengths[pairs.ref]
+    residues = (high - low + 1) // 3
+    return many / (residues // 3) * (residues / refs.lengths[pairs.ref])
+
+
+def _reference_blocks(refs: DataFrame, k: int, limit: int, protein: Column) -> list[References]:
     """All references, in as many blocks as keep one to some ``limit`` words."""
-    held = cut(refs.select("ref_id", "seq", F.coalesce(frame_protein(F.col("seq"), compat), F.lit("")).alias("protein")))
+    held = cut(refs.select("ref_id", "seq", F.coalesce(protein, F.lit("")).alias("protein")))
     words = held.agg(F.sum(F.greatest(F.length("seq") - 3 * k + 1, F.lit(0)) * 2)).first()[0] or 0
     blocks = max(1, -(-words // max(1, limit)))
     return [References.of(held.filter(F.pmod(F.xxhash64("ref_id", "seq"), F.lit(blocks)) == b).toArrow(), k) for b in range(blocks)]
 
 
-def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None, k: int = 5, limit: int = SENT_WORDS, compat: bool = False, scored: bool = True) -> DataFrame:
+def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None, k: int = 5, limit: int = SENT_WORDS, compat: bool = False, rule: str | None = "six") -> DataFrame:
     """``qseqid``, ``sseqid`` and ``score`` of the frames of ``genomes`` and the references that share a k-residue word with them, of any frame of either.
 
     ``score`` is that of ``hits.score_pairs``: the best of a frame's six proteins, how many of its
     windows of three residues the reference's protein has, by the protein's length.  qseqid is
-    ``{genome}:{frame}``.  With ``least`` only pairs that reach it are made: a frame that has fewer
+    ``{genome}:{frame}``.  By the ``rule`` "first" the slice is read from its first base only, and so is
+    the reference; "legacy" is the same by windows that don't overlap, as ``kmer_score_legacy`` counts; None gives
+    no score.  With ``least`` (and "six") only pairs that reach it are made: a frame that has fewer
     windows than that isn't looked at.  No pair is scored by itself: the windows of a genome that
     references have are laid out once, by reference and place, and a frame's are a range of them.
 
@@ -341,7 +366,8 @@ def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None
     names are names like others.
     """
     kind = refs.schema["ref_id"].dataType.simpleString()
-    out = ["qseqid", "sseqid", *(["score"] if scored else [])]
+    out = ["qseqid", "sseqid", *(["score"] if rule else [])]
+    period = {"first": 3, "legacy": 9}.get(rule)
 
     def scan(block: References) -> DataFrame:
         shared = genomes.sparkSession.sparkContext.broadcast(block)
@@ -352,11 +378,13 @@ def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None
 
             def flush() -> pa.RecordBatch:
                 which = np.concatenate([*found, np.zeros(0, dtype=np.int64)])
-                done = pa.RecordBatch.from_arrays([pa.array(frames, pa.string()), refs.names.take(pa.array(which)), *([pa.array(np.concatenate([*score, np.zeros(0)]))] if scored else [])], out)
+                done = pa.RecordBatch.from_arrays([pa.concat_arrays([*frames, pa.array([], pa.string())]), refs.names.take(pa.array(which)), *([pa.array(np.concatenate([*score, np.zeros(0)]))] if rule else [])], out)
                 for x in (frames, found, score):
                     x.clear()
                 return done
 
+            waiting = 0
+
             for batch in batches:
                 for i in range(batch.num_rows):
                     genome, letters = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
@@ -369,29 +397,35 @@ def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None
                             pairs = pairs._replace(frame=pairs.frame[able], ref=pairs.ref[able])
                         if not len(pairs.frame):
                             continue
-                        if scored:
-                            postings = _postings(letters, refs) if postings is None else postings
-                            value = _scores(postings, len(letters), pairs, refs)
+                        if rule:
+                            if postings is None:
+                                postings = _first_postings(letters, refs, period) if period else _postings(letters, refs)
+                            value = _first_scores(postings, len(letters), pairs, refs, period) if period else _scores(postings, len(letters), pairs, refs)
                             if least is not None:
                                 good = value >= least
                                 pairs, value = pairs._replace(frame=pairs.frame[good], ref=pairs.ref[good]), value[good]
                             score.append(value)
                         head, tail = "" if genome is None else f"{genome}:", "-r" if back else ""
-                        frames.extend([f"{head}orf{n + 1}{tail}" for n in pairs.frame.tolist()])
+                        new = np.append(True, pairs.frame[1:] != pairs.frame[:-1])[: len(pairs.frame)]  # pairs are in order of their frames
+                        named = pa.array([f"{head}orf{n + 1}{tail}" for n in pairs.frame[new].tolist()], pa.string())
+                        frames.append(named.take(pa.array(np.cumsum(new) - 1)))
                         found.append(pairs.ref)
-                    if len(frames) > ROWS_OUT:
+                        waiting += len(pairs.ref)
+                    if waiting > ROWS_OUT:
                         yield flush()
+                        waiting = 0
             yield flush()
 
-        return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, f"qseqid string, sseqid {kind}" + (", score double" if scored else ""))
+        return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, f"qseqid string, sseqid {kind}" + (", score double" if rule else ""))
 
-    every = [scan(block) for block in _reference_blocks(refs, k, limit, compat)]
+    protein = translate_dna(F.col("seq")) if period else frame_protein(F.col("seq"), compat)
+    every = [scan(block) for block in _reference_blocks(refs, k, limit, protein)]
     return functools.reduce(DataFrame.unionByName, every)
 
 
 def frame_pairs(genomes: DataFrame, refs: DataFrame, k: int = 5, limit: int = SENT_WORDS, compat: bool = False) -> DataFrame:
     """``frame_scores`` without the scores: distinct pairs, for genomes and references of unique names."""
-    return frame_scores(genomes, refs, None, k, limit, compat, False)
+    return frame_scores(genomes, refs, None, k, limit, compat, None)
 
 
 def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
