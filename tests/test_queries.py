@@ -70,6 +70,18 @@ def test_short_genomes_have_regions(spark, given):
     assert got == {1: whole, 2: whole, 3: {"FULL"}, 4: {"FULL"}}
 
 
+def test_genbank_texts_are_bounded_and_records_numbered_through_their_file(spark, monkeypatch):
+    ids = [0, 50, 100, 5000, 5050, 7, 57, 20_007, 1_000_007]
+    rows = [(g, 10 * g % 90 + 1, 10 * g % 90 + 5, "+", f"g{g}", "g", 1.0, g) for g in ids]
+    columns = "genome_id long, start int, end int, strand string, name string, gene string, score double, load_order long"
+    monkeypatch.setattr(inputs, "features", lambda *_: spark.createDataFrame(rows, columns))
+    texts = queries._genbank_texts(spark, "", 2).collect()
+    assert max(t.value.count("LOCUS") for t in texts) == 2 and sum(t.value.count("LOCUS") for t in texts) == len(ids)
+    want = {(g % 50, sorted(i for i in ids if i % 50 == g % 50).index(g), f"g{g}") for g in ids}
+    monkeypatch.setattr(queries, "_genbank_texts", lambda *_, texts=queries._genbank_texts: texts(*_, 2))
+    assert {(r.file, r.record, r.name) for r in queries.genbank_sql(spark, "").collect()} == want
+
+
 def test_scores_of_first_frames_are_those_of_each_pair(spark, given):
     rng = random.Random(8)
     make = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
@@ -88,7 +100,6 @@ def test_scores_of_first_frames_are_those_of_each_pair(spark, given):
         assert "Join" not in found._jdf.queryExecution().executedPlan().toString()  # no pair is moved with its sequences
 
 
-
 def test_nested_frames_make_no_pairs(spark):
     rng = random.Random(9)
     rows = [(g, f"orf{i}{'-r' * (i % 2)}", s, s + n, n + 1) for g in (1, 2, None) for i in range(60) for s, n in [(rng.randrange(150), rng.randrange(6, 50))]]
