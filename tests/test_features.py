@@ -121,3 +121,13 @@ def test_annotation_of_a_small_genome(spark):
     assert ("trnI-GAU", 109, 156, "+") in found
     assert ("FULL", 1, len(genome), "+") in found
     assert ("Start~psbA", 1, 30, "+") in found and ("psbA~trnI-GAU", 79, 108, "+") in found
+
+
+def test_literal_gaps_of_many_genomes_are_read_in_one_pass(spark):
+    rows = [(g, s, s + 4, "+", n) for g in range(50) for s, n in ((10 + g, "A"), (20 + g, "B"))]
+    table = spark.createDataFrame(rows, "genome_id long, start int, end int, strand string, name string")
+    found = features.fill_gaps_compat(table, spark.createDataFrame([(g, 100) for g in range(50)], "genome_id long, len int"))
+    want = [(g, *x) for g in range(50) for x in ((1, 9 + g, "Start~A"), (15 + g, 19 + g, "A~B"), (25 + g, 100, "B~End"))]
+    assert sorted((r.genome_id, r.start, r.end, r.name) for r in found.collect()) == sorted(want)
+    assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()  # no call for each genome
+    assert features.fill_gaps_compat(table.limit(0), spark.createDataFrame([(1, 100)], "genome_id long, len int")).collect() == []

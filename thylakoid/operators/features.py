@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -9,6 +12,8 @@ from pyspark.sql import functions as F
 from thylakoid.functions.sequence import exon_gene, exon_number, feature_class, pieces, ref_id, revcomp
 from thylakoid.operators.intervals import last_written
 
+#: Rows that a task gathers before it lets go of them.
+ROWS_OUT = 100_000
 #: Words that mark a line as a region or an intron rather than a gene.
 REGION_WORDS = ["IRA", "IRB", "LSC", "SSC", "FULL", "intron"]
 
@@ -64,34 +69,47 @@ def fill_gaps(df: DataFrame, lengths: DataFrame, sep: str = "~") -> DataFrame:
     return inner.unionByName(ends).filter("start <= end and name is not null")
 
 
-def _literal_gaps(sep: str):
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        rows = part.sort_values(["start", "end", "strand"], kind="stable")
-        out, prev, until = {}, None, 0
-        for r in rows.itertuples():
-            gap = None
-            if prev is None:
-                out[(1, r.start - 1)] = f"Start{sep}{r.name}"
-            elif r.start - until > 0:
-                if "exon" in prev and "exon" in r.name and prev.rsplit("_exon", 1)[0] == r.name.rsplit("_exon", 1)[0]:
-                    pair = {prev.rsplit("_exon", 1)[1][:1], r.name.rsplit("_exon", 1)[1][:1]}
-                    if pair not in ({"1", "2"}, {"2", "3"}):
-                        continue
-                    gap = r.name.rsplit("_exon", 1)[0] + ("_intron1" if pair == {"1", "2"} else "_intron2")
-                else:
-                    gap = f"{prev}{sep}{r.name}"
-                out[(until + 1, r.start - 1)] = gap
-            prev, until = r.name, r.end
-        out[(until + 1, int(part["len"].iloc[0]))] = f"{prev}{sep}End"
-        return pd.DataFrame([(part["genome_id"].iloc[0], a, b, "+", n) for (a, b), n in out.items()], columns=["genome_id", "start", "end", "strand", "name"])
-
-    return run
+def _literal_gaps(rows: Iterator[tuple], sep: str) -> dict[tuple[int, int], str]:
+    """The gaps, by bounds, among the ``rows`` (genome_id, start, end, name, len) of one genome in order."""
+    out: dict[tuple[int, int], str] = {}
+    prev, until, length = None, 0, None
+    for _, start, end, name, length in rows:
+        if prev is None:
+            out[(1, start - 1)] = f"Start{sep}{name}"
+        elif start - until > 0:
+            if "exon" in prev and "exon" in name and prev.rsplit("_exon", 1)[0] == name.rsplit("_exon", 1)[0]:
+                pair = {prev.rsplit("_exon", 1)[1][:1], name.rsplit("_exon", 1)[1][:1]}
+                if pair not in ({"1", "2"}, {"2", "3"}):
+                    continue
+                gap = name.rsplit("_exon", 1)[0] + ("_intron1" if pair == {"1", "2"} else "_intron2")
+            else:
+                gap = f"{prev}{sep}{name}"
+            out[(until + 1, start - 1)] = gap
+        prev, until = name, end
+    out[(until + 1, int(length))] = f"{prev}{sep}End"
+    return out
 
 
 def fill_gaps_compat(df: DataFrame, lengths: DataFrame, sep: str = "~") -> DataFrame:
-    """Gaps by the literal rules: empty gaps are written, the end may move back, and two exons of a gene that aren't neighbours are passed over without moving on."""
+    """Gaps by the literal rules: empty gaps are written, the end may move back, and two exons of a gene that aren't neighbours are passed over without moving on.
+
+    Genomes are read one after the other from sorted partitions: a call for each of them took longer than its rows.
+    """
+    names = ["genome_id", "start", "end", "strand", "name"]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        found = []
+        rows = itertools.chain.from_iterable(part.itertuples(index=False, name=None) for part in parts)
+        for genome, of in itertools.groupby(rows, key=lambda r: r[0]):
+            found += [(genome, a, b, "+", name) for (a, b), name in _literal_gaps(of, sep).items()]
+            if len(found) > ROWS_OUT:
+                yield pd.DataFrame(found, columns=names)
+                found = []
+        yield pd.DataFrame(found, columns=names)
+
     rows = df.select("genome_id", F.col("start").cast("int"), F.col("end").cast("int"), "strand", "name").join(lengths.select("genome_id", F.col("len").cast("int")), "genome_id")
-    return rows.groupBy("genome_id").applyInPandas(_literal_gaps(sep), f"genome_id {df.schema['genome_id'].dataType.simpleString()}, start int, end int, strand string, name string")
+    rows = rows.repartition("genome_id").sortWithinPartitions("genome_id", "start", "end", F.asc_nulls_last("strand"), "name")
+    return rows.select("genome_id", "start", "end", "name", "len").mapInPandas(run, f"genome_id {df.schema['genome_id'].dataType.simpleString()}, start int, end int, strand string, name string")
 
 
 def is_region(name: Column, line: Column | None = None) -> Column:
