@@ -113,3 +113,19 @@ def test_nested_frames_make_no_pairs(spark):
     assert sorted((str(r.genome_id), r.orf_id) for r in kept.collect()) == sorted((str(r[0]), r[1]) for r in rows if not nested(*r))
     assert kept.columns == frames.columns and "Join" not in kept._jdf.queryExecution().executedPlan().toString()
     assert orf.nested_filter(frames.limit(0), 0.9).collect() == []
+
+
+def test_queries_bound_batches_and_joined_partitions(spark, given):
+    names = ["spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    given([(1, "ACGT")], [])
+    for name in names:
+        spark.conf.unset(name)
+    queries.QUERIES["revcomp"](spark, "")
+    assert [int(spark.conf.get(name)) for name in names] == [8 << 20, 16 << 20, 1024]
+    try:
+        spark.conf.set(names[1], "1m")
+        queries.QUERIES["revcomp"](spark, "")
+        assert spark.conf.get(names[1]) == "1m"  # a session's own choice stays
+    finally:
+        for name in names:
+            spark.conf.unset(name)

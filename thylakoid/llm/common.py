@@ -6,13 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StructType, VariantType
 
+from thylakoid.plans.cuts import bounded_batches
 from thylakoid.plans.cuts import cut as durable
 from thylakoid.plans.cuts import let_go, remove, shared_folder
 
 __all__ = ["BROADCAST_ROWS", "bounded_batches", "cumulative", "durable", "fresh", "let_go", "remove", "repeated", "row_hash", "shared_folder", "sized_join", "skewed_join", "table"]
 
-#: Arrow batches to Python workers are cut at this size, so that long texts can't pile up.
-ARROW_BYTES = 8 << 20
 #: Rows of at most a few dozen bytes that may be broadcast (some 30 MB).
 BROADCAST_ROWS = 500_000
 #: Rows of one key from which on it may be frequent, and frequent keys that there may be.
@@ -24,14 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, size: int = ARROW_BYTES) -> None:
-    """Cut what goes to Python workers by bytes, not only by rows: a session's tighter limit stays."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    found = spark.conf.get(name, None)
-    if found is None or not found.isdigit() or int(found) > size:
-        spark.conf.set(name, str(size))
-
-
 def fresh(df: DataFrame, name: str) -> str:
     """``name`` with as many underscores before it as make it a name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}
