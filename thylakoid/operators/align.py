@@ -79,9 +79,9 @@ def dna_words(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return at, word[at]
 
 
-def protein_words(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place, in bases, and packed word of each run of ``k`` residues in any frame; unknown residues are in none."""
-    residue = _RESIDUE[amino_acids(letters)] if len(letters) >= 3 else np.zeros(0, dtype=np.int64)
+def protein_words(amino: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Place, in bases, and packed word of each run of ``k`` residues in any frame, of the residue at each place; unknown residues are in none."""
+    residue = _RESIDUE[amino]
     n = max(0, len(residue) - 3 * (k - 1))
     word, sound = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
     for i in range(k):
@@ -233,7 +233,7 @@ class References(NamedTuple):
         word, owner, window, by = [], [], [], []
         for i, (seq, protein) in enumerate(zip(refs.column(1).to_pylist(), refs.column(2).to_pylist(), strict=True)):
             letters = as_bytes(seq)
-            found = np.unique(np.concatenate([protein_words(side, k)[1] for side in (letters, COMPLEMENT[letters[::-1]])]))
+            found = np.unique(np.concatenate([protein_words(amino_acids(side), k)[1] for side in (letters, COMPLEMENT[letters[::-1]])])) if len(letters) >= 3 else np.zeros(0, dtype=np.int64)
             word.append(found)
             owner.append(np.full(len(found), i))
             found = np.unique(_windows(as_bytes(protein), 1))
@@ -248,6 +248,10 @@ class References(NamedTuple):
 
 #: Windows of three residues, of five bits each.
 WINDOWS = 1 << 15
+#: Letters of genomes that are scored at once, entries of a table of frames and references, and words that are marked each.
+LETTERS, DENSE, MARKED = 1 << 16, 1 << 22, 1 << 23
+#: How far apart the windows are that are counted, by the rules that read a frame from its first base only.
+PERIODS = {"first": 3, "legacy": 9}
 
 
 def _windows(residues: np.ndarray, step: int) -> np.ndarray:
@@ -256,90 +260,170 @@ def _windows(residues: np.ndarray, step: int) -> np.ndarray:
     return (r[: -2 * step] << 10) | (r[step:-step] << 5) | r[2 * step :] if len(r) > 2 * step else r[:0]
 
 
-class Place(NamedTuple):
-    """A genome's frames of one strand in forward coordinates, and the pairs (frame number, reference) that share a word."""
+class Block(NamedTuple):
+    """Genomes one after the other, each from a multiple of three on: where each begins, how long it is, the genome of each place and its bases from there on, and both strands with their residues."""
 
+    base: np.ndarray
+    size: np.ndarray
+    of: np.ndarray
+    left: np.ndarray
+    strands: list[np.ndarray]
+    amino: list[np.ndarray]
+
+    @classmethod
+    def of_genomes(cls, genomes: list[np.ndarray]) -> Block:
+        size = np.array([len(g) for g in genomes], dtype=np.int64)
+        room = (size // 3 + 2) * 3
+        base = np.cumsum(room) - room
+        strands = [np.zeros(int(room.sum()), dtype=np.uint8) for _ in range(2)]  # what lies between is in no codon
+        for at, letters in zip(base.tolist(), genomes, strict=True):
+            strands[0][at : at + len(letters)] = letters
+            strands[1][at : at + len(letters)] = COMPLEMENT[letters[::-1]]
+        of = np.repeat(np.arange(len(genomes)), room)
+        return cls(base, size, of, (base + size)[of] - np.arange(len(of)), strands, [amino_acids(x) for x in strands])
+
+    def turned(self, place: np.ndarray, width: int = 1) -> np.ndarray:
+        """Where what begins at a place on one strand and is ``width`` long begins on the other."""
+        return self.base[self.of[place]] + self.left[place] - width
+
+
+class Frames(NamedTuple):
+    """Frames by genome, strand and number: these three, the first and last base on the forward strand, and the track, strand and phase, whose frames don't meet."""
+
+    genome: np.ndarray
+    back: np.ndarray
+    number: np.ndarray
     low: np.ndarray
     high: np.ndarray
-    frame: np.ndarray
-    ref: np.ndarray
+    track: np.ndarray
 
 
-def _pairs_of(letters: np.ndarray, refs: References, k: int, compat: bool, shortest: float = 0) -> Iterator[tuple[bool, Place]]:
-    """The pairs of a genome, of either strand's frames of ``shortest`` bases or more."""
+def _frames_of(block: Block, compat: bool) -> Frames:
     sides = []
-    for back in (False, True):
-        _, start, end = runs(COMPLEMENT[letters[::-1]] if back else letters, MORE_THAN, compat)
-        low, high = (len(letters) - 1 - end, len(letters) - 1 - start) if back else (start, end)
-        sides.append((back, low.astype(np.int64), high.astype(np.int64), np.flatnonzero(high - low + 1 >= shortest)))
-    if not any(len(long) for *_, long in sides):
-        return
-    places, owners = [], []
-    for back in (False, True):
-        at, word = protein_words(COMPLEMENT[letters[::-1]] if back else letters, k)
-        slot = np.minimum(np.searchsorted(refs.words, word), len(refs.words) - 1)
-        at, slot = at[refs.words[slot] == word], slot[refs.words[slot] == word]
-        spot, times = _ranges(refs.first[slot], refs.first[slot + 1])
-        places.append(np.repeat(len(letters) - 3 * k - at if back else at, times))
-        owners.append(refs.ref[spot])
-    place, owner = np.concatenate(places), np.concatenate(owners)
-    by = np.argsort(place, kind="stable")
-    place, owner = place[by], owner[by]
-    for back, low, high, long in sides:
-        x = np.searchsorted(place, low[long])
-        spot, times = _ranges(x, np.maximum(x, np.searchsorted(place, high[long] - 3 * k + 1, side="right")))
-        pairs = np.unique(np.repeat(long, times) * len(refs.names) + owner[spot])
-        yield back, Place(low, high, pairs // len(refs.names), pairs % len(refs.names))
-
-
-def _postings(letters: np.ndarray, refs: References) -> np.ndarray:
-    """Sorted numbers of (reference, strand and phase, place) for each window of nine bases that a reference's protein has, by the place of its first base on its own strand."""
-    n, found = len(letters), []
-    for back in (False, True):
-        window = _windows(amino_acids(COMPLEMENT[letters[::-1]] if back else letters), 3)
-        spot, times = _ranges(refs.window_first[window], refs.window_first[window + 1])
-        place = np.repeat(np.arange(len(window)), times)
-        found.append(((refs.window_ref[spot] * 6 + 3 * back + place % 3) * n) + place)
-    return np.sort(np.concatenate(found))
-
-
-def _scores(postings: np.ndarray, n: int, pairs: Place, refs: References) -> np.ndarray:
-    """For each pair the best of six frames: how many of its windows the reference has, by the reference's length.
-
-    A frame's windows are ranges of the postings, so a pair costs two searches for each of six.
+    for back in (0, 1):
+        frame, start, end = (x.astype(np.int64) for x in runs(block.strands[back], MORE_THAN, False))
+        genome = block.of[start]
+        if compat:  # a run that is still open at the end of frame 2 is dropped
+            after = block.left[end] - 1
+            kept = (frame != 2) | ((block.size[genome] - 2) % 3 == 2) | (after >= 3) | (block.amino[back][end - 2] == ord(STOP))
+            frame, start, end, genome = frame[kept], start[kept], end[kept], genome[kept]
+        low, high = (block.turned(end), block.turned(start)) if back else (start, end)
+        order = np.argsort(genome, kind="stable")
+        number = np.arange(len(genome)) - np.searchsorted(genome[order], np.arange(len(block.base)))[genome[order]]
+        sides.append((genome[order], np.full(len(genome), back), number, low[order], high[order], 3 * back + frame[order]))
+    every = [np.concatenate(x) for x in zip(*sides, strict=True)]
+    order = np.argsort(every[0], kind="stable")
+    return Frames(*[x[order] for x in every])
+
+
+def _holders(frames: Frames, track: int, width: int, places: int) -> np.ndarray:
+    """At each place the frame of a track that holds ``width`` bases from there on; the number of frames where none does."""
+    which = np.flatnonzero((frames.track == track) & (frames.high - frames.low + 1 >= width))
+    which = which[np.argsort(frames.low[which])]
+    low, after = frames.low[which], frames.high[which] - width + 2
+    value, times = np.full(2 * len(which) + 1, len(frames.low)), np.zeros(2 * len(which) + 1, dtype=np.int64)
+    value[1::2], times[1::2] = which, after - low
+    times[0::2] = np.append(low, places) - np.append(0, after)
+    return np.repeat(value, times)
+
+
+def _windows_in(block: Block, back: int, refs: References, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Forward place and reference of each window of nine bases of a strand that a reference's protein has, of the ``wanted`` forward places."""
+    window = _windows(block.amino[back], 3)
+    at = np.flatnonzero(block.left[: len(window)] >= 9)
+    place = block.turned(at, 9) if back else at
+    if wanted is not None:
+        held = wanted[place]
+        at, place = at[held], place[held]
+    first = refs.window_first[window[at]]
+    spot, times = _ranges(first, refs.window_first[window[at] + 1])
+    return np.repeat(place, times), refs.window_ref[spot]
+
+
+def _words_in(block: Block, back: int, refs: References, k: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward place and reference of each word of a strand that a reference has, in any frame of either; ``known`` marks the words that any has."""
+    at, word = protein_words(block.amino[back], k)
+    held = known[word] if len(known) > 1 else np.ones(len(word), dtype=bool)
+    at, word = at[held], word[held]
+    slot = np.minimum(np.searchsorted(refs.words, word), len(refs.words) - 1)
+    held = refs.words[slot] == word
+    at, slot = at[held], slot[held]
+    spot, times = _ranges(refs.first[slot], refs.first[slot + 1])
+    return np.repeat(block.turned(at, 3 * k) if back else at, times), refs.ref[spot]
+
+
+def _known(refs: References, k: int) -> np.ndarray:
+    """A mark for each word that any reference has, if words are short enough for that."""
+    known = np.zeros(22**k if 22**k <= MARKED else 1, dtype=bool)
+    if len(known) > 1:
+        known[refs.words] = True
+    return known
+
+
+def _pairs_of(block: Block, refs: References, k: int, compat: bool, least: float | None, rule: str | None, known: np.ndarray) -> tuple[Frames, np.ndarray, np.ndarray, np.ndarray | None]:
+    """Frames of a block, of the length that ``least`` asks for, and of its pairs the frame, the reference and the score by the ``rule``.
+
+    A place lies in one frame of each of six tracks at most, so a word or a window is met with its
+    frames by looking these up, and the windows of pairs are counted; no pair is looked at by itself.
     """
-    low, high, best = pairs.low[pairs.frame], pairs.high[pairs.frame], np.zeros(len(pairs.frame), dtype=np.int64)
-    for back in (False, True):
-        start, last = (n - 1 - high, n - 1 - low) if back else (low, high)
-        for phase in range(3):
-            side = (pairs.ref * 6 + 3 * back + (start + phase) % 3) * n
-            begins = np.minimum(start + phase, last)
-            many = np.searchsorted(postings, side + np.maximum(last - 8, begins - 1), side="right") - np.searchsorted(postings, side + begins)
-            np.maximum(best, many, out=best)
-    return best / refs.lengths[pairs.ref]
-
-
-def _first_postings(letters: np.ndarray, refs: References, period: int) -> np.ndarray:
-    """As ``_postings``, of the sequence's own strand alone: sorted numbers of (reference, place modulo ``period``, place)."""
-    window = _windows(amino_acids(letters), 3)
-    spot, times = _ranges(refs.window_first[window], refs.window_first[window + 1])
-    place = np.repeat(np.arange(len(window)), times)
-    return np.sort((refs.window_ref[spot] * period + place % period) * len(letters) + place)
-
-
-def _first_scores(postings: np.ndarray, n: int, pairs: Place, refs: References, period: int) -> np.ndarray:
-    """For each pair how many windows of the frame's slice, read from its first base, the reference has, by the reference's length.
-
-    With a ``period`` of 9 only windows that don't overlap count, as the part of the frame's that
-    are found, times the ratio of lengths.
-    """
-    low, high = pairs.low[pairs.frame], pairs.high[pairs.frame]
-    side = (pairs.ref * period + low % period) * n
-    many = np.searchsorted(postings, side + np.maximum(high - 8, low - 1), side="right") - np.searchsorted(postings, side + low)
-    if period == 3:
-        return many / refs.lengths[pairs.ref]
-    residues = (high - low + 1) // 3
-    return many / (residues // 3) * (residues / refs.lengths[pairs.ref])
+    frames, n, places, wanted = _frames_of(block, compat), len(refs.names), len(block.of), None
+    if least is not None:
+        long = (frames.high - frames.low + 1) // 3 - 2 >= least * refs.lengths.min() - 1e-9
+        frames = Frames(*[x[long] for x in frames])
+    residues = (frames.high - frames.low + 1) // 3
+    dense = (len(residues) + 1) * n <= DENSE
+    marked, keys = np.zeros((len(residues) + 1) * n if dense else 0, dtype=bool), []
+    words = [np.concatenate(x) for x in zip(*[_words_in(block, back, refs, k, known) for back in (0, 1)], strict=True)]
+    for track in range(6):
+        key = _holders(frames, track, 3 * k, places)[words[0]] * n + words[1]
+        if dense:
+            marked[key] = True
+        else:
+            keys.append(np.unique(key))
+    pairs = np.flatnonzero(marked) if dense else np.unique(np.concatenate(keys))
+    pairs = pairs[: np.searchsorted(pairs, len(residues) * n)]
+    if least is not None:
+        pairs = pairs[residues[pairs // n] - 2 >= least * refs.lengths[pairs % n] - 1e-9]
+    frame, ref = pairs // n, pairs % n
+    if not rule or not len(pairs):
+        return frames, frame, ref, np.zeros(0) if rule else None
+    if least is not None:
+        some = np.unique(frame)
+        edge = np.bincount(frames.low[some], minlength=places + 1) - np.bincount(frames.high[some] + 1, minlength=places + 1)
+        wanted = np.cumsum(edge)[:places] > 0
+    period = PERIODS.get(rule)
+    number = np.full(len(marked), -1, dtype=np.int32)
+    if dense:
+        number[pairs] = np.arange(len(pairs), dtype=np.int32)
+    windows, sides = [_windows_in(block, back, refs, wanted) for back in ((0,) if period else (0, 1))], 1 if period else 6
+    phases, many = [(3 * back + place % 3).astype(np.int8) for back, (place, _) in enumerate(windows)], np.zeros(len(pairs) * sides, dtype=np.int64)
+    for track in range(6):
+        begins = _holders(frames, track, 9, places) * n
+        for (place, of), phase in zip(windows, phases, strict=True):
+            key = begins[place]
+            key += of
+            if dense:
+                which = number[key]
+                met = np.flatnonzero(which >= 0)
+            else:
+                which = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+                met = np.flatnonzero(pairs[which] == key)
+            which = which[met].astype(np.int64)
+            if period:
+                which = which[(place[met] - frames.low[frame[which]]) % period == 0]
+            else:
+                which *= 6
+                which += phase[met]
+            many += np.bincount(which, minlength=len(many))
+    if rule == "legacy":
+        size = residues[frame]
+        score = many / (size // 3) * (size / refs.lengths[ref])
+    else:
+        score = many.reshape(-1, sides).max(axis=1) / refs.lengths[ref]
+    if least is not None:
+        good = score >= least
+        frame, ref, score = frame[good], ref[good], score[good]
+    return frames, frame, ref, score
 
 
 def _reference_blocks(refs: DataFrame, k: int, limit: int, protein: Column) -> list[References]:
@@ -358,8 +442,8 @@ def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None
     ``{genome}:{frame}``.  By the ``rule`` "first" the slice is read from its first base only, and so is
     the reference; "legacy" is the same by windows that don't overlap, as ``kmer_score_legacy`` counts; None gives
     no score.  With ``least`` (and "six") only pairs that reach it are made: a frame that has fewer
-    windows than that isn't looked at.  No pair is scored by itself: the windows of a genome that
-    references have are laid out once, by reference and place, and a frame's are a range of them.
+    windows than that isn't looked at.  No pair is scored by itself: genomes are read in blocks, and the
+    windows that references have are counted for the frames that hold them.
 
     References are sent to the tasks in blocks of some ``limit`` words, so nothing but the pairs
     leaves a task, however many references there are.  Null and empty sequences have no pairs; null
@@ -367,58 +451,46 @@ def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None
     """
     kind = refs.schema["ref_id"].dataType.simpleString()
     out = ["qseqid", "sseqid", *(["score"] if rule else [])]
-    period = {"first": 3, "legacy": 9}.get(rule)
 
     def scan(block: References) -> DataFrame:
         shared = genomes.sparkSession.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            refs, frames, found, score = shared.value, [], [], []
-            shortest = 3 * (least * refs.lengths.min() + 2 - 1e-9) if least is not None and len(refs.lengths) else 0
-
-            def flush() -> pa.RecordBatch:
-                which = np.concatenate([*found, np.zeros(0, dtype=np.int64)])
-                done = pa.RecordBatch.from_arrays([pa.concat_arrays([*frames, pa.array([], pa.string())]), refs.names.take(pa.array(which)), *([pa.array(np.concatenate([*score, np.zeros(0)]))] if rule else [])], out)
-                for x in (frames, found, score):
-                    x.clear()
-                return done
-
-            waiting = 0
+            refs = shared.value
+            known = _known(refs, k)
+            names: list[str | None] = []
+            waiting: list[np.ndarray] = []
+            letters = LETTERS * WINDOWS // (WINDOWS + 2 * len(refs.window_ref))  # so that a block's windows are bounded
+
+            def flush() -> Iterator[pa.RecordBatch]:
+                frames, frame, ref, score = _pairs_of(Block.of_genomes(waiting), refs, k, compat, least, rule, known)
+                new = np.flatnonzero(np.append(True, frame[1:] != frame[:-1])[: len(frame)])  # pairs are in order of their frames
+                heads = ["" if x is None else f"{x}:" for x in names]
+                one = [frames.genome[frame[new]], frames.number[frame[new]], frames.back[frame[new]]]
+                named = pa.array([f"{heads[g]}orf{i + 1}{'-r' if back else ''}" for g, i, back in zip(*[x.tolist() for x in one], strict=True)], pa.string())
+                which = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(frame))))
+                for x in range(0, len(frame), ROWS_OUT):
+                    part = slice(x, x + ROWS_OUT)
+                    yield pa.RecordBatch.from_arrays([named.take(pa.array(which[part])), refs.names.take(pa.array(ref[part])), *([pa.array(score[part])] if rule else [])], out)
 
             for batch in batches:
-                for i in range(batch.num_rows):
-                    genome, letters = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
-                    if len(letters) < 3 * k or not len(refs.words):
+                for i in range(batch.num_rows if len(refs.words) else 0):
+                    genome, text = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
+                    if len(text) < 3 * k:
                         continue
-                    postings = None
-                    for back, pairs in _pairs_of(letters, refs, k, compat, shortest):
-                        if least is not None:
-                            able = (pairs.high - pairs.low + 1)[pairs.frame] // 3 - 2 >= least * refs.lengths[pairs.ref] - 1e-9
-                            pairs = pairs._replace(frame=pairs.frame[able], ref=pairs.ref[able])
-                        if not len(pairs.frame):
-                            continue
-                        if rule:
-                            if postings is None:
-                                postings = _first_postings(letters, refs, period) if period else _postings(letters, refs)
-                            value = _first_scores(postings, len(letters), pairs, refs, period) if period else _scores(postings, len(letters), pairs, refs)
-                            if least is not None:
-                                good = value >= least
-                                pairs, value = pairs._replace(frame=pairs.frame[good], ref=pairs.ref[good]), value[good]
-                            score.append(value)
-                        head, tail = "" if genome is None else f"{genome}:", "-r" if back else ""
-                        new = np.append(True, pairs.frame[1:] != pairs.frame[:-1])[: len(pairs.frame)]  # pairs are in order of their frames
-                        named = pa.array([f"{head}orf{n + 1}{tail}" for n in pairs.frame[new].tolist()], pa.string())
-                        frames.append(named.take(pa.array(np.cumsum(new) - 1)))
-                        found.append(pairs.ref)
-                        waiting += len(pairs.ref)
-                    if waiting > ROWS_OUT:
-                        yield flush()
-                        waiting = 0
-            yield flush()
+                    if waiting and held + len(text) > letters:
+                        yield from flush()
+                        names.clear()
+                        waiting.clear()
+                    held = (held if waiting else 0) + len(text)
+                    names.append(genome)
+                    waiting.append(text)
+            if waiting:
+                yield from flush()
 
         return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, f"qseqid string, sseqid {kind}" + (", score double" if rule else ""))
 
-    protein = translate_dna(F.col("seq")) if period else frame_protein(F.col("seq"), compat)
+    protein = translate_dna(F.col("seq")) if rule in PERIODS else frame_protein(F.col("seq"), compat)
     every = [scan(block) for block in _reference_blocks(refs, k, limit, protein)]
     return functools.reduce(DataFrame.unionByName, every)
 
