@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from thylakoid import queries
 from thylakoid.functions.sequence import code
 from thylakoid.operators import orf, translated
 from thylakoid.plans import annotate
@@ -135,3 +136,17 @@ def test_the_matrix_is_symmetric():
         letters = [w // 20**k % 20 for k in (3, 2, 1, 0)]
         want = {v for v in range(20**4) if sum(translated.SCORES[a, v // 20**k % 20] for a, k in zip(letters, (3, 2, 1, 0), strict=True)) >= 14}
         assert set(near[words == i].tolist()) == want
+
+
+def test_pairs_search_once(spark, monkeypatch):
+    refs = [(f"r{i}", f"r{i}", 1, "gene", gene(50)) for i in range(3)]
+    genomes = [(i, made(60) + refs[i % 3][4] + made(40)) for i in range(9)]
+    monkeypatch.setattr(queries.inputs, "genomes", lambda *_: spark.createDataFrame(genomes, "genome_id long, seq string").coalesce(1))
+    monkeypatch.setattr(queries.inputs, "references", lambda *_: spark.createDataFrame(refs, "ref_id string, feature string, guide_no int, class string, seq string"))
+    got = queries.translated_pairs(spark, "")
+    assert "PythonMapInArrow" not in got._jdf.queryExecution().logical().toString() and "MapInArrow" not in got._jdf.queryExecution().logical().toString()
+    found = {}
+    for h in translated.translated_search(queries.inputs.genomes(), queries.inputs.references()).collect():
+        if h.pident >= 0.5 and h.evalue <= 0.1:
+            found.setdefault((h.qseqid, h.sseqid), []).append(set(range(min(h.sstart, h.send), max(h.sstart, h.send) + 1)))
+    assert found and {(r.qseqid, r.sseqid): (r.n_hsps, r.covered) for r in got.collect()} == {k: (len(v), len(set().union(*v))) for k, v in found.items()}

@@ -164,7 +164,7 @@ class Seeds(NamedTuple):
 def find_seeds(sides: list[np.ndarray], refs: Subjects) -> Seeds:
     """All second hits: words with another hit on their diagonal, apart and within the window before them; the nearest counts."""
     wide = max(len(s) for s in sides) // 3 + 2 * WINDOW
-    keys, spots = [], []
+    keys = []
     for back, codes in enumerate(sides):
         word = words(codes, 3)
         at = np.flatnonzero(word >= 0)
@@ -172,21 +172,18 @@ def find_seeds(sides: list[np.ndarray], refs: Subjects) -> Seeds:
         place = refs.place[_ranges(refs.first[word[at]], times)].astype(np.int64)
         at = np.repeat(at, times)
         keys.append(((back * 3 + at % 3) * (wide + len(refs.codes)) + at // 3 - place + len(refs.codes)) * wide + at // 3)
-        spots.append(place)
-    key = np.concatenate(keys)
-    order = np.argsort(key)
-    key = key[order]
+    key = np.sort(np.concatenate(keys))  # a key has the diagonal and the residue, and so the place
     # most hits are alone on their diagonal
     near = np.zeros(len(key), dtype=bool)
     if len(key) > 1:
         near[1:] = np.diff(key) <= WINDOW
         near[:-1] |= near[1:].copy()
-    key, place = key[near], np.concatenate(spots)[order[near]]
+    key = key[near]
     partner = np.searchsorted(key, key - WORD, side="right") - 1
     good = (partner >= 0) & (key - key[np.maximum(partner, 0)] <= WINDOW)
-    key, place, gap = key[good], place[good], (key - key[np.maximum(partner, 0)])[good]
-    lane = key // wide // (wide + len(refs.codes))
-    return Seeds(lane // 3, lane % 3, key % wide - gap, key % wide, place)
+    key, gap = key[good], (key - key[np.maximum(partner, 0)])[good]
+    lane, diagonal = np.divmod(key // wide, wide + len(refs.codes))
+    return Seeds(lane // 3, lane % 3, key % wide - gap, key % wide, key % wide - diagonal + len(refs.codes))
 
 
 def extend(query: np.ndarray, subject: np.ndarray, at: np.ndarray, place: np.ndarray, step: int, limit: np.ndarray, way: int, drop: int, scores: np.ndarray = SCORES) -> tuple[np.ndarray, np.ndarray]:
