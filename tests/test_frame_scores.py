@@ -53,3 +53,16 @@ def test_blocks_of_genomes_score_as_pairs_do(spark, monkeypatch, letters, dense)
     assert want and {(r.qseqid, r.sseqid): r.score for r in got} == want and len(got) == len(want)
     best = align.frame_scores(table, known, least=0.4, k=4).collect()
     assert {tuple(r) for r in best} == {tuple(r) for r in got if r.score >= 0.4} and 0 < len(best) < len(got)
+
+
+def test_pairs_come_with_the_places_of_their_frames(spark):
+    refs = [(f"r{i}", "ATG" + "".join(rng.choice(SENSE) for _ in range(20))) for i in range(4)]
+    genomes = [(i if i else None, "TAA" + refs[i % 4][1] + "".join(rng.choice("ACGTé") for _ in range(40)) + refs[-1][1]) for i in range(12)]
+    table = spark.createDataFrame(genomes, "genome_id long, seq string").coalesce(1)
+    frames = {(f.genome_id, f"{'' if f.genome_id is None else f'{f.genome_id}:'}{f.orf_id}", f.start0, f.end0, f.seq) for f in orf.find_orfs(table, sequences=True).collect()}
+    known = spark.createDataFrame(refs, "ref_id string, seq string")
+    placed = align.frame_scores(table, known, least=0.7, places=True)
+    got = placed.collect()
+    assert placed.schema["genome_id"].dataType == table.schema["genome_id"].dataType and len({r.genome_id for r in got}) == 12
+    assert {(r.genome_id, r.qseqid, r.start0, r.end0, r.seq) for r in got} <= frames
+    assert sorted((r.qseqid, r.sseqid, r.score) for r in got) == sorted(tuple(r) for r in align.frame_scores(table, known, least=0.7).collect())

@@ -434,7 +434,7 @@ def _reference_blocks(refs: DataFrame, k: int, limit: int, protein: Column) -> l
     return [References.of(held.filter(F.pmod(F.xxhash64("ref_id", "seq"), F.lit(blocks)) == b).toArrow(), k) for b in range(blocks)]
 
 
-def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None, k: int = 5, limit: int = SENT_WORDS, compat: bool = False, rule: str | None = "six") -> DataFrame:
+def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None, k: int = 5, limit: int = SENT_WORDS, compat: bool = False, rule: str | None = "six", places: bool = False) -> DataFrame:
     """``qseqid``, ``sseqid`` and ``score`` of the frames of ``genomes`` and the references that share a k-residue word with them, of any frame of either.
 
     ``score`` is that of ``hits.score_pairs``: the best of a frame's six proteins, how many of its
@@ -445,12 +445,16 @@ def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None
     windows than that isn't looked at.  No pair is scored by itself: genomes are read in blocks, and the
     windows that references have are counted for the frames that hold them.
 
+    With ``places`` also genome_id, start0, end0 and ``seq`` of the frame, as ``orf.find_orfs`` gives them, so
+    that the few frames that have a pair needn't be looked for among all.
+
     References are sent to the tasks in blocks of some ``limit`` words, so nothing but the pairs
     leaves a task, however many references there are.  Null and empty sequences have no pairs; null
     names are names like others.
     """
     kind = refs.schema["ref_id"].dataType.simpleString()
-    out = ["qseqid", "sseqid", *(["score"] if rule else [])]
+    own = genomes.schema["genome_id"].dataType.simpleString()
+    out = ["qseqid", "sseqid", *(["score"] if rule else []), *(["genome_id", "start0", "end0", "seq"] if places else [])]
 
     def scan(block: References) -> DataFrame:
         shared = genomes.sparkSession.sparkContext.broadcast(block)
@@ -460,35 +464,47 @@ def frame_scores(genomes: DataFrame, refs: DataFrame, least: float | None = None
             known = _known(refs, k)
             names: list[str | None] = []
             waiting: list[np.ndarray] = []
+            wholes: list[tuple] = []
             letters = LETTERS * WINDOWS // (WINDOWS + 2 * len(refs.window_ref))  # so that a block's windows are bounded
 
             def flush() -> Iterator[pa.RecordBatch]:
-                frames, frame, ref, score = _pairs_of(Block.of_genomes(waiting), refs, k, compat, least, rule, known)
+                block = Block.of_genomes(waiting)
+                frames, frame, ref, score = _pairs_of(block, refs, k, compat, least, rule, known)
                 new = np.flatnonzero(np.append(True, frame[1:] != frame[:-1])[: len(frame)])  # pairs are in order of their frames
                 heads = ["" if x is None else f"{x}:" for x in names]
                 one = [frames.genome[frame[new]], frames.number[frame[new]], frames.back[frame[new]]]
                 named = pa.array([f"{heads[g]}orf{i + 1}{'-r' if back else ''}" for g, i, back in zip(*[x.tolist() for x in one], strict=True)], pa.string())
                 which = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(frame))))
+                spans = []
+                if places:
+                    begins = block.base[one[0]]
+                    low, high = frames.low[frame[new]] - begins, frames.high[frame[new]] - begins
+                    seqs = [wholes[g][1][a : b + 1] for g, a, b in zip(one[0].tolist(), low.tolist(), high.tolist(), strict=True)]
+                    spans = [pa.array([wholes[g][0] for g in one[0].tolist()], batch.column(2).type), pa.array(low, pa.int32()), pa.array(high, pa.int32()), pa.array(seqs, pa.string())]
                 for x in range(0, len(frame), ROWS_OUT):
                     part = slice(x, x + ROWS_OUT)
-                    yield pa.RecordBatch.from_arrays([named.take(pa.array(which[part])), refs.names.take(pa.array(ref[part])), *([pa.array(score[part])] if rule else [])], out)
+                    yield pa.RecordBatch.from_arrays([named.take(pa.array(which[part])), refs.names.take(pa.array(ref[part])), *([pa.array(score[part])] if rule else []), *[s.take(pa.array(which[part])) for s in spans]], out)
 
             for batch in batches:
                 for i in range(batch.num_rows if len(refs.words) else 0):
-                    genome, text = batch.column(0)[i].as_py(), as_bytes(batch.column(1)[i].as_py())
+                    whole = batch.column(1)[i].as_py()
+                    text = as_bytes(whole)
                     if len(text) < 3 * k:
                         continue
                     if waiting and held + len(text) > letters:
                         yield from flush()
-                        names.clear()
-                        waiting.clear()
+                        for x in (names, waiting, wholes):
+                            x.clear()
                     held = (held if waiting else 0) + len(text)
-                    names.append(genome)
+                    names.append(batch.column(0)[i].as_py())
                     waiting.append(text)
+                    if places:
+                        wholes.append((batch.column(2)[i].as_py(), whole))
             if waiting:
                 yield from flush()
 
-        return genomes.select(F.col("genome_id").cast("string").alias("genome_id"), "seq").mapInArrow(run, f"qseqid string, sseqid {kind}" + (", score double" if rule else ""))
+        rows = genomes.select(F.col("genome_id").cast("string").alias("name"), "seq", *(["genome_id"] if places else []))
+        return rows.mapInArrow(run, f"qseqid string, sseqid {kind}" + (", score double" if rule else "") + (f", genome_id {own}, start0 int, end0 int, seq string" if places else ""))
 
     protein = translate_dna(F.col("seq")) if rule in PERIODS else frame_protein(F.col("seq"), compat)
     every = [scan(block) for block in _reference_blocks(refs, k, limit, protein)]

@@ -48,8 +48,6 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     ``pairs`` (qseqid: ``{genome}:{frame}``).
     """
     seqs = genomes.select(F.col("genome_id").cast("string").alias("qseqid"), "seq")
-    orfs = orf.find_orfs(genomes, compat=compat, sequences=True)
-    orfs = cut(orfs.withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id")))
     refs = cut(features.short_exons(refs))
     genes, rnas = refs.filter("class = 'gene' and not short"), refs.filter("class <> 'gene'")
 
@@ -60,14 +58,22 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
     rna = hits.rna_candidates(rna_hits, best_rna, rnas).join(genomes.select("genome_id", F.col("genome_id").cast("string").alias("qseqid")), "qseqid")
     rna = rna.select("genome_id", "ref_id", "orf_id", "start", "end")
 
-    scored = align.frame_scores(genomes, genes, hits.PROTEIN_LEAST, compat=compat) if pairs is None else hits.score_pairs(pairs, orfs, genes, compat=compat)
+    if pairs is None:  # the few frames that score come with their places
+        scored = align.frame_scores(genomes, genes, hits.PROTEIN_LEAST, compat=compat, places=True)
+    else:
+        orfs = orf.find_orfs(genomes, compat=compat, sequences=True)
+        orfs = cut(orfs.withColumn("orf_id", F.concat_ws(":", F.col("genome_id").cast("string"), "orf_id")))
+        scored = hits.score_pairs(pairs, orfs, genes, compat=compat)
     scored = scored.filter(~(F.contains(F.col("sseqid"), F.lit("rpl16")) & ~F.contains(F.col("qseqid"), F.lit("-r"))))
+    if pairs is None:
+        scored = cut(scored)
+        orfs = scored.select("genome_id", F.col("qseqid").alias("orf_id"), "start0", "end0", "seq").distinct()
     proteins = best_orfs(orfs, scored).select("genome_id", "ref_id", "orf_id", "start", "end")
     cleaned = intervals.clean_overlaps(cut(proteins.withColumn("rna", F.lit(False)).unionByName(rna.withColumn("rna", F.lit(True)))), ["genome_id", "ref_id"], length=F.when(F.col("rna"), 0).otherwise(F.col("end") - F.col("start")) if compat else None, compat=compat)
     cleaned = cut(cleaned)
 
     anchors = cleaned.select("genome_id", "ref_id", "orf_id", F.col("start").alias("start0"), F.col("end").alias("end0"))
-    found_short = hits.locate_short_exons(refs.filter("short"), anchors, genomes, compat)
+    found_short = cut(hits.locate_short_exons(refs.filter("short"), anchors, genomes, compat))
     named = cleaned.select("genome_id", "ref_id").unionByName(found_short.select("genome_id", "ref_id"))
     catalogue = features.exon_catalogue(named.select("genome_id", strip_guide(F.col("ref_id")).alias("name")))
 
