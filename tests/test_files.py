@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from thylakoid import queries
 from thylakoid.operators import hits, intervals, orf
+from thylakoid.plans import cuts
 from thylakoid.plans.counters import Counters
 from thylakoid.sources import readers, writers
 from thylakoid.streaming import frames
@@ -160,3 +162,10 @@ def test_genomes_share_files(spark, genomes, tmp_path):
     writers.write_features(spark.createDataFrame(spans, "genome_id long, name string, start int, end int, strand string"), f"{path}/t", together=True)
     assert sorted((int(r.genome_id), r.name, r.start, r.end, r.strand) for r in readers.read_features(spark, f"{path}/t", together=True).collect()) == sorted(spans)
     assert [x for x in lines(tmp_path / "t") if x.startswith("1\t")] == ["1\ta\t3\t9\t+", "1\tb\t20\t30\t-"]
+
+
+def test_regions_of_guides_are_made_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries, "cut", lambda df: made.append(df.columns) or cuts.cut(df))
+    queries.guide_append_files(spark, "/root/testdata/sf0.001")
+    assert made == [["class", "guide_no", "ref_id", "seq"]]
