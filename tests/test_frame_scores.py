@@ -66,3 +66,25 @@ def test_pairs_come_with_the_places_of_their_frames(spark):
     assert placed.schema["genome_id"].dataType == table.schema["genome_id"].dataType and len({r.genome_id for r in got}) == 12
     assert {(r.genome_id, r.qseqid, r.start0, r.end0, r.seq) for r in got} <= frames
     assert sorted((r.qseqid, r.sseqid, r.score) for r in got) == sorted(tuple(r) for r in align.frame_scores(table, known, least=0.7).collect())
+
+
+def test_only_frames_that_may_reach_the_least_score_are_looked_at(spark, monkeypatch):
+    refs = [(f"r{i}", "ATG" + "".join(rng.choice(SENSE) for _ in range(rng.randrange(20, 50)))) for i in range(70)]
+    long = [(f"s{i}", "ATG" + "".join(rng.choice(SENSE) for _ in range(300 + i))) for i in range(2)]  # more windows than a lane counts
+    genomes = [(i, "".join(rng.choice("ACGT") for _ in range(900))) for i in range(20)] + [(20 + i, "TAA" + seq[3 * (i % 4) :]) for i, (_, seq) in enumerate(refs[:9] + long)]
+    genomes += [(50, long[0][1][::-1].translate(str.maketrans("ACGT", "TGCA"))), (51, long[1][1][:600] + refs[0][1]), (52, "ATGGCA" * 90)]
+    table = spark.createDataFrame(genomes[16:], "genome_id long, seq string").coalesce(1)
+    frames = [(f"{f.genome_id}:{f.orf_id}", f.seq) for f in orf.find_orfs(table, sequences=True).collect()]
+    every = refs + long + [("a", "ATGGCA" * 8), ("none", "AT")]
+    want = {pair: score for pair, score in plain(frames, every[:-1], 5).items() if score >= 0.7}
+    got = align.frame_scores(table, spark.createDataFrame(every, "ref_id string, seq string"), least=0.7).collect()
+    assert {(r.qseqid, r.sseqid): r.score for r in got} == want and len(got) == len(want) >= 14
+
+    looked = []
+    cut_words = align.protein_words
+    monkeypatch.setattr(align, "protein_words", lambda amino, k, *wanted: looked.append(int(wanted[0].sum()) if wanted and wanted[0] is not None else len(amino)) or cut_words(amino, k, *wanted))
+    held = align.References.of(spark.createDataFrame([(a, b, protein(b)) for a, b in refs], "ref_id string, seq string, protein string").toArrow(), 5)
+    block = align.Block.of_genomes([align.as_bytes(seq) for _, seq in genomes[:20]])
+    looked.clear()
+    align._pairs_of(block, held, 5, False, 0.7, "six", align._known(held, 5))
+    assert len(looked) == 2 and sum(looked) < len(block.of) / 10

@@ -79,10 +79,15 @@ def dna_words(letters: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return at, word[at]
 
 
-def protein_words(amino: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Place, in bases, and packed word of each run of ``k`` residues in any frame, of the residue at each place; unknown residues are in none."""
+def protein_words(amino: np.ndarray, k: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Place, in bases, and packed word of each run of ``k`` residues in any frame, of the residue at each place, from ``wanted`` places on; unknown residues are in none."""
+    n = max(0, len(amino) - 3 * (k - 1))
+    if wanted is not None:
+        at = np.flatnonzero(wanted[:n])
+        residue = _RESIDUE[amino[at[:, None] + 3 * np.arange(k)]]
+        held = (residue > 0).all(axis=1)
+        return at[held], residue[held] @ 22 ** np.arange(k - 1, -1, -1)
     residue = _RESIDUE[amino]
-    n = max(0, len(residue) - 3 * (k - 1))
     word, sound = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
     for i in range(k):
         word = word * 22 + residue[3 * i : 3 * i + n]
@@ -216,7 +221,11 @@ def search(queries: DataFrame, subjects: DataFrame, k: int = SEED, evalue: float
 
 
 class References(NamedTuple):
-    """References that are sent to every task: their words, each with the references that have it, and by reference the windows of its protein."""
+    """References that are sent to every task: their words, each with the references that have it, and by reference the windows of its protein.
+
+    References of like length share a lane, a byte of some numbers; ``lanes`` has of each window a one
+    in those of the references that have it.
+    """
 
     names: pa.Array
     words: np.ndarray
@@ -225,6 +234,8 @@ class References(NamedTuple):
     lengths: np.ndarray
     window_first: np.ndarray
     window_ref: np.ndarray
+    lane: np.ndarray
+    lanes: np.ndarray
 
     @classmethod
     def of(cls, refs: pa.Table, k: int) -> References:
@@ -243,13 +254,20 @@ class References(NamedTuple):
         order = np.argsort(word, kind="stable")
         known, first = np.unique(word[order], return_index=True)
         lengths = np.array([len(x or "") for x in refs.column(2).to_pylist()], dtype=np.int64)
-        return cls(names, known, np.append(first, len(order)), owner[order], lengths, np.searchsorted(np.sort(window), np.arange(WINDOWS + 1)), by[np.argsort(window, kind="stable")])
+        lane = np.zeros(len(names), dtype=np.int64)
+        numbers = min(LANES, max(1, -(-len(names) // 64)))
+        lane[np.argsort(lengths, kind="stable")] = np.arange(len(names)) * 8 * numbers // max(1, len(names))
+        lanes = np.zeros((WINDOWS, 8 * numbers), dtype=np.uint8)
+        lanes[window, lane[by]] = 1
+        return cls(names, known, np.append(first, len(order)), owner[order], lengths, np.searchsorted(np.sort(window), np.arange(WINDOWS + 1)), by[np.argsort(window, kind="stable")], lane, lanes.view(np.uint64))
 
 
 #: Windows of three residues, of five bits each.
 WINDOWS = 1 << 15
 #: Letters of genomes that are scored at once, entries of a table of frames and references, and words that are marked each.
 LETTERS, DENSE, MARKED = 1 << 16, 1 << 22, 1 << 23
+#: Numbers of eight lanes that references are dealt into at most, and the most that a lane counts.
+LANES, FULL = 4, 255
 #: How far apart the windows are that are counted, by the rules that read a frame from its first base only.
 PERIODS = {"first": 3, "legacy": 9}
 
@@ -327,22 +345,56 @@ def _holders(frames: Frames, track: int, width: int, places: int) -> np.ndarray:
     return np.repeat(value, times)
 
 
+def _spans(block: Block, frames: Frames, back: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last base of frames on a strand, whichever they are read on."""
+    return (block.turned(frames.high), block.turned(frames.low)) if back else (frames.low, frames.high)
+
+
+def _covered(block: Block, frames: Frames, back: int) -> np.ndarray:
+    """Which places of a strand lie in a frame."""
+    low, high = _spans(block, frames, back)
+    places = len(block.of)
+    return np.cumsum(np.bincount(low, minlength=places + 1) - np.bincount(high + 1, minlength=places + 1))[:places] > 0
+
+
+def _bounds(block: Block, frames: Frames, refs: References) -> np.ndarray:
+    """By frame and lane: how many windows of the best of the frame's six proteins any reference of the lane has, or ``FULL`` if more.
+
+    Eight lanes are added up as one number along a phase, and a frame's are the difference of two such
+    sums: no lane of it overflows in frames of no more windows than a lane counts, and longer ones are taken as full.
+    """
+    best = np.zeros((len(frames.low), 8 * refs.lanes.shape[1]), dtype=np.uint8)
+    for back in (0, 1):
+        window = _windows(block.amino[back], 3)
+        low, high = _spans(block, frames, back)
+        for number in range(refs.lanes.shape[1]):
+            sums = np.zeros(len(block.of) + 3, dtype=np.uint64)  # of the windows of a phase before a place
+            sums[3 : 3 + len(window)] = refs.lanes[:, number][window]
+            sums[3 : 3 + len(window)][block.left[: len(window)] < 9] = 0
+            sums = sums.reshape(-1, 3).cumsum(axis=0, dtype=np.uint64).ravel()
+            for phase in range(3):
+                times = np.maximum(0, (high - low - phase - 5) // 3)
+                found = (sums[np.minimum(low + phase + 3 * times, len(sums) - 1)] - sums[np.minimum(low + phase, len(sums) - 1)]) * (times > 0)
+                part = best[:, 8 * number : 8 * number + 8]
+                np.maximum(part, found.view(np.uint8).reshape(-1, 8), out=part)
+    best[(frames.high - frames.low + 1) // 3 - 2 > FULL] = FULL
+    return best
+
+
 def _windows_in(block: Block, back: int, refs: References, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """Forward place and reference of each window of nine bases of a strand that a reference's protein has, of the ``wanted`` forward places."""
-    window = _windows(block.amino[back], 3)
-    at = np.flatnonzero(block.left[: len(window)] >= 9)
+    """Forward place and reference of each window of nine bases of a strand that a reference's protein has, from the ``wanted`` places of the strand on."""
+    amino = block.amino[back]
+    at = np.flatnonzero(block.left >= 9 if wanted is None else wanted & (block.left >= 9))
+    window = _windows(amino, 3)[at]
     place = block.turned(at, 9) if back else at
-    if wanted is not None:
-        held = wanted[place]
-        at, place = at[held], place[held]
-    first = refs.window_first[window[at]]
-    spot, times = _ranges(first, refs.window_first[window[at] + 1])
+    first = refs.window_first[window]
+    spot, times = _ranges(first, refs.window_first[window + 1])
     return np.repeat(place, times), refs.window_ref[spot]
 
 
-def _words_in(block: Block, back: int, refs: References, k: int, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward place and reference of each word of a strand that a reference has, in any frame of either; ``known`` marks the words that any has."""
-    at, word = protein_words(block.amino[back], k)
+def _words_in(block: Block, back: int, refs: References, k: int, known: np.ndarray, wanted: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Forward place and reference of each word of a strand, from the ``wanted`` places on, that a reference has, in any frame of either; ``known`` marks the words that any has."""
+    at, word = protein_words(block.amino[back], k, wanted)
     held = known[word] if len(known) > 1 else np.ones(len(word), dtype=bool)
     at, word = at[held], word[held]
     slot = np.minimum(np.searchsorted(refs.words, word), len(refs.words) - 1)
@@ -365,15 +417,22 @@ def _pairs_of(block: Block, refs: References, k: int, compat: bool, least: float
 
     A place lies in one frame of each of six tracks at most, so a word or a window is met with its
     frames by looking these up, and the windows of pairs are counted; no pair is looked at by itself.
+    With ``least`` (and "six") only frames are looked at that have the windows which some reference of a lane asks for.
     """
-    frames, n, places, wanted = _frames_of(block, compat), len(refs.names), len(block.of), None
+    frames, n, places, wanted = _frames_of(block, compat), len(refs.names), len(block.of), [None, None]
     if least is not None:
         long = (frames.high - frames.low + 1) // 3 - 2 >= least * refs.lengths.min() - 1e-9
         frames = Frames(*[x[long] for x in frames])
+    if least is not None and rule == "six":
+        need = np.full(8 * refs.lanes.shape[1], np.inf)  # what the shortest reference of a lane asks for
+        np.minimum.at(need, refs.lane, np.where(refs.lengths > 0, least * refs.lengths - 1e-9, np.inf))
+        near = (_bounds(block, frames, refs) >= np.where(need < np.inf, np.minimum(need, FULL), np.inf)).any(axis=1)
+        frames = Frames(*[x[near] for x in frames])
+        wanted = [_covered(block, frames, back) for back in (0, 1)]
     residues = (frames.high - frames.low + 1) // 3
     dense = (len(residues) + 1) * n <= DENSE
     marked, keys = np.zeros((len(residues) + 1) * n if dense else 0, dtype=bool), []
-    words = [np.concatenate(x) for x in zip(*[_words_in(block, back, refs, k, known) for back in (0, 1)], strict=True)]
+    words = [np.concatenate(x) for x in zip(*[_words_in(block, back, refs, k, known, wanted[back]) for back in (0, 1)], strict=True)]
     for track in range(6):
         key = _holders(frames, track, 3 * k, places)[words[0]] * n + words[1]
         if dense:
@@ -388,14 +447,13 @@ def _pairs_of(block: Block, refs: References, k: int, compat: bool, least: float
     if not rule or not len(pairs):
         return frames, frame, ref, np.zeros(0) if rule else None
     if least is not None:
-        some = np.unique(frame)
-        edge = np.bincount(frames.low[some], minlength=places + 1) - np.bincount(frames.high[some] + 1, minlength=places + 1)
-        wanted = np.cumsum(edge)[:places] > 0
+        some = Frames(*[x[np.unique(frame)] for x in frames])
+        wanted = [_covered(block, some, back) for back in (0, 1)]
     period = PERIODS.get(rule)
     number = np.full(len(marked), -1, dtype=np.int32)
     if dense:
         number[pairs] = np.arange(len(pairs), dtype=np.int32)
-    windows, sides = [_windows_in(block, back, refs, wanted) for back in ((0,) if period else (0, 1))], 1 if period else 6
+    windows, sides = [_windows_in(block, back, refs, wanted[back]) for back in ((0,) if period else (0, 1))], 1 if period else 6
     phases, many = [(3 * back + place % 3).astype(np.int8) for back, (place, _) in enumerate(windows)], np.zeros(len(pairs) * sides, dtype=np.int64)
     for track in range(6):
         begins = _holders(frames, track, 9, places) * n
