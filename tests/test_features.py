@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -131,3 +133,24 @@ def test_literal_gaps_of_many_genomes_are_read_in_one_pass(spark):
     assert sorted((r.genome_id, r.start, r.end, r.name) for r in found.collect()) == sorted(want)
     assert "FlatMapGroups" not in found._jdf.queryExecution().executedPlan().toString()  # no call for each genome
     assert features.fill_gaps_compat(table.limit(0), spark.createDataFrame([(1, 100)], "genome_id long, len int")).collect() == []
+
+
+def test_features_and_gaps_in_one_pass_are_those_of_two(spark):
+    pick = random.Random(5)
+    rows = [(pick.choice([1, 2, 3, None]), s := pick.randrange(1, 200), s + pick.randrange(-1, 40), pick.choice(["+", "-", None]), pick.choice(["a", "b", "g_exon1", "g_exon2", "g_exon3", "h_exon1"])) for _ in range(160)]
+    rows += [(4, 10, 20, "+", "a"), (4, 10, 20, "+", "a"), (4, 10, 20, "+", "c"), (5, 1, 9, "+", "a")]
+    table = spark.createDataFrame(rows, "genome_id long, start int, end int, strand string, name string")
+    lengths = spark.createDataFrame([(1, 300), (2, 150), (4, 20), (5, None), (6, 10)], "genome_id long, len int")
+    named = intervals.last_written(table, ["genome_id", "start", "end", "strand"], ["name"])
+    want = named.unionByName(features.fill_gaps(named, lengths).select(named.columns))
+    got = features.with_gaps(table, lengths)
+    order = lambda df: sorted(map(tuple, df.collect()), key=repr)
+    assert got.columns == named.columns and order(got) == order(want) and got.count() > named.count()
+
+
+def test_a_gff_line_is_split_once_and_genomes_are_moved_once(spark):
+    found, lengths = readers.parse_gff3(spark.createDataFrame([(1, "s x CDS 10 20 . + 0 ID=c;Parent=g")], "genome_id long, value string"))
+    plan = lambda df: df._jdf.queryExecution().sparkPlan().toString()
+    assert plan(found).count("split(") == 1 and plan(lengths).count("split(") == 1
+    whole = annotate.import_gff3(found, lengths)._jdf.queryExecution().executedPlan().toString()
+    assert whole.count("REPARTITION_BY_COL") == 1 and whole.count("ENSURE_REQUIREMENTS") <= 1

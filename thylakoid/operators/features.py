@@ -46,7 +46,8 @@ def exon_catalogue(df: DataFrame) -> DataFrame:
 
 def _gap_name(prev: Column, name: Column, sep: str) -> Column:
     """Name of the gap between two features; null between exons of one gene that aren't neighbours."""
-    same = exon_gene(prev).isNotNull() & (exon_gene(prev) == exon_gene(name))
+    exons = F.contains(prev, F.lit("_exon")) & F.contains(name, F.lit("_exon"))  # most have none
+    same = exons & exon_gene(prev).isNotNull() & (exon_gene(prev) == exon_gene(name))
     a, b = exon_number(prev), exon_number(name)
     intron = F.when(F.abs(a - b) == 1, F.concat(exon_gene(name), F.lit("_intron"), F.least(a, b).cast("string")))
     return F.when(same, intron).otherwise(F.concat(prev, F.lit(sep), name))
@@ -69,6 +70,30 @@ def fill_gaps(df: DataFrame, lengths: DataFrame, sep: str = "~") -> DataFrame:
     return inner.unionByName(ends).filter("start <= end and name is not null")
 
 
+def with_gaps(df: DataFrame, lengths: DataFrame, sep: str = "~") -> DataFrame:
+    """``df`` (genome_id, start, end, strand, name) with the gaps that ``fill_gaps`` gives, in one pass over each genome.
+
+    Of rows of one place, start, end and strand, the last name stays, as ``last_written`` by name gives it.
+    ``lengths`` has one row a genome at most.
+    """
+    order = Window.partitionBy("genome_id").orderBy("start", "end", "strand", "name")
+    place = F.struct("start", "end", "strand")
+    rows = df.withColumn("_next", F.lead(place).over(order)).filter(~F.col("_next").eqNullSafe(place)).drop("_next")
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_n", F.row_number().over(order)).withColumn("_prev", F.lag("name").over(order)).withColumn("_all", F.max("end").over(upto)).withColumn("_until", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))).withColumn("_after", F.lead(F.lit(1)).over(order))
+    name = F.when(F.col("_n") == 1, F.concat(F.lit(f"Start{sep}"), "name")).otherwise(_gap_name(F.col("_prev"), F.col("name"), sep))
+    rows = rows.join(lengths.select("genome_id", "len"), "genome_id", "left").withColumn("_gap", name)
+
+    def span(start: Column, end: Column, strand: Column, name: Column, kept: Column) -> Column:
+        return F.struct(start.alias("start"), end.alias("end"), strand.alias("strand"), name.alias("name"), kept.alias("_kept"))
+
+    start, end, first, plus = F.col("start"), F.col("end"), F.coalesce("_until", F.lit(0)) + 1, F.lit("+")
+    own = span(start, end, F.col("strand"), F.col("name"), F.lit(True))
+    inner = span(first, start - 1, plus, F.col("_gap"), (first <= start - 1) & F.col("_gap").isNotNull())
+    last = span(F.col("_all") + 1, F.col("len"), plus, F.concat("name", F.lit(f"{sep}End")), F.col("_after").isNull() & (F.col("_all") + 1 <= F.col("len")) & F.col("name").isNotNull())
+    return rows.select("genome_id", F.inline(F.array(own, inner, last))).filter("_kept").drop("_kept")
+
+
 def _literal_gaps(rows: Iterator[tuple], sep: str) -> dict[tuple[int, int], str]:
     """The gaps, by bounds, among the ``rows`` (genome_id, start, end, name, len) of one genome in order."""
     out: dict[tuple[int, int], str] = {}

@@ -95,9 +95,10 @@ def annotate(genomes: DataFrame, refs: DataFrame, compat: bool = False, rna_hits
 def import_gff3(found: DataFrame, lengths: DataFrame, compat: bool = False) -> DataFrame:
     """Feature table of parsed GFF3 features: exons numbered, gaps filled."""
     named = features.number_exons(found, compat).select("genome_id", "start", "end", "strand", "name")
+    if not compat:
+        return features.with_gaps(named, lengths)
     named = cut(intervals.last_written(named, ["genome_id", "start", "end", "strand"], ["name"]))
-    gaps = features.fill_gaps_compat(named, lengths) if compat else features.fill_gaps(named, lengths)
-    return named.unionByName(gaps.select(named.columns))
+    return named.unionByName(features.fill_gaps_compat(named, lengths).select(named.columns))
 
 
 def import_genbank(found: DataFrame, compat: bool = False) -> DataFrame:

@@ -103,14 +103,16 @@ def parse_gff3(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Features (genome_id, gene, start, end, strand) and lengths (genome_id, len) of GFF3 ``lines`` (genome_id, value).
 
     Coding parts are named by their parent, tRNA and rRNA by their ID; a line whose name can't be
-    read is left out.  The length is the end of the ``region`` line.
+    read is left out.  The length is the end of the ``region`` line.  Features lie by genome, so that what is
+    keyed by it needs no further shuffle.
     """
-    rows = lines.filter(~F.col("value").startswith("#")).withColumn("f", F.split(F.trim("value"), r"\s+")).filter(F.size("f") >= 2)
+    rows = lines.filter(~F.col("value").startswith("#")).select("genome_id", F.split(F.trim("value"), r"\s+").alias("f"))
     kind, notes = F.get("f", 2), F.coalesce(F.get("f", 8), F.lit(""))
     gene = F.when(kind == "CDS", F.regexp_extract(notes, r"Parent=(\w+)", 1)).when(kind == "tRNA", F.regexp_extract(notes, r"ID=(\w+-\w+)", 1)).when(kind == "rRNA", F.regexp_extract(notes, r"ID=(\w+)", 1))
     number = lambda i: F.expr(f"try_cast(get(f, {i}) as int)")
-    features = rows.select("genome_id", gene.alias("gene"), number(3).alias("start"), number(4).alias("end"), F.get("f", 6).alias("strand")).filter("gene <> '' and start is not null and end is not null").distinct()
-    lengths = rows.filter(kind == "region").groupBy("genome_id").agg(F.max(number(4)).alias("len"))
+    read = lambda *fields: rows.select("genome_id", F.inline(F.array(F.struct(*fields))))  # noqa: E731  # filters stay behind this, so that a line is split once
+    features = read(gene.alias("gene"), number(3).alias("start"), number(4).alias("end"), F.get("f", 6).alias("strand")).filter("gene <> '' and start is not null and end is not null").repartition("genome_id").distinct()
+    lengths = read(kind.alias("kind"), number(4).alias("end")).filter("kind = 'region'").groupBy("genome_id").agg(F.max("end").alias("len"))
     return features, lengths
 
 
