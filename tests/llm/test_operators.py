@@ -156,6 +156,19 @@ def test_components_against_brute_force(spark, texts, monkeypatch, n, num):
     assert got == brute_components(texts, n, num, 100)
 
 
+def test_only_sets_that_are_compared_again_are_moved_again(spark, monkeypatch):
+    base = [f"w{i}" for i in range(24)]
+    families = [[*base[:20], *[f"{side}{i}" for i in range(4)]] for side in "ab"]  # they share parts but don't link
+    texts = [" ".join([*family[:i], f"own{i}{family[-1]}", *family[i + 1 :]]) for family in families for i in range(12)]
+    texts += [" ".join([*[f"p{i}x{j}" for j in range(20)], end]) for i in range(10) for end in ("y", "z")]
+    moved, links = [], jaccard._links
+    monkeypatch.setattr(jaccard, "PIECE", 4)
+    monkeypatch.setattr(jaccard, "_links", lambda members, sets, num, den: moved.append((sets.count(), members.select("set_id").distinct().count())) or links(members, sets, num, den))
+    got = sorted(map(tuple, jaccard.jaccard_components(docs(spark, texts), n=1, num=80).collect()))
+    assert got == brute_components(texts, 1, 80, 100)
+    assert len(moved) == 2 and moved[1][0] == moved[1][1] < moved[0][0]
+
+
 def test_components_of_very_many_sets(spark, texts, monkeypatch):
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
     assert sorted(map(tuple, jaccard.jaccard_components(docs(spark, texts), n=4, num=85).collect())) == brute_components(texts, 4, 85, 100)

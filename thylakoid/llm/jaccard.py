@@ -296,8 +296,10 @@ def set_components(docs: DataFrame, text: str, n: int, num: int, den: int) -> tu
             "not (x.lo = x.hi and y.lo = y.hi and x.lo = y.lo)"
         ).select(F.col("x.grp").alias("grp"), F.col("x.piece").alias("i"), F.col("y.piece").alias("j"))
         both = cross.select("grp", F.xxhash64("i", "j").alias("pair"), F.explode(F.array_distinct(F.array("i", "j"))).alias("piece"))
-        again = left.join(both, ["grp", "piece"]).select("grp", F.col("pair").alias("piece"), "set_id", "known")
-        more = durable(_links(again, sets, num, den))
+        again = durable(left.join(both, ["grp", "piece"]).select("grp", F.col("pair").alias("piece"), "set_id", "known"))
+        # few sets are compared again, so only those are moved
+        some = sized_join(sets, durable(again.select("set_id").distinct()), ["set_id"], "left_semi")
+        more = durable(_links(again, some, num, den))
         if more.take(1):
             roots = components(more.union(roots))
     return named, roots
