@@ -169,3 +169,35 @@ def test_regions_of_guides_are_made_once(spark, monkeypatch):
     monkeypatch.setattr(queries, "cut", lambda df: made.append(df.columns) or cuts.cut(df))
     queries.guide_append_files(spark, "/root/testdata/sf0.001")
     assert made == [["class", "guide_no", "ref_id", "seq"]]
+
+
+def test_frames_are_written_and_read_without_a_shuffle(spark, genomes, tmp_path):
+    found, path = orf.find_orfs(genomes, sequences=True, by_id=True), f"file://{tmp_path}"
+    ids = [r.orf_id for r in found.collect() if r.genome_id == 2]
+    assert ids == sorted(ids) and len(ids) > 4
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, orf.find_orfs(genomes, sequences=True).collect()))
+    writers.write_orf_files(found, f"{path}/a", together=True)
+    writers.write_orf_files(found, f"{path}/b", together=True, gathered=True, compression="gzip")
+    assert {p.suffix for p in (tmp_path / "b" / "sequences").glob("part-*")} == {".gz"}
+    for kind in ("coordinates", "sequences"):
+        of = lambda side: [x.value for x in spark.read.text(f"{path}/{side}/{kind}").filter("value rlike '^>?2\t'").collect()]  # noqa: B023, E731
+        assert of("a") == of("b") and len(of("a")) > 4
+    got = readers.read_fasta(spark, f"{path}/b/sequences", together=True)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted((int(r.genome_id), r.id, r.seq) for r in got.collect()) == sorted((r.genome_id, r.orf_id, r.seq) for r in found.collect())
+
+
+def test_records_that_lie_apart_are_joined(spark, tmp_path, monkeypatch):
+    for name, text in {"a": ">1\tx\nAC\nGT\n>1\ty\nA\n>2\tx\nC\n>2\tx\nG\n", "b": ">1\ty\nT\n>3\tb\nA\n>3\ta\nC\n>4\n>\nA\n>5\tz\t1\n\n>6\tx\nAAA\n>7\tx\nCC"}.items():
+        (tmp_path / f"{name}.txt").write_text(text)
+    read = lambda: sorted((r.genome_id, r.id, r.seq) for r in readers.read_fasta(spark, f"file://{tmp_path}", together=True).collect())
+    got = read()
+    assert got == [("", "", "A"), ("1", "x", "ACGT"), ("1", "y", "AT"), ("2", "x", "CG"), ("3", "a", "C"), ("3", "b", "A"), ("4", "4", ""), ("5", "z\t1", ""), ("6", "x", "AAA"), ("7", "x", "CC")]
+    monkeypatch.setattr(readers, "FEW_GENOMES", -1)
+    assert read() == got
+    monkeypatch.undo()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "12")
+    try:
+        assert read() == got
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

@@ -10,16 +10,42 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from thylakoid.plans.cuts import cut
+
 FEATURES = "name string, start int, end int, strand string"
 HITS = "qseqid string, sseqid string, pident double, length int, mismatch int, gapopen int, qstart int, qend int, sstart int, send int, evalue double, bitscore double"
 
 
+#: Genomes whose records lie apart, of which a table is sent to every task.
+FEW_GENOMES = 500_000
+
+
 def _genome(value: Column) -> tuple[Column, Column]:
     """What stands before the first tab and what after it."""
-    return F.substring_index(value, "\t", 1), F.regexp_replace(value, "^[^\t]*\t", "")
+    genome = F.substring_index(value, "\t", 1)
+    return genome, F.when(F.contains(value, F.lit("\t")), F.substring(value, F.length(genome) + 2, F.length(value))).otherwise(value)
+
+
+def _scattered(records: DataFrame) -> DataFrame:
+    """Genomes of ``records`` (genome, id) that have an id twice, or may: all but those whose records lie together with rising ids, as the writers leave them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            genome, name = batch.columns if last is None else (pa.concat_arrays([x, y]) for x, y in zip(last, batch.columns, strict=True))
+            together = pc.and_(pc.equal(genome[1:], genome[:-1]), pc.greater(name[1:], name[:-1]))
+            begun = pa.concat_arrays([pa.array([last is None]), pc.invert(together)])
+            last = genome[-1:], name[-1:]
+            yield pa.RecordBatch.from_arrays([genome.filter(begun)], ["genome"])
+
+    return cut(records.mapInArrow(run, "genome string").groupBy("genome").count().filter("count > 1").select("genome"))
 
 
 def read_fasta(spark: SparkSession, path: str, together: bool = False) -> DataFrame:
@@ -27,18 +53,33 @@ def read_fasta(spark: SparkSession, path: str, together: bool = False) -> DataFr
 
     Records are cut at line starts with ``>`` by the reader itself, so a large file is read in
     parallel by many tasks.  Columns that folders are named by (``genome_id=...``) are kept, here
-    and by the other readers of tables.
+    and by the other readers of tables.  With ``together`` files are read once before, to find genomes that may have an id
+    twice; the records of others are given as they come, without a shuffle.
     """
     lines = spark.read.option("lineSep", "\n>").text(path)
     parts = [c for c in lines.columns if c != "value"]
     rows = lines.select(*parts, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("n"), "value")
-    record = F.regexp_replace("value", "^>", "")
-    rows = rows.select(*parts, "file", "at", "n", F.regexp_extract(record, "^([^\n]*)", 1).alias("id"), F.regexp_replace(F.regexp_replace(record, "^[^\n]*\n?", ""), "\n", "").alias("seq"))
+    record = F.when(F.col("value").startswith(">"), F.substring("value", F.lit(2), F.length("value"))).otherwise(F.col("value"))
+    name = F.substring_index(record, "\n", 1)
+    rows = rows.select(*parts, "file", "at", "n", name.alias("id"), F.replace(F.substring(record, F.length(name) + 2, F.length(record)), F.lit("\n"), F.lit("")).alias("seq"))
     rows = rows.filter("id <> '' or seq <> ''")
-    if together:
-        genome, name = _genome(F.col("id"))
-        rows, parts = rows.withColumn("genome_id", genome).withColumn("id", name), [*parts, "genome_id"]
-    return rows.groupBy(*parts, "id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "at", "n", "seq"))), lambda r: r.seq), "").alias("seq"))
+
+    def joined(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*parts, "id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("file", "at", "n", "seq"))), lambda r: r.seq), "").alias("seq"))
+
+    if not together:
+        return joined(rows)
+    genome, name = _genome(F.col("id"))
+    key = F.to_json(F.struct(*parts, "genome_id")) if parts else F.col("genome_id")
+    rows, parts = rows.withColumn("genome_id", genome).withColumn("id", name).withColumn("genome", key), [*parts, "genome_id"]
+    apart = _scattered(rows.select("genome", "id"))
+    many = apart.count()
+    if many > FEW_GENOMES:
+        return joined(rows)
+    out = [*parts, "id", "seq"]
+    if not many:
+        return rows.select(out)
+    return rows.join(F.broadcast(apart), "genome", "left_anti").select(out).unionByName(joined(rows.join(F.broadcast(apart), "genome", "left_semi")))
 
 
 def sequence_lines(text: Column) -> Column:
